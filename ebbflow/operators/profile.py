@@ -59,15 +59,15 @@ def _stack(row_exprs: list[tuple[str, list]], names: list[str]) -> list:
 def _long_numeric(df: DataFrame, cols: list[str]) -> DataFrame:
     """(column, value double) for every numeric cell, NaN as null."""
     return df.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column"), X.num(X.c(c).cast("double")).alias("value"))
-        for c in cols])).alias("s")).select("s.column", "s.value")
+        F.struct(F.lit(c).alias("column_name"), X.num(X.c(c).cast("double")).alias("value"))
+        for c in cols])).alias("s")).select("s.column_name", "s.value")
 
 
 def _long_text(df: DataFrame, cols: list[str]) -> DataFrame:
     """(column, value string) for every cell, nulls kept."""
     return df.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column"), X.c(c).cast("string").alias("value"))
-        for c in cols])).alias("s")).select("s.column", "s.value")
+        F.struct(F.lit(c).alias("column_name"), X.c(c).cast("string").alias("value"))
+        for c in cols])).alias("s")).select("s.column_name", "s.value")
 
 
 def value_frequencies(df: DataFrame, cols: list[str] | None = None,
@@ -75,7 +75,7 @@ def value_frequencies(df: DataFrame, cols: list[str] | None = None,
     """(column, value, n, label_sum) over non-null values: one shuffle."""
     cols = cols or df.columns
     lab = label if label and label in df.columns else None
-    structs = [F.struct(F.lit(c).alias("column"), X.c(c).cast("string").alias("value"))
+    structs = [F.struct(F.lit(c).alias("column_name"), X.c(c).cast("string").alias("value"))
                for c in cols]
     base = df.select(F.explode(F.array(*structs)).alias("s"),
                      *( [X.c(lab).alias("_y")] if lab else []))
@@ -83,7 +83,7 @@ def value_frequencies(df: DataFrame, cols: list[str] | None = None,
     if lab:
         agg.append(F.sum("_y").cast("bigint").alias("label_sum"))
     return (base.where(F.col("s.value").isNotNull())
-            .groupBy(F.col("s.column").alias("column"), F.col("s.value").alias("value"))
+            .groupBy(F.col("s.column_name").alias("column_name"), F.col("s.value").alias("value"))
             .agg(*agg))
 
 
@@ -95,19 +95,19 @@ def column_profile(df: DataFrame) -> DataFrame:
     info = df.sparkSession.createDataFrame(
         [(f.name, i, "numeric" if f.name in num else "categorical", dtype_name(f.dataType))
          for i, f in enumerate(fields)],
-        "column string, position int, kind string, dtype string")
+        "column_name string, position int, kind string, dtype string")
     nulls = df.agg(F.count(F.lit(1)).alias("_rows"),
                    *[F.count_if(X.c(f.name).isNull()).alias(f"n{i}")
                      for i, f in enumerate(fields)])
     nulls_long = nulls.select("_rows", F.explode(F.array(*[
-        F.struct(F.lit(f.name).alias("column"), F.col(f"n{i}").alias("n_null"))
+        F.struct(F.lit(f.name).alias("column_name"), F.col(f"n{i}").alias("n_null"))
         for i, f in enumerate(fields)])).alias("s")).select(
-        F.col("_rows").alias("n_rows"), "s.column", "s.n_null")
-    distinct = value_frequencies(df, label=None).groupBy("column").agg(
+        F.col("_rows").alias("n_rows"), "s.column_name", "s.n_null")
+    distinct = value_frequencies(df, label=None).groupBy("column_name").agg(
         F.count(F.lit(1)).alias("n_distinct"))
-    return (F.broadcast(info).join(nulls_long, "column")
-            .join(distinct, "column", "left")
-            .select("column", "position", "kind", "dtype", "n_rows",
+    return (F.broadcast(info).join(nulls_long, "column_name")
+            .join(distinct, "column_name", "left")
+            .select("column_name", "position", "kind", "dtype", "n_rows",
                     F.coalesce("n_distinct", F.lit(0)).cast("bigint").alias("n_distinct"),
                     F.col("n_null").cast("bigint").alias("n_null")))
 
@@ -118,13 +118,13 @@ def dtype_counts(df: DataFrame) -> DataFrame:
 
 def binary_columns(df: DataFrame) -> DataFrame:
     """Columns with exactly two distinct non-null values."""
-    return column_profile(df).where(F.col("n_distinct") == 2).select("column", "position")
+    return column_profile(df).where(F.col("n_distinct") == 2).select("column_name", "position")
 
 
 def missing_values(df: DataFrame) -> DataFrame:
     """Null count and percent for columns with at least one null."""
     p = column_profile(df)
-    return (p.select("column", "position", F.col("n_null").alias("n_missing"),
+    return (p.select("column_name", "position", F.col("n_null").alias("n_missing"),
                      (F.col("n_null") * 100.0 / F.col("n_rows")).alias("pct_missing"),
                      F.sum("n_null").over(Window.partitionBy(F.lit(0))).alias("total_missing"))
             .where(F.col("n_missing") > 0))
@@ -145,16 +145,16 @@ def numeric_stats(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
                  F.coalesce(X.sample_kurtosis(v), F.when(F.count(v) >= 4, 0.0)).alias(f"ku{i}")]
     wide = df.agg(*aggs)
     moments = wide.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column"), F.lit(i).alias("position"),
+        F.struct(F.lit(c).alias("column_name"), F.lit(i).alias("position"),
                  F.col(f"c{i}").alias("count"), F.col(f"m{i}").alias("mean"),
                  F.col(f"s{i}").alias("std"), F.col(f"lo{i}").alias("min"),
                  F.col(f"hi{i}").alias("max"), F.col(f"sk{i}").alias("skewness"),
                  F.col(f"ku{i}").alias("kurtosis"))
         for i, c in enumerate(cols)])).alias("s")).select("s.*")
-    qs = exact_quantiles(_long_numeric(df, cols), ["column"], "value", [0.25, 0.5, 0.75],
+    qs = exact_quantiles(_long_numeric(df, cols), ["column_name"], "value", [0.25, 0.5, 0.75],
                          names=["q25", "q50", "q75"])
-    return (moments.join(qs.drop("n"), "column", "left")
-            .select("column", "position", "count", "mean", "std", "min", "q25", "q50", "q75",
+    return (moments.join(qs.drop("n"), "column_name", "left")
+            .select("column_name", "position", "count", "mean", "std", "min", "q25", "q50", "q75",
                     "max", "skewness", "kurtosis"))
 
 
@@ -163,19 +163,19 @@ def outliers_iqr(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     the non-null count.  Fences (one row per column) are broadcast."""
     cols = cols or numeric_columns(df)
     long = _long_numeric(df, cols).where(F.col("value").isNotNull())
-    q = exact_quantiles(long, ["column"], "value", [0.25, 0.75], names=["q1", "q3"])
+    q = exact_quantiles(long, ["column_name"], "value", [0.25, 0.75], names=["q1", "q3"])
     iqr = F.col("q3") - F.col("q1")
-    fences = q.select("column", (F.col("q1") - K.IQR_FACTOR * iqr).alias("lower"),
+    fences = q.select("column_name", (F.col("q1") - K.IQR_FACTOR * iqr).alias("lower"),
                       (F.col("q3") + K.IQR_FACTOR * iqr).alias("upper"))
     pos = df.sparkSession.createDataFrame([(c, i) for i, c in enumerate(cols)],
-                                          "column string, position int")
-    out = (long.join(F.broadcast(fences), "column")
-           .groupBy("column")
+                                          "column_name string, position int")
+    out = (long.join(F.broadcast(fences), "column_name")
+           .groupBy("column_name")
            .agg(F.count(F.lit(1)).alias("n"),
                 F.count_if((F.col("value") < F.col("lower")) | (F.col("value") > F.col("upper")))
                 .alias("n_outliers")))
-    return (out.join(F.broadcast(pos), "column")
-            .select("column", "position", F.col("n_outliers").cast("bigint").alias("n_outliers"),
+    return (out.join(F.broadcast(pos), "column_name")
+            .select("column_name", "position", F.col("n_outliers").cast("bigint").alias("n_outliers"),
                     (F.col("n_outliers") * 100.0 / F.col("n")).alias("pct_outliers")))
 
 
@@ -212,21 +212,21 @@ def histogram(df: DataFrame, cols: list[str] | None = None, bins: int = K.HISTOG
     Only populated bins are returned."""
     cols = cols or numeric_columns(df)
     long = _long_numeric(df, cols).where(F.col("value").isNotNull())
-    rng = long.groupBy("column").agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
+    rng = long.groupBy("column_name").agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
     # numpy widens a zero range by 0.5 on each side
-    rng = rng.select("column",
+    rng = rng.select("column_name",
                      F.when(F.col("lo") == F.col("hi"), F.col("lo") - 0.5).otherwise(F.col("lo")).alias("lo"),
                      F.when(F.col("lo") == F.col("hi"), F.col("hi") + 0.5).otherwise(F.col("hi")).alias("hi"))
     step = (F.col("hi") - F.col("lo")) / bins
-    j = long.join(F.broadcast(rng), "column")
+    j = long.join(F.broadcast(rng), "column_name")
     raw = F.floor((F.col("value") - F.col("lo")) * (F.lit(bins) / (F.col("hi") - F.col("lo")))).cast("int")
     j = j.withColumn("_i", F.least(raw, F.lit(bins - 1)))
     edge = lambda k: k * step + F.col("lo")
     j = j.withColumn("_i", F.when(F.col("value") < edge(F.col("_i")), F.col("_i") - 1).otherwise(F.col("_i")))
     j = j.withColumn("_i", F.when((F.col("value") >= edge(F.col("_i") + 1)) & (F.col("_i") != bins - 1),
                                   F.col("_i") + 1).otherwise(F.col("_i")))
-    out = j.groupBy("column", "_i", "lo", "hi").agg(F.count(F.lit(1)).alias("count"))
-    return out.select("column", F.col("_i").alias("bin"),
+    out = j.groupBy("column_name", "_i", "lo", "hi").agg(F.count(F.lit(1)).alias("count"))
+    return out.select("column_name", F.col("_i").alias("bin"),
                       (F.col("_i") * step + F.col("lo")).alias("bin_lo"),
                       F.when(F.col("_i") == bins - 1, F.col("hi"))
                       .otherwise((F.col("_i") + 1) * step + F.col("lo")).alias("bin_hi"),
@@ -239,24 +239,24 @@ def box_stats(df: DataFrame, cols: tuple[str, ...] = ("monthly_fee", "months_wit
     most extreme values inside the fences) and the count beyond them."""
     cols = [c for c in cols if c in df.columns]
     long = (df.select(X.c(by).alias("grp"), F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column"), X.num(X.c(c).cast("double")).alias("value"))
-        for c in cols])).alias("s")).select("grp", "s.column", "s.value")
+        F.struct(F.lit(c).alias("column_name"), X.num(X.c(c).cast("double")).alias("value"))
+        for c in cols])).alias("s")).select("grp", "s.column_name", "s.value")
         .where(F.col("value").isNotNull()))
-    q = exact_quantiles(long, ["column", "grp"], "value", [0.25, 0.5, 0.75],
+    q = exact_quantiles(long, ["column_name", "grp"], "value", [0.25, 0.5, 0.75],
                         names=["q1", "median", "q3"])
     iqr = F.col("q3") - F.col("q1")
-    qf = q.select("column", "grp", "q1", "median", "q3",
+    qf = q.select("column_name", "grp", "q1", "median", "q3",
                   (F.col("q1") - K.IQR_FACTOR * iqr).alias("_lo"),
                   (F.col("q3") + K.IQR_FACTOR * iqr).alias("_hi"))
     v = F.col("value")
-    agg = (long.join(F.broadcast(qf.select("column", "grp", "_lo", "_hi")), ["column", "grp"])
-           .groupBy("column", "grp")
+    agg = (long.join(F.broadcast(qf.select("column_name", "grp", "_lo", "_hi")), ["column_name", "grp"])
+           .groupBy("column_name", "grp")
            .agg(F.min(F.when(v >= F.col("_lo"), v)).alias("whisker_low"),
                 F.max(F.when(v <= F.col("_hi"), v)).alias("whisker_high"),
                 F.count_if((v < F.col("_lo")) | (v > F.col("_hi"))).cast("bigint").alias("n_fliers"),
                 F.min(v).alias("min"), F.max(v).alias("max")))
-    return (qf.drop("_lo", "_hi").join(agg, ["column", "grp"])
-            .select("column", F.col("grp").alias(by), "min", "whisker_low", "q1", "median", "q3",
+    return (qf.drop("_lo", "_hi").join(agg, ["column_name", "grp"])
+            .select("column_name", F.col("grp").alias(by), "min", "whisker_low", "q1", "median", "q3",
                     "whisker_high", "max", "n_fliers"))
 
 
@@ -265,13 +265,13 @@ def categorical_stats(df: DataFrame) -> DataFrame:
     """Distinct count, most frequent value (ties: smallest) and its count."""
     cols = categorical_columns(df)
     vf = value_frequencies(df, cols, label=None)
-    top = vf.groupBy("column").agg(
+    top = vf.groupBy("column_name").agg(
         F.count(F.lit(1)).alias("unique_values"),
         F.min(F.struct((-F.col("n")).alias("k"), F.col("value").alias("v"))).alias("b"))
     pos = df.sparkSession.createDataFrame([(c, i) for i, c in enumerate(cols)],
-                                          "column string, position int")
-    return (top.join(F.broadcast(pos), "column")
-            .select("column", "position", F.col("unique_values").cast("bigint").alias("unique_values"),
+                                          "column_name string, position int")
+    return (top.join(F.broadcast(pos), "column_name")
+            .select("column_name", "position", F.col("unique_values").cast("bigint").alias("unique_values"),
                     F.col("b.v").alias("most_frequent"),
                     (-F.col("b.k")).cast("bigint").alias("frequency_most_frequent")))
 
@@ -282,8 +282,8 @@ def top_categories(df: DataFrame, k: int = K.TOP_CATEGORIES) -> DataFrame:
     ``row_number`` per column over the (column, value) table; Spark plans
     it with a per-partition group limit before the window's shuffle."""
     vf = value_frequencies(df, categorical_columns(df), label=None)
-    w = Window.partitionBy("column").orderBy(F.col("n").desc(), F.col("value").asc())
-    return (vf.select("column", "value", F.col("n").cast("bigint").alias("count"),
+    w = Window.partitionBy("column_name").orderBy(F.col("n").desc(), F.col("value").asc())
+    return (vf.select("column_name", "value", F.col("n").cast("bigint").alias("count"),
                       F.row_number().over(w).alias("rank"))
             .where(F.col("rank") <= k))
 
@@ -325,7 +325,7 @@ def churn_by_feature(df: DataFrame, cols: list[str] | None = None, label: str =
     every feature in one shuffle."""
     cols = cols if cols is not None else churn_feature_columns(df, label)
     vf = value_frequencies(df, cols, label=label)
-    return vf.select(F.col("column").alias("feature"), "value",
+    return vf.select(F.col("column_name").alias("feature"), "value",
                      (F.col("label_sum") / F.col("n")).alias("churn_rate"),
                      F.col("n").cast("bigint").alias("count"))
 

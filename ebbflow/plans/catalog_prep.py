@@ -9,7 +9,7 @@ from ..functions import constants as K
 from ..operators import features as FE
 from ..sources import files
 from ..sources import fixtures as fx
-from .registry import query, sql_rounded
+from .registry import query
 from .sqltext import (CONTRACT_SQL, HIGH_RISK_SQL, HIGH_VALUE_SQL, MULTI_SQL, PAYMENT_SQL, PLAN_SQL,
                       SENIOR_DEP_SQL, binary_sql, feature_names, onehot_sql, prep_cte, tenure_group_sql)
 from ..sources.fixtures import oracle_cte
@@ -23,7 +23,7 @@ def _subs(spark, sf):
 
 
 # ------------------------------------------------------------- sources
-@query("read_subscribers", sql_rounded(oracle_cte("subscribers") + "SELECT * FROM subscribers", RAW_DOUBLES))
+@query("read_subscribers", oracle_cte("subscribers") + "SELECT * FROM subscribers")
 def read_subscribers(spark, sf):
     """CSV round trip: the raw table written as CSV, read back with an
     explicit schema and the pandas null-token rules."""
@@ -48,14 +48,14 @@ def clean_payment_method(spark, sf):
     return FE.clean_payment_method(_subs(spark, sf)).select("row_id", "payment_method")
 
 
-@query("clean_all", sql_rounded(prep_cte("cleaned") + "SELECT * FROM cleaned", RAW_DOUBLES))
+@query("clean_all", prep_cte("cleaned") + "SELECT * FROM cleaned")
 def clean_all(spark, sf):
     return FE.clean_all(_subs(spark, sf))
 
 
 # ------------------------------------------------------ feature flags
 @query("tenure_group", SUBK + f"SELECT row_id, months_with_provider, {tenure_group_sql()} AS tenure_group "
-                              "FROM subscribers_k", round_doubles=False)
+                              "FROM subscribers_k")
 def tenure_group(spark, sf):
     return _subs(spark, sf).select("row_id", "months_with_provider",
                                    X.tenure_group(F.col("months_with_provider")).alias("tenure_group"))
@@ -74,7 +74,7 @@ def is_multi_service(spark, sf):
                     X.is_multi_service(F.col("phone_service"), F.col("internet_plan")).alias("is_multi_service"))
 
 
-@query("high_value_customer", sql_rounded(SUBK + f"SELECT row_id, monthly_fee, {HIGH_VALUE_SQL} AS high_value_customer FROM subscribers_k", ["monthly_fee"]))
+@query("high_value_customer", SUBK + f"SELECT row_id, monthly_fee, {HIGH_VALUE_SQL} AS high_value_customer FROM subscribers_k")
 def high_value_customer(spark, sf):
     return _subs(spark, sf).select("row_id", "monthly_fee",
                                    X.high_value_customer(F.col("monthly_fee")).alias("high_value_customer"))
@@ -86,8 +86,7 @@ def senior_with_dependents(spark, sf):
         F.col("seniorcitizen"), F.col("dependents")).alias("senior_with_dependents"))
 
 
-@query("drop_redundant", sql_rounded(SUBK + "SELECT * EXCLUDE (" + ", ".join(K.DROP_COLUMNS) + ") FROM subscribers_k",
-                                     ["months_with_provider", "monthly_fee"]))
+@query("drop_redundant", SUBK + "SELECT * EXCLUDE (" + ", ".join(K.DROP_COLUMNS) + ") FROM subscribers_k")
 def drop_redundant(spark, sf):
     d = _subs(spark, sf)
     return d.drop(*[c for c in K.DROP_COLUMNS if c in d.columns])

@@ -14,24 +14,36 @@ ORACLE: dict[str, str] = {}
 DIGITS = 9  # both sides round doubles: summation order differs between engines
 
 
-def query(name: str, sql: str | None = None, round_doubles: bool = True):
+def query(name: str, sql: str | None = None, doubles: tuple[str, ...] | list[str] = ()):
+    """Register ``fn(spark, sf_dir) -> DataFrame`` under ``name``.
+
+    ``doubles`` names the double columns whose value depends on summation
+    order (aggregates); both the Spark result and the oracle round them to
+    ``DIGITS``.  Row-wise arithmetic is bit-identical in both engines and
+    stays unrounded.
+    """
+    doubles = list(doubles)
+
     def deco(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             df = fn(spark, sf_dir)
-            return rounded(df) if round_doubles else df
+            return rounded(df, only=doubles) if doubles else df
         run.__name__ = name
         run.__doc__ = fn.__doc__
+        if name in QUERIES:
+            raise ValueError(f"query {name!r} registered twice")
         QUERIES[name] = run
         if sql is not None:
-            ORACLE[name] = sql
+            ORACLE[name] = sql_rounded(sql, doubles)
         return fn
     return deco
 
 
-def rounded(df: DataFrame, digits: int = DIGITS) -> DataFrame:
+def rounded(df: DataFrame, digits: int = DIGITS, only: list[str] | None = None) -> DataFrame:
     return df.select(*[
         F.round(F.col(f"`{f.name}`"), digits).alias(f.name)
-        if isinstance(f.dataType, (T.DoubleType, T.FloatType)) else F.col(f"`{f.name}`")
+        if isinstance(f.dataType, (T.DoubleType, T.FloatType)) and (only is None or f.name in only)
+        else F.col(f"`{f.name}`")
         for f in df.schema.fields])
 
 

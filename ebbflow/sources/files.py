@@ -39,8 +39,7 @@ def read_subscribers_csv(spark: SparkSession, path: str, schema: T.StructType =
     for f in schema.fields:
         v = null_tokens(F.col(f.name))
         if not isinstance(f.dataType, T.StringType):
-            v = F.expr(f"try_cast(`{f.name}` AS STRING)") if False else v
-            v = v.try_cast(f.dataType) if hasattr(v, "try_cast") else v.cast(f.dataType)
+            v = v.try_cast(f.dataType)
         out.append(v.alias(f.name))
     return txt.select(*out)
 
