@@ -230,3 +230,16 @@ def align_features(df: DataFrame, feature_names: list[str], keep: tuple[str, ...
     have = set(df.columns)
     return df.select(*[X.c(c) for c in keep if c in have],
                      *[X.c(n) if n in have else F.lit(0).alias(n) for n in feature_names])
+
+
+def state_to_json(st: FeatureState) -> str:
+    import json
+    return json.dumps({"impute": {"tenure_median": st.impute.tenure_median,
+                                  "payment_mode": st.impute.payment_mode},
+                       "categories": st.encode.categories, "feature_names": st.feature_names})
+
+
+def state_from_json(text: str) -> FeatureState:
+    import json
+    d = json.loads(text)
+    return FeatureState(ImputeState(**d["impute"]), EncodeState(d["categories"]), d["feature_names"])

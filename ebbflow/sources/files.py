@@ -27,23 +27,32 @@ def null_tokens(col: F.Column) -> F.Column:
     return F.when(col.isin(*K.CSV_NULL_TOKENS), F.lit(None).cast("string")).otherwise(col)
 
 
-def read_subscribers_csv(spark: SparkSession, path: str, schema: T.StructType = RAW_SCHEMA) -> DataFrame:
-    """Header CSV -> typed table.  Every field is read as text (no
-    whitespace trimming), NA tokens are nulled, then numeric columns are
-    cast (``try_cast``: unparsable text becomes null, never an error)."""
-    names = [f.name for f in schema.fields]
-    txt = (spark.read.schema(_text_schema(names)).option("header", True)
-           .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
-           .option("mode", "PERMISSIVE").csv(path))
+def typed_from_text(txt: DataFrame, schema: T.StructType = RAW_SCHEMA) -> DataFrame:
+    """All-text columns -> typed: NA tokens nulled, numeric columns cast
+    with ``try_cast`` (unparsable text becomes null, never an error).
+    Shared by the batch reader and the streaming ingest job."""
     out = []
     for f in schema.fields:
-        v = null_tokens(F.col(f.name))
+        v = null_tokens(F.col(f"`{f.name}`"))
         if not isinstance(f.dataType, T.StringType):
             v = v.try_cast(f.dataType)
         out.append(v.alias(f.name))
     return txt.select(*out)
 
 
+def csv_reader(spark: SparkSession, names: list[str], stream: bool = False):
+    """CSV reader with every field read as text and no whitespace trimming."""
+    r = spark.readStream if stream else spark.read
+    return (r.schema(_text_schema(names)).option("header", True)
+            .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+            .option("mode", "PERMISSIVE"))
+
+
+def read_subscribers_csv(spark: SparkSession, path: str, schema: T.StructType = RAW_SCHEMA) -> DataFrame:
+    """Header CSV -> typed table with the pandas null-token rules."""
+    return typed_from_text(csv_reader(spark, [f.name for f in schema.fields]).csv(path), schema)
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     (df.write.mode("overwrite").option("header", True)
      .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
