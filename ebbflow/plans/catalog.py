@@ -6,7 +6,7 @@ from __future__ import annotations
 def load_all():
     from . import catalog_prep  # noqa: F401
     for mod in ("catalog_profile", "catalog_metrics", "catalog_split", "catalog_store",
-                "catalog_models", "catalog_stream"):
+                "catalog_models", "catalog_stream", "catalog_monitor"):
         try:
             __import__(f"{__package__}.{mod}")
         except ModuleNotFoundError as e:
