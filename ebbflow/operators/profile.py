@@ -310,7 +310,7 @@ def churn_feature_columns(df: DataFrame, label: str = K.LABEL) -> list[str]:
     nums = [c for c in numeric_columns(df) if c not in skip]
     keep_num = []
     if nums:
-        row = df.agg(*[F.approx_count_distinct(X.c(c), 0.01).alias(f"a{i}")
+        row = df.agg(*[F.approx_count_distinct(X.c(c)).alias(f"a{i}")
                        for i, c in enumerate(nums)]).collect()[0]
         cand = [c for i, c in enumerate(nums) if row[f"a{i}"] < 20]
         if cand:
