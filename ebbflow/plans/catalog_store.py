@@ -36,8 +36,9 @@ def read_latest(spark, sf):
     and read back through partition pruning."""
     root = _root(spark)
     raw = fx.subscribers(spark, sf, keyed=True)
-    V.write_version(FE.process_features(raw.where(F.col("row_id") % 2 == 0)), root, "processed")
-    V.write_version(FE.process_features(raw), root, "processed")
+    st = FE.fit_features(raw)
+    V.write_version(FE.transform_features(raw.where(F.col("churned") == 1), st), root, "processed")
+    V.write_version(FE.transform_features(raw, st), root, "processed")
     return V.read_version(spark, root, "processed")
 
 

@@ -63,15 +63,26 @@ def _spark_refs(sf_dir: str) -> dict[str, str]:
     return {t: f"parquet.`{table_path(sf_dir, t)}`" for t in ("customer", "orders")}
 
 
+_VIEWS: dict[tuple, DataFrame] = {}
+
+
+def _view(spark: SparkSession, text: str, sf_dir: str) -> DataFrame:
+    """The analysed view, built once per session and folder (file listing
+    and footer reads happen once; nothing is cached in memory)."""
+    key = (id(spark), spark.sparkContext.applicationId, text, sf_dir)
+    if key not in _VIEWS:
+        _VIEWS[key] = spark.sql(text.format(**_spark_refs(sf_dir)))
+    return _VIEWS[key]
+
+
 def subscribers(spark: SparkSession, sf_dir: str, keyed: bool = False) -> DataFrame:
     """The raw 23-column subscriber table (plus ``row_id`` if ``keyed``)."""
-    text = SUBSCRIBERS_KEYED_SQL if keyed else SUBSCRIBERS_SQL
-    return spark.sql(text.format(**_spark_refs(sf_dir)))
+    return _view(spark, SUBSCRIBERS_KEYED_SQL if keyed else SUBSCRIBERS_SQL, sf_dir)
 
 
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Deterministic score table ``row_id, y, p``."""
-    return spark.sql(SCORED_SQL.format(**_spark_refs(sf_dir)))
+    return _view(spark, SCORED_SQL, sf_dir)
 
 
 def oracle_cte(*views: str) -> str:
