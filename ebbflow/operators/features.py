@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 
 from ..functions import columns as X
 from ..functions import constants as K
-from .ordered import exact_quantiles
 
 MAX_CATEGORIES = 10_000  # one-hot width guard: fail loudly, never truncate
 
@@ -61,25 +60,28 @@ class ImputeState:
 
 
 def fit_impute(df: DataFrame) -> ImputeState:
-    """Median tenure (exact, linear) and most frequent payment method
-    (ties -> smallest value; nothing to count -> the fixed fallback)."""
+    """Median tenure (exact, linear interpolation) and most frequent
+    payment method (ties -> smallest value; nothing to count -> the fixed
+    fallback), both from one aggregate.  ``percentile`` keeps a counter per
+    distinct tenure value (a month count: a small domain)."""
     st = ImputeState()
+    aggs = []
     if _has(df, "months_with_provider"):
-        q = exact_quantiles(df.select(X.num(X.c("months_with_provider")).alias("v")),
-                            [], "v", [0.5], names=["median"]).collect()
-        st.tenure_median = q[0]["median"] if q else None
+        aggs.append(F.percentile(X.num(X.c("months_with_provider")), 0.5).alias("med"))
     if _has(df, "payment_method"):
-        st.payment_mode = payment_mode(df)
+        aggs.append(F.mode(X.c("payment_method"), True).alias("mode"))
+    if not aggs:
+        return st
+    row = df.agg(*aggs).collect()[0]
+    if _has(df, "months_with_provider"):
+        st.tenure_median = row["med"]
+    if _has(df, "payment_method"):
+        st.payment_mode = row["mode"] if row["mode"] is not None else K.PAYMENT_FALLBACK
     return st
 
 
 def payment_mode(df: DataFrame) -> str:
-    counts = (df.where(F.col("payment_method").isNotNull())
-              .groupBy("payment_method").agg(F.count(F.lit(1)).alias("n")))
-    # one row per distinct payment value; min over (-count, value)
-    best = counts.agg(F.min(F.struct((-F.col("n")).alias("k"), F.col("payment_method").alias("v")))
-                      .alias("b")).collect()[0]["b"]
-    return best["v"] if best is not None else K.PAYMENT_FALLBACK
+    return fit_impute(df.select("payment_method")).payment_mode
 
 
 def impute_exprs(df: DataFrame, st: ImputeState) -> dict:
@@ -200,12 +202,61 @@ class FeatureState:
     feature_names: list[str]
 
 
+def _tenure_label(t: float | None) -> str:
+    """Python twin of ``columns.tenure_group`` for one fitted value."""
+    e = K.TENURE_EDGES
+    if t is not None and t == t:
+        for i, lab in enumerate(K.TENURE_LABELS):
+            if e[i] < t <= e[i + 1]:
+                return lab
+    return K.TENURE_MISSING
+
+
 def fit_features(raw: DataFrame) -> FeatureState:
+    """Fit median, mode and every category list in ONE aggregate over the
+    cleaned table (one scan instead of one per statistic).
+
+    * median: Spark's exact ``percentile`` (linear interpolation, pandas
+      semantics); it keeps one counter per distinct tenure value, and tenure
+      is a month count, so that map is small whatever the row count;
+    * mode: ``mode(c, deterministic)`` — ties to the smallest value;
+    * categories after imputation follow from the raw sets: the imputed
+      value joins its column's set when that column had nulls.
+    The result equals fitting impute then encode in sequence."""
     cleaned = clean_all(raw)
-    imp = fit_impute(cleaned)
-    eng = engineer_features(transform_impute(cleaned, imp), keep=("row_id",))
-    enc = fit_encode(eng)
-    base = [c for c in eng.columns if c not in (K.LABEL, "row_id")]
+    has_t, has_p = _has(cleaned, "months_with_provider"), _has(cleaned, "payment_method")
+    aggs = []
+    if has_t:
+        t = X.num(X.c("months_with_provider"))
+        aggs += [F.percentile(t, 0.5).alias("_med"), F.count_if(t.isNull()).alias("_tn"),
+                 F.array_sort(F.collect_set(F.when(t.isNotNull(), X.tenure_group(t)))).alias("_cat_tenure_group")]
+    if has_p:
+        p = X.c("payment_method")
+        aggs += [F.mode(p, True).alias("_mode"), F.count_if(p.isNull()).alias("_pn")]
+    plain = [c for c in K.ONEHOT_COLUMNS if c != "tenure_group" and c in cleaned.columns]
+    aggs += [F.array_sort(F.collect_set(X.c(c))).alias(f"_cat_{c}") for c in plain]
+    row = cleaned.agg(*aggs).collect()[0] if aggs else None
+    imp = ImputeState()
+    cats: dict[str, list[str]] = {}
+    if has_t:
+        imp.tenure_median = row["_med"]
+        tg = set(row["_cat_tenure_group"] or [])
+        if row["_tn"]:
+            tg.add(_tenure_label(imp.tenure_median))
+        cats["tenure_group"] = tg
+    if has_p:
+        imp.payment_mode = row["_mode"] if row["_mode"] is not None else K.PAYMENT_FALLBACK
+    for c in plain:
+        vals = set(row[f"_cat_{c}"] or [])
+        if c == "payment_method" and row["_pn"]:
+            vals.add(imp.payment_mode)
+        cats[c] = vals
+    for c, v in cats.items():
+        if len(v) > MAX_CATEGORIES:
+            raise ValueError(f"column {c!r} has {len(v)} categories; too wide to one-hot")
+    enc = EncodeState({c: sorted(cats[c]) for c in K.ONEHOT_COLUMNS if c in cats})
+    eng_cols = engineer_features(transform_impute(cleaned, imp), keep=("row_id",)).columns
+    base = [c for c in eng_cols if c not in (K.LABEL, "row_id")]
     return FeatureState(imp, enc, enc.feature_names(base))
 
 
