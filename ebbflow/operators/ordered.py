@@ -11,9 +11,11 @@ a third of all rows or more in one task.  Instead:
    ``ceil(rows / rows_per_bucket)`` range buckets (at most
    ``MAX_BUCKETS``), whose bounds come from ``percentile_approx`` on that
    group — ``groups x buckets`` values, a proven bound;
-2. each row gets its bucket through a balanced ``CASE`` tree over those
-   literal bounds (O(log buckets) comparisons, codegen'd, nothing copied
-   per row);
+2. each row gets its bucket by binary search over those bounds: a
+   balanced literal ``CASE`` tree when there are few (codegen'd), an ML
+   ``Bucketizer`` (JVM binary search, one splits array per group) when
+   there are many — O(log buckets) per row either way, nothing copied
+   per row;
 3. per-bucket totals (``groups x buckets`` rows) give exclusive bucket
    offsets through a small window, broadcast back;
 4. a window partitioned by ``(group, bucket)`` adds the within-bucket
@@ -36,9 +38,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-ROWS_PER_BUCKET = 4_000_000
-MAX_BUCKETS = 1024
-_ACCURACY = 20 * MAX_BUCKETS
+ROWS_PER_BUCKET = 2_000_000
+MAX_BUCKETS = 65_536   # x 2M rows: groups up to ~1.3e11 rows stay at target size
+TREE_MAX_BOUNDS = 64   # above this, bucket lookup goes through Bucketizer
+_ACCURACY_PER_BUCKET = 20
+_MAX_ACCURACY = 2_000_000
 
 
 def _tree(v: Column, bounds: list[float], lo: int, hi: int) -> Column:
@@ -75,7 +79,8 @@ def _plan_buckets(df: DataFrame, keys: list[str], lead: str, rows_per_bucket: in
             m = _group_match(keys, g)
             cond = m if cond is None else cond | m
         src = df.where(cond)
-    pa = F.percentile_approx(F.col(lead).cast("double"), fracs, _ACCURACY).alias("_b")
+    acc = min(_MAX_ACCURACY, _ACCURACY_PER_BUCKET * top)
+    pa = F.percentile_approx(F.col(lead).cast("double"), fracs, acc).alias("_b")
     rows = (src.groupBy(*keys) if keys else src).agg(pa).collect()
     plans = {}
     for r in rows:
@@ -99,6 +104,32 @@ def _bucket_column(keys: list[str], lead: str, plans: dict) -> Column:
     return expr.otherwise(F.lit(0))
 
 
+def _with_bucket(df: DataFrame, keys: list[str], lead: str, plans: dict) -> DataFrame:
+    """Add ``_bucket``: index of the range bucket of ``lead`` in its group."""
+    if max(len(b) for b in plans.values()) <= TREE_MAX_BOUNDS:
+        return df.withColumn("_bucket", _bucket_column(keys, lead, plans))
+    from pyspark.ml.feature import Bucketizer
+    v = F.col(lead).cast("double")
+    ins, outs, splits, picks = [], [], [], []
+    d = df
+    for i, (g, b) in enumerate(plans.items()):
+        m = _group_match(keys, g) if keys else F.lit(True)
+        if not b:
+            picks.append((m, F.lit(0)))
+            continue
+        d = d.withColumn(f"_bin{i}", F.when(m, v).otherwise(F.lit(0.0)))
+        ins.append(f"_bin{i}")
+        outs.append(f"_bout{i}")
+        splits.append([float("-inf"), *b, float("inf")])
+        picks.append((m, F.col(f"_bout{i}").cast("int")))
+    if ins:
+        d = Bucketizer(splitsArray=splits, inputCols=ins, outputCols=outs, handleInvalid="keep").transform(d)
+    expr = None
+    for m, val in picks:
+        expr = F.when(m, val) if expr is None else expr.when(m, val)
+    return d.withColumn("_bucket", expr.otherwise(F.lit(0))).drop(*ins, *outs)
+
+
 def ordered_prefix(
     df: DataFrame,
     keys: Sequence[str],
@@ -128,7 +159,7 @@ def ordered_prefix(
             *[F.coalesce(F.sum(m).over(prev), F.lit(0)).alias(f"{m}_before") for m in measures],
             *[F.sum(m).over(whole).alias(f"{m}_total") for m in measures])
 
-    b = df.withColumn("_bucket", _bucket_column(keys, order[0], plans))
+    b = _with_bucket(df, keys, order[0], plans)
     # per-bucket totals -> exclusive offsets; groups x buckets rows
     tot = b.groupBy(*keys, "_bucket").agg(*[F.sum(m).alias(f"_bt_{m}") for m in measures])
     bo = F.col("_bucket").desc() if descending else F.col("_bucket").asc()

@@ -33,3 +33,11 @@ def test_partitioning_does_not_change_ranks(spark):
     a = {(r.g, r.k): r._rank for r in exact_ranks(df, ["g"], ["k"], rows_per_bucket=200).collect()}
     b = {(r.g, r.k): r._rank for r in exact_ranks(df.repartition(11), ["g"], ["k"]).collect()}
     assert a == b
+
+
+def test_many_buckets_use_bucketizer_and_stay_exact(spark):
+    from ebbflow.operators import ordered as O
+    df = spark.range(20000).select((F.col("id") % 2).alias("g"), ((F.col("id") * 104729) % 20011).alias("k"))
+    got = {(r.g, r.k): r._rank for r in O.exact_ranks(df, ["g"], ["k"], rows_per_bucket=50).collect()}
+    exp = {(r.g, r.k): r._rank for r in O.exact_ranks(df, ["g"], ["k"]).collect()}
+    assert got == exp and len(got) == 20000
