@@ -342,3 +342,18 @@ def key_feature_report(df: DataFrame, label: str = K.LABEL) -> DataFrame:
     r = F.col("churn_rate")
     return cb.select("feature", F.col("value").alias("category"), "churn_rate",
                      F.format_string("%.4f (%.2f%%)", r, r * 100).alias("text"))
+
+
+def overview(df: DataFrame, label: str = K.LABEL) -> DataFrame:
+    """The summary's basic block in one row: shape, column kinds, binary
+    columns, missing cells and the label rate (one pass for the counts,
+    the distinct counts from ``column_profile``)."""
+    prof = column_profile(df)
+    lab = [F.avg(X.c(label)).alias("churn_rate")] if label in df.columns else [F.lit(None).cast("double").alias("churn_rate")]
+    base = prof.agg(F.max("n_rows").cast("bigint").alias("n_rows"), F.count(F.lit(1)).cast("bigint").alias("n_columns"),
+                    F.count_if(F.col("kind") == "numeric").cast("bigint").alias("n_numeric"),
+                    F.count_if(F.col("kind") == "categorical").cast("bigint").alias("n_categorical"),
+                    F.count_if(F.col("n_distinct") == 2).cast("bigint").alias("n_binary"),
+                    F.sum("n_null").cast("bigint").alias("total_missing"),
+                    F.count_if(F.col("n_null") > 0).cast("bigint").alias("n_columns_with_missing"))
+    return base.crossJoin(df.agg(*lab))

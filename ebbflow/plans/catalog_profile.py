@@ -246,3 +246,15 @@ def eda_churn_by_contract(spark, sf):
        "FROM long GROUP BY column_name, value", doubles=["churn_rate"])
 def eda_key_feature_report(spark, sf):
     return P.key_feature_report(_subs(spark, sf))
+
+
+@query("generate_summary", "WITH p AS (" + _PROFILE_SQL + ")\n"
+       "SELECT CAST(max(n_rows) AS BIGINT) AS n_rows, CAST(count(*) AS BIGINT) AS n_columns, "
+       "CAST(count_if(kind = 'numeric') AS BIGINT) AS n_numeric, CAST(count_if(kind = 'categorical') AS BIGINT) AS n_categorical, "
+       "CAST(count_if(n_distinct = 2) AS BIGINT) AS n_binary, CAST(sum(n_null) AS BIGINT) AS total_missing, "
+       "CAST(count_if(n_null > 0) AS BIGINT) AS n_columns_with_missing, (SELECT avg(churned) FROM ("
+       + SUB + "SELECT churned FROM subscribers)) AS churn_rate FROM p", doubles=["churn_rate"])
+def generate_summary(spark, sf):
+    """Basic block of the EDA summary (the full tidy summary is
+    ``eda_summary_long``)."""
+    return P.overview(_subs(spark, sf))

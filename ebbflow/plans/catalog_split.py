@@ -84,3 +84,37 @@ def cohort_export(spark, sf):
     """Three example cohorts as JSON feature documents (nulls omitted).
     Rows-only check: JSON text formatting differs between engines."""
     return S.cohort_export(_subs(spark, sf))
+
+
+_FOLD_SQL = (oracle_cte("subscribers_k", "scored").rstrip() + ",\n" + ranked_cte() + ",\n"
+             "fo AS (SELECT row_id, CAST((coalesce((SELECT count(*) FROM subscribers_k b WHERE b.churned < ranked.churned), 0) "
+             f"+ rk - 1) % {K.N_FOLDS} + 1 AS INTEGER) AS fold FROM ranked),\n"
+             "g AS (SELECT fold, s.p AS score, CAST(count_if(s.y = 1) AS DOUBLE) AS pos, CAST(count_if(s.y <> 1) AS DOUBLE) AS neg "
+             "FROM scored s JOIN fo ON s.row_id = fo.row_id GROUP BY fold, s.p),\n"
+             "r AS (SELECT *, coalesce(sum(pos) OVER w, 0) AS tp0, coalesce(sum(neg) OVER w, 0) AS fp0, "
+             "sum(pos) OVER (PARTITION BY fold) AS P, sum(neg) OVER (PARTITION BY fold) AS N FROM g "
+             "WINDOW w AS (PARTITION BY fold ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),\n"
+             "pf AS (SELECT fold, sum(pos * (N - (fp0 + neg) + 0.5 * neg)) / (max(P) * max(N)) AS roc_auc, "
+             "sum(((tp0 + pos) / P - tp0 / P) * ((tp0 + pos) / (tp0 + pos + fp0 + neg) + "
+             "CASE WHEN tp0 + fp0 = 0 THEN 1.0 ELSE tp0 / (tp0 + fp0) END) / 2) AS pr_auc, CAST(max(P) + max(N) AS BIGINT) AS n "
+             "FROM r GROUP BY fold)\n"
+             "SELECT CAST(fold AS VARCHAR) AS fold, roc_auc, pr_auc, n FROM pf UNION ALL "
+             "SELECT 'mean', avg(roc_auc), avg(pr_auc), CAST(sum(n) AS BIGINT) FROM pf UNION ALL "
+             "SELECT 'std', stddev_pop(roc_auc), stddev_pop(pr_auc), NULL FROM pf")
+
+
+@query("kfold_metrics", _FOLD_SQL, doubles=["roc_auc", "pr_auc"])
+def kfold_metrics(spark, sf):
+    """Per-fold ROC/PR-AUC of a scored table with stratified folds, plus
+    mean and population std — one grouped ranking pass for all folds."""
+    from ..operators import metrics as M
+    folds = S.kfold_assign(_subs(spark, sf).select("row_id", "churned")).select("row_id", "fold")
+    sc = fx.scored(spark, sf).join(folds, "row_id")
+    per = M.ranking_auc(sc, ("fold",)).select(F.col("fold").cast("string").alias("fold"), "roc_auc", "pr_auc",
+                                               F.col("n").cast("bigint").alias("n"))
+    summ = per.agg(F.avg("roc_auc").alias("a"), F.stddev_pop("roc_auc").alias("b"), F.avg("pr_auc").alias("c"),
+                   F.stddev_pop("pr_auc").alias("d"), F.sum("n").alias("n"))
+    return per.unionByName(summ.select(F.lit("mean").alias("fold"), F.col("a").alias("roc_auc"),
+                                       F.col("c").alias("pr_auc"), F.col("n").cast("bigint").alias("n"))) \
+        .unionByName(summ.select(F.lit("std").alias("fold"), F.col("b").alias("roc_auc"), F.col("d").alias("pr_auc"),
+                                 F.lit(None).cast("bigint").alias("n")))
