@@ -89,3 +89,16 @@ def test_stream_ingest_equals_batch(spark, sf):
     exp = FE.clean_all(raw)
     assert got.exceptAll(exp.select(*got.columns)).count() == 0
     assert got.count() == exp.count()
+
+
+def test_workflow_end_to_end(spark, raw):
+    from ebbflow import workflows as W
+    root = scratch_path(spark, "t-flow")
+    W.process_job(raw, root)
+    W.split_job(spark, root)
+    mp = W.train_job(spark, root, "logistic", max_iter=30)
+    ev = W.evaluate_job(spark, root, mp).collect()[0]
+    assert 0.1 <= ev.threshold <= 0.9 and 0.0 <= ev.roc_auc <= 1.0
+    scores = W.score_job(raw, mp)
+    assert scores.count() == raw.count()
+    assert W.metric_trend(spark, root).count() == len(ev)
