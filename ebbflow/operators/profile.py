@@ -88,8 +88,9 @@ def value_frequencies(df: DataFrame, cols: list[str] | None = None,
 
 
 # -------------------------------------------------------------- structure
-def column_profile(df: DataFrame) -> DataFrame:
-    """Per column: position, kind, dtype, rows, distinct and null counts."""
+def null_counts(df: DataFrame) -> DataFrame:
+    """Per column: position, kind, dtype, rows and null count — one
+    aggregate over the table, reshaped to one row per column."""
     fields = df.schema.fields
     num = set(numeric_columns(df))
     info = df.sparkSession.createDataFrame(
@@ -102,28 +103,36 @@ def column_profile(df: DataFrame) -> DataFrame:
     nulls_long = nulls.select("_rows", F.explode(F.array(*[
         F.struct(F.lit(f.name).alias("column_name"), F.col(f"n{i}").alias("n_null"))
         for i, f in enumerate(fields)])).alias("s")).select(
-        F.col("_rows").alias("n_rows"), "s.column_name", "s.n_null")
-    distinct = value_frequencies(df, label=None).groupBy("column_name").agg(
-        F.count(F.lit(1)).alias("n_distinct"))
-    return (F.broadcast(info).join(nulls_long, "column_name")
-            .join(distinct, "column_name", "left")
+        F.col("_rows").cast("bigint").alias("n_rows"), "s.column_name", F.col("s.n_null").cast("bigint").alias("n_null"))
+    return F.broadcast(info).join(nulls_long, "column_name")
+
+
+def column_profile(df: DataFrame, vf: DataFrame | None = None) -> DataFrame:
+    """Per column: position, kind, dtype, rows, distinct and null counts.
+    ``vf`` is an optional precomputed ``value_frequencies`` table."""
+    vf = vf if vf is not None else value_frequencies(df, label=None)
+    distinct = vf.groupBy("column_name").agg(F.count(F.lit(1)).alias("n_distinct"))
+    return (null_counts(df).join(distinct, "column_name", "left")
             .select("column_name", "position", "kind", "dtype", "n_rows",
-                    F.coalesce("n_distinct", F.lit(0)).cast("bigint").alias("n_distinct"),
-                    F.col("n_null").cast("bigint").alias("n_null")))
+                    F.coalesce("n_distinct", F.lit(0)).cast("bigint").alias("n_distinct"), "n_null"))
 
 
 def dtype_counts(df: DataFrame) -> DataFrame:
-    return column_profile(df).groupBy("dtype").agg(F.count(F.lit(1)).alias("n_columns"))
+    """Columns and non-null cells per dtype (one aggregate, no distincts)."""
+    return null_counts(df).groupBy("dtype").agg(
+        F.count(F.lit(1)).cast("bigint").alias("n_columns"),
+        F.sum(F.col("n_rows") - F.col("n_null")).cast("bigint").alias("n_values"))
 
 
-def binary_columns(df: DataFrame) -> DataFrame:
+def binary_columns(df: DataFrame, vf: DataFrame | None = None) -> DataFrame:
     """Columns with exactly two distinct non-null values."""
-    return column_profile(df).where(F.col("n_distinct") == 2).select("column_name", "position")
+    return column_profile(df, vf).where(F.col("n_distinct") == 2).select("column_name", "position")
 
 
-def missing_values(df: DataFrame) -> DataFrame:
-    """Null count and percent for columns with at least one null."""
-    p = column_profile(df)
+def missing_values(df: DataFrame, vf: DataFrame | None = None) -> DataFrame:
+    """Null count and percent for columns with at least one null (null
+    counts only: one aggregate)."""
+    p = null_counts(df)
     return (p.select("column_name", "position", F.col("n_null").alias("n_missing"),
                      (F.col("n_null") * 100.0 / F.col("n_rows")).alias("pct_missing"),
                      F.sum("n_null").over(Window.partitionBy(F.lit(0))).alias("total_missing"))
@@ -261,10 +270,16 @@ def box_stats(df: DataFrame, cols: tuple[str, ...] = ("monthly_fee", "months_wit
 
 
 # ------------------------------------------------------------ categorical
-def categorical_stats(df: DataFrame) -> DataFrame:
+def _vf_for(df: DataFrame, cols: list[str], vf: DataFrame | None, label: str | None = None) -> DataFrame:
+    if vf is None:
+        return value_frequencies(df, cols, label=label)
+    return vf.where(F.col("column_name").isin(*cols))
+
+
+def categorical_stats(df: DataFrame, vf: DataFrame | None = None) -> DataFrame:
     """Distinct count, most frequent value (ties: smallest) and its count."""
     cols = categorical_columns(df)
-    vf = value_frequencies(df, cols, label=None)
+    vf = _vf_for(df, cols, vf)
     top = vf.groupBy("column_name").agg(
         F.count(F.lit(1)).alias("unique_values"),
         F.min(F.struct((-F.col("n")).alias("k"), F.col("value").alias("v"))).alias("b"))
@@ -276,12 +291,12 @@ def categorical_stats(df: DataFrame) -> DataFrame:
                     (-F.col("b.k")).cast("bigint").alias("frequency_most_frequent")))
 
 
-def top_categories(df: DataFrame, k: int = K.TOP_CATEGORIES) -> DataFrame:
+def top_categories(df: DataFrame, k: int = K.TOP_CATEGORIES, vf: DataFrame | None = None) -> DataFrame:
     """Top-``k`` values per categorical column by count (ties: value asc).
 
     ``row_number`` per column over the (column, value) table; Spark plans
     it with a per-partition group limit before the window's shuffle."""
-    vf = value_frequencies(df, categorical_columns(df), label=None)
+    vf = _vf_for(df, categorical_columns(df), vf)
     w = Window.partitionBy("column_name").orderBy(F.col("n").desc(), F.col("value").asc())
     return (vf.select("column_name", "value", F.col("n").cast("bigint").alias("count"),
                       F.row_number().over(w).alias("rank"))
@@ -320,11 +335,13 @@ def churn_feature_columns(df: DataFrame, label: str = K.LABEL) -> list[str]:
     return [c for c in df.columns if c in set(cat) | set(keep_num)]
 
 
-def churn_by_feature(df: DataFrame, cols: list[str] | None = None, label: str = K.LABEL) -> DataFrame:
+def churn_by_feature(df: DataFrame, cols: list[str] | None = None, label: str = K.LABEL,
+                     vf: DataFrame | None = None) -> DataFrame:
     """Mean churn and count per (feature, value), null values dropped —
-    every feature in one shuffle."""
+    every feature in one shuffle.  A shared ``vf`` must carry
+    ``label_sum``."""
     cols = cols if cols is not None else churn_feature_columns(df, label)
-    vf = value_frequencies(df, cols, label=label)
+    vf = _vf_for(df, cols, vf, label=label)
     return vf.select(F.col("column_name").alias("feature"), "value",
                      (F.col("label_sum") / F.col("n")).alias("churn_rate"),
                      F.col("n").cast("bigint").alias("count"))
@@ -357,3 +374,13 @@ def overview(df: DataFrame, label: str = K.LABEL) -> DataFrame:
                     F.sum("n_null").cast("bigint").alias("total_missing"),
                     F.count_if(F.col("n_null") > 0).cast("bigint").alias("n_columns_with_missing"))
     return base.crossJoin(df.agg(*lab))
+
+
+def shared_frequencies(df: DataFrame, label: str = K.LABEL) -> DataFrame:
+    """``value_frequencies`` of every column with the label sum, written
+    once to the shared checkpoint folder: the column profile, categorical
+    stats, top categories and churn-by-feature all read it instead of each
+    re-exploding the table."""
+    from ..session import work_dir
+    work_dir(df.sparkSession)
+    return value_frequencies(df, df.columns, label=label).checkpoint(eager=True)

@@ -57,10 +57,11 @@ def eda_column_profile(spark, sf):
     return P.column_profile(_subs(spark, sf))
 
 
-@query("eda_dtype_counts", "SELECT dtype, CAST(count(*) AS BIGINT) AS n_columns FROM (VALUES "
-       + ", ".join(f"({q(_DTYPE[c])})" for c in K.RAW_COLUMNS) + ") t(dtype) GROUP BY dtype")
+@query("eda_dtype_counts", SUB + "SELECT dtype, CAST(count(*) AS BIGINT) AS n_columns, CAST(sum(n) AS BIGINT) AS n_values "
+       "FROM (" + _union([f"SELECT {q(_DTYPE[c])} AS dtype, count({ident(c)}) AS n FROM subscribers" for c in K.RAW_COLUMNS])
+       + ") t GROUP BY dtype")
 def eda_dtype_counts(spark, sf):
-    return P.dtype_counts(_subs(spark, sf)).select("dtype", F.col("n_columns").cast("bigint"))
+    return P.dtype_counts(_subs(spark, sf))
 
 
 @query("eda_binary_columns", _PROFILE_SQL.replace("SELECT * FROM (", "SELECT column_name, position FROM (", 1)
