@@ -41,6 +41,7 @@ from pyspark.sql import functions as F
 ROWS_PER_BUCKET = 2_000_000
 MAX_BUCKETS = 65_536   # x 2M rows: groups up to ~1.3e11 rows stay at target size
 TREE_MAX_BOUNDS = 64   # above this, bucket lookup goes through Bucketizer
+MAX_PLANNED_GROUPS = 64  # above this many big groups: equal-width buckets
 _ACCURACY_PER_BUCKET = 20
 _MAX_ACCURACY = 2_000_000
 
@@ -63,13 +64,25 @@ def _group_match(keys: list[str], values: tuple) -> Column:
 
 
 def _plan_buckets(df: DataFrame, keys: list[str], lead: str, rows_per_bucket: int):
-    """Per-group literal bounds, or ``None`` if every group fits one bucket."""
-    cnt = (df.groupBy(*keys) if keys else df).agg(F.count(F.lit(1)).alias("_n")).collect()
-    need = {tuple(r[k] for k in keys): min(MAX_BUCKETS, math.ceil(r["_n"] / rows_per_bucket))
-            for r in cnt}
-    big = {g: nb for g, nb in need.items() if nb > 1}
+    """Bucket plan for the groups larger than one bucket, or ``None``.
+
+    Only groups above ``rows_per_bucket`` rows reach the driver, so the
+    collected list is bounded by ``total rows / rows_per_bucket`` whatever
+    the number of groups.  Up to ``MAX_PLANNED_GROUPS`` big groups get
+    balanced bounds from ``percentile_approx`` (``("pct", {group: bounds})``);
+    beyond that, equal-width buckets between each group's min and max are
+    assigned arithmetically through a broadcast join
+    (``("width", rows)``) — still exact, since buckets stay monotone in
+    the key."""
+    v = F.col(lead).cast("double")
+    cnt = ((df.groupBy(*keys) if keys else df)
+           .agg(F.count(F.lit(1)).alias("_n"), F.min(v).alias("_lo"), F.max(v).alias("_hi"))
+           .where(F.col("_n") > rows_per_bucket).collect())
+    big = {tuple(r[k] for k in keys): min(MAX_BUCKETS, math.ceil(r["_n"] / rows_per_bucket)) for r in cnt}
     if not big:
         return None
+    if len(big) > MAX_PLANNED_GROUPS:
+        return "width", [(*(r[k] for k in keys), r["_lo"], r["_hi"], big[tuple(r[k] for k in keys)]) for r in cnt]
     top = max(big.values())
     fracs = [j / top for j in range(1, top)]
     src = df
@@ -80,7 +93,7 @@ def _plan_buckets(df: DataFrame, keys: list[str], lead: str, rows_per_bucket: in
             cond = m if cond is None else cond | m
         src = df.where(cond)
     acc = min(_MAX_ACCURACY, _ACCURACY_PER_BUCKET * top)
-    pa = F.percentile_approx(F.col(lead).cast("double"), fracs, acc).alias("_b")
+    pa = F.percentile_approx(v, fracs, acc).alias("_b")
     rows = (src.groupBy(*keys) if keys else src).agg(pa).collect()
     plans = {}
     for r in rows:
@@ -88,7 +101,26 @@ def _plan_buckets(df: DataFrame, keys: list[str], lead: str, rows_per_bucket: in
         nb = big[g]
         picked = [r["_b"][round(j * top / nb) - 1] for j in range(1, nb)]
         plans[g] = sorted(set(float(x) for x in picked if x is not None))
-    return plans
+    return "pct", plans
+
+
+def _with_width_buckets(df: DataFrame, keys: list[str], lead: str, rows: list) -> DataFrame:
+    """Equal-width buckets per big group via a broadcast table of
+    (keys, lo, hi, buckets); rows of other groups get bucket 0."""
+    spark = df.sparkSession
+    kt = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    schema = ", ".join([f"`_k_{k}` {kt[k]}" for k in keys] + ["_wlo double", "_whi double", "_wnb int"])
+    wd = spark.createDataFrame(rows, schema)
+    cond = None
+    for k in keys:
+        c = F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+        cond = c if cond is None else cond & c
+    j = df.join(F.broadcast(wd), cond, "left")
+    v, lo, hi, nb = F.col(lead).cast("double"), F.col("_wlo"), F.col("_whi"), F.col("_wnb")
+    raw = F.floor((v - lo) / (hi - lo) * nb).cast("int")
+    bucket = (F.when(nb.isNull() | (hi == lo), F.lit(0))
+              .otherwise(F.least(F.greatest(raw, F.lit(0)), nb - 1)))
+    return j.withColumn("_bucket", bucket).drop(*[f"_k_{k}" for k in keys], "_wlo", "_whi", "_wnb")
 
 
 def _bucket_column(keys: list[str], lead: str, plans: dict) -> Column:
@@ -159,7 +191,11 @@ def ordered_prefix(
             *[F.coalesce(F.sum(m).over(prev), F.lit(0)).alias(f"{m}_before") for m in measures],
             *[F.sum(m).over(whole).alias(f"{m}_total") for m in measures])
 
-    b = _with_bucket(df, keys, order[0], plans)
+    kind, plan = plans
+    if kind == "width":
+        b = _with_width_buckets(df, keys, order[0], plan)
+    else:
+        b = _with_bucket(df, keys, order[0], plan)
     # per-bucket totals -> exclusive offsets; groups x buckets rows
     tot = b.groupBy(*keys, "_bucket").agg(*[F.sum(m).alias(f"_bt_{m}") for m in measures])
     bo = F.col("_bucket").desc() if descending else F.col("_bucket").asc()

@@ -41,3 +41,13 @@ def test_many_buckets_use_bucketizer_and_stay_exact(spark):
     got = {(r.g, r.k): r._rank for r in O.exact_ranks(df, ["g"], ["k"], rows_per_bucket=50).collect()}
     exp = {(r.g, r.k): r._rank for r in O.exact_ranks(df, ["g"], ["k"]).collect()}
     assert got == exp and len(got) == 20000
+
+
+def test_many_big_groups_use_width_buckets(spark, monkeypatch):
+    from ebbflow.operators import ordered as O
+    monkeypatch.setattr(O, "MAX_PLANNED_GROUPS", 2)
+    df = spark.range(6000).select((F.col("id") % 5).alias("g"), ((F.col("id") * 7919) % 6007).alias("k"))
+    got = {(r.g, r.k): r._rank for r in O.exact_ranks(df, ["g"], ["k"], rows_per_bucket=100).collect()}
+    monkeypatch.setattr(O, "MAX_PLANNED_GROUPS", 64)
+    exp = {(r.g, r.k): r._rank for r in O.exact_ranks(df, ["g"], ["k"]).collect()}
+    assert got == exp and len(got) == 6000
