@@ -168,7 +168,7 @@ def ordered_prefix(
     order: Sequence[str],
     measures: Sequence[str],
     descending: bool = False,
-    rows_per_bucket: int = ROWS_PER_BUCKET,
+    rows_per_bucket: int | None = None,
 ) -> DataFrame:
     """Add ``<m>_before`` (sum of ``m`` over rows strictly earlier in
     ``order`` within the same ``keys`` group) and ``<m>_total`` (group sum)
@@ -179,6 +179,7 @@ def ordered_prefix(
     arbitrarily, so callers pass one row per distinct key.
     """
     keys, order, measures = list(keys), list(order), list(measures)
+    rows_per_bucket = rows_per_bucket or ROWS_PER_BUCKET  # read at call time (tunable)
     ob = [F.col(o).desc() if descending else F.col(o).asc() for o in order]
     plans = _plan_buckets(df, keys, order[0], rows_per_bucket)
 
@@ -218,7 +219,7 @@ def ordered_prefix(
 
 
 def exact_ranks(df: DataFrame, keys: Sequence[str], order: Sequence[str],
-                rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+                rows_per_bucket: int | None = None) -> DataFrame:
     """``row_number()`` over ``partition by keys order by order`` (as
     ``_rank``, 1-based) plus ``_group_rows``, without a per-group single
     task.  ``order`` must be unique within a group."""
@@ -241,7 +242,7 @@ def exact_quantiles(
     value: str,
     qs: Sequence[float],
     names: Sequence[str] | None = None,
-    rows_per_bucket: int = ROWS_PER_BUCKET,
+    rows_per_bucket: int | None = None,
 ) -> DataFrame:
     """Linear-interpolated quantiles of ``value`` per ``keys`` group, nulls
     and NaN ignored (pandas ``quantile`` semantics), exact at any scale.

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import constants as K
-from .ordered import ROWS_PER_BUCKET, exact_ranks
+from .ordered import exact_ranks
 
 _P = 2147483647  # 2^31 - 1: every product below stays under 2^63
 _A1, _A2 = 48271, 69621
@@ -42,7 +42,7 @@ def _require_label(df: DataFrame, label: str) -> None:
 
 def stratified_split(df: DataFrame, label: str = K.LABEL, test_size: float = K.TEST_SIZE,
                      seed: int = K.SEED, key: str = "row_id",
-                     rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+                     rows_per_bucket: int | None = None) -> DataFrame:
     """Add ``split`` ('train'/'test'): per class exactly
     ``round(n_class * test_size)`` rows go to test."""
     _require_label(df, label)
@@ -62,7 +62,7 @@ def split_summary(split: DataFrame, label: str = K.LABEL) -> DataFrame:
 
 def kfold_assign(df: DataFrame, label: str = K.LABEL, n_folds: int = K.N_FOLDS,
                  seed: int = K.SEED, key: str = "row_id",
-                 rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+                 rows_per_bucket: int | None = None) -> DataFrame:
     """Add ``fold`` (1..k): stratified, shuffled; fold sizes differ by at
     most one overall.  Class ``c`` starts where the classes below it end,
     so the striping balances the totals."""
