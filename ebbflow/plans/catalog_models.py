@@ -115,9 +115,10 @@ def evaluate_holdout(spark, sf):
     training rows, evaluate the hold-out at that threshold."""
     d, st = prepared(spark, sf)
     m = ML.fit_model(d.where(F.col("split") == "train"), st.feature_names, "random_forest", **FAST["random_forest"])
-    tr = ML.score(m, d.where(F.col("split") == "train")).cache()
-    thr = M.optimal_threshold(tr, "f1").collect()[0]["threshold"]
-    te = ML.score(m, d.where(F.col("split") == "test")).cache()
+    tr = ML.score(m, d.where(F.col("split") == "train"))
+    thr = M.optimal_threshold(tr, "f1").collect()[0]["threshold"]  # one pass: the sweep
+    # the hold-out scores feed several passes: score once, reliable checkpoint
+    te = ML.score(m, d.where(F.col("split") == "test")).checkpoint(eager=True)
     return M.evaluate_model(te, thr)
 
 
@@ -143,7 +144,7 @@ def hyperparameter_grid(spark, sf):
     tw = ML.with_weights(d, "logistic").withColumn("fold0", (F.col("fold") - 1).cast("int"))
     from pyspark.ml import Pipeline
     from pyspark.ml.feature import StandardScaler, VectorAssembler
-    lr = ML.estimator("logistic", 1, max_iter=50)
+    lr = ML.estimator("logistic", 1, max_iter=30)
     pipe = Pipeline(stages=[VectorAssembler(inputCols=st.feature_names, outputCol="raw_features"),
                             StandardScaler(inputCol="raw_features", outputCol="features", withMean=True),
                             lr])

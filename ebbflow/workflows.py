@@ -86,9 +86,11 @@ def evaluate_job(spark: SparkSession, root: str, model_path: str, target_metric:
     it, append the tidy metrics as a new ``metrics`` version."""
     model = ML.load_model(model_path)
     sp = V.read_version(spark, root, "splits")
-    tr = ML.score(model, sp.where(F.col("split") == "train")).cache()
-    te = ML.score(model, sp.where(F.col("split") == "test")).cache()
-    thr = M.optimal_threshold(tr, target_metric).collect()[0]["threshold"]
+    from .session import work_dir
+    work_dir(spark)
+    tr = ML.score(model, sp.where(F.col("split") == "train"))
+    thr = M.optimal_threshold(tr, target_metric).collect()[0]["threshold"]  # one pass: the sweep
+    te = ML.score(model, sp.where(F.col("split") == "test")).checkpoint(eager=True)
     ev = M.evaluate_model(te, thr)
     names = [c for c in ev.columns]
     tidy = ev.select(F.explode(F.array(*[F.struct(F.lit(n).alias("metric"), F.col(n).cast("double").alias("value"))
