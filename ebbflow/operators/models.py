@@ -99,27 +99,32 @@ def feature_importance(model: PipelineModel, feature_names: list[str]) -> DataFr
 
 def kfold_train(folded: DataFrame, feature_names: list[str], kind: str = "logistic",
                 n_folds: int = K.N_FOLDS, label: str = K.LABEL, fold_col: str = "fold",
-                **params) -> DataFrame:
+                best_model_path: str | None = None, **params) -> DataFrame:
     """Per fold: fit on the other folds, score the held-out one, ROC/PR-AUC
-    and size.  Plus ``mean`` and population ``std`` rows.  Only metrics are
-    kept (no per-fold model list); the caller checkpoints ``folded`` so
-    every fold re-reads it instead of recomputing its lineage."""
-    parts = []
+    and size; ``is_best`` marks the first fold with the highest ROC-AUC,
+    whose model is saved to ``best_model_path`` when given (only that one
+    model is kept, never a list of them).  Plus ``mean`` and population
+    ``std`` rows.  The caller checkpoints ``folded`` so every fold re-reads
+    it instead of recomputing its lineage."""
+    rows, best, best_auc = [], None, None
     for k in range(1, n_folds + 1):
         m = fit_model(folded.where(F.col(fold_col) != k), feature_names, kind, label, **params)
         s = score(m, folded.where(F.col(fold_col) == k), label=label)
-        r = ranking_auc(s).select(F.lit(str(k)).alias("fold"), "roc_auc", "pr_auc", F.col("n").cast("bigint"))
-        parts.append(r.cache())
-        parts[-1].count()  # materialise the fold's metrics before the next fit
-    per = parts[0]
-    for p_ in parts[1:]:
-        per = per.unionByName(p_)
+        r = ranking_auc(s).collect()[0]  # one row of metrics per fold
+        rows.append((str(k), r["roc_auc"], r["pr_auc"], int(r["n"])))
+        if r["roc_auc"] is not None and (best_auc is None or r["roc_auc"] > best_auc):
+            best, best_auc = k, r["roc_auc"]
+            if best_model_path:
+                m.write().overwrite().save(best_model_path)
+    spark = folded.sparkSession
+    per = spark.createDataFrame([(f, a, p_, n, f == str(best)) for f, a, p_, n in rows],
+                                "fold string, roc_auc double, pr_auc double, n bigint, is_best boolean")
     summ = per.agg(F.avg("roc_auc").alias("a"), F.stddev_pop("roc_auc").alias("b"),
                    F.avg("pr_auc").alias("c"), F.stddev_pop("pr_auc").alias("d"), F.sum("n").alias("n"))
     mean = summ.select(F.lit("mean").alias("fold"), F.col("a").alias("roc_auc"), F.col("c").alias("pr_auc"),
-                       F.col("n").cast("bigint").alias("n"))
+                       F.col("n").cast("bigint").alias("n"), F.lit(None).cast("boolean").alias("is_best"))
     std = summ.select(F.lit("std").alias("fold"), F.col("b").alias("roc_auc"), F.col("d").alias("pr_auc"),
-                      F.lit(None).cast("bigint").alias("n"))
+                      F.lit(None).cast("bigint").alias("n"), F.lit(None).cast("boolean").alias("is_best"))
     return per.unionByName(mean).unionByName(std)
 
 

@@ -125,7 +125,8 @@ def evaluate_holdout(spark, sf):
 @query("kfold_train")
 def kfold_train(spark, sf):
     d, st = prepared(spark, sf, folds=True)
-    return ML.kfold_train(d, st.feature_names, "logistic", n_folds=K.N_FOLDS, **FAST["logistic"])
+    return ML.kfold_train(d, st.feature_names, "logistic", n_folds=K.N_FOLDS,
+                          best_model_path=scratch_path(spark, "kfold-best"), **FAST["logistic"])
 
 
 @query("platt_calibration")

@@ -101,10 +101,13 @@ def evaluate_job(spark: SparkSession, root: str, model_path: str, target_metric:
 
 def kfold_job(spark: SparkSession, root: str, model_type: str = "random_forest", n_folds: int = K.N_FOLDS,
               **params) -> DataFrame:
+    from .session import work_dir
+    work_dir(spark)
     st = load_state(spark, root)
     d = V.read_version(spark, root, "processed")
     folded = S.kfold_assign(d, n_folds=n_folds).checkpoint(eager=True)
-    res = ML.kfold_train(folded, st.feature_names, model_type, n_folds=n_folds, **params)
+    best = f"{root.rstrip('/')}/models/{V.new_version('kfold_best')}"
+    res = ML.kfold_train(folded, st.feature_names, model_type, n_folds=n_folds, best_model_path=best, **params)
     V.write_version(res, root, "kfold")
     return res
 

@@ -102,3 +102,21 @@ def test_workflow_end_to_end(spark, raw):
     scores = W.score_job(raw, mp)
     assert scores.count() == raw.count()
     assert W.metric_trend(spark, root).count() == len(ev)
+
+
+def test_kfold_marks_one_best_and_saves_it(spark, raw):
+    st = FE.fit_features(raw)
+    folded = S.kfold_assign(FE.transform_features(raw, st), n_folds=3)
+    path = scratch_path(spark, "t-best")
+    res = ML.kfold_train(folded, st.feature_names, "logistic", n_folds=3, best_model_path=path, max_iter=20)
+    rows = {r.fold: r for r in res.collect()}
+    assert set(rows) == {"1", "2", "3", "mean", "std"}
+    assert sum(1 for f in "123" if rows[f].is_best) == 1
+    assert rows["mean"].n == raw.count()
+    assert ML.load_model(path) is not None
+
+
+def test_confusion_cells_sum_to_n(spark, sf):
+    sc = fx.scored(spark, sf)
+    r = M.confusion(sc).collect()[0]
+    assert r.tn + r.fp + r.fn + r.tp == sc.count()
