@@ -46,7 +46,7 @@ def estimator(kind: str, n_train: int, label: str = K.LABEL, seed: int = K.SEED,
         # sklearn C=1 with balanced weights (sum = n) is regParam = 1 / n
         return LogisticRegression(**common, regParam=params.get("reg", 1.0 / max(n_train, 1)),
                                   elasticNetParam=0.0, standardization=False,
-                                  maxIter=params.get("max_iter", 1000), tol=params.get("tol", 1e-6))
+                                  maxIter=params.get("max_iter", 1000), tol=params.get("tol", 1e-4))
     if kind == "random_forest":
         return RandomForestClassifier(**common, numTrees=params.get("trees", 100),
                                       maxDepth=params.get("depth", 10), featureSubsetStrategy="sqrt",
