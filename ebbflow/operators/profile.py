@@ -384,3 +384,38 @@ def shared_frequencies(df: DataFrame, label: str = K.LABEL) -> DataFrame:
     from ..session import work_dir
     work_dir(df.sparkSession)
     return value_frequencies(df, df.columns, label=label).checkpoint(eager=True)
+
+
+SUMMARY_NUMERIC_METRICS = ["count", "mean", "std", "min", "q25", "q50", "q75", "max", "skewness", "kurtosis"]
+
+
+def summary_long(raw: DataFrame, label: str = K.LABEL) -> DataFrame:
+    """Every EDA block flattened to (section, column_name, metric, value,
+    text) rows: numeric stats, missing values, categorical stats, churn by
+    feature and the overall churn rate.  One shared frequency table, one
+    ``explode`` per block, one ``unionByName``."""
+    vf = shared_frequencies(raw, label)
+    d = lambda c: F.round(F.col(c).cast("double"), 9)
+    none = F.lit(None).cast("string")
+
+    def melt(df, section, name_col, metrics, text=None):
+        """One explode per block: each source table is scanned once."""
+        items = [F.struct(F.lit(m).alias("metric"), d(m).alias("value"),
+                          (text[m] if text and m in text else none).alias("text")) for m in metrics]
+        return df.select(F.lit(section).alias("section"), name_col.alias("column_name"),
+                         F.explode(F.array(*items)).alias("s")).select("section", "column_name", "s.*")
+
+    parts = [melt(numeric_stats(raw), "numeric", F.col("column_name"), SUMMARY_NUMERIC_METRICS),
+             melt(missing_values(raw), "missing", F.col("column_name"), ["n_missing", "pct_missing"]),
+             melt(categorical_stats(raw, vf).withColumnRenamed("frequency_most_frequent", "most_frequent_n"),
+                  "categorical", F.col("column_name"), ["unique_values", "most_frequent_n"],
+                  {"most_frequent_n": F.col("most_frequent")}),
+             melt(churn_by_feature(raw, label=label, vf=vf), "churn", F.col("feature"), ["churn_rate", "count"],
+                  {"churn_rate": F.col("value"), "count": F.col("value")}),
+             melt(churn_summary(raw, label), "churn", none, ["churn_rate"])]
+    out = parts[0]
+    for p_ in parts[1:]:
+        out = out.unionByName(p_)
+    out = out.withColumn("metric", F.when(F.col("metric") == "most_frequent_n", "most_frequent")
+                         .otherwise(F.col("metric")))
+    return out

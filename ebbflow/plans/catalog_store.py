@@ -122,29 +122,4 @@ def _summary_sql() -> str | None:
 def eda_summary_long(spark, sf):
     """Every EDA block flattened to (section, column_name, metric, value,
     text) rows, one ``unionByName`` of the tidy tables."""
-    raw = fx.subscribers(spark, sf)
-    vf = P.shared_frequencies(raw)
-    d = lambda c: F.round(F.col(c).cast("double"), 9)
-    none = F.lit(None).cast("string")
-
-    def melt(df, section, name_col, metrics, text=None):
-        """One explode per block: each source table is scanned once."""
-        items = [F.struct(F.lit(m).alias("metric"), d(m).alias("value"),
-                          (text[m] if text and m in text else none).alias("text")) for m in metrics]
-        return df.select(F.lit(section).alias("section"), name_col.alias("column_name"),
-                         F.explode(F.array(*items)).alias("s")).select("section", "column_name", "s.*")
-
-    parts = [melt(P.numeric_stats(raw), "numeric", F.col("column_name"), _NUM_METRICS),
-             melt(P.missing_values(raw), "missing", F.col("column_name"), ["n_missing", "pct_missing"]),
-             melt(P.categorical_stats(raw, vf).withColumnRenamed("frequency_most_frequent", "most_frequent_n"),
-                  "categorical", F.col("column_name"), ["unique_values", "most_frequent_n"],
-                  {"most_frequent_n": F.col("most_frequent")}),
-             melt(P.churn_by_feature(raw, vf=vf), "churn", F.col("feature"), ["churn_rate", "count"],
-                  {"churn_rate": F.col("value"), "count": F.col("value")}),
-             melt(P.churn_summary(raw), "churn", none, ["churn_rate"])]
-    out = parts[0]
-    for p_ in parts[1:]:
-        out = out.unionByName(p_)
-    out = out.withColumn("metric", F.when(F.col("metric") == "most_frequent_n", "most_frequent")
-                         .otherwise(F.col("metric")))
-    return out
+    return P.summary_long(fx.subscribers(spark, sf))

@@ -43,6 +43,11 @@ def profile_job(raw: DataFrame, out: str) -> dict[str, str]:
     for name, df in blocks.items():
         paths[name] = f"{out.rstrip('/')}/{name}"
         df.write.mode("overwrite").parquet(paths[name])
+    summary = P.summary_long(raw)
+    paths["summary_csv"] = f"{out.rstrip('/')}/summary_csv"
+    paths["summary_json"] = f"{out.rstrip('/')}/summary_json"
+    summary.write.mode("overwrite").option("header", True).csv(paths["summary_csv"])
+    summary.write.mode("overwrite").json(paths["summary_json"])
     return paths
 
 

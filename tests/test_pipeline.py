@@ -120,3 +120,11 @@ def test_confusion_cells_sum_to_n(spark, sf):
     sc = fx.scored(spark, sf)
     r = M.confusion(sc).collect()[0]
     assert r.tn + r.fp + r.fn + r.tp == sc.count()
+
+
+def test_profile_job_writes_every_block(spark, raw):
+    from ebbflow import workflows as W
+    out = scratch_path(spark, "t-profile")
+    paths = W.profile_job(raw.drop("row_id"), out)
+    assert spark.read.parquet(paths["overview"]).collect()[0].n_rows == raw.count()
+    assert spark.read.option("header", True).csv(paths["summary_csv"]).count() > 0
