@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 
 from . import constants as K
 
-# characters Python's str.strip() removes from ASCII text
-_WS = "[ \\t\\n\\r\\f\\x0B]"
+# characters Python's str.strip() removes: ASCII whitespace, the
+# separators \x1c-\x1f, NEL and every Unicode space separator (\p{Z})
+_WS = "[\\s\\x0B\\x1c-\\x1f\\x85\\p{Z}]"
 STRIP_PATTERN = f"^{_WS}+|{_WS}+$"
 
 

@@ -104,3 +104,11 @@ def test_histogram_last_bin_closed(spark):
     h = {r.bin: r["count"] for r in P.histogram(df, ["x"], 30).collect()}
     assert sum(h.values()) == 31 and h[29] == 2
     assert math.isclose(sum(1 for _ in h), 30)
+
+
+def test_strip_matches_python_whitespace(spark):
+    vals = [" electronic check ", "\x1cMAILED CHECK\x1f", "\x0bcredit card (automatic)\x85"]
+    df = spark.createDataFrame([(v,) for v in vals], "payment_method string")
+    got = [r[0] for r in FE.clean_payment_method(df).collect()]
+    assert got == ["electronic_check", "mailed_check", "credit_card"]
+    assert [v.lower().strip() for v in vals] == ["electronic check", "mailed check", "credit card (automatic)"]
