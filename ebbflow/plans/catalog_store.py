@@ -123,3 +123,14 @@ def eda_summary_long(spark, sf):
     """Every EDA block flattened to (section, column_name, metric, value,
     text) rows, one ``unionByName`` of the tidy tables."""
     return P.summary_long(fx.subscribers(spark, sf))
+
+
+@query("pipeline_status")
+def pipeline_status(spark, sf):
+    """Process and split jobs write their versions; the status is the
+    newest record per kind (the service's status report as a table)."""
+    from .. import workflows as W
+    root = _root(spark)
+    W.process_job(fx.subscribers(spark, sf, keyed=True), root)
+    W.split_job(spark, root)
+    return W.pipeline_status(spark, root).drop("latest_version", "created_at", "path")

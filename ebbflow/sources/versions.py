@@ -61,6 +61,30 @@ def write_version(df: DataFrame, root: str, kind: str, version: str | None = Non
     return rec
 
 
+def record_version(spark: SparkSession, root: str, kind: str, version: str, path: str,
+                   n_rows: int = 0, columns: list[str] | None = None, fingerprint: str = "") -> dict:
+    """Append a record for an artefact written elsewhere (e.g. a saved
+    model directory)."""
+    rec = {"kind": kind, "version": version,
+           "created_at": _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None),
+           "fingerprint": fingerprint, "n_rows": int(n_rows), "n_columns": len(columns or []),
+           "columns": ",".join(columns or []), "path": path}
+    spark.createDataFrame([rec], RECORD_SCHEMA).write.mode("append").parquet(f"{root.rstrip('/')}/{VERSIONS}")
+    return rec
+
+
+def status(spark: SparkSession, root: str) -> DataFrame:
+    """Newest version per kind with its time, shape and path (one small
+    aggregate over the version records)."""
+    newest = F.max_by(F.struct("version", "created_at", "n_rows", "n_columns", "path"),
+                      F.struct("created_at", "version"))
+    return (list_versions(spark, root).groupBy("kind")
+            .agg(F.count(F.lit(1)).alias("n_versions"), newest.alias("s"))
+            .select("kind", "n_versions", F.col("s.version").alias("latest_version"),
+                    F.col("s.created_at").alias("created_at"), F.col("s.n_rows").alias("n_rows"),
+                    F.col("s.n_columns").alias("n_columns"), F.col("s.path").alias("path")))
+
+
 def list_versions(spark: SparkSession, root: str, kind: str | None = None) -> DataFrame:
     try:
         v = spark.read.schema(RECORD_SCHEMA).parquet(f"{root.rstrip('/')}/{VERSIONS}")

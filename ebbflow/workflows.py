@@ -80,9 +80,11 @@ def train_job(spark: SparkSession, root: str, model_type: str = "random_forest",
     st = load_state(spark, root)
     train = V.read_version(spark, root, "splits").where(F.col("split") == "train")
     model = ML.fit_model(train, st.feature_names, model_type, **params)
-    path = f"{root.rstrip('/')}/models/{V.new_version(model_type)}"
+    version = V.new_version(model_type)
+    path = f"{root.rstrip('/')}/models/{version}"
     model.write().save(path)
     _write_json(spark, f"{path}/_state", FE.state_to_json(st))
+    V.record_version(spark, root, "models", version, path, columns=st.feature_names)
     return path
 
 
@@ -132,5 +134,10 @@ def metric_trend(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.parquet(f"{root.rstrip('/')}/metrics").join(F.broadcast(recs), "version")
 
 
+def pipeline_status(spark: SparkSession, root: str) -> DataFrame:
+    """Latest processed table, split, model, metrics and k-fold versions."""
+    return V.status(spark, root)
+
+
 def describe(rec: dict) -> str:
     return json.dumps({k: (str(v) if k == "created_at" else v) for k, v in rec.items()})

@@ -102,6 +102,8 @@ def test_workflow_end_to_end(spark, raw):
     scores = W.score_job(raw, mp)
     assert scores.count() == raw.count()
     assert W.metric_trend(spark, root).count() == len(ev)
+    kinds = {r.kind for r in W.pipeline_status(spark, root).collect()}
+    assert kinds == {"processed", "splits", "models", "metrics"}
 
 
 def test_kfold_marks_one_best_and_saves_it(spark, raw):
