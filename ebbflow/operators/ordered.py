@@ -120,7 +120,8 @@ def _with_width_buckets(df: DataFrame, keys: list[str], lead: str, rows: list) -
     raw = F.floor((v - lo) / (hi - lo) * nb).cast("int")
     bucket = (F.when(nb.isNull() | (hi == lo), F.lit(0))
               .otherwise(F.least(F.greatest(raw, F.lit(0)), nb - 1)))
-    return j.withColumn("_bucket", bucket).drop(*[f"_k_{k}" for k in keys], "_wlo", "_whi", "_wnb")
+    return (j.withColumn("_bucket", bucket).withColumn("_big", nb.isNotNull())
+            .drop(*[f"_k_{k}" for k in keys], "_wlo", "_whi", "_wnb"))
 
 
 def _bucket_column(keys: list[str], lead: str, plans: dict) -> Column:
@@ -136,10 +137,19 @@ def _bucket_column(keys: list[str], lead: str, plans: dict) -> Column:
     return expr.otherwise(F.lit(0))
 
 
+def _any_group(keys: list[str], plans: dict) -> Column:
+    cond = None
+    for g in plans:
+        m = _group_match(keys, g)
+        cond = m if cond is None else cond | m
+    return cond
+
+
 def _with_bucket(df: DataFrame, keys: list[str], lead: str, plans: dict) -> DataFrame:
     """Add ``_bucket``: index of the range bucket of ``lead`` in its group."""
+    big = F.lit(True) if not keys else _any_group(keys, plans)
     if max(len(b) for b in plans.values()) <= TREE_MAX_BOUNDS:
-        return df.withColumn("_bucket", _bucket_column(keys, lead, plans))
+        return df.withColumn("_bucket", _bucket_column(keys, lead, plans)).withColumn("_big", big)
     from pyspark.ml.feature import Bucketizer
     v = F.col(lead).cast("double")
     ins, outs, splits, picks = [], [], [], []
@@ -159,7 +169,7 @@ def _with_bucket(df: DataFrame, keys: list[str], lead: str, plans: dict) -> Data
     expr = None
     for m, val in picks:
         expr = F.when(m, val) if expr is None else expr.when(m, val)
-    return d.withColumn("_bucket", expr.otherwise(F.lit(0))).drop(*ins, *outs)
+    return d.withColumn("_bucket", expr.otherwise(F.lit(0))).drop(*ins, *outs).withColumn("_big", big)
 
 
 def ordered_prefix(
@@ -197,25 +207,33 @@ def ordered_prefix(
         b = _with_width_buckets(df, keys, order[0], plan)
     else:
         b = _with_bucket(df, keys, order[0], plan)
-    # per-bucket totals -> exclusive offsets; groups x buckets rows
-    tot = b.groupBy(*keys, "_bucket").agg(*[F.sum(m).alias(f"_bt_{m}") for m in measures])
+    # Offsets exist for the big groups only (big groups x buckets rows: a
+    # bound the planner proved), so the broadcast never grows with the
+    # number of small groups; a small group is its own single bucket.
+    tot = b.where(F.col("_big")).groupBy(*keys, "_bucket").agg(*[F.sum(m).alias(f"_bt_{m}") for m in measures])
     bo = F.col("_bucket").desc() if descending else F.col("_bucket").asc()
     wk = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
     wprev = wk.orderBy(bo).rowsBetween(Window.unboundedPreceding, -1)
     wall = wk.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     offs = tot.select(
-        *keys, "_bucket",
+        *[F.col(k).alias(f"_ok_{k}") for k in keys], F.col("_bucket").alias("_ob"),
         *[F.coalesce(F.sum(f"_bt_{m}").over(wprev), F.lit(0)).alias(f"_off_{m}") for m in measures],
-        *[F.sum(f"_bt_{m}").over(wall).alias(f"{m}_total") for m in measures])
-    b = b.join(F.broadcast(offs), [*keys, "_bucket"])
+        *[F.sum(f"_bt_{m}").over(wall).alias(f"_gt_{m}") for m in measures])
+    cond = F.col("_bucket") == F.col("_ob")
+    for k in keys:
+        cond = cond & F.col(k).eqNullSafe(F.col(f"_ok_{k}"))
+    b = b.join(F.broadcast(offs), cond, "left")
 
-    win = (Window.partitionBy(*keys, "_bucket").orderBy(*ob)
-           .rowsBetween(Window.unboundedPreceding, -1))
+    part = Window.partitionBy(*keys, "_bucket")
+    win = part.orderBy(*ob).rowsBetween(Window.unboundedPreceding, -1)
+    whole = part.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     out = b.select(
         "*",
-        *[(F.col(f"_off_{m}") + F.coalesce(F.sum(m).over(win), F.lit(0))).alias(f"{m}_before")
-          for m in measures])
-    return out.drop("_bucket", *[f"_off_{m}" for m in measures])
+        *[(F.coalesce(F.col(f"_off_{m}"), F.lit(0)) + F.coalesce(F.sum(m).over(win), F.lit(0))).alias(f"{m}_before")
+          for m in measures],
+        *[F.coalesce(F.col(f"_gt_{m}"), F.sum(m).over(whole)).alias(f"{m}_total") for m in measures])
+    return out.drop("_bucket", "_big", "_ob", *[f"_ok_{k}" for k in keys],
+                    *[f"_off_{m}" for m in measures], *[f"_gt_{m}" for m in measures])
 
 
 def exact_ranks(df: DataFrame, keys: Sequence[str], order: Sequence[str],

@@ -51,3 +51,13 @@ def test_many_big_groups_use_width_buckets(spark, monkeypatch):
     monkeypatch.setattr(O, "MAX_PLANNED_GROUPS", 64)
     exp = {(r.g, r.k): r._rank for r in O.exact_ranks(df, ["g"], ["k"]).collect()}
     assert got == exp and len(got) == 6000
+
+
+def test_mixed_big_and_small_groups(spark):
+    from ebbflow.operators import ordered as O
+    big = spark.range(3000).select(F.lit(0).alias("g"), ((F.col("id") * 7919) % 3001).alias("k"))
+    small = spark.range(400).select((F.col("id") % 40 + 1).alias("g"), F.col("id").alias("k"))
+    df = big.unionByName(small)
+    got = {(r.g, r.k): (r._rank, r._group_rows) for r in O.exact_ranks(df, ["g"], ["k"], rows_per_bucket=100).collect()}
+    exp = {(r.g, r.k): (r._rank, r._group_rows) for r in O.exact_ranks(df, ["g"], ["k"]).collect()}
+    assert got == exp and len(got) == 3400
