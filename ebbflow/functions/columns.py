@@ -140,4 +140,4 @@ def sample_kurtosis(col: Column) -> Column:
 
 def safe_div(a: Column, b: Column, zero=0.0) -> Column:
     """Division where an empty denominator gives ``zero`` (never raises)."""
-    return F.when(b == 0, F.lit(zero)).otherwise(a / b)
+    return F.when(b == 0, F.lit(zero)).otherwise(F.try_divide(a, b))

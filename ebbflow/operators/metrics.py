@@ -76,9 +76,10 @@ def _auc_terms(pre: DataFrame) -> DataFrame:
     # ROC: each positive beats the negatives below it, ties count half
     roc = F.col("pos") * (N - fp + 0.5 * F.col("neg"))
     # PR: trapezoid from the previous point; anchor (recall 0, precision 1)
-    r1, r0 = tp / P, tp0 / P
-    p1 = tp / (tp + fp)
-    p0 = F.when(tp0 + fp0 == 0, F.lit(1.0)).otherwise(tp0 / (tp0 + fp0))
+    # try_divide: a class may be absent (P = 0); ANSI mode must not raise
+    r1, r0 = F.try_divide(tp, P), F.try_divide(tp0, P)
+    p1 = F.try_divide(tp, tp + fp)
+    p0 = F.when(tp0 + fp0 == 0, F.lit(1.0)).otherwise(F.try_divide(tp0, tp0 + fp0))
     pr = (r1 - r0) * (p1 + p0) / 2
     return pre.select("*", roc.alias("_roc"), pr.alias("_pr"))
 
@@ -93,7 +94,7 @@ def ranking_auc(scored: DataFrame, keys: tuple[str, ...] = (), y: str = "y",
                 F.max("pos_total").alias("n_pos"), F.max("neg_total").alias("n_neg"))
     ok = (F.col("n_pos") > 0) & (F.col("n_neg") > 0)
     return out.select(*keys,
-                      F.when(ok, F.col("_roc") / (F.col("n_pos") * F.col("n_neg"))).alias("roc_auc"),
+                      F.when(ok, F.try_divide(F.col("_roc"), F.col("n_pos") * F.col("n_neg"))).alias("roc_auc"),
                       F.when(F.col("n_pos") > 0, F.col("_pr")).alias("pr_auc"),
                       (F.col("n_pos") + F.col("n_neg")).alias("n"))
 

@@ -25,7 +25,7 @@ FUZZY_MAX_DISTANCE = 2
 def _bin_index(v: Column, lo: Column, hi: Column, bins: int) -> Column:
     """Equal-width bin of the baseline range; outside values go to the end bins."""
     w = (hi - lo) / bins
-    raw = F.floor((v - lo) / w).cast("int")
+    raw = F.floor(F.try_divide(v - lo, w)).cast("int")
     return F.when(hi == lo, F.lit(0)).otherwise(F.least(F.greatest(raw, F.lit(0)), F.lit(bins - 1)))
 
 
@@ -43,8 +43,8 @@ def psi(baseline: DataFrame, current: DataFrame, cols: list[str], bins: int = PS
            .agg(F.count_if(F.col("side") == "b").alias("nb"), F.count_if(F.col("side") == "c").alias("nc")))
     tot = cnt.groupBy("column_name").agg(F.sum("nb").alias("tb"), F.sum("nc").alias("tc"))
     s = cnt.join(F.broadcast(tot), "column_name").select(
-        "column_name", F.greatest(F.col("nb") / F.col("tb"), F.lit(PSI_EPS)).alias("pb"),
-        F.greatest(F.col("nc") / F.col("tc"), F.lit(PSI_EPS)).alias("pc"))
+        "column_name", F.greatest(F.coalesce(F.try_divide(F.col("nb"), F.col("tb")), F.lit(0.0)), F.lit(PSI_EPS)).alias("pb"),
+        F.greatest(F.coalesce(F.try_divide(F.col("nc"), F.col("tc")), F.lit(0.0)), F.lit(PSI_EPS)).alias("pc"))
     out = s.groupBy("column_name").agg(F.sum((F.col("pc") - F.col("pb")) * F.log(F.col("pc") / F.col("pb"))).alias("psi"))
     return out.select("column_name", "psi", (F.col("psi") > PSI_ALERT).alias("alert"))
 

@@ -134,7 +134,7 @@ def missing_values(df: DataFrame, vf: DataFrame | None = None) -> DataFrame:
     counts only: one aggregate)."""
     p = null_counts(df)
     return (p.select("column_name", "position", F.col("n_null").alias("n_missing"),
-                     (F.col("n_null") * 100.0 / F.col("n_rows")).alias("pct_missing"),
+                     F.try_divide(F.col("n_null") * 100.0, F.col("n_rows")).alias("pct_missing"),
                      F.sum("n_null").over(Window.partitionBy(F.lit(0))).alias("total_missing"))
             .where(F.col("n_missing") > 0))
 

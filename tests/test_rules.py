@@ -112,3 +112,11 @@ def test_strip_matches_python_whitespace(spark):
     got = [r[0] for r in FE.clean_payment_method(df).collect()]
     assert got == ["electronic_check", "mailed_check", "credit_card"]
     assert [v.lower().strip() for v in vals] == ["electronic check", "mailed check", "credit card (automatic)"]
+
+
+def test_metrics_with_one_class_do_not_raise(spark):
+    df = spark.createDataFrame([(1, 0, 0.3), (2, 0, 0.6)], "row_id long, y int, p double")
+    r = M.ranking_auc(df).collect()[0]
+    assert r.roc_auc is None and r.pr_auc is None
+    assert M.evaluate_model(df).collect()[0].accuracy == 0.5
+    assert M.pr_curve_points(df).count() == 3
