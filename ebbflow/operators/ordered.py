@@ -64,11 +64,13 @@ def _group_match(keys: list[str], values: tuple) -> Column:
 
 
 def _plan_buckets(df: DataFrame, keys: list[str], lead: str, rows_per_bucket: int):
-    """Bucket plan for the groups larger than one bucket, or ``None``.
+    """Bucket counts of the groups larger than one bucket (and their
+    min/max), or ``None`` when every group fits one bucket.
 
     Only groups above ``rows_per_bucket`` rows reach the driver, so the
     collected list is bounded by ``total rows / rows_per_bucket`` whatever
-    the number of groups.  Up to ``MAX_PLANNED_GROUPS`` big groups get
+    the number of groups.  ``_plan_bounds`` then picks the bounds: up to
+    ``MAX_PLANNED_GROUPS`` big groups get
     balanced bounds from ``percentile_approx`` (``("pct", {group: bounds})``);
     beyond that, equal-width buckets between each group's min and max are
     assigned arithmetically through a broadcast join
@@ -81,6 +83,11 @@ def _plan_buckets(df: DataFrame, keys: list[str], lead: str, rows_per_bucket: in
     big = {tuple(r[k] for k in keys): min(MAX_BUCKETS, math.ceil(r["_n"] / rows_per_bucket)) for r in cnt}
     if not big:
         return None
+    return big, cnt
+
+
+def _plan_bounds(df: DataFrame, keys: list[str], lead: str, big: dict, cnt: list):
+    v = F.col(lead).cast("double")
     if len(big) > MAX_PLANNED_GROUPS:
         return "width", [(*(r[k] for k in keys), r["_lo"], r["_hi"], big[tuple(r[k] for k in keys)]) for r in cnt]
     top = max(big.values())
@@ -191,9 +198,9 @@ def ordered_prefix(
     keys, order, measures = list(keys), list(order), list(measures)
     rows_per_bucket = rows_per_bucket or ROWS_PER_BUCKET  # read at call time (tunable)
     ob = [F.col(o).desc() if descending else F.col(o).asc() for o in order]
-    plans = _plan_buckets(df, keys, order[0], rows_per_bucket)
+    sizes = _plan_buckets(df, keys, order[0], rows_per_bucket)
 
-    if plans is None:
+    if sizes is None:
         part = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
         prev = part.orderBy(*ob).rowsBetween(Window.unboundedPreceding, -1)
         whole = part.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
@@ -202,7 +209,13 @@ def ordered_prefix(
             *[F.coalesce(F.sum(m).over(prev), F.lit(0)).alias(f"{m}_before") for m in measures],
             *[F.sum(m).over(whole).alias(f"{m}_total") for m in measures])
 
-    kind, plan = plans
+    # Large input: the bounds pass and the main pass would each recompute
+    # the upstream plan (often an aggregate or a model's scores) — cut the
+    # lineage once with a reliable checkpoint in the shared folder.
+    from ..session import work_dir
+    work_dir(df.sparkSession)
+    df = df.checkpoint(eager=True)
+    kind, plan = _plan_bounds(df, keys, order[0], *sizes)
     if kind == "width":
         b = _with_width_buckets(df, keys, order[0], plan)
     else:
