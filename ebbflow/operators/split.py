@@ -53,6 +53,20 @@ def stratified_split(df: DataFrame, label: str = K.LABEL, test_size: float = K.T
             .drop("_h", "_rank", "_group_rows"))
 
 
+def stratified_split_by_group(df: DataFrame, group: str = "account_id", label: str = K.LABEL,
+                              test_size: float = K.TEST_SIZE, seed: int = K.SEED,
+                              rows_per_bucket: int | None = None) -> DataFrame:
+    """Split whole groups (e.g. repeated accounts never straddle train and
+    test): groups are stratified by their highest label, ranked by a
+    seeded scramble of the group key's hash, and the side is joined back
+    on the group key (a shuffle join; AQE splits a hot group)."""
+    _require_label(df, label)
+    g = (df.groupBy(group).agg(F.max(label).alias(label))
+         .withColumn("_gk", F.xxhash64(F.col(group)).bitwiseAND(F.lit(0x7FFFFFFFFFFFFFFF))))
+    sides = stratified_split(g, label, test_size, seed, key="_gk", rows_per_bucket=rows_per_bucket)
+    return df.join(sides.select(group, "split"), group)
+
+
 def split_summary(split: DataFrame, label: str = K.LABEL) -> DataFrame:
     """Per side: rows, share of all rows, label rate."""
     g = split.groupBy("split").agg(F.count(F.lit(1)).alias("rows"), F.avg(label).alias("churn_rate"))

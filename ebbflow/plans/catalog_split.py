@@ -118,3 +118,13 @@ def kfold_metrics(spark, sf):
                                        F.col("c").alias("pr_auc"), F.col("n").cast("bigint").alias("n"))) \
         .unionByName(summ.select(F.lit("std").alias("fold"), F.col("b").alias("roc_auc"), F.col("d").alias("pr_auc"),
                                  F.lit(None).cast("bigint").alias("n")))
+
+
+@query("stratified_split_by_account")
+def stratified_split_by_account(spark, sf):
+    """Whole-account split over a table where every account appears twice
+    (the reference data repeat accounts); no account straddles the sides.
+    Rows-only: the account scramble uses ``xxhash64``."""
+    raw = _subs(spark, sf).select("row_id", "account_id", "churned")
+    twice = raw.unionByName(raw.withColumn("row_id", -F.col("row_id")))
+    return S.stratified_split_by_group(twice, "account_id")

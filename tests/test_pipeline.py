@@ -130,3 +130,11 @@ def test_profile_job_writes_every_block(spark, raw):
     paths = W.profile_job(raw.drop("row_id"), out)
     assert spark.read.parquet(paths["overview"]).collect()[0].n_rows == raw.count()
     assert spark.read.option("header", True).csv(paths["summary_csv"]).count() > 0
+
+
+def test_group_split_keeps_repeated_accounts_together(spark, raw):
+    dup = raw.unionByName(raw.limit(20).withColumn("row_id", F.col("row_id") + 100000))
+    sp = S.stratified_split_by_group(dup, "account_id")
+    per = sp.groupBy("account_id").agg(F.countDistinct("split").alias("k"))
+    assert per.where(F.col("k") > 1).count() == 0
+    assert sp.count() == dup.count()
