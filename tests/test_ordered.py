@@ -61,3 +61,31 @@ def test_mixed_big_and_small_groups(spark):
     got = {(r.g, r.k): (r._rank, r._group_rows) for r in O.exact_ranks(df, ["g"], ["k"], rows_per_bucket=100).collect()}
     exp = {(r.g, r.k): (r._rank, r._group_rows) for r in O.exact_ranks(df, ["g"], ["k"]).collect()}
     assert got == exp and len(got) == 3400
+
+
+def _brute_auc(y, p):
+    """Mann-Whitney ROC-AUC and anchored trapezoid PR-AUC, straight numpy."""
+    pos, neg = p[y == 1], p[y == 0]
+    gt = (pos[:, None] > neg[None, :]).sum() + 0.5 * (pos[:, None] == neg[None, :]).sum()
+    roc = gt / (len(pos) * len(neg))
+    pr, r0, p0 = 0.0, 0.0, 1.0
+    for t in np.unique(p)[::-1]:
+        sel = p >= t
+        tp, fp = (y[sel] == 1).sum(), (y[sel] == 0).sum()
+        r1, p1 = tp / len(pos), tp / (tp + fp)
+        pr += (r1 - r0) * (p1 + p0) / 2
+        r0, p0 = r1, p1
+    return roc, pr
+
+
+def test_bucketed_auc_equals_brute_force(spark, monkeypatch):
+    from ebbflow.operators import metrics as M
+    from ebbflow.operators import ordered as O
+    rng = np.random.default_rng(7)
+    y = rng.integers(0, 2, 3000)
+    p = np.round(np.clip(rng.normal(0.4 + 0.2 * y, 0.2), 0, 1), 2)  # many ties
+    df = spark.createDataFrame(pd.DataFrame({"row_id": np.arange(3000), "y": y, "p": p})).repartition(6)
+    monkeypatch.setattr(O, "ROWS_PER_BUCKET", 7)  # ~100 distinct scores -> many buckets
+    r = M.ranking_auc(df).collect()[0]
+    roc, pr = _brute_auc(y, p)
+    assert abs(r.roc_auc - roc) < 1e-12 and abs(r.pr_auc - pr) < 1e-12
