@@ -15,7 +15,6 @@ from .sqltext import (CONTRACT_SQL, HIGH_RISK_SQL, HIGH_VALUE_SQL, MULTI_SQL, PA
 from ..sources.fixtures import oracle_cte
 
 SUBK = oracle_cte("subscribers_k")
-RAW_DOUBLES = ["months_with_provider", "monthly_fee", "lifetime_spend"]
 
 
 def _subs(spark, sf):

@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from itertools import combinations
 
-from pyspark.sql import functions as F
 
 from ..functions import constants as K
 from ..operators import profile as P

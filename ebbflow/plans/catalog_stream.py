@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from ..operators import features as FE
 from ..session import scratch_path
-from ..sources import files
 from ..sources import fixtures as fx
 from ..streaming import jobs as J
 from .catalog_models import FAST, prepared
