@@ -153,7 +153,7 @@ def hyperparameter_grid(spark, sf):
     grid = ParamGridBuilder().addGrid(lr.regParam, regs).build()
     cv = CrossValidator(estimator=pipe, estimatorParamMaps=grid, foldCol="fold0", numFolds=K.N_FOLDS,
                         evaluator=BinaryClassificationEvaluator(labelCol=K.LABEL, metricName="areaUnderROC"),
-                        parallelism=2, seed=K.SEED)
+                        parallelism=4, seed=K.SEED)
     m = cv.fit(tw)
     return spark.createDataFrame([(float(r), float(a)) for r, a in zip(regs, m.avgMetrics)],
                                  "reg_param double, mean_roc_auc double")
