@@ -276,15 +276,12 @@ def pr_curve_points(scored: DataFrame, y: str = "y", p: str = "p") -> DataFrame:
 
 def score_histogram(scored: DataFrame, bins: int = K.HISTOGRAM_BINS, y: str = "y",
                     p: str = "p") -> DataFrame:
-    """30 equal-width bins of ``p`` per true class (each class its own range)."""
-    from .profile import histogram
-    wide = scored.select(F.col(y).cast("string").alias("_cls"), F.col(p).cast("double").alias("_p"))
-    parts = None
-    for cls in ("0", "1"):
-        h = histogram(wide.where(F.col("_cls") == cls).select("_p"), ["_p"], bins)
-        h = h.select(F.lit(int(cls)).alias(y), "bin", "bin_lo", "bin_hi", "count")
-        parts = h if parts is None else parts.unionByName(h)
-    return parts
+    """30 equal-width bins of ``p`` per true class (each class its own
+    range): the classes are the series of one long-table histogram."""
+    from .profile import histogram_long
+    long = scored.select(F.col(y).cast("string").alias("column_name"), F.col(p).cast("double").alias("value"))
+    h = histogram_long(long, bins)
+    return h.select(F.col("column_name").cast("int").alias(y), "bin", "bin_lo", "bin_hi", "count")
 
 
 def confusion_shares(scored: DataFrame, threshold: float = K.THRESHOLD_DEFAULT,

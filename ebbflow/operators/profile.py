@@ -220,7 +220,13 @@ def histogram(df: DataFrame, cols: list[str] | None = None, bins: int = K.HISTOG
     edges ``min + i * (max - min) / bins``, index corrected against them).
     Only populated bins are returned."""
     cols = cols or numeric_columns(df)
-    long = _long_numeric(df, cols).where(F.col("value").isNotNull())
+    return histogram_long(_long_numeric(df, cols), bins)
+
+
+def histogram_long(long: DataFrame, bins: int = K.HISTOGRAM_BINS) -> DataFrame:
+    """``histogram`` over a long ``(column_name, value)`` table: every
+    series gets its own range; one pass for the ranges, one for the bins."""
+    long = long.where(F.col("value").isNotNull())
     rng = long.groupBy("column_name").agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
     # numpy widens a zero range by 0.5 on each side
     rng = rng.select("column_name",
