@@ -19,6 +19,19 @@ from ..functions.columns import safe_div
 from .ordered import ordered_prefix
 
 
+def one_row(*frames: DataFrame) -> DataFrame:
+    """Put the columns of several one-row results side by side: union
+    them (missing columns null) and keep each column's non-null value.
+    A handful of rows, no join."""
+    u = frames[0]
+    for f in frames[1:]:
+        u = u.unionByName(f, allowMissingColumns=True)
+    cols = []
+    for f in frames:
+        cols += [c for c in f.columns if c not in cols]
+    return u.agg(*[F.first(F.col(c), ignorenulls=True).alias(c) for c in cols])
+
+
 def _y(df: DataFrame, y: str) -> F.Column:
     return F.col(y).cast("int")
 
@@ -145,38 +158,33 @@ def evaluate_model(scored: DataFrame, threshold: float = K.THRESHOLD_DEFAULT,
     auc = ranking_auc(scored, (), y, p).select("roc_auc", "pr_auc")
     tn, fp, fn, tp = (F.col(c) for c in ("true_negatives", "false_positives",
                                          "false_negatives", "true_positives"))
-    return point.crossJoin(auc).select(
+    return one_row(point, auc).select(
         "roc_auc", *_prf(tn, fp, fn, tp), "brier_score", F.lit(float(threshold)).alias("threshold"),
         "pr_auc", "true_negatives", "false_positives", "false_negatives", "true_positives")
 
 
 # ----------------------------------------------------------- thresholds
-def _grid_index(p: F.Column, grid: list[float]) -> F.Column:
-    """How many grid thresholds ``p`` clears (``p >= t``), 0..len(grid)."""
-    expr = None
-    for i in reversed(range(len(grid))):
-        cond = p >= F.lit(grid[i])
-        expr = F.when(cond, i + 1) if expr is None else expr.when(cond, i + 1)
-    return expr.otherwise(0)
-
-
 def threshold_sweep(scored: DataFrame, grid: list[float] | None = None,
                     y: str = "y", p: str = "p") -> DataFrame:
     """Precision, recall and F1 at each grid threshold (default: the
-    16-value grid 0.1, 0.15, ... 0.85)."""
+    16-value grid 0.1, 0.15, ... 0.85).
+
+    One aggregate: per threshold four conditional counts (4 x 16 counters
+    per task, partial aggregation map-side), then the single result row is
+    exploded into one row per threshold.  No join, no row multiplication."""
     grid = grid or K.threshold_grid()
     pos = _y(scored, y) == 1
-    cells = (scored.groupBy(_grid_index(F.col(p), grid).alias("k"))
-             .agg(F.count_if(pos).alias("pos"), F.count_if(~pos).alias("neg")))
-    thr = scored.sparkSession.createDataFrame(
-        [(i, float(t)) for i, t in enumerate(grid)], "i int, threshold double")
-    # <= 17 x 16 rows: predicted positive at threshold i <=> k > i
-    j = thr.crossJoin(F.broadcast(cells))
-    sw = j.groupBy("i", "threshold").agg(
-        F.sum(F.when(F.col("k") > F.col("i"), F.col("pos")).otherwise(0)).alias("tp"),
-        F.sum(F.when(F.col("k") > F.col("i"), F.col("neg")).otherwise(0)).alias("fp"),
-        F.sum(F.when(F.col("k") <= F.col("i"), F.col("pos")).otherwise(0)).alias("fn"),
-        F.sum(F.when(F.col("k") <= F.col("i"), F.col("neg")).otherwise(0)).alias("tn"))
+    pv = F.col(p)
+    aggs = []
+    for i, t in enumerate(grid):
+        hit = pv >= F.lit(float(t))
+        aggs += [F.count_if(pos & hit).alias(f"tp{i}"), F.count_if(~pos & hit).alias(f"fp{i}"),
+                 F.count_if(pos & ~hit).alias(f"fn{i}"), F.count_if(~pos & ~hit).alias(f"tn{i}")]
+    wide = scored.agg(*aggs)
+    sw = wide.select(F.explode(F.array(*[
+        F.struct(F.lit(float(t)).alias("threshold"), F.col(f"tp{i}").alias("tp"), F.col(f"fp{i}").alias("fp"),
+                 F.col(f"fn{i}").alias("fn"), F.col(f"tn{i}").alias("tn"))
+        for i, t in enumerate(grid)])).alias("s")).select("s.*")
     tp, fp, fn = F.col("tp"), F.col("fp"), F.col("fn")
     return sw.select("threshold", safe_div(tp, tp + fp).alias("precision"),
                      safe_div(tp, tp + fn).alias("recall"),
@@ -294,7 +302,7 @@ def confusion_shares(scored: DataFrame, threshold: float = K.THRESHOLD_DEFAULT,
 
 def quality_gates(scored: DataFrame, y: str = "y", p: str = "p") -> DataFrame:
     g = K.QUALITY_GATES
-    m = ranking_auc(scored, (), y, p).crossJoin(brier(scored, y, p))
+    m = one_row(ranking_auc(scored, (), y, p), brier(scored, y, p))
     return m.select("roc_auc", "pr_auc", "brier_score",
                     F.coalesce(F.col("roc_auc") > g["roc_auc_min"], F.lit(False)).alias("roc_auc_pass"),
                     F.coalesce(F.col("pr_auc") > g["pr_auc_min"], F.lit(False)).alias("pr_auc_pass"),

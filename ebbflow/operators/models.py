@@ -156,13 +156,17 @@ def prf_at(scored: DataFrame, threshold: float) -> DataFrame:
 
 def standard_scale(df: DataFrame, cols: list[str], keep: tuple[str, ...] = ()) -> DataFrame:
     """Centre and scale by the population std (a constant column becomes
-    0).  One aggregate of 2 x len(cols) numbers, broadcast as a 1-row
-    cross join so the plan stays lazy."""
+    0).  Fit: one aggregate of 2 x len(cols) numbers (a scalar state, like
+    every fitted value here); transform: one projection with literals."""
     st = df.agg(*[F.avg(F.col(f"`{c}`")).alias(f"m{i}") for i, c in enumerate(cols)],
-                *[F.stddev_pop(F.col(f"`{c}`")).alias(f"s{i}") for i, c in enumerate(cols)])
-    j = df.crossJoin(F.broadcast(st))
+                *[F.stddev_pop(F.col(f"`{c}`")).alias(f"s{i}") for i, c in enumerate(cols)]).collect()[0]
     out = []
     for i, c in enumerate(cols):
-        s = F.col(f"s{i}")
-        out.append(F.when(s == 0, F.lit(0.0)).otherwise((F.col(f"`{c}`") - F.col(f"m{i}")) / s).alias(c))
-    return j.select(*[F.col(f"`{k}`") for k in keep], *out)
+        m, s = st[f"m{i}"], st[f"s{i}"]
+        x = F.col(f"`{c}`")
+        if s is None or s == 0:
+            zero = F.when(x.isNull(), F.lit(None).cast("double")).otherwise(F.lit(0.0))
+            out.append((zero if s == 0 else F.lit(None).cast("double")).alias(c))
+        else:
+            out.append(((x - F.lit(m)) / F.lit(s)).alias(c))
+    return df.select(*[F.col(f"`{k}`") for k in keep], *out)

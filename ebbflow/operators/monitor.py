@@ -53,11 +53,12 @@ def retrain_trigger(base_auc: DataFrame, cur_auc: DataFrame, drift: DataFrame,
                     base_rate: DataFrame, cur_rate: DataFrame) -> DataFrame:
     """One row: the inputs and the retrain decision (ROC-AUC drop, any PSI
     alert, or churn-rate drift beyond the limits)."""
-    j = (base_auc.select(F.col("roc_auc").alias("auc_baseline"))
-         .crossJoin(cur_auc.select(F.col("roc_auc").alias("auc_current")))
-         .crossJoin(drift.agg(F.max("psi").alias("max_psi")))
-         .crossJoin(base_rate.select(F.col("churn_rate").alias("churn_rate_baseline")))
-         .crossJoin(cur_rate.select(F.col("churn_rate").alias("churn_rate_current"))))
+    from .metrics import one_row
+    j = one_row(base_auc.select(F.col("roc_auc").alias("auc_baseline")),
+                cur_auc.select(F.col("roc_auc").alias("auc_current")),
+                drift.agg(F.max("psi").alias("max_psi")),
+                base_rate.select(F.col("churn_rate").alias("churn_rate_baseline")),
+                cur_rate.select(F.col("churn_rate").alias("churn_rate_current")))
     drop = F.col("auc_baseline") - F.col("auc_current")
     cd = F.col("churn_rate_current") - F.col("churn_rate_baseline")
     return j.select("auc_baseline", "auc_current", drop.alias("auc_drop"), "max_psi", "churn_rate_baseline",
@@ -70,34 +71,34 @@ def fit_target_encoding(train: DataFrame, cols: list[str], label: str = K.LABEL,
                         m: float = TE_SMOOTHING) -> DataFrame:
     """Per (column, value): count, mean label and the encoding shrunk
     towards the overall rate, ``(sum + m * prior) / (n + m)``.  One
-    unpivot + group-by; the prior is a 1-row aggregate."""
-    prior = train.agg(F.avg(label).alias("prior"))
+    unpivot + group-by; the prior is a fitted scalar (one aggregate)."""
+    prior = train.agg(F.avg(label)).collect()[0][0]
+    prior = F.lit(prior).cast("double")
     long = train.select(F.col(label).alias("_y"), F.explode(F.array(*[
         F.struct(F.lit(c).alias("column_name"), X.c(c).cast("string").alias("value")) for c in cols
     ])).alias("s")).select("_y", "s.*").where(F.col("value").isNotNull())
     g = long.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"), F.sum("_y").alias("_s"))
-    return g.crossJoin(F.broadcast(prior)).select(
+    return g.select(
         "column_name", "value", F.col("n").cast("bigint"), (F.col("_s") / F.col("n")).alias("churn_rate"),
-        ((F.col("_s") + m * F.col("prior")) / (F.col("n") + m)).alias("encoding"))
+        ((F.col("_s") + m * prior) / (F.col("n") + m)).alias("encoding"), prior.alias("prior"))
 
 
 def apply_target_encoding(df: DataFrame, enc: DataFrame, cols: list[str], label: str = K.LABEL) -> DataFrame:
-    """Add ``<col>_te``; unseen values and nulls take the prior.  The
+    """Add ``<col>_te``; unseen values and nulls take the fitted prior.  The
     encoding table has one row per category; it is broadcast only when its
     row count is within ``MAX_CATEGORIES``, else a shuffle join is used."""
     from .features import MAX_CATEGORIES
-    prior = df.agg(F.avg(label).alias("_prior")) if label in df.columns else None
     small = enc.count() <= MAX_CATEGORIES
+    first = enc.select("prior").limit(1).collect()
+    prior = first[0][0] if first else None
     out = df
     for c in cols:
         e = enc.where(F.col("column_name") == c).select(F.col("value").alias(f"_v_{c}"),
                                                         F.col("encoding").alias(f"{c}_te"))
         out = out.join(F.broadcast(e) if small else e, X.c(c) == F.col(f"_v_{c}"), "left").drop(f"_v_{c}")
     if prior is not None:
-        out = out.crossJoin(F.broadcast(prior))
         for c in cols:
-            out = out.withColumn(f"{c}_te", F.coalesce(F.col(f"{c}_te"), F.col("_prior")))
-        out = out.drop("_prior")
+            out = out.withColumn(f"{c}_te", F.coalesce(F.col(f"{c}_te"), F.lit(float(prior))))
     return out
 
 

@@ -379,7 +379,8 @@ def overview(df: DataFrame, label: str = K.LABEL) -> DataFrame:
                     F.count_if(F.col("n_distinct") == 2).cast("bigint").alias("n_binary"),
                     F.sum("n_null").cast("bigint").alias("total_missing"),
                     F.count_if(F.col("n_null") > 0).cast("bigint").alias("n_columns_with_missing"))
-    return base.crossJoin(df.agg(*lab))
+    from .metrics import one_row
+    return one_row(base, df.agg(*lab))
 
 
 def shared_frequencies(df: DataFrame, label: str = K.LABEL) -> DataFrame:

@@ -99,7 +99,7 @@ def target_encode_smoothed(spark, sf):
     """Fitted on the training side only (no leak into the hold-out)."""
     d = FE.impute_all(FE.clean_all(fx.subscribers(spark, sf, keyed=True)))
     tr = S.stratified_split(d).where(F.col("split") == "train")
-    return MO.fit_target_encoding(tr, TE_COLS)
+    return MO.fit_target_encoding(tr, TE_COLS).drop("prior")
 
 
 CANON_PLANS = ["DSL", "Fiber optic", "No"]
