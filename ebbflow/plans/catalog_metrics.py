@@ -97,23 +97,23 @@ def evaluate_model(spark, sf):
     return M.evaluate_model(_scored(spark, sf), THR)
 
 
-_GRID = "grid(threshold) AS (VALUES " + ", ".join(f"({dbl(t)})" for t in K.threshold_grid()) + ")"
-_SWEEP = ("sw AS (SELECT threshold, count_if(y = 1 AND p >= threshold) AS tp, count_if(y <> 1 AND p >= threshold) AS fp, "
-          "count_if(y = 1 AND p < threshold) AS fn, count_if(y <> 1 AND p < threshold) AS tn "
-          "FROM grid CROSS JOIN scored GROUP BY threshold),\n"
+_SWEEP = ("sw AS (" + "\nUNION ALL ".join(
+    f"SELECT {dbl(t)} AS threshold, count_if(y = 1 AND p >= {dbl(t)}) AS tp, count_if(y <> 1 AND p >= {dbl(t)}) AS fp, "
+    f"count_if(y = 1 AND p < {dbl(t)}) AS fn, count_if(y <> 1 AND p < {dbl(t)}) AS tn FROM scored"
+    for t in K.threshold_grid()) + "),\n"
           f"sweep AS (SELECT threshold, {_div('tp', 'tp + fp')} AS precision, {_div('tp', 'tp + fn')} AS recall, "
           f"{_div('2 * tp', '2 * tp + fp + fn')} AS f1_score, CAST(tp AS BIGINT) AS tp, CAST(fp AS BIGINT) AS fp, "
           "CAST(fn AS BIGINT) AS fn, CAST(tn AS BIGINT) AS tn FROM sw)")
 
 
-@query("threshold_sweep", _with(_GRID, _SWEEP) + "SELECT * FROM sweep", doubles=["precision", "recall", "f1_score"])
+@query("threshold_sweep", _with(_SWEEP) + "SELECT * FROM sweep", doubles=["precision", "recall", "f1_score"])
 def threshold_sweep(spark, sf):
     return M.threshold_sweep(_scored(spark, sf))
 
 
 def _optimal_sql(metric: str, col: str, floor: float | None = None) -> str:
     cond = f"{col} > 0" + (f" AND precision >= {dbl(floor)}" if floor is not None else "")
-    return _with(_GRID, _SWEEP) + (
+    return _with(_SWEEP) + (
         f"SELECT {q(metric)} AS target_metric, coalesce((SELECT threshold FROM sweep WHERE {cond} "
         f"ORDER BY {col} DESC, threshold ASC LIMIT 1), {dbl(K.THRESHOLD_DEFAULT)}) AS threshold, "
         f"coalesce((SELECT max({col}) FROM sweep WHERE {cond}), 0.0) AS score")

@@ -67,12 +67,12 @@ _AUC_BY_SIDE = (
        f"sp AS (SELECT *, {_SPLIT_CASE} AS split FROM ranked),\n"
        "scored_sp AS (SELECT s.row_id, s.y, s.p, sp.split FROM scored s JOIN sp ON s.row_id = sp.row_id),\n"
        + _psi_sql("sp") + ",\n" + _AUC_BY_SIDE + "\n"
-       "SELECT ab.roc_auc AS auc_baseline, ac.roc_auc AS auc_current, ab.roc_auc - ac.roc_auc AS auc_drop, "
-       "(SELECT max(psi) FROM drift) AS max_psi, rb.churn_rate AS churn_rate_baseline, rc.churn_rate AS churn_rate_current, "
-       "rc.churn_rate - rb.churn_rate AS churn_drift, (ab.roc_auc - ac.roc_auc > "
-       f"{dbl(MO.AUC_DROP_ALERT)} OR (SELECT max(psi) FROM drift) > {dbl(MO.PSI_ALERT)} OR abs(rc.churn_rate - rb.churn_rate) > "
-       f"{dbl(MO.CHURN_DRIFT_ALERT)}) AS retrain "
-       "FROM auc ab, auc ac, rate rb, rate rc WHERE ab.side = 'train' AND ac.side = 'test' AND rb.side = 'train' AND rc.side = 'test'",
+       "SELECT ab AS auc_baseline, ac AS auc_current, ab - ac AS auc_drop, mp AS max_psi, rb AS churn_rate_baseline, "
+       f"rc AS churn_rate_current, rc - rb AS churn_drift, (ab - ac > {dbl(MO.AUC_DROP_ALERT)} OR mp > {dbl(MO.PSI_ALERT)} "
+       f"OR abs(rc - rb) > {dbl(MO.CHURN_DRIFT_ALERT)}) AS retrain FROM (SELECT "
+       "(SELECT roc_auc FROM auc WHERE side = 'train') AS ab, (SELECT roc_auc FROM auc WHERE side = 'test') AS ac, "
+       "(SELECT max(psi) FROM drift) AS mp, (SELECT churn_rate FROM rate WHERE side = 'train') AS rb, "
+       "(SELECT churn_rate FROM rate WHERE side = 'test') AS rc)",
        doubles=["auc_baseline", "auc_current", "auc_drop", "max_psi", "churn_rate_baseline", "churn_rate_current",
                 "churn_drift"])
 def retrain_trigger(spark, sf):

@@ -92,8 +92,8 @@ def drop_redundant(spark, sf):
 
 
 # ---------------------------------------------------------- imputation
-@query("impute_tenure_median", prep_cte("stats") + "SELECT c.row_id, coalesce(c.months_with_provider, s.med) "
-       "AS months_with_provider FROM cleaned c CROSS JOIN stats s")
+@query("impute_tenure_median", prep_cte("stats") + "SELECT c.row_id, coalesce(c.months_with_provider, (SELECT med FROM stats)) "
+       "AS months_with_provider FROM cleaned c")
 def impute_tenure_median(spark, sf):
     d = FE.clean_all(_subs(spark, sf))
     st = FE.ImputeState(tenure_median=FE.fit_impute(d.select("months_with_provider")).tenure_median)
@@ -108,8 +108,8 @@ def impute_lifetime_spend(spark, sf):
                                st).select("row_id", "lifetime_spend")
 
 
-@query("impute_payment_mode", prep_cte("stats") + "SELECT c.row_id, coalesce(c.payment_method, s.mode) "
-       "AS payment_method FROM cleaned c CROSS JOIN stats s")
+@query("impute_payment_mode", prep_cte("stats") + "SELECT c.row_id, coalesce(c.payment_method, (SELECT mode FROM stats)) "
+       "AS payment_method FROM cleaned c")
 def impute_payment_mode(spark, sf):
     d = FE.clean_all(_subs(spark, sf)).select("row_id", "payment_method")
     return FE.transform_impute(d, FE.ImputeState(payment_mode=FE.payment_mode(d)))

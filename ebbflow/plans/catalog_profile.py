@@ -100,13 +100,12 @@ def _outlier_sql() -> str:
     parts = []
     for i, c in enumerate(_NUMERIC):
         x = _num(c)
+        q1, q3 = f"(SELECT quantile_cont({x}, 0.25) FROM subscribers)", f"(SELECT quantile_cont({x}, 0.75) FROM subscribers)"
+        lo, hi = f"({q1} - {K.IQR_FACTOR} * ({q3} - {q1}))", f"({q3} + {K.IQR_FACTOR} * ({q3} - {q1}))"
         parts.append(
             f"SELECT {q(c)} AS column_name, CAST({i} AS INTEGER) AS position, "
-            f"CAST(count_if({x} < lo OR {x} > hi) AS BIGINT) AS n_outliers, "
-            f"count_if({x} < lo OR {x} > hi) * 100.0 / count({x}) AS pct_outliers "
-            f"FROM subscribers, (SELECT q1 - {K.IQR_FACTOR} * (q3 - q1) AS lo, q3 + {K.IQR_FACTOR} * (q3 - q1) AS hi "
-            f"FROM (SELECT quantile_cont({x}, 0.25) AS q1, quantile_cont({x}, 0.75) AS q3 FROM subscribers)) f "
-            f"GROUP BY lo, hi")
+            f"CAST(count_if({x} < {lo} OR {x} > {hi}) AS BIGINT) AS n_outliers, "
+            f"count_if({x} < {lo} OR {x} > {hi}) * 100.0 / count({x}) AS pct_outliers FROM subscribers")
     return SUB + _union(parts)
 
 

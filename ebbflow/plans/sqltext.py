@@ -92,9 +92,10 @@ def prep_cte(upto: str = "encoded") -> str:
                  "coalesce((SELECT payment_method FROM cleaned WHERE payment_method IS NOT NULL "
                  "GROUP BY payment_method ORDER BY count(*) DESC, payment_method ASC LIMIT 1), "
                  f"{q(K.PAYMENT_FALLBACK)}) AS mode)")
-    parts.append("imputed AS (SELECT c.* REPLACE (coalesce(c.months_with_provider, s.med) AS months_with_provider, "
-                 "coalesce(c.lifetime_spend, c.monthly_fee * coalesce(c.months_with_provider, s.med)) AS lifetime_spend, "
-                 "coalesce(c.payment_method, s.mode) AS payment_method) FROM cleaned c CROSS JOIN stats s)")
+    med, mode = "(SELECT med FROM stats)", "(SELECT mode FROM stats)"
+    parts.append(f"imputed AS (SELECT c.* REPLACE (coalesce(c.months_with_provider, {med}) AS months_with_provider, "
+                 f"coalesce(c.lifetime_spend, c.monthly_fee * coalesce(c.months_with_provider, {med})) AS lifetime_spend, "
+                 f"coalesce(c.payment_method, {mode}) AS payment_method) FROM cleaned c)")
     kept = [c for c in K.RAW_COLUMNS if c not in K.DROP_COLUMNS]
     parts.append("engineered AS (SELECT row_id, " + ", ".join(kept) + ", "
                  f"{tenure_group_sql()} AS tenure_group, {HIGH_RISK_SQL} AS high_risk_payment, "
