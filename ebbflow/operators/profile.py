@@ -264,7 +264,12 @@ def box_stats(df: DataFrame, cols: tuple[str, ...] = ("monthly_fee", "months_wit
                   (F.col("q1") - K.IQR_FACTOR * iqr).alias("_lo"),
                   (F.col("q3") + K.IQR_FACTOR * iqr).alias("_hi"))
     v = F.col("value")
-    agg = (long.join(F.broadcast(qf.select("column_name", "grp", "_lo", "_hi")), ["column_name", "grp"])
+    fences = qf.select("column_name", "grp", "_lo", "_hi")
+    # one row per (column, group): broadcast only when that is small
+    from .features import MAX_CATEGORIES
+    if fences.count() <= MAX_CATEGORIES:
+        fences = F.broadcast(fences)
+    agg = (long.join(fences, ["column_name", "grp"])
            .groupBy("column_name", "grp")
            .agg(F.min(F.when(v >= F.col("_lo"), v)).alias("whisker_low"),
                 F.max(F.when(v <= F.col("_hi"), v)).alias("whisker_high"),
