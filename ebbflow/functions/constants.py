@@ -106,6 +106,12 @@ STRONG_CORRELATION = 0.5
 IQR_FACTOR = 1.5
 TOP_CATEGORIES = 10
 
+# Monitoring limits: retrain when ROC-AUC drops by more than 0.05, any
+# PSI exceeds 0.2, or the churn rate moves by more than 5 points.
+PSI_ALERT = 0.2
+AUC_DROP_ALERT = 0.05
+CHURN_DRIFT_ALERT = 0.05
+
 SEED = 42
 TEST_SIZE = 0.2
 N_FOLDS = 5

@@ -15,9 +15,9 @@ from ..functions import constants as K
 
 PSI_BINS = 10
 PSI_EPS = 1e-4
-PSI_ALERT = 0.2
-AUC_DROP_ALERT = 0.05
-CHURN_DRIFT_ALERT = 0.05
+PSI_ALERT = K.PSI_ALERT
+AUC_DROP_ALERT = K.AUC_DROP_ALERT
+CHURN_DRIFT_ALERT = K.CHURN_DRIFT_ALERT
 TE_SMOOTHING = 10.0
 FUZZY_MAX_DISTANCE = 2
 
