@@ -138,3 +138,25 @@ def test_group_split_keeps_repeated_accounts_together(spark, raw):
     per = sp.groupBy("account_id").agg(F.countDistinct("split").alias("k"))
     assert per.where(F.col("k") > 1).count() == 0
     assert sp.count() == dup.count()
+
+
+def _rounded_rows(df):
+    out = []
+    for r in df.collect():
+        out.append(tuple(round(v, 9) if isinstance(v, float) else v for v in r))
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("op", ["numeric_stats", "churn_by_feature", "categorical_stats", "histogram"])
+def test_profile_results_ignore_partitioning(raw, op):
+    from ebbflow.operators import profile as P
+    base = raw.drop("row_id")
+    a = getattr(P, op)(base)
+    b = getattr(P, op)(base.repartition(7, "account_id"))
+    assert _rounded_rows(a) == _rounded_rows(b)
+
+
+def test_metrics_ignore_partitioning(spark, sf):
+    sc = fx.scored(spark, sf)
+    for f in (M.ranking_auc, M.threshold_sweep, M.roc_curve_points):
+        assert _rounded_rows(f(sc)) == _rounded_rows(f(sc.repartition(5, "p")))
