@@ -107,14 +107,41 @@ def null_counts(df: DataFrame) -> DataFrame:
     return F.broadcast(info).join(nulls_long, "column_name")
 
 
-def column_profile(df: DataFrame, vf: DataFrame | None = None) -> DataFrame:
+EXACT_DISTINCT_MAX = 1_000_000  # above this (approximate) cardinality, report the HLL estimate
+
+
+def column_profile(df: DataFrame, vf: DataFrame | None = None,
+                   exact_max: int = EXACT_DISTINCT_MAX) -> DataFrame:
     """Per column: position, kind, dtype, rows, distinct and null counts.
-    ``vf`` is an optional precomputed ``value_frequencies`` table."""
-    vf = vf if vf is not None else value_frequencies(df, label=None)
-    distinct = vf.groupBy("column_name").agg(F.count(F.lit(1)).alias("n_distinct"))
-    return (null_counts(df).join(distinct, "column_name", "left")
-            .select("column_name", "position", "kind", "dtype", "n_rows",
-                    F.coalesce("n_distinct", F.lit(0)).cast("bigint").alias("n_distinct"), "n_null"))
+
+    Distinct counts are exact for every column whose HyperLogLog estimate
+    (one pass, sketches only) is at most ``exact_max``; id-like columns
+    above it report the estimate (``distinct_exact`` false) instead of
+    shuffling every distinct value.  ``vf`` is an optional precomputed
+    ``value_frequencies`` table (its counts are exact for all columns)."""
+    if vf is None:
+        est = df.agg(*[F.approx_count_distinct(X.c(c)).alias(f"a{i}") for i, c in enumerate(df.columns)]).collect()[0]
+        exact_cols = [c for i, c in enumerate(df.columns) if est[f"a{i}"] <= exact_max]
+        approx_rows = [(c, int(est[f"a{i}"])) for i, c in enumerate(df.columns) if c not in exact_cols]
+        vf = value_frequencies(df, exact_cols, label=None) if exact_cols else None
+    else:
+        approx_rows = []
+    parts = []
+    if vf is not None:
+        parts.append(vf.groupBy("column_name").agg(F.count(F.lit(1)).alias("n_distinct"))
+                     .withColumn("distinct_exact", F.lit(True)))
+    if approx_rows:
+        parts.append(df.sparkSession.createDataFrame(approx_rows, "column_name string, n_distinct bigint")
+                     .withColumn("distinct_exact", F.lit(False)))
+    prof = null_counts(df)
+    if parts:
+        distinct = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+        prof = prof.join(distinct, "column_name", "left")
+    else:
+        prof = prof.withColumn("n_distinct", F.lit(None).cast("bigint")).withColumn("distinct_exact", F.lit(True))
+    return prof.select("column_name", "position", "kind", "dtype", "n_rows",
+                       F.coalesce("n_distinct", F.lit(0)).cast("bigint").alias("n_distinct"), "n_null",
+                       F.coalesce("distinct_exact", F.lit(True)).alias("distinct_exact"))
 
 
 def dtype_counts(df: DataFrame) -> DataFrame:

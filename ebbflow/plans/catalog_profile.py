@@ -47,7 +47,7 @@ _PROFILE_SQL = SUB + "SELECT * FROM (" + _union([
     f"SELECT {q(c)} AS column_name, CAST({i} AS INTEGER) AS position, "
     f"{q('numeric' if c in _NUMERIC else 'categorical')} AS kind, {q(_DTYPE[c])} AS dtype, "
     f"CAST(count(*) AS BIGINT) AS n_rows, CAST(count(DISTINCT {ident(c)}) AS BIGINT) AS n_distinct, "
-    f"CAST(count(*) - count({ident(c)}) AS BIGINT) AS n_null FROM subscribers"
+    f"CAST(count(*) - count({ident(c)}) AS BIGINT) AS n_null, TRUE AS distinct_exact FROM subscribers"
     for i, c in enumerate(K.RAW_COLUMNS)]) + ") t"
 
 

@@ -160,3 +160,11 @@ def test_metrics_ignore_partitioning(spark, sf):
     sc = fx.scored(spark, sf)
     for f in (M.ranking_auc, M.threshold_sweep, M.roc_curve_points):
         assert _rounded_rows(f(sc)) == _rounded_rows(f(sc.repartition(5, "p")))
+
+
+def test_column_profile_switches_to_estimate_for_id_columns(raw):
+    from ebbflow.operators import profile as P
+    prof = {r.column_name: r for r in P.column_profile(raw.drop("row_id"), exact_max=50).collect()}
+    assert prof["account_id"].distinct_exact is False
+    assert abs(prof["account_id"].n_distinct - raw.count()) <= 0.1 * raw.count()
+    assert prof["gender"].distinct_exact is True and prof["gender"].n_distinct == 2
