@@ -26,6 +26,22 @@ _LOCAL_DEFAULTS = {
 }
 
 
+# Settings for a large cluster run (set by the operator on the session):
+# AQE sizes shuffle partitions from the data, splits skewed join
+# partitions and picks broadcast joins from runtime sizes; the initial
+# partition count only has to be high enough for the largest shuffle.
+CLUSTER_CONF = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.session.timeZone": "UTC",
+    "spark.ui.enabled": "false",
+}
+
+
 def local_session(master: str = "local[8]", app: str = "ebbflow", **conf) -> SparkSession:
     """A local session with settings that suit small test data."""
     b = SparkSession.builder.master(master).appName(app)
