@@ -119,29 +119,27 @@ def column_profile(df: DataFrame, vf: DataFrame | None = None,
     above it report the estimate (``distinct_exact`` false) instead of
     shuffling every distinct value.  ``vf`` is an optional precomputed
     ``value_frequencies`` table (its counts are exact for all columns)."""
-    if vf is None:
-        est = df.agg(*[F.approx_count_distinct(X.c(c)).alias(f"a{i}") for i, c in enumerate(df.columns)]).collect()[0]
-        exact_cols = [c for i, c in enumerate(df.columns) if est[f"a{i}"] <= exact_max]
-        approx_rows = [(c, int(est[f"a{i}"])) for i, c in enumerate(df.columns) if c not in exact_cols]
-        vf = value_frequencies(df, exact_cols, label=None) if exact_cols else None
-    else:
-        approx_rows = []
-    parts = []
-    if vf is not None:
-        parts.append(vf.groupBy("column_name").agg(F.count(F.lit(1)).alias("n_distinct"))
-                     .withColumn("distinct_exact", F.lit(True)))
-    if approx_rows:
-        parts.append(df.sparkSession.createDataFrame(approx_rows, "column_name string, n_distinct bigint")
-                     .withColumn("distinct_exact", F.lit(False)))
-    prof = null_counts(df)
-    if parts:
-        distinct = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-        prof = prof.join(distinct, "column_name", "left")
+    fields = df.schema.fields
+    num = set(numeric_columns(df))
+    # one pass: row count, null counts and HLL estimates of every column
+    row = df.agg(F.count(F.lit(1)).alias("_rows"),
+                 *[F.count_if(X.c(f.name).isNull()).alias(f"n{i}") for i, f in enumerate(fields)],
+                 *[F.approx_count_distinct(X.c(f.name)).alias(f"a{i}") for i, f in enumerate(fields)]).collect()[0]
+    exact_cols = [f.name for i, f in enumerate(fields) if vf is not None or row[f"a{i}"] <= exact_max]
+    info = df.sparkSession.createDataFrame(
+        [(f.name, i, "numeric" if f.name in num else "categorical", dtype_name(f.dataType), int(row["_rows"]),
+          int(row[f"n{i}"]), f.name in exact_cols, int(row[f"a{i}"])) for i, f in enumerate(fields)],
+        "column_name string, position int, kind string, dtype string, n_rows bigint, n_null bigint, "
+        "distinct_exact boolean, n_estimate bigint")
+    if exact_cols:
+        vf = vf if vf is not None else value_frequencies(df, exact_cols, label=None)
+        exact = vf.groupBy("column_name").agg(F.count(F.lit(1)).alias("n_exact"))
+        info = F.broadcast(info).join(exact, "column_name", "left")  # one row per column
     else:
-        prof = prof.withColumn("n_distinct", F.lit(None).cast("bigint")).withColumn("distinct_exact", F.lit(True))
-    return prof.select("column_name", "position", "kind", "dtype", "n_rows",
-                       F.coalesce("n_distinct", F.lit(0)).cast("bigint").alias("n_distinct"), "n_null",
-                       F.coalesce("distinct_exact", F.lit(True)).alias("distinct_exact"))
+        info = info.withColumn("n_exact", F.lit(None).cast("bigint"))
+    n_distinct = F.when(F.col("distinct_exact"), F.coalesce(F.col("n_exact"), F.lit(0))).otherwise(F.col("n_estimate"))
+    return info.select("column_name", "position", "kind", "dtype", "n_rows", n_distinct.cast("bigint").alias("n_distinct"),
+                       "n_null", "distinct_exact")
 
 
 def dtype_counts(df: DataFrame) -> DataFrame:
