@@ -168,3 +168,25 @@ def test_column_profile_switches_to_estimate_for_id_columns(raw):
     assert prof["account_id"].distinct_exact is False
     assert abs(prof["account_id"].n_distinct - raw.count()) <= 0.1 * raw.count()
     assert prof["gender"].distinct_exact is True and prof["gender"].n_distinct == 2
+
+
+def test_stream_score_equals_batch_score(spark, raw):
+    from ebbflow.streaming import jobs as J
+    st = FE.fit_features(raw)
+    d = S.stratified_split(FE.transform_features(raw, st))
+    m = ML.fit_model(d.where(F.col("split") == "train"), st.feature_names, "logistic", max_iter=20)
+    mp = scratch_path(spark, "t-model")
+    m.write().save(mp)
+    src, sink, ck = (scratch_path(spark, n) for n in ("t-raw", "t-scores", "t-ck-s"))
+    raw.repartition(3).write.parquet(src)
+    J.stream_score(spark, src, sink, ck, st, mp, raw.schema).awaitTermination()
+    got = {r.row_id: (round(r.probability, 12), r.prediction) for r in spark.read.parquet(sink).collect()}
+    exp = {r.row_id: (round(r.probability, 12), r.prediction) for r in J.score_frame(raw, st, mp).collect()}
+    assert got == exp and len(got) == raw.count()
+
+
+def test_payload_round_trip_reads_examples(spark, raw):
+    from ebbflow.sources import files
+    rows = files.payload_round_trip(spark, raw).collect()
+    assert sorted(r.name for r in rows) == ["high_risk_customer", "low_risk_customer", "medium_risk_customer"]
+    assert "churned" not in rows[0].asDict() and "account_id" not in rows[0].asDict()
