@@ -23,8 +23,8 @@ def _norm(v):
 def con():
     c = duckdb.connect()
     c.execute("SET TimeZone='UTC'")
-    for t in ("customer", "orders"):
-        c.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{os.path.join(SF, t)}.parquet')")
+    for f in os.listdir(SF):
+        c.execute(f"CREATE VIEW {f.removesuffix('.parquet')} AS SELECT * FROM read_parquet('{os.path.join(SF, f)}')")
     return c
 
 
