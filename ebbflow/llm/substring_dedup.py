@@ -43,7 +43,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .textarrays import doc_key, lists, mix64, slices, small_batches, span_hash, word_arrays
+from .textarrays import doc_key, mix64, slices, small_batches, span_hash, word_arrays
 
 #: (what a round names, longest symbol in words that takes part)
 ROUNDS = (("runs", 1), ("pairs", 1), ("pairs", 2))
@@ -51,7 +51,9 @@ CONTEXT = sum(n for _, n in ROUNDS)
 HOT_NAMES = 4096  # most frequent border names of the sample that are dealt by window
 SAMPLE_DOCS = 4000
 _NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
-SEGMENTS = "key long, seg long, oid long, start int, n int, win array<long>"
+SEGMENTS = "key long, oid long, start int, win binary"
+_TYPES = {"key": pa.int64(), "oid": pa.int64(), "start": pa.int32(), "win": pa.binary()}
+NAME_BYTES = 6  # bytes of a window hash that travel; they are compared under one 63-bit border name only
 
 
 def recompress(name: np.ndarray, row: np.ndarray) -> np.ndarray:
@@ -84,7 +86,7 @@ def recompress(name: np.ndarray, row: np.ndarray) -> np.ndarray:
 
 
 def segments(batch: pa.RecordBatch, width: int, hot: np.ndarray) -> pa.RecordBatch:
-    """Segment rows (n > 0) and, per document, spans settled here (n = 0)."""
+    """Segment rows, and rows with start -1: per document, the spans settled here."""
     batch = batch.take(pc.sort_indices(batch, sort_keys=[("oid", "ascending")]))
     oid = batch.column("oid").to_numpy()
     w = word_arrays(batch.column("text"))
@@ -92,8 +94,7 @@ def segments(batch: pa.RecordBatch, width: int, hot: np.ndarray) -> pa.RecordBat
     pos = np.arange(n) - w.first[w.row] if n else np.zeros(0, np.int64)
     at = np.flatnonzero(pos + width <= w.first[w.row + 1] - w.first[w.row]) if n else np.zeros(0, np.int64)
     if not len(at):
-        return pa.RecordBatch.from_arrays([pa.array([], pa.int64())] * 3 + [pa.array([], pa.int32())] * 2
-                                          + [pa.array([], pa.list_(pa.int64()))], names=["key", "seg", "oid", "start", "n", "win"])
+        return pa.RecordBatch.from_pydict({k: pa.array([], t) for k, t in _TYPES.items()})
     win = span_hash(w.name, at, at + width)
     # the earliest of equal windows in this slice; the others are repeats
     tied = len(oid) > 1 and bool((oid[1:] == oid[:-1]).any())
@@ -138,16 +139,15 @@ def segments(batch: pa.RecordBatch, width: int, hot: np.ndarray) -> pa.RecordBat
     i = np.flatnonzero(begins)
     size = np.diff(i, append=len(at))
     first = at[i]
-    content = span_hash(w.name, first, first + size + width - 1)
-    seg = mix64(content + (np.where(lone[i], 0, anchor[i] - first) * 64 + size).astype(np.uint64))
+    short = np.ascontiguousarray(win.astype("<u8").view(np.uint8).reshape(-1, 8)[:, 8 - NAME_BYTES:])
+    bounds = np.concatenate([[0], np.cumsum(np.concatenate([size * NAME_BYTES, counts * 8]))]).astype(np.int32)
+    packed = pa.py_buffer(short.tobytes() + span.astype("<i8").tobytes())
     return pa.RecordBatch.from_arrays([
         pa.array(np.r_[least[i], mix64(oid[rows].astype(np.uint64) + np.uint64(7))].view(np.int64), pa.int64()),
-        pa.array(np.r_[seg.view(np.int64), np.zeros(len(rows), np.int64)], pa.int64()),
         pa.array(np.r_[oid[w.row[first]], oid[rows]], pa.int64()),
         pa.array(np.r_[pos[first], np.full(len(rows), -1)].astype(np.int32), pa.int32()),
-        pa.array(np.r_[size, np.zeros(len(rows), np.int64)].astype(np.int32), pa.int32()),
-        lists(np.r_[win.view(np.int64), span], np.r_[size, counts], pa.int64()),
-    ], names=["key", "seg", "oid", "start", "n", "win"])
+        pa.Array.from_buffers(pa.binary(), len(bounds) - 1, [None, pa.py_buffer(bounds), packed]),
+    ], names=list(_TYPES))
 
 
 def _scan(width: int, hot: list[int]):
@@ -166,13 +166,13 @@ def _strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in slices(batch, "text"):
             total, gone, sha, kept_text = [], [], [], []
-            for text, spans in zip(part.column("text"), part.column("spans")):
-                words = (text.as_py() or "").encode().split()
+            for text, spans, packed in zip(*(part.column(c).to_pylist() for c in ("text", "spans", "packed"))):
+                words = (text or "").encode().split()
                 total.append(len(words))
-                spans = spans.values
-                if spans is not None and len(spans):
+                spans = (spans or []) + [x for p in packed or [] for x in np.frombuffer(p, "<i8").tolist()]
+                if spans:
                     keep = np.ones(len(words), np.uint8)
-                    for span in spans.to_numpy(zero_copy_only=False).tolist():
+                    for span in spans:
                         keep[span >> 32: (span >> 32) + (span & 0xFFFFFFFF)] = 0
                     gone.append(len(words) - int(keep.sum()))
                     words = compress(words, keep.tolist())
@@ -187,37 +187,42 @@ def _strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def repeated_spans(docs: DataFrame, width: int = 20) -> DataFrame:
-    """(oid, spans): for each document, word spans (start << 32 | length) that windows starting earlier also hold."""
+    """(oid, spans, packed): per document the word spans that windows starting earlier also hold, as start << 32 | length;
+    ``packed`` has such numbers as little-endian bytes."""
     if width <= 2 * CONTEXT:
         raise ValueError(f"width must exceed {2 * CONTEXT} words")
     small_batches(docs.sparkSession)
     texts = docs.select(doc_key().alias("oid"), "text")
     hot = [r["key"] for r in texts.where(F.pmod(F.xxhash64("oid"), F.lit(100)) == 0).limit(SAMPLE_DOCS)
-           .mapInArrow(_scan(width, []), SEGMENTS).where("n > 0").groupBy("key").count()
+           .mapInArrow(_scan(width, []), SEGMENTS).where("start >= 0").groupBy("key").count()
            .where("count >= 8").orderBy(F.desc("count"), "key").limit(HOT_NAMES).collect()]
-    s = texts.mapInArrow(_scan(width, hot), SEGMENTS).repartition("key")
+    s = texts.mapInArrow(_scan(width, hot), SEGMENTS).repartition("key").withColumn("seg", F.xxhash64("win"))
     by_key = Window.partitionBy("key")
     here = F.struct("oid", "start")
     s = (s.withColumn("lo", F.min("seg").over(by_key)).withColumn("hi", F.max("seg").over(by_key))
          .withColumn("lead", F.min(here).over(Window.partitionBy("key", "seg")))
          .withColumn("is_lead", F.col("lead") == here)
-         .where("n = 0 OR NOT is_lead OR lo <> hi"))
-    whole = F.shiftleft(F.col("start").cast("long"), 32)
-    span = F.when(F.col("n") == 0, F.array(F.struct(F.lit(None).cast("long").alias("w"), F.lit(0).alias("p"), F.col("win").alias("s")))) \
-        .when(~F.col("is_lead"), F.array(F.struct(F.lit(None).cast("long").alias("w"), F.lit(0).alias("p"),
-                                                  F.array(whole + F.col("n") + F.lit(width - 1)).alias("s")))) \
-        .otherwise(F.transform("win", lambda w, i: F.struct(w.alias("w"), (F.col("start") + i).alias("p"),
-                                                            F.array(F.shiftleft((F.col("start") + i).cast("long"), 32) + F.lit(width)).alias("s"))))
-    x = s.select("key", "oid", F.explode(span).alias("x")).select("key", "oid", "x.*")
+         .where("start < 0 OR NOT is_lead OR lo <> hi"))
+    n = (F.length("win") / NAME_BYTES).cast("int")
+
+    def one(w, p, size, packed):
+        return F.struct(w.cast("string").alias("w"), p.cast("int").alias("p"), size.cast("int").alias("size"), packed.cast("binary").alias("packed"))
+    none = F.lit(None)
+    span = F.when(F.col("start") < 0, F.array(one(none, F.lit(-1), F.lit(0), F.col("win")))) \
+        .when(~F.col("is_lead"), F.array(one(none, F.col("start"), n + (width - 1), none))) \
+        .otherwise(F.transform(F.sequence(F.lit(0), n - 1), lambda i: one(F.hex(F.col("win").substr(i * NAME_BYTES + 1, F.lit(NAME_BYTES))),
+                                                                         F.col("start") + i, F.lit(width), none)))
+    x = s.select("key", "oid", F.explode_outer(span).alias("x")).select("key", "oid", "x.*")
     spot = F.struct("oid", "p")
     tested = (x.withColumn("lead", F.min(F.when(F.col("w").isNotNull(), spot)).over(Window.partitionBy("key", "w")))
               .where(F.col("w").isNull() | (F.col("lead") != spot)))
-    return tested.groupBy("oid").agg(F.flatten(F.collect_list("s")).alias("spans"))
+    long = F.when(F.col("p") >= 0, F.shiftleft(F.col("p").cast("long"), 32) + F.col("size"))
+    return tested.groupBy("oid").agg(F.collect_list(long).alias("spans"), F.collect_list("packed").alias("packed"))
 
 
 def remove_repeats(docs: DataFrame, width: int = 20) -> DataFrame:
     """Per row of ``docs(doc_id, text, ..)``: doc_id, n_words, n_removed, kept_sha256, kept_text (kept words joined by one space)."""
     spans = repeated_spans(docs, width)
     return (docs.select(doc_key().alias("oid"), "doc_id", "text").join(spans, "oid", "left")
-            .select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.coalesce("spans", F.array().cast("array<long>")).alias("spans"))
+            .select(F.col("doc_id").cast("long").alias("doc_id"), "text", "spans", "packed")
             .mapInArrow(_strip, "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string"))
