@@ -32,8 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .graph import components, saved
-from .textarrays import mix64
+from .graph import components, forest, saved
 
 COSINE = 0.95
 FIT_ROWS = 4096  # vectors that the rotation is fitted on
@@ -86,23 +85,6 @@ def _index(rotations: list[np.ndarray], bits: int, tables: int, dims: int):
     return index
 
 
-def forest(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
-    """A spanning forest of the links a-b."""
-    up: dict[int, int] = {}
-
-    def root(x: int) -> int:
-        while (p := up.setdefault(x, x)) != x:
-            up[x] = up[p]
-            x = p
-        return x
-    out = []
-    for x, y in zip(a.tolist(), b.tolist()):
-        if (p := root(x)) != (q := root(y)):
-            up[max(p, q)] = min(p, q)
-            out.append((x, y))
-    return out
-
-
 def cell_links(rep, many, unit, keys, side, table, cosine):
     """Link counts and forest of one cell; ``side`` is 0 or 1 across two blocks, 2 within one."""
     out_n: dict[int, int] = {}

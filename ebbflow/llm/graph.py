@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,6 +16,23 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def forest(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
+    """A spanning forest of the links a-b."""
+    up: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while (p := up.setdefault(x, x)) != x:
+            up[x] = up[p]
+            x = p
+        return x
+    out = []
+    for x, y in zip(a.tolist(), b.tolist()):
+        if (p := root(x)) != (q := root(y)):
+            up[max(p, q)] = min(p, q)
+            out.append((x, y))
+    return out
+
+
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """(node, component) for every node of ``edges(a, b)``: the least node reachable.
 

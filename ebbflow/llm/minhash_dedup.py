@@ -12,9 +12,13 @@
    bucket).  Pairs whose sketches can't reach the threshold go; the rest are
    confirmed on the full shingle sets.
 4. Members of a bucket that the star left in another component than the
-   bucket's centre are compared with the whole bucket by their sketches, so
-   no candidate pair across components is left out.  Confirmed links of
-   both steps give the components.
+   bucket's centre are compared with the whole bucket, so no candidate pair
+   across components is left out.  This is done in cells (a block of such
+   members against a block of the bucket) inside tasks: first by sketches;
+   the components of the pairs that pass are small groups, in which cells
+   then count all intersections on the full sets.  Cells send on spanning
+   forests, never their pairs.  Confirmed links of both steps give the
+   components.
 
 With 32 bands of 5 rows a pair at similarity 0.85 is missed with
 probability 1e-8, at 0.8 with 3e-6; the sketch filter allows 5 standard
@@ -36,11 +40,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .graph import components, saved
+from .graph import components, forest, saved
 from .textarrays import NULL_ID, doc_key, lists, mix64, slices, small_batches, span_hash, word_arrays
 
 BANDS, ROWS = 32, 5
 SKETCH_BITS = 512
+CELL, CELL_SHINGLES = 1024, 400_000  # documents, and shingles, of one side of a cell
 _FACTORS = mix64(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 _SALTS = mix64(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64))
 SIGNED = "oid long, n long, c1 long, c2 long, bands array<long>, sketch array<long>"
@@ -120,6 +125,100 @@ def _confirm(width: int, percent: int):
     return confirm
 
 
+def _sets(width: int):
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text"):
+                found = shingle_sets(part.column("text"), width)
+                flat = np.concatenate(found).view(np.int64) if found else np.zeros(0, np.int64)
+                yield pa.RecordBatch.from_arrays([part.column("oid"), lists(flat, [len(x) for x in found], pa.int64())], names=["oid", "shingles"])
+    return sets
+
+
+def _cells(work):
+    """Runs ``work(columns) -> (a, b)`` on each cell; rows come sorted by cell."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def flush(t: pa.Table) -> pa.RecordBatch:
+            t = t.combine_chunks()
+            cell = t.column("cell").to_numpy()
+            cuts = [0, *(np.flatnonzero(np.diff(cell)) + 1).tolist(), len(cell)]
+            got = [work(t.slice(i, j - i).combine_chunks()) for i, j in zip(cuts, cuts[1:])]
+            return pa.RecordBatch.from_arrays([pa.array([x for g in got for x, _ in g], pa.int64()), pa.array([y for g in got for _, y in g], pa.int64())],
+                                              names=["a", "b"])
+        held = None  # the last cell of a batch may go on in the next
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            t = pa.Table.from_batches([batch])
+            t = t if held is None else pa.concat_tables([held, t])
+            cell = t.column("cell").to_numpy()
+            last = int(np.searchsorted(cell, cell[-1]))
+            if last:
+                yield flush(t.slice(0, last))
+            held = t.slice(last)
+        if held is not None:
+            yield flush(held)
+    return run
+
+
+def _sketch_cell(limit: int):
+    def work(t: pa.Table) -> list[tuple[int, int]]:
+        rep, comp, side = (t.column(c).to_numpy() for c in ("rep", "comp", "side"))
+        bits = t.column("sketch").chunk(0).flatten().to_numpy().view(np.uint64).reshape(len(rep), -1)
+        x, y = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+        a, b = [], []
+        for k in range(0, len(x), 128):
+            i = x[k: k + 128]
+            p = np.bitwise_count(bits[i][:, None, :] ^ bits[y][None, :, :]).sum(axis=2, dtype=np.int32)
+            u, v = np.nonzero((p <= limit) & (comp[i][:, None] != comp[y]))
+            a.append(rep[i[u]]), b.append(rep[y[v]])
+        return forest(np.concatenate(a), np.concatenate(b)) if a else []
+    return work
+
+
+def _exact_cell(percent: int):
+    def work(t: pa.Table) -> list[tuple[int, int]]:
+        rep, comp, side = (t.column(c).to_numpy() for c in ("rep", "comp", "side"))
+        sets = t.column("shingles").chunk(0)
+        size = np.diff(sets.offsets.to_numpy())
+        flat = sets.flatten().to_numpy()
+        owner = np.repeat(np.arange(len(rep)), size)
+        x, y = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+        if not len(x) or not len(y):
+            return []
+        place = np.empty(len(rep), np.int64)
+        place[x], place[y] = np.arange(len(x)), np.arange(len(y))
+        of_x = side[owner] == 0
+        shared = np.intersect1d(flat[of_x], flat[~of_x])  # the others are in no intersection
+        col = np.minimum(np.searchsorted(shared, flat), max(len(shared) - 1, 0))
+        live = shared[col] == flat if len(shared) else np.zeros(len(flat), bool)
+        both = np.zeros((len(x), len(y)), np.float32)  # counts below 2^24 are exact
+        for k in range(0, len(shared), 2048):
+            part = live & (col >= k) & (col < k + 2048)
+            left, right = np.zeros((len(x), 2048), np.float32), np.zeros((len(y), 2048), np.float32)
+            p, q = part & of_x, part & ~of_x
+            left[place[owner[p]], col[p] - k] = 1
+            right[place[owner[q]], col[q] - k] = 1
+            both += left @ right.T
+        both = both.astype(np.int64)
+        u, v = np.nonzero((100 * both >= percent * (size[x][:, None] + size[y] - both)) & (comp[x][:, None] != comp[y]))
+        return forest(rep[x[u]], rep[y[v]])
+    return work
+
+
+def dealt(rows: DataFrame, group: str, parts: DataFrame) -> DataFrame:
+    """Rows dealt to cells: the block of a row marked ``apart`` (side 0) meets every block of its whole group (side 1).
+
+    ``parts`` has (group, px, py), the numbers of blocks of either side.
+    """
+    r = rows.join(parts, group)
+    block = lambda n: F.pmod(F.xxhash64("rep"), F.col(n))
+    x = r.where("apart").withColumn("j", F.explode(F.sequence(F.lit(0).cast("long"), F.col("py") - 1))).withColumn("i", block("px")).withColumn("side", F.lit(0))
+    y = r.withColumn("i", F.explode(F.sequence(F.lit(0).cast("long"), F.col("px") - 1))).withColumn("j", block("py")).withColumn("side", F.lit(1))
+    both = x.unionByName(y).withColumn("cell", F.xxhash64(group, "i", "j"))
+    return both.drop(group, "i", "j", "px", "py", "apart").repartition("cell").sortWithinPartitions("cell")
+
+
 def flips(x: Column, y: Column) -> Column:
     return sum((F.bit_count(x[k].bitwiseXOR(y[k])) for k in range(1, SKETCH_BITS // 64)), F.bit_count(x[0].bitwiseXOR(y[0])))
 
@@ -161,18 +260,13 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     of = lambda name, out: label.select(F.col("node").alias(name), F.col("component").alias(out))
     bucket = (shared.join(of("rep", "lr"), "rep", "left").join(of("centre", "lc"), "centre", "left")
               .select("band", "rep", F.coalesce("lr", "rep").alias("comp"), F.coalesce("lc", "centre").alias("home")))
-    apart = bucket.where("comp <> home").select("band", "rep", "comp").join(sketch, "rep")
-    apart = saved(apart, "minhash-apart")
-    if not apart.isEmpty():
-        open_bands = apart.select("band").distinct()
-        whole = bucket.join(open_bands, "band", "left_semi").join(sketch, "rep")
-        x, y = apart.alias("x"), whole.alias("y")
-        rest = x.join(y, (F.col("x.band") == F.col("y.band")) & (F.col("x.comp") != F.col("y.comp"))
-                      & ((F.col("x.rep") < F.col("y.rep")) | (F.col("y.comp") == F.col("y.home")))
-                      & (flips(F.col("x.sketch"), F.col("y.sketch")) <= limit))
-        rest = rest.select(F.greatest("x.rep", "y.rep").alias("a"), F.least("x.rep", "y.rep").alias("b")).distinct()
-        rest = saved(rest.join(star, ["a", "b"], "left_anti"), "minhash-rest")
-        links = links.unionAll(confirmed(docs, rest, width, percent))
+    bucket = bucket.withColumn("apart", F.col("comp") != F.col("home"))
+    blocks = lambda n, size: F.ceil(n / size)
+    parts = bucket.groupBy("band").agg(blocks(F.count_if("apart"), CELL).alias("px"), blocks(F.count("*"), CELL).alias("py")).where("px > 0")
+    rows = dealt(bucket.drop("home").join(sketch, "rep"), "band", parts)
+    near = saved(rows.mapInArrow(_cells(_sketch_cell(limit)), "a long, b long").distinct(), "minhash-near")
+    if not near.isEmpty():
+        links = links.unionAll(_across(docs, near, label, width, percent))
         label = components(links)
     found = (member.join(label.select(F.col("node").alias("rep"), "component"), "rep", "left")
              .select("oid", "n", F.coalesce("component", "rep").alias("comp")))
@@ -182,6 +276,25 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
                         (F.col("oid") == F.col("comp")).alias("kept"))
 
 
+def _across(docs: DataFrame, near: DataFrame, label: DataFrame, width: int, percent: int) -> DataFrame:
+    """Links between different components within the groups that ``near(a, b)`` joins, on the full shingle sets."""
+    node = components(near).select(F.col("node").alias("rep"), F.col("component").alias("team"))
+    node = node.join(label.select(F.col("node").alias("rep"), "component"), "rep", "left").select("rep", "team", F.coalesce("component", "rep").alias("comp"))
+    node = saved(node, "minhash-teams")
+    texts = docs.select(doc_key().alias("oid"), "text").join(node.select(F.col("rep").alias("oid")).distinct(), "oid", "left_semi").dropDuplicates(["oid", "text"])
+    sets = saved(texts.mapInArrow(_sets(width), "oid long, shingles array<long>").withColumnRenamed("oid", "rep"), "minhash-sets")
+    rows = node.join(sets.select("rep", F.size("shingles").alias("n")), "rep")
+    count = rows.groupBy("team", "comp").agg(F.count("*").alias("docs"), F.sum("n").alias("words"))
+    most = count.groupBy("team").agg(F.max(F.struct("docs", "comp")).getField("comp").alias("home"))
+    count = count.join(most, "team").groupBy("team", "home").agg(
+        F.sum(F.when(F.col("comp") != F.col("home"), F.col("docs"))).alias("xd"), F.sum(F.when(F.col("comp") != F.col("home"), F.col("words"))).alias("xw"),
+        F.sum("docs").alias("yd"), F.sum("words").alias("yw"))
+    blocks = lambda d, w: F.greatest(F.ceil(F.col(d) / CELL), F.ceil(F.col(w) / CELL_SHINGLES))
+    parts = count.where("xd > 0").select("team", blocks("xd", "xw").alias("px"), blocks("yd", "yw").alias("py"))
+    node = node.join(most, "team").withColumn("apart", F.col("comp") != F.col("home")).drop("home").join(sets, "rep")
+    return saved(dealt(node, "team", parts).mapInArrow(_cells(_exact_cell(percent)), "a long, b long").distinct(), "minhash-across")
+
+
 def _near(pairs: DataFrame, sketch: DataFrame, limit: int) -> DataFrame:
     a = sketch.select(F.col("rep").alias("a"), F.col("sketch").alias("sa"))
     b = sketch.select(F.col("rep").alias("b"), F.col("sketch").alias("sb"))
