@@ -226,7 +226,7 @@ def flips(x: Column, y: Column) -> Column:
 def confirmed(docs: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFrame:
     """The pairs (a, b) of ids whose full shingle sets reach the threshold."""
     ids = pairs.select(F.explode(F.array("a", "b")).alias("oid")).distinct()
-    texts = saved(docs.select(doc_key().alias("oid"), "text").join(ids, "oid", "left_semi").dropDuplicates(["oid", "text"]), "minhash-texts")
+    texts = saved(docs.select(doc_key().alias("oid"), "text").hint("merge").join(ids, "oid", "left_semi").dropDuplicates(["oid", "text"]), "minhash-texts")
     both = (pairs.join(texts.select(F.col("oid").alias("a"), F.col("text").alias("ta")), "a")
             .join(texts.select(F.col("oid").alias("b"), F.col("text").alias("tb")), "b"))
     return both.select("a", "b", "ta", "tb").mapInArrow(_confirm(width, percent), "a long, b long").distinct()
@@ -281,7 +281,7 @@ def _across(docs: DataFrame, near: DataFrame, label: DataFrame, width: int, perc
     node = components(near).select(F.col("node").alias("rep"), F.col("component").alias("team"))
     node = node.join(label.select(F.col("node").alias("rep"), "component"), "rep", "left").select("rep", "team", F.coalesce("component", "rep").alias("comp"))
     node = saved(node, "minhash-teams")
-    texts = docs.select(doc_key().alias("oid"), "text").join(node.select(F.col("rep").alias("oid")).distinct(), "oid", "left_semi").dropDuplicates(["oid", "text"])
+    texts = docs.select(doc_key().alias("oid"), "text").hint("merge").join(node.select(F.col("rep").alias("oid")).distinct(), "oid", "left_semi").dropDuplicates(["oid", "text"])
     sets = saved(texts.mapInArrow(_sets(width), "oid long, shingles array<long>").withColumnRenamed("oid", "rep"), "minhash-sets")
     rows = node.join(sets.select("rep", F.size("shingles").alias("n")), "rep")
     count = rows.groupBy("team", "comp").agg(F.count("*").alias("docs"), F.sum("n").alias("words"))
