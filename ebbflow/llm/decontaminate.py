@@ -35,8 +35,8 @@ WINDOW = 8  # template tokens hashed together
 LITERALS = 4  # of them words, at least: fewer say nothing
 ENOUGH = 13  # tokens an alignment must cover
 LEAST = 5
-#: benchmark tokens or matches that may be broadcast (under 100 bytes each); more are joined by shuffle
-BROADCAST_WINDOWS = 100_000
+#: benchmark tokens or matches that may be broadcast (under 100 bytes each, 50 MB in all); more are joined by shuffle
+BROADCAST_WINDOWS = 500_000
 #: unit words and signs that count as a unit after a number
 UNITS = ("mm cm m km in inch inches ft foot feet yd yard yards mi mile miles mg g kg lb lbs oz pound pounds ton tons ml l liter liters litre "
          "litres gallon gallons s sec second seconds min minute minutes h hr hour hours day days week weeks month months year years cent cents "
