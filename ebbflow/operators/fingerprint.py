@@ -8,7 +8,6 @@ same value whatever its partitioning or row order.
 
 from __future__ import annotations
 
-import hashlib
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -32,9 +31,3 @@ def fingerprint(df: DataFrame) -> DataFrame:
 
 def fingerprint_row(df: DataFrame) -> dict:
     return fingerprint(df).collect()[0].asDict()
-
-
-def shape_fingerprint(n_rows: int, columns: list[str], dtypes: list[str]) -> str:
-    """The metadata-only variant: md5 of shape, names and types."""
-    text = f"{(n_rows, len(columns))}|{columns}|{dtypes}"
-    return hashlib.md5(text.encode()).hexdigest()[:8]

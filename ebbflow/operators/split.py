@@ -122,9 +122,9 @@ def cohort_medium_risk(raw: DataFrame, key: str = "row_id") -> DataFrame:
 
 
 COHORTS = [
-    ("high_risk_customer", "Month-to-month customer with electronic check payment", True, cohort_high_risk),
-    ("low_risk_customer", "Long-term customer with automatic payment", False, cohort_low_risk),
-    ("medium_risk_customer", "One-year contract customer", None, cohort_medium_risk),
+    ("high_risk_customer", "contract Month-to-month, payment Electronic check, churned", True, cohort_high_risk),
+    ("low_risk_customer", "contract of one or two years, automatic payment, over 24 months, not churned", False, cohort_low_risk),
+    ("medium_risk_customer", "contract One year, 12 to 36 months", None, cohort_medium_risk),
 ]
 
 

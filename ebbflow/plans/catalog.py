@@ -4,13 +4,7 @@ from __future__ import annotations
 
 
 def load_all():
-    from . import catalog_prep  # noqa: F401
-    for mod in ("catalog_profile", "catalog_metrics", "catalog_split", "catalog_store",
-                "catalog_models", "catalog_stream", "catalog_monitor"):
-        try:
-            __import__(f"{__package__}.{mod}")
-        except ModuleNotFoundError as e:
-            if e.name != f"{__package__}.{mod}":
-                raise
+    from . import (catalog_metrics, catalog_models, catalog_monitor, catalog_prep,  # noqa: F401
+                   catalog_profile, catalog_split, catalog_store, catalog_stream)
     from .registry import ORACLE, QUERIES
     return QUERIES, ORACLE

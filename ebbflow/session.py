@@ -64,7 +64,8 @@ def work_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     d = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
-        # unset: a local or test session, never a cluster deployment
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         if _LOCAL_WORK is None:
             _LOCAL_WORK = tempfile.mkdtemp(prefix="ebbflow-")
         d = _LOCAL_WORK

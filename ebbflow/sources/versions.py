@@ -17,6 +17,7 @@ from __future__ import annotations
 import datetime as _dt
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -88,7 +89,9 @@ def status(spark: SparkSession, root: str) -> DataFrame:
 def list_versions(spark: SparkSession, root: str, kind: str | None = None) -> DataFrame:
     try:
         v = spark.read.schema(RECORD_SCHEMA).parquet(f"{root.rstrip('/')}/{VERSIONS}")
-    except Exception:  # noqa: BLE001 - no record written yet
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], RECORD_SCHEMA)
     return v.where(F.col("kind") == kind) if kind else v
 
