@@ -105,7 +105,7 @@ def cell_links(rep, many, unit, keys, side, table, cosine):
         return [], [], []
     n = np.bincount(a, many[b], len(rep)) + np.bincount(b, many[a], len(rep))
     linked = np.flatnonzero(n)
-    tree = forest(a, b)
+    tree = forest([(a, b)])
     return linked, n[linked].astype(np.int64), tree
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -16,8 +18,8 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def forest(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
-    """A spanning forest of the links a-b."""
+def forest(links: Iterable[tuple[np.ndarray, np.ndarray]]) -> list[tuple[int, int]]:
+    """A spanning forest of the links a-b, which come in blocks (a, b)."""
     up: dict[int, int] = {}
 
     def root(x: int) -> int:
@@ -26,10 +28,11 @@ def forest(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
             x = p
         return x
     out = []
-    for x, y in zip(a.tolist(), b.tolist()):
-        if (p := root(x)) != (q := root(y)):
-            up[max(p, q)] = min(p, q)
-            out.append((x, y))
+    for a, b in links:
+        for x, y in zip(a.tolist(), b.tolist()):
+            if (p := root(x)) != (q := root(y)):
+                up[max(p, q)] = min(p, q)
+                out.append((x, y))
     return out
 
 

@@ -41,11 +41,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .graph import components, forest, saved
-from .textarrays import NULL_ID, doc_key, lists, mix64, slices, small_batches, span_hash, word_arrays
+from .textarrays import CHUNK_BYTES, NULL_ID, doc_key, lists, mix64, slices, small_batches, span_hash, word_arrays
 
 BANDS, ROWS = 32, 5
 SKETCH_BITS = 512
 CELL, CELL_SHINGLES = 1024, 400_000  # documents, and shingles, of one side of a cell
+CELL_ROWS = 64  # documents of a cell compared at once with its other side
 _FACTORS = mix64(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 _SALTS = mix64(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64))
 SIGNED = "oid long, n long, c1 long, c2 long, bands array<long>, sketch array<long>"
@@ -115,7 +116,7 @@ def _sign(width: int):
 def _confirm(width: int, percent: int):
     def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "ta", 1 << 21):
+            for part in slices(batch, "ta", CHUNK_BYTES // 2):
                 left, right = shingle_sets(part.column("ta"), width), shingle_sets(part.column("tb"), width)
                 ok = []
                 for x, y in zip(left, right):
@@ -166,13 +167,14 @@ def _sketch_cell(limit: int):
         rep, comp, side = (t.column(c).to_numpy() for c in ("rep", "comp", "side"))
         bits = t.column("sketch").chunk(0).flatten().to_numpy().view(np.uint64).reshape(len(rep), -1)
         x, y = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
-        a, b = [], []
-        for k in range(0, len(x), 128):
-            i = x[k: k + 128]
-            p = np.bitwise_count(bits[i][:, None, :] ^ bits[y][None, :, :]).sum(axis=2, dtype=np.int32)
-            u, v = np.nonzero((p <= limit) & (comp[i][:, None] != comp[y]))
-            a.append(rep[i[u]]), b.append(rep[y[v]])
-        return forest(np.concatenate(a), np.concatenate(b)) if a else []
+
+        def links():
+            for k in range(0, len(x), CELL_ROWS):
+                i = x[k: k + CELL_ROWS]
+                p = np.bitwise_count(bits[i][:, None, :] ^ bits[y][None, :, :]).sum(axis=2, dtype=np.int32)
+                u, v = np.nonzero((p <= limit) & (comp[i][:, None] != comp[y]))
+                yield rep[i[u]], rep[y[v]]
+        return forest(links())
     return work
 
 
@@ -200,9 +202,13 @@ def _exact_cell(percent: int):
             left[place[owner[p]], col[p] - k] = 1
             right[place[owner[q]], col[q] - k] = 1
             both += left @ right.T
-        both = both.astype(np.int64)
-        u, v = np.nonzero((100 * both >= percent * (size[x][:, None] + size[y] - both)) & (comp[x][:, None] != comp[y]))
-        return forest(rep[x[u]], rep[y[v]])
+
+        def links():
+            for k in range(0, len(x), CELL_ROWS):
+                i, n = x[k: k + CELL_ROWS], both[k: k + CELL_ROWS].astype(np.int64)
+                u, v = np.nonzero((100 * n >= percent * (size[i][:, None] + size[y] - n)) & (comp[i][:, None] != comp[y]))
+                yield rep[i[u]], rep[y[v]]
+        return forest(links())
     return work
 
 
