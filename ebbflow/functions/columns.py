@@ -7,8 +7,6 @@ Null handling follows pandas semantics, spelled out per function.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -119,10 +117,6 @@ def onehot(col: Column, value: str) -> Column:
     return flag(col == value)
 
 
-def any_of(conds: list[Column]) -> Column:
-    return reduce(lambda a, b: a | b, conds)
-
-
 # ------------------------------------------------------------------ moments
 def sample_skewness(col: Column) -> Column:
     """Bias-corrected skewness G1 (pandas ``skew``), null below 3 values."""

@@ -17,8 +17,9 @@ from pyspark.sql import functions as F
 
 from ..functions import columns as X
 from ..functions import constants as K
+from .ordered import exact_quantiles
 
-MAX_CATEGORIES = 10_000  # one-hot width guard: fail loudly, never truncate
+MAX_CATEGORIES = 10_000  # default of ``max_categories``: a column with more cannot become one-hot columns
 
 
 def _has(df: DataFrame, *cols: str) -> bool:
@@ -59,24 +60,46 @@ class ImputeState:
     payment_mode: str | None = None
 
 
+def _median(df: DataFrame, value) -> float | None:
+    """Exact median (linear interpolation) without a per-task map of values."""
+    row = exact_quantiles(df.select(value.alias("value")), [], "value", [0.5], names=["med"]).collect()[0]
+    return row["med"]
+
+
+def _category_counts(df: DataFrame, cols: dict, max_categories: int) -> dict[str, dict]:
+    """``{name: {value: rows}}`` (null included) by one (column, value)
+    grouping.  At most ``max_categories`` values a column come to the
+    driver: the read stops one row beyond that and a wider column raises."""
+    if not cols:
+        return {}
+    long = df.select(F.explode(F.array(*[F.struct(F.lit(n).alias("c"), e.cast("string").alias("v"))
+                                         for n, e in cols.items()])).alias("s")).select("s.*")
+    rows = long.groupBy("c", "v").agg(F.count(F.lit(1)).alias("n")).limit((max_categories + 1) * len(cols) + 1).collect()
+    out: dict[str, dict] = {n: {} for n in cols}
+    for r in rows:
+        out[r["c"]][r["v"]] = r["n"]
+    for n, v in out.items():
+        if len(v) - (None in v) > max_categories:
+            raise ValueError(f"column {n!r} has more than {max_categories} categories; too wide to one-hot")
+    return out
+
+
+def _mode(counts: dict) -> str:
+    """Most frequent non-null value (ties: smallest), else the fixed fallback."""
+    return min((v for v in counts if v is not None), key=lambda v: (-counts[v], v), default=K.PAYMENT_FALLBACK)
+
+
 def fit_impute(df: DataFrame) -> ImputeState:
-    """Median tenure (exact, linear interpolation) and most frequent
-    payment method (ties -> smallest value; nothing to count -> the fixed
-    fallback), both from one aggregate.  ``percentile`` keeps a counter per
-    distinct tenure value (a month count: a small domain)."""
+    """Median tenure (exact) and most frequent payment method.  The mode is
+    the top row of the value counts, so any number of values is fine."""
     st = ImputeState()
-    aggs = []
     if _has(df, "months_with_provider"):
-        aggs.append(F.percentile(X.num(X.c("months_with_provider")), 0.5).alias("med"))
+        st.tenure_median = _median(df, X.num(X.c("months_with_provider")))
     if _has(df, "payment_method"):
-        aggs.append(F.mode(X.c("payment_method"), True).alias("mode"))
-    if not aggs:
-        return st
-    row = df.agg(*aggs).collect()[0]
-    if _has(df, "months_with_provider"):
-        st.tenure_median = row["med"]
-    if _has(df, "payment_method"):
-        st.payment_mode = row["mode"] if row["mode"] is not None else K.PAYMENT_FALLBACK
+        p = X.c("payment_method")
+        top = (df.where(p.isNotNull()).groupBy(p.alias("v")).agg(F.count(F.lit(1)).alias("n"))
+               .orderBy(F.col("n").desc(), F.col("v").asc()).limit(1).collect())
+        st.payment_mode = top[0]["v"] if top else K.PAYMENT_FALLBACK
     return st
 
 
@@ -148,24 +171,13 @@ class EncodeState:
         return names
 
 
-def fit_encode(df: DataFrame) -> EncodeState:
-    """Sorted distinct non-null values of each one-hot column, one pass.
-
-    Per-task sets hold the distinct values only, so the collected result is
-    bounded by the category count; a column above ``MAX_CATEGORIES`` raises
-    instead of being truncated.
-    """
+def fit_encode(df: DataFrame, max_categories: int = MAX_CATEGORIES) -> EncodeState:
+    """Sorted distinct non-null values of each one-hot column, one grouping;
+    a column with more than ``max_categories`` values raises, it is never
+    truncated."""
     cols = [c for c in K.ONEHOT_COLUMNS if c in df.columns]
-    if not cols:
-        return EncodeState()
-    row = df.agg(*[F.array_sort(F.collect_set(X.c(c))).alias(c) for c in cols]).collect()[0]
-    cats = {}
-    for c in cols:
-        vals = list(row[c] or [])
-        if len(vals) > MAX_CATEGORIES:
-            raise ValueError(f"column {c!r} has {len(vals)} categories; too wide to one-hot")
-        cats[c] = vals
-    return EncodeState(cats)
+    counts = _category_counts(df, {c: X.c(c) for c in cols}, max_categories)
+    return EncodeState({c: sorted(v for v in counts[c] if v is not None) for c in cols})
 
 
 def encode_exprs(df: DataFrame, st: EncodeState, skip: tuple[str, ...] = ()) -> list:
@@ -212,49 +224,33 @@ def _tenure_label(t: float | None) -> str:
     return K.TENURE_MISSING
 
 
-def fit_features(raw: DataFrame) -> FeatureState:
-    """Fit median, mode and every category list in ONE aggregate over the
-    cleaned table (one scan instead of one per statistic).
-
-    * median: Spark's exact ``percentile`` (linear interpolation, pandas
-      semantics); it keeps one counter per distinct tenure value, and tenure
-      is a month count, so that map is small whatever the row count;
-    * mode: ``mode(c, deterministic)`` — ties to the smallest value;
-    * categories after imputation follow from the raw sets: the imputed
-      value joins its column's set when that column had nulls.
-    The result equals fitting impute then encode in sequence."""
+def fit_features(raw: DataFrame, max_categories: int = MAX_CATEGORIES) -> FeatureState:
+    """Fit median, mode and every category list over the cleaned table: one
+    exact quantile and one (column, value) grouping.  Categories after
+    imputation follow from the raw ones: the imputed value joins its
+    column's list when that column had nulls.  The result equals fitting
+    impute then encode in sequence."""
     cleaned = clean_all(raw)
-    has_t, has_p = _has(cleaned, "months_with_provider"), _has(cleaned, "payment_method")
-    aggs = []
+    exprs = {c: X.c(c) for c in K.ONEHOT_COLUMNS if c in cleaned.columns}
+    has_t = _has(cleaned, "months_with_provider")
     if has_t:
         t = X.num(X.c("months_with_provider"))
-        aggs += [F.percentile(t, 0.5).alias("_med"), F.count_if(t.isNull()).alias("_tn"),
-                 F.array_sort(F.collect_set(F.when(t.isNotNull(), X.tenure_group(t)))).alias("_cat_tenure_group")]
-    if has_p:
-        p = X.c("payment_method")
-        aggs += [F.mode(p, True).alias("_mode"), F.count_if(p.isNull()).alias("_pn")]
-    plain = [c for c in K.ONEHOT_COLUMNS if c != "tenure_group" and c in cleaned.columns]
-    aggs += [F.array_sort(F.collect_set(X.c(c))).alias(f"_cat_{c}") for c in plain]
-    row = cleaned.agg(*aggs).collect()[0] if aggs else None
+        exprs["tenure_group"] = F.when(t.isNotNull(), X.tenure_group(t))
+    counts = _category_counts(cleaned, exprs, max_categories)
     imp = ImputeState()
-    cats: dict[str, list[str]] = {}
     if has_t:
-        imp.tenure_median = row["_med"]
-        tg = set(row["_cat_tenure_group"] or [])
-        if row["_tn"]:
-            tg.add(_tenure_label(imp.tenure_median))
-        cats["tenure_group"] = tg
-    if has_p:
-        imp.payment_mode = row["_mode"] if row["_mode"] is not None else K.PAYMENT_FALLBACK
-    for c in plain:
-        vals = set(row[f"_cat_{c}"] or [])
-        if c == "payment_method" and row["_pn"]:
+        imp.tenure_median = _median(cleaned, t)
+    if "payment_method" in counts:
+        imp.payment_mode = _mode(counts["payment_method"])
+    cats = {}
+    for c, v in counts.items():
+        vals = set(v) - {None}
+        if None in v and c == "payment_method":
             vals.add(imp.payment_mode)
-        cats[c] = vals
-    for c, v in cats.items():
-        if len(v) > MAX_CATEGORIES:
-            raise ValueError(f"column {c!r} has {len(v)} categories; too wide to one-hot")
-    enc = EncodeState({c: sorted(cats[c]) for c in K.ONEHOT_COLUMNS if c in cats})
+        if None in v and c == "tenure_group":
+            vals.add(_tenure_label(imp.tenure_median))
+        cats[c] = sorted(vals)
+    enc = EncodeState({c: cats[c] for c in K.ONEHOT_COLUMNS if c in cats})
     eng_cols = engineer_features(transform_impute(cleaned, imp), keep=("row_id",)).columns
     base = [c for c in eng_cols if c not in (K.LABEL, "row_id")]
     return FeatureState(imp, enc, enc.feature_names(base))

@@ -1,12 +1,15 @@
 """Classification metrics over a scored table ``(row_id, y, p)``.
 
 Scale notes
-* Threshold metrics are one pass with partial aggregation: each row is
-  mapped to the number of grid thresholds it clears (0..16), so the sweep
-  shuffles at most 17 x 2 counts per task and never multiplies rows.
+* Threshold metrics are one aggregate of conditional counts (four per grid
+  threshold); rows are never multiplied.
 * Ranking metrics (ROC-AUC, PR-AUC, curves) first collapse to one row per
   distinct score, then use ``ordered.ordered_prefix`` for running sums, so
   no single task sees the whole score table.
+
+Rows whose score is null or NaN, or whose label is null, are unscored: no
+metric counts them, and ``confusion`` and ``prediction_match_rate`` report
+how many there are.
 """
 
 from __future__ import annotations
@@ -15,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import constants as K
-from ..functions.columns import safe_div
+from ..functions.columns import num, safe_div
 from .ordered import ordered_prefix
 
 
@@ -36,14 +39,29 @@ def _y(df: DataFrame, y: str) -> F.Column:
     return F.col(y).cast("int")
 
 
+def _p(p: str) -> F.Column:
+    return num(F.col(p).cast("double"))
+
+
+def _unscored(y: str, p: str) -> F.Column:
+    return _p(p).isNull() | F.col(y).isNull()
+
+
+def known(scored: DataFrame, y: str = "y", p: str = "p") -> DataFrame:
+    """The rows that metrics count: score and label both present."""
+    return scored.where(~_unscored(y, p))
+
+
 def confusion(scored: DataFrame, threshold: float = K.THRESHOLD_DEFAULT,
               y: str = "y", p: str = "p") -> DataFrame:
-    """TN, FP, FN, TP with the class predicted as ``p >= threshold``."""
-    pred = F.col(p) >= F.lit(float(threshold))
+    """TN, FP, FN, TP with the class predicted as ``p >= threshold``, and the
+    rows in none of them (``n_unscored``)."""
+    pred = _p(p) >= F.lit(float(threshold))
     pos = _y(scored, y) == 1
     return scored.agg(
         F.count_if(~pos & ~pred).alias("tn"), F.count_if(~pos & pred).alias("fp"),
-        F.count_if(pos & ~pred).alias("fn"), F.count_if(pos & pred).alias("tp"))
+        F.count_if(pos & ~pred).alias("fn"), F.count_if(pos & pred).alias("tp"),
+        F.count_if(_unscored(y, p)).alias("n_unscored"))
 
 
 def _prf(tn, fp, fn, tp) -> list:
@@ -63,14 +81,14 @@ def accuracy_prf(scored: DataFrame, threshold: float = K.THRESHOLD_DEFAULT,
 
 
 def brier(scored: DataFrame, y: str = "y", p: str = "p") -> DataFrame:
-    return scored.agg(F.avg(F.pow(F.col(p) - _y(scored, y), 2)).alias("brier_score"))
+    return scored.agg(F.avg(F.pow(_p(p) - _y(scored, y), 2)).alias("brier_score"))
 
 
 def score_groups(scored: DataFrame, keys: tuple[str, ...] = (), y: str = "y",
                  p: str = "p") -> DataFrame:
     """One row per distinct score (per key): positives and negatives."""
     pos = _y(scored, y) == 1
-    return (scored.groupBy(*keys, F.col(p).cast("double").alias("score"))
+    return (known(scored, y, p).groupBy(*keys, F.col(p).cast("double").alias("score"))
             .agg(F.count_if(pos).alias("pos"), F.count_if(~pos).alias("neg")))
 
 
@@ -149,12 +167,12 @@ def classification_report(scored: DataFrame, threshold: float = K.THRESHOLD_DEFA
 def evaluate_model(scored: DataFrame, threshold: float = K.THRESHOLD_DEFAULT,
                    y: str = "y", p: str = "p") -> DataFrame:
     """All headline metrics in one row (confusion, PRF, Brier, AUCs)."""
-    pred = F.col(p) >= F.lit(float(threshold))
+    pred = _p(p) >= F.lit(float(threshold))
     pos = _y(scored, y) == 1
     point = scored.agg(
         F.count_if(~pos & ~pred).alias("true_negatives"), F.count_if(~pos & pred).alias("false_positives"),
         F.count_if(pos & ~pred).alias("false_negatives"), F.count_if(pos & pred).alias("true_positives"),
-        F.avg(F.pow(F.col(p) - _y(scored, y), 2)).alias("brier_score"))
+        F.avg(F.pow(_p(p) - _y(scored, y), 2)).alias("brier_score"))
     auc = ranking_auc(scored, (), y, p).select("roc_auc", "pr_auc")
     tn, fp, fn, tp = (F.col(c) for c in ("true_negatives", "false_positives",
                                          "false_negatives", "true_positives"))
@@ -174,7 +192,7 @@ def threshold_sweep(scored: DataFrame, grid: list[float] | None = None,
     exploded into one row per threshold.  No join, no row multiplication."""
     grid = grid or K.threshold_grid()
     pos = _y(scored, y) == 1
-    pv = F.col(p)
+    pv = _p(p)
     aggs = []
     for i, t in enumerate(grid):
         hit = pv >= F.lit(float(t))
@@ -229,7 +247,7 @@ def confidence_segments(scored: DataFrame, y: str = "y", p: str = "p") -> DataFr
         if hi is not None:
             cond = cond & (s < hi)
         expr = F.when(cond, name) if expr is None else expr.when(cond, name)
-    stats = (scored.groupBy(expr.alias("segment"))
+    stats = (known(scored, y, p).groupBy(expr.alias("segment"))
              .agg(F.count(F.lit(1)).alias("count"), F.avg(_y(scored, y)).alias("actual_churn_rate"),
                   F.avg(s).alias("predicted_churn_rate")))
     names = scored.sparkSession.createDataFrame(
@@ -287,7 +305,7 @@ def score_histogram(scored: DataFrame, bins: int = K.HISTOGRAM_BINS, y: str = "y
     """30 equal-width bins of ``p`` per true class (each class its own
     range): the classes are the series of one long-table histogram."""
     from .profile import histogram_long
-    long = scored.select(F.col(y).cast("string").alias("column_name"), F.col(p).cast("double").alias("value"))
+    long = known(scored, y, p).select(F.col(y).cast("string").alias("column_name"), F.col(p).cast("double").alias("value"))
     h = histogram_long(long, bins)
     return h.select(F.col("column_name").cast("int").alias(y), "bin", "bin_lo", "bin_hi", "count")
 
@@ -311,18 +329,24 @@ def quality_gates(scored: DataFrame, y: str = "y", p: str = "p") -> DataFrame:
 
 def predict_threshold(scored: DataFrame, threshold: float = K.THRESHOLD_DEFAULT,
                       p: str = "p") -> DataFrame:
-    return scored.select("row_id", F.col(p).alias("probability"),
-                         (F.col(p) >= F.lit(float(threshold))).cast("int").alias("prediction"))
+    """``row_id``, probability and class; both null for an unscored row."""
+    return scored.select("row_id", _p(p).alias("probability"),
+                         (_p(p) >= F.lit(float(threshold))).cast("int").alias("prediction"))
 
 
 def prediction_match_rate(scored: DataFrame, threshold: float = K.THRESHOLD_DEFAULT,
                           y: str = "y", p: str = "p") -> DataFrame:
-    hit = ((F.col(p) >= F.lit(float(threshold))).cast("int") == _y(scored, y))
-    return scored.agg(F.count(F.lit(1)).alias("n"), F.count_if(hit).alias("n_match"),
-                      F.avg(hit.cast("double")).alias("match_rate"))
-
-
-def segment_auc(scored: DataFrame, segment: str, y: str = "y", p: str = "p") -> DataFrame:
-    """N and ROC-AUC per segment value (null segments dropped)."""
-    s = scored.where(F.col(segment).isNotNull())
-    return ranking_auc(s, (segment,), y, p).select(segment, "n", "roc_auc", "pr_auc")
+    """Share of the scored rows whose predicted class is the label."""
+    hit = ((_p(p) >= F.lit(float(threshold))).cast("int") == _y(scored, y))
+    return scored.agg(F.count(hit).alias("n"), F.count_if(hit).alias("n_match"),
+                      F.avg(hit.cast("double")).alias("match_rate"), F.count_if(_unscored(y, p)).alias("n_unscored"))
+
+
+def segment_auc(scored: DataFrame, segments: dict[str, F.Column], y: str = "y", p: str = "p") -> DataFrame:
+    """N, ROC-AUC and PR-AUC per (dimension, segment): ``segments`` names
+    each dimension with the text of a row's segment (null: in none).  All
+    dimensions in one grouped pass."""
+    long = scored.select(F.col(y), F.col(p), F.explode(F.array(*[
+        F.struct(F.lit(d).alias("dimension"), s.cast("string").alias("segment")) for d, s in segments.items()
+    ])).alias("s")).select(y, p, "s.*").where(F.col("segment").isNotNull())
+    return ranking_auc(long, ("dimension", "segment"), y, p).select("dimension", "segment", "n", "roc_auc", "pr_auc")

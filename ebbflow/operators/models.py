@@ -13,11 +13,10 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import constants as K
-from ..functions.columns import safe_div
 from .metrics import ranking_auc
 
 WEIGHT = "_w"
@@ -71,15 +70,26 @@ def fit_model(train: DataFrame, feature_names: list[str], kind: str = "random_fo
 
 
 def score(model: PipelineModel, df: DataFrame, key: str = "row_id", label: str | None = K.LABEL) -> DataFrame:
-    """``key, y, p``: probability of class 1 (``y`` only if labelled)."""
+    """``key, y, p``: probability of class 1 (``y`` only if labelled); null
+    where a feature is missing."""
     out = model.transform(df)
     cols = [F.col(key)]
     if label and label in df.columns:
         cols.append(F.col(label).cast("int").alias("y"))
-    cols.append(vector_to_array("probability")[1].alias("p"))
+    cols.append(probability(model).alias("p"))
     return out.select(*cols)
 
 
+def probability(model: PipelineModel) -> Column:
+    """Probability of class 1 in the model's output, null where one of its
+    features is null or NaN (batch and stream share this rule)."""
+    whole = F.lit(True)
+    for c in model.stages[0].getInputCols():
+        v = F.col(f"`{c}`")
+        whole = whole & v.isNotNull() & ~F.isnan(v.cast("double"))
+    return F.when(whole, vector_to_array("probability")[1])
+
+
 def coefficients(model: PipelineModel, feature_names: list[str]) -> DataFrame:
     """Logistic coefficients (on the scaled features) plus the intercept."""
     lr = model.stages[-1]
@@ -128,30 +138,29 @@ def kfold_train(folded: DataFrame, feature_names: list[str], kind: str = "logist
     return per.unionByName(mean).unionByName(std)
 
 
-def platt_calibrate(scored: DataFrame, y: str = "y", p: str = "p") -> DataFrame:
-    """One-feature logistic fit of ``y`` on the logit of ``p`` (held-out
-    scores), returning calibrated ``p_cal``."""
+def _logit(scored: DataFrame, p: str) -> DataFrame:
     eps = 1e-6
     pc = F.least(F.greatest(F.col(p), F.lit(eps)), F.lit(1 - eps))
-    d = scored.withColumn("_logit", F.log(pc / (1 - pc)))
-    asm = VectorAssembler(inputCols=["_logit"], outputCol="_f")
-    lr = LogisticRegression(featuresCol="_f", labelCol=y, regParam=0.0, maxIter=100)
-    m = Pipeline(stages=[asm, lr]).fit(d)
-    return m.transform(d).select(*[c for c in scored.columns],
-                                 vector_to_array("probability")[1].alias("p_cal"))
+    return scored.withColumn("_logit", F.when(F.col(p).isNotNull(), F.log(pc / (1 - pc))))  # least() skips nulls
 
 
-def load_model(path: str) -> PipelineModel:
-    return PipelineModel.load(path)
+def fit_platt(scored: DataFrame, y: str = "y", p: str = "p") -> PipelineModel:
+    """One-feature logistic fit of ``y`` on the logit of ``p`` over rows the
+    scoring model has not learned from; save and load it as any pipeline."""
+    known = scored.where(F.col(p).isNotNull() & F.col(y).isNotNull())
+    return Pipeline(stages=[
+        VectorAssembler(inputCols=["_logit"], outputCol="_f", handleInvalid="keep"),
+        LogisticRegression(featuresCol="_f", labelCol=y, regParam=0.0, maxIter=100)]).fit(_logit(known, p))
 
 
-def prf_at(scored: DataFrame, threshold: float) -> DataFrame:
-    pred = F.col("p") >= F.lit(float(threshold))
-    pos = F.col("y") == 1
-    c = scored.agg(F.count_if(pos & pred).alias("tp"), F.count_if(~pos & pred).alias("fp"),
-                   F.count_if(pos & ~pred).alias("fn"))
-    return c.select(safe_div(F.col("tp"), F.col("tp") + F.col("fp")).alias("precision"),
-                    safe_div(F.col("tp"), F.col("tp") + F.col("fn")).alias("recall"))
+def apply_platt(calibrator: PipelineModel, scored: DataFrame, p: str = "p") -> DataFrame:
+    """Add the calibrated ``p_cal`` (null where ``p`` is)."""
+    out = calibrator.transform(_logit(scored, p))
+    return out.select(*scored.columns, probability(calibrator).alias("p_cal"))
+
+
+def load_model(path: str) -> PipelineModel:
+    return PipelineModel.load(path)
 
 
 def standard_scale(df: DataFrame, cols: list[str], keep: tuple[str, ...] = ()) -> DataFrame:

@@ -85,17 +85,14 @@ def fit_target_encoding(train: DataFrame, cols: list[str], label: str = K.LABEL,
 
 def apply_target_encoding(df: DataFrame, enc: DataFrame, cols: list[str], label: str = K.LABEL) -> DataFrame:
     """Add ``<col>_te``; unseen values and nulls take the fitted prior.  The
-    encoding table has one row per category; it is broadcast only when its
-    row count is within ``MAX_CATEGORIES``, else a shuffle join is used."""
-    from .features import MAX_CATEGORIES
-    small = enc.count() <= MAX_CATEGORIES
+    encoding table has one row per category; AQE picks the join."""
     first = enc.select("prior").limit(1).collect()
     prior = first[0][0] if first else None
     out = df
     for c in cols:
         e = enc.where(F.col("column_name") == c).select(F.col("value").alias(f"_v_{c}"),
                                                         F.col("encoding").alias(f"{c}_te"))
-        out = out.join(F.broadcast(e) if small else e, X.c(c) == F.col(f"_v_{c}"), "left").drop(f"_v_{c}")
+        out = out.join(e, X.c(c) == F.col(f"_v_{c}"), "left").drop(f"_v_{c}")
     if prior is not None:
         for c in cols:
             out = out.withColumn(f"{c}_te", F.coalesce(F.col(f"{c}_te"), F.lit(float(prior))))

@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from itertools import combinations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -46,14 +46,12 @@ def dtype_name(dt: T.DataType) -> str:
     return _DTYPE_NAMES.get(type(dt), dt.simpleString())
 
 
-def _stack(row_exprs: list[tuple[str, list]], names: list[str]) -> list:
-    """Helper: ``stack`` expression turning one wide row into tidy rows."""
-    n = len(row_exprs)
-    args = []
-    for label, vals in row_exprs:
-        args.append(F.lit(label))
-        args += vals
-    return [F.expr("1").alias("_"), n, args, names]
+def _cell(df: DataFrame, name: str) -> Column:
+    """A cell as it is counted: NaN is missing and ``-0.0`` equals ``0.0``."""
+    dt = df.schema[name].dataType
+    if isinstance(dt, (T.DoubleType, T.FloatType)):
+        return (X.num(X.c(name)) + F.lit(0.0)).cast(dt)
+    return X.c(name)
 
 
 def _long_numeric(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -75,7 +73,7 @@ def value_frequencies(df: DataFrame, cols: list[str] | None = None,
     """(column, value, n, label_sum) over non-null values: one shuffle."""
     cols = cols or df.columns
     lab = label if label and label in df.columns else None
-    structs = [F.struct(F.lit(c).alias("column_name"), X.c(c).cast("string").alias("value"))
+    structs = [F.struct(F.lit(c).alias("column_name"), _cell(df, c).cast("string").alias("value"))
                for c in cols]
     base = df.select(F.explode(F.array(*structs)).alias("s"),
                      *( [X.c(lab).alias("_y")] if lab else []))
@@ -98,7 +96,7 @@ def null_counts(df: DataFrame) -> DataFrame:
          for i, f in enumerate(fields)],
         "column_name string, position int, kind string, dtype string")
     nulls = df.agg(F.count(F.lit(1)).alias("_rows"),
-                   *[F.count_if(X.c(f.name).isNull()).alias(f"n{i}")
+                   *[F.count_if(_cell(df, f.name).isNull()).alias(f"n{i}")
                      for i, f in enumerate(fields)])
     nulls_long = nulls.select("_rows", F.explode(F.array(*[
         F.struct(F.lit(f.name).alias("column_name"), F.col(f"n{i}").alias("n_null"))
@@ -107,39 +105,16 @@ def null_counts(df: DataFrame) -> DataFrame:
     return F.broadcast(info).join(nulls_long, "column_name")
 
 
-EXACT_DISTINCT_MAX = 1_000_000  # above this (approximate) cardinality, report the HLL estimate
-
-
-def column_profile(df: DataFrame, vf: DataFrame | None = None,
-                   exact_max: int = EXACT_DISTINCT_MAX) -> DataFrame:
-    """Per column: position, kind, dtype, rows, distinct and null counts.
-
-    Distinct counts are exact for every column whose HyperLogLog estimate
-    (one pass, sketches only) is at most ``exact_max``; id-like columns
-    above it report the estimate (``distinct_exact`` false) instead of
-    shuffling every distinct value.  ``vf`` is an optional precomputed
-    ``value_frequencies`` table (its counts are exact for all columns)."""
-    fields = df.schema.fields
-    num = set(numeric_columns(df))
-    # one pass: row count, null counts and HLL estimates of every column
-    row = df.agg(F.count(F.lit(1)).alias("_rows"),
-                 *[F.count_if(X.c(f.name).isNull()).alias(f"n{i}") for i, f in enumerate(fields)],
-                 *[F.approx_count_distinct(X.c(f.name)).alias(f"a{i}") for i, f in enumerate(fields)]).collect()[0]
-    exact_cols = [f.name for i, f in enumerate(fields) if vf is not None or row[f"a{i}"] <= exact_max]
-    info = df.sparkSession.createDataFrame(
-        [(f.name, i, "numeric" if f.name in num else "categorical", dtype_name(f.dataType), int(row["_rows"]),
-          int(row[f"n{i}"]), f.name in exact_cols, int(row[f"a{i}"])) for i, f in enumerate(fields)],
-        "column_name string, position int, kind string, dtype string, n_rows bigint, n_null bigint, "
-        "distinct_exact boolean, n_estimate bigint")
-    if exact_cols:
-        vf = vf if vf is not None else value_frequencies(df, exact_cols, label=None)
-        exact = vf.groupBy("column_name").agg(F.count(F.lit(1)).alias("n_exact"))
-        info = F.broadcast(info).join(exact, "column_name", "left")  # one row per column
-    else:
-        info = info.withColumn("n_exact", F.lit(None).cast("bigint"))
-    n_distinct = F.when(F.col("distinct_exact"), F.coalesce(F.col("n_exact"), F.lit(0))).otherwise(F.col("n_estimate"))
-    return info.select("column_name", "position", "kind", "dtype", "n_rows", n_distinct.cast("bigint").alias("n_distinct"),
-                       "n_null", "distinct_exact")
+def column_profile(df: DataFrame, vf: DataFrame | None = None) -> DataFrame:
+    """Per column: position, kind, dtype, rows, exact distinct and null
+    counts, whatever the cardinality: values are grouped by (column, value)
+    and the groups counted.  ``vf`` is an optional precomputed
+    ``value_frequencies`` table of all columns."""
+    vf = vf if vf is not None else value_frequencies(df, label=None)
+    distinct = vf.groupBy("column_name").agg(F.count(F.lit(1)).alias("_d"))  # one row per column
+    return (null_counts(df).join(F.broadcast(distinct), "column_name", "left")
+            .select("column_name", "position", "kind", "dtype", "n_rows",
+                    F.coalesce(F.col("_d"), F.lit(0)).cast("bigint").alias("n_distinct"), "n_null"))
 
 
 def dtype_counts(df: DataFrame) -> DataFrame:
@@ -149,14 +124,26 @@ def dtype_counts(df: DataFrame) -> DataFrame:
         F.sum(F.col("n_rows") - F.col("n_null")).cast("bigint").alias("n_values"))
 
 
-def binary_columns(df: DataFrame, vf: DataFrame | None = None) -> DataFrame:
-    """Columns with exactly two distinct non-null values."""
-    return column_profile(df, vf).where(F.col("n_distinct") == 2).select("column_name", "position")
-
-
-def missing_values(df: DataFrame, vf: DataFrame | None = None) -> DataFrame:
-    """Null count and percent for columns with at least one null (null
-    counts only: one aggregate)."""
+def binary_columns(df: DataFrame) -> DataFrame:
+    """Columns with exactly two distinct non-null values: the smallest and
+    the largest differ and no cell lies between them.  Two aggregates of
+    one row each; no value is shuffled."""
+    fields = [f for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    ends = df.agg(*[e for i, f in enumerate(fields) for e in (
+        F.min(_cell(df, f.name)).alias(f"lo{i}"), F.max(_cell(df, f.name)).alias(f"hi{i}"))]).collect()[0]
+    two = [(i, f) for i, f in enumerate(fields) if ends[f"lo{i}"] != ends[f"hi{i}"]]
+    found = []
+    if two:
+        between = df.agg(*[F.count_if((_cell(df, f.name) != F.lit(ends[f"lo{i}"]).cast(f.dataType))
+                                      & (_cell(df, f.name) != F.lit(ends[f"hi{i}"]).cast(f.dataType))).alias(f"b{i}")
+                           for i, f in two]).collect()[0]
+        found = [f.name for i, f in two if between[f"b{i}"] == 0]
+    return df.sparkSession.createDataFrame([(c, df.columns.index(c)) for c in found], "column_name string, position int")
+
+
+def missing_values(df: DataFrame) -> DataFrame:
+    """Missing cells (null or NaN) and their percent for columns that have
+    any (one aggregate)."""
     p = null_counts(df)
     return (p.select("column_name", "position", F.col("n_null").alias("n_missing"),
                      F.try_divide(F.col("n_null") * 100.0, F.col("n_rows")).alias("pct_missing"),
@@ -194,7 +181,8 @@ def numeric_stats(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
 
 def outliers_iqr(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     """Values strictly outside [Q1 - 1.5 IQR, Q3 + 1.5 IQR]; percent over
-    the non-null count.  Fences (one row per column) are broadcast."""
+    the non-null count.  Fences (one row per column) are broadcast.  A
+    column without values has 0 outliers and a null percent."""
     cols = cols or numeric_columns(df)
     long = _long_numeric(df, cols).where(F.col("value").isNotNull())
     q = exact_quantiles(long, ["column_name"], "value", [0.25, 0.75], names=["q1", "q3"])
@@ -208,8 +196,8 @@ def outliers_iqr(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
            .agg(F.count(F.lit(1)).alias("n"),
                 F.count_if((F.col("value") < F.col("lower")) | (F.col("value") > F.col("upper")))
                 .alias("n_outliers")))
-    return (out.join(F.broadcast(pos), "column_name")
-            .select("column_name", "position", F.col("n_outliers").cast("bigint").alias("n_outliers"),
+    return (pos.join(F.broadcast(out), "column_name", "left")
+            .select("column_name", "position", F.coalesce(F.col("n_outliers"), F.lit(0)).cast("bigint").alias("n_outliers"),
                     (F.col("n_outliers") * 100.0 / F.col("n")).alias("pct_outliers")))
 
 
@@ -289,11 +277,7 @@ def box_stats(df: DataFrame, cols: tuple[str, ...] = ("monthly_fee", "months_wit
                   (F.col("q1") - K.IQR_FACTOR * iqr).alias("_lo"),
                   (F.col("q3") + K.IQR_FACTOR * iqr).alias("_hi"))
     v = F.col("value")
-    fences = qf.select("column_name", "grp", "_lo", "_hi")
-    # one row per (column, group): broadcast only when that is small
-    from .features import MAX_CATEGORIES
-    if fences.count() <= MAX_CATEGORIES:
-        fences = F.broadcast(fences)
+    fences = qf.select("column_name", "grp", "_lo", "_hi")  # joined as AQE sees fit
     agg = (long.join(fences, ["column_name", "grp"])
            .groupBy("column_name", "grp")
            .agg(F.min(F.when(v >= F.col("_lo"), v)).alias("whisker_low"),
@@ -352,22 +336,20 @@ def churn_summary(df: DataFrame, label: str = K.LABEL) -> DataFrame:
                   (F.count(F.lit(1)) - F.sum(y)).cast("bigint").alias("retained_count"))
 
 
-def churn_feature_columns(df: DataFrame, label: str = K.LABEL) -> list[str]:
+def churn_feature_columns(df: DataFrame, label: str = K.LABEL, vf: DataFrame | None = None) -> list[str]:
     """Text/bool columns, or numeric ones with fewer than 10 distinct values,
-    excluding the label and the two id columns.  One cardinality pass over
-    the numeric candidates (approximate pre-filter, exact check after)."""
+    excluding the label and the two id columns.  The distinct counts come
+    from ``vf`` when given, else from one (column, value) grouping."""
     skip = set(K.CHURN_BY_FEATURE_SKIP) | {label}
     cat = [c for c in categorical_columns(df) if c not in skip]
     nums = [c for c in numeric_columns(df) if c not in skip]
     keep_num = []
     if nums:
-        row = df.agg(*[F.approx_count_distinct(X.c(c)).alias(f"a{i}")
-                       for i, c in enumerate(nums)]).collect()[0]
-        cand = [c for i, c in enumerate(nums) if row[f"a{i}"] < 20]
-        if cand:
-            exact = df.agg(*[F.count_distinct(X.c(c)).alias(f"e{i}")
-                             for i, c in enumerate(cand)]).collect()[0]
-            keep_num = [c for i, c in enumerate(cand) if exact[f"e{i}"] < 10]
+        freq = vf if vf is not None else value_frequencies(df, nums, label=None)
+        n = (freq.where(F.col("column_name").isin(*nums)).groupBy("column_name")
+             .agg(F.count(F.lit(1)).alias("d")).collect())  # one row per column
+        many = {r["column_name"] for r in n if r["d"] >= 10}
+        keep_num = [c for c in nums if c not in many]
     return [c for c in df.columns if c in set(cat) | set(keep_num)]
 
 
@@ -397,25 +379,9 @@ def key_feature_report(df: DataFrame, label: str = K.LABEL) -> DataFrame:
                      F.format_string("%.4f (%.2f%%)", r, r * 100).alias("text"))
 
 
-def overview(df: DataFrame, label: str = K.LABEL) -> DataFrame:
-    """The summary's basic block in one row: shape, column kinds, binary
-    columns, missing cells and the label rate (one pass for the counts,
-    the distinct counts from ``column_profile``)."""
-    prof = column_profile(df)
-    lab = [F.avg(X.c(label)).alias("churn_rate")] if label in df.columns else [F.lit(None).cast("double").alias("churn_rate")]
-    base = prof.agg(F.max("n_rows").cast("bigint").alias("n_rows"), F.count(F.lit(1)).cast("bigint").alias("n_columns"),
-                    F.count_if(F.col("kind") == "numeric").cast("bigint").alias("n_numeric"),
-                    F.count_if(F.col("kind") == "categorical").cast("bigint").alias("n_categorical"),
-                    F.count_if(F.col("n_distinct") == 2).cast("bigint").alias("n_binary"),
-                    F.sum("n_null").cast("bigint").alias("total_missing"),
-                    F.count_if(F.col("n_null") > 0).cast("bigint").alias("n_columns_with_missing"))
-    from .metrics import one_row
-    return one_row(base, df.agg(*lab))
-
-
 def shared_frequencies(df: DataFrame, label: str = K.LABEL) -> DataFrame:
     """``value_frequencies`` of every column with the label sum, written
-    once to the shared checkpoint folder: the column profile, categorical
+    once to the shared checkpoint folder: the distinct counts, categorical
     stats, top categories and churn-by-feature all read it instead of each
     re-exploding the table."""
     from ..session import work_dir
@@ -424,35 +390,89 @@ def shared_frequencies(df: DataFrame, label: str = K.LABEL) -> DataFrame:
 
 
 SUMMARY_NUMERIC_METRICS = ["count", "mean", "std", "min", "q25", "q50", "q75", "max", "skewness", "kurtosis"]
+SUMMARY_TOP_CATEGORIES = 5
+
+
+def _tidy(df: DataFrame, section: str, name: Column, metrics: dict[str, Column], text: Column | None = None) -> DataFrame:
+    """(section, column_name, metric, value, text) rows, one ``explode`` per
+    block, so that each source table is scanned once."""
+    text = text if text is not None else F.lit(None)
+    items = [F.struct(F.lit(m).alias("metric"), F.round(v.cast("double"), 9).alias("value"),
+                      text.cast("string").alias("text")) for m, v in metrics.items()]
+    return df.select(F.lit(section).alias("section"), name.cast("string").alias("column_name"),
+                     F.explode(F.array(*items)).alias("s")).select("section", "column_name", "s.*")
+
+
+def summary_blocks(raw: DataFrame, label: str = K.LABEL) -> dict[str, DataFrame]:
+    """The blocks of the whole summary as tidy tables: dataset info, column
+    types, missing values, numerical statistics with outliers, categorical
+    statistics with the top categories, correlations, churn.  The churn
+    blocks are left out without the label column, the correlations with
+    fewer than two numeric columns, the numerical statistics without any.  (Memory use of a local frame has no
+    counterpart in a distributed table.)"""
+    vf = shared_frequencies(raw, label)
+    prof = column_profile(raw, vf).select("*", F.lit(1).alias("one"))
+    none = F.lit(None)
+    info = prof.agg(F.max("n_rows").alias("r"), F.count(F.lit(1)).alias("c"), F.sum("n_null").alias("m"),
+                    *[F.count_if(c).alias(a) for a, c in (("nn", F.col("kind") == "numeric"),
+                                                          ("nc", F.col("kind") == "categorical"),
+                                                          ("nb", F.col("n_distinct") == 2))])
+    cat = categorical_stats(raw, vf)
+    blocks = {
+        "dataset_info": _tidy(info, "dataset_info", none, {"total_rows": F.col("r"), "total_columns": F.col("c")}),
+        "type_counts": _tidy(info, "column_types", none, {"numerical": F.col("nn"), "categorical": F.col("nc"),
+                                                         "binary": F.col("nb")}),
+        "column_types": _tidy(prof, "column_types", F.col("column_name"), {"type": F.col("one")},
+                              F.concat_ws(",", "kind", "dtype", F.when(F.col("n_distinct") == 2, "binary"))),
+        "total_missing": _tidy(info, "missing_values", none, {"total_missing": F.col("m")}),
+        "missing": _tidy(missing_values(raw), "missing_values", F.col("column_name"),
+                         {c: F.col(c) for c in ("n_missing", "pct_missing")}),
+        "categorical": _tidy(cat, "categorical_stats", F.col("column_name"), {"unique_values": F.col("unique_values")}),
+        "most_frequent": _tidy(cat, "categorical_stats", F.col("column_name"),
+                               {"most_frequent": F.col("frequency_most_frequent")}, F.col("most_frequent")),
+        "top_categories": _tidy(top_categories(raw, vf=vf), "categorical_stats", F.col("column_name"),
+                                {"category": F.col("count")}, F.col("value")),
+        "top_categories_short": _tidy(top_categories(raw, SUMMARY_TOP_CATEGORIES, vf), "categorical_stats",
+                                      F.col("column_name"), {"category": F.col("count")}, F.col("value")),
+    }
+    if numeric_columns(raw):
+        blocks["numeric"] = _tidy(numeric_stats(raw), "numerical_stats", F.col("column_name"),
+                                  {c: F.col(c) for c in SUMMARY_NUMERIC_METRICS})
+        blocks["outliers"] = _tidy(outliers_iqr(raw), "numerical_stats", F.col("column_name"),
+                                   {c: F.col(c) for c in ("n_outliers", "pct_outliers")})
+    if len(numeric_columns(raw)) > 1:
+        m = correlation_matrix(raw)
+        strong = m.where((F.col("i") < F.col("j")) & (F.abs("correlation") > K.STRONG_CORRELATION))
+        blocks["correlations"] = _tidy(m, "correlations", F.col("var1"), {"correlation": F.col("correlation")}, F.col("var2"))
+        blocks["strong_correlations"] = _tidy(strong, "strong_correlations", F.col("var1"),
+                                              {"correlation": F.col("correlation")}, F.col("var2"))
+    if label in raw.columns:
+        by = churn_by_feature(raw, churn_feature_columns(raw, label, vf), label, vf)
+        key = by.where(F.col("feature").isin(*K.KEY_FEATURES))
+        blocks["churn"] = _tidy(churn_summary(raw, label), "churn_analysis", none,
+                                {c: F.col(c) for c in ("churn_rate", "churned_count", "retained_count")})
+        blocks["churn_by_feature"] = _tidy(by, "churn_by_feature", F.col("feature"),
+                                           {c: F.col(c) for c in ("churn_rate", "count")}, F.col("value"))
+        blocks["churn_key_features"] = _tidy(key, "churn_by_feature", F.col("feature"),
+                                             {"churn_rate": F.col("churn_rate")}, F.col("value"))
+    return blocks
+
+
+def _union(blocks: dict[str, DataFrame], leave: tuple[str, ...]) -> DataFrame:
+    out = None
+    for name, b in blocks.items():
+        if name not in leave:
+            out = b if out is None else out.unionByName(b)
+    return out
+
+
+def generate_summary(raw: DataFrame, label: str = K.LABEL) -> DataFrame:
+    """The whole summary, one tidy table: every block with ten categories a
+    column, the full correlation matrix and churn by every feature."""
+    return _union(summary_blocks(raw, label), ("top_categories_short", "churn_key_features"))
 
 
 def summary_long(raw: DataFrame, label: str = K.LABEL) -> DataFrame:
-    """Every EDA block flattened to (section, column_name, metric, value,
-    text) rows: numeric stats, missing values, categorical stats, churn by
-    feature and the overall churn rate.  One shared frequency table, one
-    ``explode`` per block, one ``unionByName``."""
-    vf = shared_frequencies(raw, label)
-    d = lambda c: F.round(F.col(c).cast("double"), 9)
-    none = F.lit(None).cast("string")
-
-    def melt(df, section, name_col, metrics, text=None):
-        """One explode per block: each source table is scanned once."""
-        items = [F.struct(F.lit(m).alias("metric"), d(m).alias("value"),
-                          (text[m] if text and m in text else none).alias("text")) for m in metrics]
-        return df.select(F.lit(section).alias("section"), name_col.alias("column_name"),
-                         F.explode(F.array(*items)).alias("s")).select("section", "column_name", "s.*")
-
-    parts = [melt(numeric_stats(raw), "numeric", F.col("column_name"), SUMMARY_NUMERIC_METRICS),
-             melt(missing_values(raw), "missing", F.col("column_name"), ["n_missing", "pct_missing"]),
-             melt(categorical_stats(raw, vf).withColumnRenamed("frequency_most_frequent", "most_frequent_n"),
-                  "categorical", F.col("column_name"), ["unique_values", "most_frequent_n"],
-                  {"most_frequent_n": F.col("most_frequent")}),
-             melt(churn_by_feature(raw, label=label, vf=vf), "churn", F.col("feature"), ["churn_rate", "count"],
-                  {"churn_rate": F.col("value"), "count": F.col("value")}),
-             melt(churn_summary(raw, label), "churn", none, ["churn_rate"])]
-    out = parts[0]
-    for p_ in parts[1:]:
-        out = out.unionByName(p_)
-    out = out.withColumn("metric", F.when(F.col("metric") == "most_frequent_n", "most_frequent")
-                         .otherwise(F.col("metric")))
-    return out
+    """The summary as it is exported to CSV: five categories a column, the
+    strong correlations only and the churn rate of the key features."""
+    return _union(summary_blocks(raw, label), ("top_categories", "correlations", "churn_by_feature"))

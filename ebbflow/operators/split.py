@@ -1,20 +1,25 @@
 """Exact stratified splits, stratified folds, capped samples and cohorts.
 
 Row order comes from a seeded arithmetic scramble of the row key (integer
-arithmetic only, so any SQL engine reproduces it bit for bit).  Ranks
-within a class come from ``ordered.exact_ranks``: the class is range-
-bucketed on the scramble, so the two label groups never become two
-giant single-task windows.
+arithmetic only, so any SQL engine reproduces it bit for bit).  Sides and
+folds are ranges of that order, so all that is needed are the scrambles at
+the range ends (``cutoffs``): class counts over fixed slices of the
+scramble's range locate the slice that holds an end, and only the rows of
+that slice are ranked.  The table itself is never shuffled: its split is a
+comparison in a projection.  A null label is a class of its own.
 """
 
 from __future__ import annotations
 
+import math
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import constants as K
-from .ordered import exact_ranks
 
+SLICE_BITS = 17  # a slice is 2^17 scrambles: 16,384 slices, each 1 / 16,384 of a class
 _P = 2147483647  # 2^31 - 1: every product below stays under 2^63
 _A1, _A2 = 48271, 69621
 
@@ -40,31 +45,96 @@ def _require_label(df: DataFrame, label: str) -> None:
         raise ValueError(f"Target column '{label}' not found in dataframe")
 
 
+def cutoffs(df: DataFrame, label: str, ends: Callable[[dict], dict], seed: int, key: str) -> dict:
+    """``{class: [(scramble, key) or bound, ...]}``: for each class the order
+    position of its ``k``-th row for every ``k`` that ``ends(class sizes)``
+    asks for (``None`` for 0 rows, so that nothing lies below it).
+
+    ``key`` must be unique.  Two narrow passes over (label, key): counts of
+    (class, slice), at most 16,384 rows a class, and the ranks inside the
+    slices that hold an end."""
+    h = df.select(F.col(label).alias("_l"), scramble(F.col(key), seed).alias("_h"), F.col(key).alias("_k"))
+    h = h.withColumn("_s", F.shiftright("_h", SLICE_BITS))
+    counts: dict = {}
+    for r in h.groupBy("_l", "_s").agg(F.count(F.lit(1)).alias("n")).collect():
+        counts.setdefault(r["_l"], {})[r["_s"]] = r["n"]
+    wanted, out = {}, {}
+    for cls, ks in ends({c: sum(n.values()) for c, n in counts.items()}).items():
+        out[cls] = [None] * len(ks)
+        for i, k in enumerate(ks):
+            below = 0
+            for s, n in sorted(counts[cls].items()):
+                if below < k <= below + n:
+                    wanted.setdefault((cls, s, k - below), []).append((cls, i))
+                below += n
+    if wanted:
+        at = lambda c, s: F.col("_l").eqNullSafe(F.lit(c)) & (F.col("_s") == s)
+        slices, rows = F.lit(False), F.lit(False)
+        for c, s in {(c, s) for c, s, _ in wanted}:
+            slices = slices | at(c, s)
+        for c, s, k in wanted:
+            rows = rows | (at(c, s) & (F.col("_rn") == k))
+        rank = F.row_number().over(Window.partitionBy("_l", "_s").orderBy("_h", "_k"))
+        for r in h.where(slices).withColumn("_rn", rank).where(rows).collect():  # one row per end
+            for cls, i in wanted[(r["_l"], r["_s"], r["_rn"])]:
+                out[cls][i] = (r["_h"], r["_k"])
+    return out
+
+
+def _up_to(end: tuple | None, seed: int, key: str) -> Column:
+    """The row's (scramble, key) is not above ``end``."""
+    if end is None:
+        return F.lit(False)
+    h = scramble(F.col(key), seed)
+    return (h < F.lit(end[0])) | ((h == F.lit(end[0])) & (F.col(key) <= F.lit(end[1])))
+
+
+def _by_class(label: str, exprs: dict) -> Column:
+    out = F.lit(None)
+    for cls, e in exprs.items():
+        out = F.when(F.col(label).eqNullSafe(F.lit(cls)), e).otherwise(out)
+    return out
+
+
+def _class_order(sizes: dict) -> list:
+    return sorted(sizes, key=lambda c: (c is None, c))
+
+
+def side_quotas(sizes: dict, test_size: float) -> dict:
+    """Test rows per class: ``ceil(rows * test_size)`` in all, shared in
+    proportion; what rounding down leaves goes to the largest fractions
+    (ties: the smaller class, null last)."""
+    n = sum(sizes.values())
+    total = math.ceil(n * test_size)
+    quota = {c: m * total // n for c, m in sizes.items()}
+    order = sorted(_class_order(sizes), key=lambda c: -(sizes[c] * total % n))
+    for c in order[:total - sum(quota.values())]:
+        quota[c] += 1
+    return quota
+
+
 def stratified_split(df: DataFrame, label: str = K.LABEL, test_size: float = K.TEST_SIZE,
-                     seed: int = K.SEED, key: str = "row_id",
-                     rows_per_bucket: int | None = None) -> DataFrame:
-    """Add ``split`` ('train'/'test'): per class exactly
-    ``round(n_class * test_size)`` rows go to test."""
+                     seed: int = K.SEED, key: str = "row_id") -> DataFrame:
+    """Add ``split`` ('train'/'test'): the first ``side_quotas`` rows of each
+    class in scramble order are the test side.  ``key`` must be unique."""
     _require_label(df, label)
-    h = df.withColumn("_h", scramble(F.col(key), seed))
-    r = exact_ranks(h, [label], ["_h", key], rows_per_bucket=rows_per_bucket)
-    n_test = F.round(F.col("_group_rows") * F.lit(float(test_size)))
-    return (r.withColumn("split", F.when(F.col("_rank") <= n_test, "test").otherwise("train"))
-            .drop("_h", "_rank", "_group_rows"))
+    ends = cutoffs(df, label, lambda sizes: {c: [k] for c, k in side_quotas(sizes, test_size).items()}, seed, key)
+    side = _by_class(label, {c: F.when(_up_to(e[0], seed, key), "test").otherwise("train") for c, e in ends.items()})
+    return df.withColumn("split", side.cast("string"))
 
 
 def stratified_split_by_group(df: DataFrame, group: str = "account_id", label: str = K.LABEL,
-                              test_size: float = K.TEST_SIZE, seed: int = K.SEED,
-                              rows_per_bucket: int | None = None) -> DataFrame:
+                              test_size: float = K.TEST_SIZE, seed: int = K.SEED) -> DataFrame:
     """Split whole groups (e.g. repeated accounts never straddle train and
     test): groups are stratified by their highest label, ranked by a
     seeded scramble of the group key's hash, and the side is joined back
-    on the group key (a shuffle join; AQE splits a hot group)."""
+    on the group key (a shuffle join; AQE splits a hot group).  Rows without
+    a group key form one group."""
     _require_label(df, label)
     g = (df.groupBy(group).agg(F.max(label).alias(label))
          .withColumn("_gk", F.xxhash64(F.col(group)).bitwiseAND(F.lit(0x7FFFFFFFFFFFFFFF))))
-    sides = stratified_split(g, label, test_size, seed, key="_gk", rows_per_bucket=rows_per_bucket)
-    return df.join(sides.select(group, "split"), group)
+    sides = stratified_split(g, label, test_size, seed, key="_gk").select(F.col(group).alias("_g"), "split")
+    return df.join(sides, F.col(group).eqNullSafe(F.col("_g"))).drop("_g")
 
 
 def split_summary(split: DataFrame, label: str = K.LABEL) -> DataFrame:
@@ -74,22 +144,35 @@ def split_summary(split: DataFrame, label: str = K.LABEL) -> DataFrame:
     return g.select("split", "rows", (F.col("rows") / total).alias("ratio"), "churn_rate")
 
 
+def fold_sizes(sizes: dict, n_folds: int) -> dict:
+    """Rows of each class in each fold.  Classes are dealt round the folds
+    one after the other, each starting where the one before it ended, so
+    fold sizes differ by at most one within a class and overall."""
+    out, before = {}, 0
+    for c in _class_order(sizes):
+        out[c] = [(sizes[c] - (f - before) % n_folds + n_folds - 1) // n_folds for f in range(n_folds)]
+        before += sizes[c]
+    return out
+
+
 def kfold_assign(df: DataFrame, label: str = K.LABEL, n_folds: int = K.N_FOLDS,
-                 seed: int = K.SEED, key: str = "row_id",
-                 rows_per_bucket: int | None = None) -> DataFrame:
-    """Add ``fold`` (1..k): stratified, shuffled; fold sizes differ by at
-    most one overall.  Class ``c`` starts where the classes below it end,
-    so the striping balances the totals."""
+                 seed: int = K.SEED, key: str = "row_id") -> DataFrame:
+    """Add ``fold`` (1..k): stratified, shuffled; each class's scramble order
+    is cut into consecutive ranges of ``fold_sizes`` rows.  ``key`` must be
+    unique."""
     _require_label(df, label)
-    h = df.withColumn("_h", scramble(F.col(key), seed))
-    r = exact_ranks(h, [label], ["_h", key], rows_per_bucket=rows_per_bucket)
-    sizes = df.groupBy(label).agg(F.count(F.lit(1)).alias("_c"))
-    offs = sizes.select(label, F.coalesce(F.sum("_c").over(
-        Window.orderBy(label).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
-    # one row per class: bounded broadcast
-    r = r.join(F.broadcast(offs), label)
-    fold = F.pmod(F.col("_off") + F.col("_rank") - 1, F.lit(n_folds)) + 1
-    return r.withColumn("fold", fold.cast("int")).drop("_h", "_rank", "_group_rows", "_off")
+
+    def ends(sizes):
+        per = fold_sizes(sizes, n_folds)
+        return {c: [sum(n[:f]) for f in range(1, n_folds)] for c, n in per.items()}
+
+    folds = {}
+    for cls, at in cutoffs(df, label, ends, seed, key).items():
+        e = F.lit(1)
+        for end in at:
+            e = e + F.when(_up_to(end, seed, key), 0).otherwise(1)
+        folds[cls] = e
+    return df.withColumn("fold", _by_class(label, folds).cast("int"))
 
 
 def cap_per_class(df: DataFrame, label: str = K.LABEL, cap: int = K.CAP_PER_CLASS,

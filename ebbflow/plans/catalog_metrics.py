@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import constants as K
+from ..functions.columns import num
 from ..operators import metrics as M
 from ..sources import fixtures as fx
 from ..sources.fixtures import oracle_cte
@@ -26,7 +27,8 @@ def _div(a: str, b: str) -> str:
 _CM = (f"cm AS (SELECT CAST(count_if(y <> 1 AND p < {dbl(THR)}) AS BIGINT) AS tn, "
        f"CAST(count_if(y <> 1 AND p >= {dbl(THR)}) AS BIGINT) AS fp, "
        f"CAST(count_if(y = 1 AND p < {dbl(THR)}) AS BIGINT) AS fn, "
-       f"CAST(count_if(y = 1 AND p >= {dbl(THR)}) AS BIGINT) AS tp FROM scored)")
+       f"CAST(count_if(y = 1 AND p >= {dbl(THR)}) AS BIGINT) AS tp, "
+       "CAST(count_if(p IS NULL OR y IS NULL) AS BIGINT) AS n_unscored FROM scored)")
 _PRF = (f"{_div('tp + tn', 'tp + tn + fp + fn')} AS accuracy, {_div('tp', 'tp + fp')} AS precision, "
         f"{_div('tp', 'tp + fn')} AS recall, {_div('2 * tp', '2 * tp + fp + fn')} AS f1_score")
 # distinct scores, descending, with running counts strictly above
@@ -44,7 +46,7 @@ def _with(*ctes: str) -> str:
     return SC.rstrip() + ",\n" + ",\n".join(ctes) + "\n"
 
 
-@query("metric_confusion", _with(_CM) + "SELECT tn, fp, fn, tp FROM cm")
+@query("metric_confusion", _with(_CM) + "SELECT tn, fp, fn, tp, n_unscored FROM cm")
 def metric_confusion(spark, sf):
     return M.confusion(_scored(spark, sf), THR)
 
@@ -216,33 +218,37 @@ def predict_threshold(spark, sf):
 
 
 @query("prediction_match_rate", SC + (
-    f"SELECT CAST(count(*) AS BIGINT) AS n, CAST(count_if(CAST(p >= {dbl(THR)} AS INTEGER) = y) AS BIGINT) AS n_match, "
+    f"SELECT CAST(count(p + y) AS BIGINT) AS n, CAST(count_if(p IS NULL OR y IS NULL) AS BIGINT) AS n_unscored, CAST(count_if(CAST(p >= {dbl(THR)} AS INTEGER) = y) AS BIGINT) AS n_match, "
     f"avg(CAST(CAST(p >= {dbl(THR)} AS INTEGER) = y AS DOUBLE)) AS match_rate FROM scored"), doubles=["match_rate"])
 def prediction_match_rate(spark, sf):
     return M.prediction_match_rate(_scored(spark, sf), THR)
 
 
+# contract types, senior flag and first-year customers (who belong to no segment of the latter otherwise)
+FIRST_YEAR = 12
 _SEG_SRC = oracle_cte("scored", "subscribers_k").rstrip() + (
-    ",\nseg AS (SELECT s.row_id, s.y, s.p, k.contract_type FROM scored s JOIN subscribers_k k ON s.row_id = k.row_id "
-    "WHERE k.contract_type IS NOT NULL),\n")
+    ",\nj AS (SELECT s.y, s.p, k.* FROM scored s JOIN subscribers_k k ON s.row_id = k.row_id),\n"
+    "seg AS (SELECT 'contract_type' AS dimension, contract_type AS segment, y, p FROM j WHERE contract_type IS NOT NULL "
+    "UNION ALL SELECT 'seniorcitizen', CAST(seniorcitizen AS VARCHAR), y, p FROM j WHERE seniorcitizen IS NOT NULL "
+    f"UNION ALL SELECT 'tenure', '0-{FIRST_YEAR}', y, p FROM j WHERE months_with_provider BETWEEN 0 AND {FIRST_YEAR}),\n")
 
 
 @query("segment_auc", _SEG_SRC + (
-    "g AS (SELECT contract_type, p AS score, CAST(count_if(y = 1) AS DOUBLE) AS pos, CAST(count_if(y <> 1) AS DOUBLE) AS neg "
-    "FROM seg GROUP BY contract_type, p),\n"
+    "g AS (SELECT dimension, segment, p AS score, CAST(count_if(y = 1) AS DOUBLE) AS pos, CAST(count_if(y <> 1) AS DOUBLE) AS neg "
+    "FROM seg GROUP BY dimension, segment, p),\n"
     "r AS (SELECT *, coalesce(sum(pos) OVER w, 0) AS tp0, coalesce(sum(neg) OVER w, 0) AS fp0, "
-    "sum(pos) OVER (PARTITION BY contract_type) AS P, sum(neg) OVER (PARTITION BY contract_type) AS N FROM g "
-    "WINDOW w AS (PARTITION BY contract_type ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))\n"
-    "SELECT contract_type, CAST(max(P) + max(N) AS BIGINT) AS n, CASE WHEN max(P) > 0 AND max(N) > 0 THEN "
+    "sum(pos) OVER (PARTITION BY dimension, segment) AS P, sum(neg) OVER (PARTITION BY dimension, segment) AS N FROM g "
+    "WINDOW w AS (PARTITION BY dimension, segment ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))\n"
+    "SELECT dimension, segment, CAST(max(P) + max(N) AS BIGINT) AS n, CASE WHEN max(P) > 0 AND max(N) > 0 THEN "
     "sum(pos * (N - (fp0 + neg) + 0.5 * neg)) / (max(P) * max(N)) END AS roc_auc, CASE WHEN max(P) > 0 THEN "
     "sum(((tp0 + pos) / P - tp0 / P) * ((tp0 + pos) / (tp0 + pos + fp0 + neg) + "
-    "CASE WHEN tp0 + fp0 = 0 THEN 1.0 ELSE tp0 / (tp0 + fp0) END) / 2) END AS pr_auc FROM r GROUP BY contract_type"),
+    "CASE WHEN tp0 + fp0 = 0 THEN 1.0 ELSE tp0 / (tp0 + fp0) END) / 2) END AS pr_auc FROM r GROUP BY dimension, segment"),
     doubles=["roc_auc", "pr_auc"])
 def segment_auc(spark, sf):
-    """Stretch: N and ROC/PR-AUC per contract segment (scores joined to
-    the subscriber attributes on the row key)."""
-    s = _scored(spark, sf)
-    seg = fx.subscribers(spark, sf, keyed=True).select("row_id", "contract_type")
-    j = s.join(seg, "row_id")
-    return M.segment_auc(j, "contract_type").select(
-        "contract_type", F.col("n").cast("bigint"), "roc_auc", "pr_auc")
+    """N and ROC/PR-AUC by contract, senior flag and first year (scores
+    joined to the subscriber attributes on the row key)."""
+    seg = fx.subscribers(spark, sf, keyed=True).select("row_id", "contract_type", "seniorcitizen", "months_with_provider")
+    j = _scored(spark, sf).join(seg, "row_id")
+    first = F.when(num(F.col("months_with_provider")).between(0, FIRST_YEAR), f"0-{FIRST_YEAR}")
+    return M.segment_auc(j, {"contract_type": F.col("contract_type"), "seniorcitizen": F.col("seniorcitizen"),
+                             "tenure": first}).withColumn("n", F.col("n").cast("bigint"))

@@ -2,8 +2,7 @@
 
 Model queries are rows-only checks (tree ensembles and solvers are never
 bit-equal across engines); the deterministic pieces (scaling, weights)
-carry DuckDB oracles.  Bench settings use small ensembles; the API
-defaults are the full reference settings.
+carry DuckDB oracles.  All fits use the full default settings.
 """
 
 from __future__ import annotations
@@ -22,10 +21,6 @@ from ..sources import fixtures as fx
 from .registry import query
 from .sqltext import feature_names, ident, prep_cte
 
-FAST = {"logistic": {"max_iter": 100}, "random_forest": {"trees": 20, "depth": 8},
-        "gbt": {"rounds": 15, "depth": 4}}
-
-
 def prepared(spark, sf, folds: bool = False):
     """Feature table with its split (and folds), checkpointed to the
     shared folder so fits and scoring re-read it instead of recomputing
@@ -66,7 +61,7 @@ def train_logistic(spark, sf):
     """Balanced L2 logistic regression (C=1 parity via regParam = 1/n);
     returns the coefficients on the scaled features."""
     d, st = prepared(spark, sf)
-    m = ML.fit_model(d.where(F.col("split") == "train"), st.feature_names, "logistic", **FAST["logistic"])
+    m = ML.fit_model(d.where(F.col("split") == "train"), st.feature_names, "logistic")
     return ML.coefficients(m, st.feature_names)
 
 
@@ -74,7 +69,7 @@ def train_logistic(spark, sf):
 def train_random_forest(spark, sf):
     """Balanced random forest; returns hold-out scores (row_id, y, p)."""
     d, st = prepared(spark, sf)
-    m = ML.fit_model(d.where(F.col("split") == "train"), st.feature_names, "random_forest", **FAST["random_forest"])
+    m = ML.fit_model(d.where(F.col("split") == "train"), st.feature_names, "random_forest")
     return ML.score(m, d.where(F.col("split") == "test"))
 
 
@@ -83,14 +78,14 @@ def train_gbt(spark, sf):
     """Gradient-boosted trees with the fixed positive-class weight;
     returns hold-out scores."""
     d, st = prepared(spark, sf)
-    m = ML.fit_model(d.where(F.col("split") == "train"), st.feature_names, "gbt", **FAST["gbt"])
+    m = ML.fit_model(d.where(F.col("split") == "train"), st.feature_names, "gbt")
     return ML.score(m, d.where(F.col("split") == "test"))
 
 
 @query("feature_importance")
 def feature_importance(spark, sf):
     d, st = prepared(spark, sf)
-    m = ML.fit_model(d.where(F.col("split") == "train"), st.feature_names, "random_forest", **FAST["random_forest"])
+    m = ML.fit_model(d.where(F.col("split") == "train"), st.feature_names, "random_forest")
     return ML.feature_importance(m, st.feature_names)
 
 
@@ -99,7 +94,7 @@ def score_batch(spark, sf):
     """Model saved and loaded as one pipeline with the frozen feature
     state; raw rows scored through both."""
     d, st = prepared(spark, sf)
-    m = ML.fit_model(d.where(F.col("split") == "train"), st.feature_names, "logistic", **FAST["logistic"])
+    m = ML.fit_model(d.where(F.col("split") == "train"), st.feature_names, "logistic")
     path = scratch_path(spark, "model")
     m.write().save(path)
     model = ML.load_model(path)
@@ -114,7 +109,7 @@ def evaluate_holdout(spark, sf):
     """The full batch flow: fit on train, tune the F1 threshold on the
     training rows, evaluate the hold-out at that threshold."""
     d, st = prepared(spark, sf)
-    m = ML.fit_model(d.where(F.col("split") == "train"), st.feature_names, "random_forest", **FAST["random_forest"])
+    m = ML.fit_model(d.where(F.col("split") == "train"), st.feature_names, "random_forest")
     tr = ML.score(m, d.where(F.col("split") == "train"))
     thr = M.optimal_threshold(tr, "f1").collect()[0]["threshold"]  # one pass: the sweep
     # the hold-out scores feed several passes: score once, reliable checkpoint
@@ -125,34 +120,40 @@ def evaluate_holdout(spark, sf):
 @query("kfold_train")
 def kfold_train(spark, sf):
     d, st = prepared(spark, sf, folds=True)
-    return ML.kfold_train(d, st.feature_names, "logistic", n_folds=K.N_FOLDS,
-                          best_model_path=scratch_path(spark, "kfold-best"), **FAST["logistic"])
+    return ML.kfold_train(d, st.feature_names, "random_forest", n_folds=K.N_FOLDS,
+                          best_model_path=scratch_path(spark, "kfold-best"))
 
 
 @query("platt_calibration")
 def platt_calibration(spark, sf):
-    """Hold-out forest scores recalibrated with a one-feature logistic fit."""
-    d, st = prepared(spark, sf)
-    m = ML.fit_model(d.where(F.col("split") == "train"), st.feature_names, "random_forest", **FAST["random_forest"])
-    return ML.platt_calibrate(ML.score(m, d.where(F.col("split") == "test")))
+    """Forest scores recalibrated with a one-feature logistic fit: the forest
+    learns from the training rows outside the last fold, the calibrator
+    from that fold, and the hold-out is scored with both."""
+    d, st = prepared(spark, sf, folds=True)
+    train = d.where(F.col("split") == "train")
+    m = ML.fit_model(train.where(F.col("fold") != K.N_FOLDS), st.feature_names, "random_forest")
+    cal = ML.fit_platt(ML.score(m, train.where(F.col("fold") == K.N_FOLDS)))
+    return ML.apply_platt(cal, ML.score(m, d.where(F.col("split") == "test")))
 
 
 @query("hyperparameter_grid")
 def hyperparameter_grid(spark, sf):
     """Grid search over the logistic penalty with the stratified folds as
-    ``foldCol``; one row per grid point with its mean ROC-AUC."""
+    ``foldCol``, on the training rows only; one row per grid point with its
+    mean ROC-AUC (exact: no score binning)."""
     d, st = prepared(spark, sf, folds=True)
+    d = d.where(F.col("split") == "train")
     tw = ML.with_weights(d, "logistic").withColumn("fold0", (F.col("fold") - 1).cast("int"))
     from pyspark.ml import Pipeline
     from pyspark.ml.feature import StandardScaler, VectorAssembler
-    lr = ML.estimator("logistic", 1, max_iter=30)
+    lr = ML.estimator("logistic", 1)
     pipe = Pipeline(stages=[VectorAssembler(inputCols=st.feature_names, outputCol="raw_features"),
                             StandardScaler(inputCol="raw_features", outputCol="features", withMean=True),
                             lr])
     regs = [1e-4, 1e-3, 1e-2]
     grid = ParamGridBuilder().addGrid(lr.regParam, regs).build()
     cv = CrossValidator(estimator=pipe, estimatorParamMaps=grid, foldCol="fold0", numFolds=K.N_FOLDS,
-                        evaluator=BinaryClassificationEvaluator(labelCol=K.LABEL, metricName="areaUnderROC"),
+                        evaluator=BinaryClassificationEvaluator(labelCol=K.LABEL, metricName="areaUnderROC", numBins=0),
                         parallelism=4, seed=K.SEED)
     m = cv.fit(tw)
     return spark.createDataFrame([(float(r), float(a)) for r, a in zip(regs, m.avgMetrics)],

@@ -17,9 +17,8 @@ from ..operators import split as S
 from ..sources import fixtures as fx
 from ..sources.fixtures import oracle_cte
 from .registry import query
-from .sqltext import dbl, prep_cte, q, ranked_cte
+from .sqltext import SPLIT_CASE, dbl, prep_cte, q, ranked_cte
 
-_SPLIT_CASE = f"CASE WHEN rk <= round(n_cls * {K.TEST_SIZE}) THEN 'test' ELSE 'train' END"
 PSI_COLS = ["monthly_fee", "months_with_provider"]
 
 
@@ -43,7 +42,7 @@ def _psi_sql(src: str) -> str:
 
 
 _SPLIT_SRC = (oracle_cte("subscribers_k").rstrip() + ",\n" + ranked_cte() + ",\n"
-              f"sp AS (SELECT *, {_SPLIT_CASE} AS split FROM ranked),\n")
+              f"sp AS (SELECT *, {SPLIT_CASE} AS split FROM ranked),\n")
 
 
 @query("drift_psi", _SPLIT_SRC + _psi_sql("sp") + f"\nSELECT column_name, psi, psi > {dbl(MO.PSI_ALERT)} AS alert FROM drift",
@@ -64,7 +63,7 @@ _AUC_BY_SIDE = (
 
 
 @query("retrain_trigger", oracle_cte("subscribers_k", "scored").rstrip() + ",\n" + ranked_cte() + ",\n"
-       f"sp AS (SELECT *, {_SPLIT_CASE} AS split FROM ranked),\n"
+       f"sp AS (SELECT *, {SPLIT_CASE} AS split FROM ranked),\n"
        "scored_sp AS (SELECT s.row_id, s.y, s.p, sp.split FROM scored s JOIN sp ON s.row_id = sp.row_id),\n"
        + _psi_sql("sp") + ",\n" + _AUC_BY_SIDE + "\n"
        "SELECT ab AS auc_baseline, ac AS auc_current, ab - ac AS auc_drop, mp AS max_psi, rb AS churn_rate_baseline, "
@@ -88,7 +87,7 @@ TE_COLS = ["payment_method", "internet_plan"]
 
 
 @query("target_encode_smoothed", prep_cte("imputed").rstrip() + ",\n" + ranked_cte("imputed") + ",\n"
-       f"tr AS (SELECT * FROM ranked WHERE NOT ({_SPLIT_CASE} = 'test')),\n"
+       f"tr AS (SELECT * FROM ranked WHERE NOT ({SPLIT_CASE} = 'test')),\n"
        "long AS (" + "\nUNION ALL ".join(
            f"SELECT {q(c)} AS column_name, {c} AS value, churned AS y FROM tr WHERE {c} IS NOT NULL" for c in TE_COLS)
        + ")\n"

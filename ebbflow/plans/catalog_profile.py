@@ -15,7 +15,7 @@ from ..operators import profile as P
 from ..sources import fixtures as fx
 from ..sources.files import RAW_SCHEMA
 from ..sources.fixtures import oracle_cte
-from .registry import query
+from .registry import ORACLE, query
 from .sqltext import ident, q
 
 SUB = oracle_cte("subscribers")
@@ -47,7 +47,7 @@ _PROFILE_SQL = SUB + "SELECT * FROM (" + _union([
     f"SELECT {q(c)} AS column_name, CAST({i} AS INTEGER) AS position, "
     f"{q('numeric' if c in _NUMERIC else 'categorical')} AS kind, {q(_DTYPE[c])} AS dtype, "
     f"CAST(count(*) AS BIGINT) AS n_rows, CAST(count(DISTINCT {ident(c)}) AS BIGINT) AS n_distinct, "
-    f"CAST(count(*) - count({ident(c)}) AS BIGINT) AS n_null, TRUE AS distinct_exact FROM subscribers"
+    f"CAST(count(*) - count({ident(c)}) AS BIGINT) AS n_null FROM subscribers"
     for i, c in enumerate(K.RAW_COLUMNS)]) + ") t"
 
 
@@ -114,7 +114,7 @@ def eda_outliers_iqr(spark, sf):
     return P.outliers_iqr(_subs(spark, sf))
 
 
-def _corr_sql(strong: bool) -> str:
+def _corr_sql(strong: bool, threshold: float = K.STRONG_CORRELATION) -> str:
     parts = []
     pairs = list(combinations(range(len(_NUMERIC)), 2))
     for i, j in pairs:
@@ -129,7 +129,7 @@ def _corr_sql(strong: bool) -> str:
                          f"CAST({i} AS INTEGER) AS j, corr({_num(c)}, {_num(c)}) AS correlation FROM subscribers")
     body = SUB + "SELECT * FROM (" + _union(parts) + ") t"
     if strong:
-        body += f" WHERE abs(correlation) > {K.STRONG_CORRELATION}"
+        body += f" WHERE abs(correlation) > {threshold}"
     return body
 
 
@@ -143,6 +143,15 @@ def eda_strong_correlations(spark, sf):
     return P.strong_correlations(_subs(spark, sf))
 
 
+WEAK_CORRELATION = 0.01  # low enough that pairs of these tables pass the filter
+
+
+@query("eda_correlations_above", _corr_sql(True, WEAK_CORRELATION), doubles=["correlation"])
+def eda_correlations_above(spark, sf):
+    """Column pairs above a threshold that the caller names."""
+    return P.strong_correlations(_subs(spark, sf), threshold=WEAK_CORRELATION)
+
+
 def _hist_sql() -> str:
     b = K.HISTOGRAM_BINS
     parts = [f"SELECT {q(c)} AS column_name, {_num(c)} AS value FROM subscribers WHERE {ident(c)} IS NOT NULL"
@@ -247,13 +256,52 @@ def eda_key_feature_report(spark, sf):
     return P.key_feature_report(_subs(spark, sf))
 
 
-@query("generate_summary", "WITH p AS (" + _PROFILE_SQL + ")\n"
-       "SELECT CAST(max(n_rows) AS BIGINT) AS n_rows, CAST(count(*) AS BIGINT) AS n_columns, "
-       "CAST(count_if(kind = 'numeric') AS BIGINT) AS n_numeric, CAST(count_if(kind = 'categorical') AS BIGINT) AS n_categorical, "
-       "CAST(count_if(n_distinct = 2) AS BIGINT) AS n_binary, CAST(sum(n_null) AS BIGINT) AS total_missing, "
-       "CAST(count_if(n_null > 0) AS BIGINT) AS n_columns_with_missing, (SELECT avg(churned) FROM ("
-       + SUB + "SELECT churned FROM subscribers)) AS churn_rate FROM p", doubles=["churn_rate"])
+# --------------------------------------------------------- whole summary
+def _summary_sql(whole: bool) -> str:
+    """All blocks as (section, column_name, metric, value, text)."""
+    ctes = {"prof": _PROFILE_SQL, "mis": ORACLE["eda_missing"], "num": ORACLE["eda_numeric_stats"],
+            "outl": ORACLE["eda_outliers_iqr"], "cat": ORACLE["eda_categorical_stats"], "top": ORACLE["eda_top_categories"],
+            "corr": ORACLE["eda_correlation_matrix"], "strong": ORACLE["eda_strong_correlations"],
+            "cs": ORACLE["eda_churn_summary"], "cbf": ORACLE["eda_churn_by_feature"]}
+
+    def rows(src, section, name, metrics, text="NULL", where=""):
+        return [f"SELECT {q(section)} AS section, CAST({name} AS VARCHAR) AS column_name, {q(m)} AS metric, "
+                f"round(CAST({v} AS DOUBLE), 9) AS value, CAST({text} AS VARCHAR) AS text FROM {src}{where}"
+                for m, v in metrics.items()]
+
+    same = lambda *names: {n: n for n in names}
+    parts = rows("prof", "dataset_info", "NULL", {"total_rows": "max(n_rows)", "total_columns": "count(*)"})
+    parts += rows("prof", "column_types", "NULL", {"numerical": "count_if(kind = 'numeric')",
+                                                  "categorical": "count_if(kind = 'categorical')",
+                                                  "binary": "count_if(n_distinct = 2)"})
+    parts += rows("prof", "column_types", "column_name", {"type": "1"},
+                  "kind || ',' || dtype || CASE WHEN n_distinct = 2 THEN ',binary' ELSE '' END")
+    parts += rows("prof", "missing_values", "NULL", {"total_missing": "sum(n_null)"})
+    parts += rows("mis", "missing_values", "column_name", same("n_missing", "pct_missing"))
+    parts += rows("num", "numerical_stats", "column_name", same(*P.SUMMARY_NUMERIC_METRICS))
+    parts += rows("outl", "numerical_stats", "column_name", same("n_outliers", "pct_outliers"))
+    parts += rows("cat", "categorical_stats", "column_name", same("unique_values"))
+    parts += rows("cat", "categorical_stats", "column_name", {"most_frequent": "frequency_most_frequent"}, "most_frequent")
+    parts += rows("top", "categorical_stats", "column_name", {"category": "count"}, "value",
+                  "" if whole else f" WHERE rank <= {P.SUMMARY_TOP_CATEGORIES}")
+    parts += rows("strong", "strong_correlations", "var1", same("correlation"), "var2")
+    parts += rows("cs", "churn_analysis", "NULL", same("churn_rate", "churned_count", "retained_count"))
+    if whole:
+        parts += rows("corr", "correlations", "var1", same("correlation"), "var2")
+        parts += rows("cbf", "churn_by_feature", "feature", same("churn_rate", "count"), "value")
+    else:
+        parts += rows("cbf", "churn_by_feature", "feature", same("churn_rate"), "value",
+                      " WHERE feature IN (" + ", ".join(q(c) for c in K.KEY_FEATURES) + ")")
+    return "WITH " + ",\n".join(f"{k} AS ({v})" for k, v in ctes.items()) + "\n" + _union(parts)
+
+
+@query("generate_summary", _summary_sql(True), doubles=["value"])
 def generate_summary(spark, sf):
-    """Basic block of the EDA summary (the full tidy summary is
-    ``eda_summary_long``)."""
-    return P.overview(_subs(spark, sf))
+    """Every block of the summary as one tidy table."""
+    return P.generate_summary(_subs(spark, sf))
+
+
+@query("eda_summary_long", _summary_sql(False), doubles=["value"])
+def eda_summary_long(spark, sf):
+    """The summary as exported: every section, key features only."""
+    return P.summary_long(_subs(spark, sf))

@@ -10,7 +10,7 @@ from ..operators import split as S
 from ..sources import fixtures as fx
 from ..sources.fixtures import oracle_cte
 from .registry import query
-from .sqltext import ranked_cte, scramble_sql
+from .sqltext import SPLIT_CASE, fold_case, ranked_cte, scramble_sql
 
 SUBK = oracle_cte("subscribers_k")
 RANKED = SUBK.rstrip() + ",\n" + ranked_cte() + "\n"
@@ -20,34 +20,28 @@ def _subs(spark, sf):
     return fx.subscribers(spark, sf, keyed=True)
 
 
-_SPLIT_CASE = f"CASE WHEN rk <= round(n_cls * {K.TEST_SIZE}) THEN 'test' ELSE 'train' END"
-
-
-@query("stratified_split", RANKED + f"SELECT row_id, churned, {_SPLIT_CASE} AS split FROM ranked")
+@query("stratified_split", RANKED + f"SELECT row_id, churned, {SPLIT_CASE} AS split FROM ranked")
 def stratified_split(spark, sf):
     return S.stratified_split(_subs(spark, sf).select("row_id", "churned"))
 
 
 @query("split_summary", RANKED + (
     f"SELECT split, CAST(count(*) AS BIGINT) AS rows, count(*) / CAST(sum(count(*)) OVER () AS DOUBLE) AS ratio, "
-    f"avg(churned) AS churn_rate FROM (SELECT churned, {_SPLIT_CASE} AS split FROM ranked) GROUP BY split"),
+    f"avg(churned) AS churn_rate FROM (SELECT churned, {SPLIT_CASE} AS split FROM ranked) GROUP BY split"),
     doubles=["ratio", "churn_rate"])
 def split_summary(spark, sf):
     sp = S.stratified_split(_subs(spark, sf).select("row_id", "churned"))
     return S.split_summary(sp).select("split", F.col("rows").cast("bigint"), "ratio", "churn_rate")
 
 
-@query("kfold_assign", RANKED + (
-    "SELECT row_id, churned, CAST((coalesce((SELECT count(*) FROM subscribers_k b WHERE b.churned < ranked.churned), 0) "
-    f"+ rk - 1) % {K.N_FOLDS} + 1 AS INTEGER) AS fold FROM ranked"))
+@query("kfold_assign", RANKED + f"SELECT row_id, churned, {fold_case()} AS fold FROM ranked")
 def kfold_assign(spark, sf):
     return S.kfold_assign(_subs(spark, sf).select("row_id", "churned"))
 
 
 @query("kfold_sizes", RANKED + (
     "SELECT CAST(fold AS INTEGER) AS fold, CAST(count(*) AS BIGINT) AS rows, avg(churned) AS churn_rate FROM ("
-    "SELECT churned, (coalesce((SELECT count(*) FROM subscribers_k b WHERE b.churned < ranked.churned), 0) "
-    f"+ rk - 1) % {K.N_FOLDS} + 1 AS fold FROM ranked) GROUP BY fold"), doubles=["churn_rate"])
+    f"SELECT churned, {fold_case()} AS fold FROM ranked) GROUP BY fold"), doubles=["churn_rate"])
 def kfold_sizes(spark, sf):
     f = S.kfold_assign(_subs(spark, sf).select("row_id", "churned"))
     return f.groupBy("fold").agg(F.count(F.lit(1)).cast("bigint").alias("rows"), F.avg("churned").alias("churn_rate"))
@@ -87,8 +81,7 @@ def cohort_export(spark, sf):
 
 
 _FOLD_SQL = (oracle_cte("subscribers_k", "scored").rstrip() + ",\n" + ranked_cte() + ",\n"
-             "fo AS (SELECT row_id, CAST((coalesce((SELECT count(*) FROM subscribers_k b WHERE b.churned < ranked.churned), 0) "
-             f"+ rk - 1) % {K.N_FOLDS} + 1 AS INTEGER) AS fold FROM ranked),\n"
+             f"fo AS (SELECT row_id, {fold_case()} AS fold FROM ranked),\n"
              "g AS (SELECT fold, s.p AS score, CAST(count_if(s.y = 1) AS DOUBLE) AS pos, CAST(count_if(s.y <> 1) AS DOUBLE) AS neg "
              "FROM scored s JOIN fo ON s.row_id = fo.row_id GROUP BY fold, s.p),\n"
              "r AS (SELECT *, coalesce(sum(pos) OVER w, 0) AS tp0, coalesce(sum(neg) OVER w, 0) AS fp0, "

@@ -1,5 +1,4 @@
-"""Catalog: versioned feature tables, splits, metric history, fingerprint,
-and the long EDA summary."""
+"""Catalog: versioned feature tables, splits, metric history, fingerprint."""
 
 from __future__ import annotations
 
@@ -9,7 +8,6 @@ from ..functions import constants as K
 from ..operators import features as FE
 from ..operators import fingerprint as FP
 from ..operators import metrics as M
-from ..operators import profile as P
 from ..operators import split as S
 from ..session import scratch_path
 from ..sources import fixtures as fx
@@ -97,34 +95,6 @@ def metric_history(spark, sf):
     return hist.groupBy("metric").agg(F.max_by("value", F.struct("created_at", "version")).alias("value"))
 
 
-_NUM_METRICS = ["count", "mean", "std", "min", "q25", "q50", "q75", "max", "skewness", "kurtosis"]
-
-
-def _summary_sql() -> str | None:
-    need = ["eda_numeric_stats", "eda_missing", "eda_categorical_stats", "eda_churn_by_feature", "eda_churn_summary"]
-    if any(n not in ORACLE for n in need):
-        return None
-    parts = [f"SELECT 'numeric' AS section, column_name, {q(m)} AS metric, round(CAST({m} AS DOUBLE), 9) AS value, "
-             "CAST(NULL AS VARCHAR) AS text FROM num" for m in _NUM_METRICS]
-    parts += [f"SELECT 'missing', column_name, {q(m)}, round(CAST({m} AS DOUBLE), 9), NULL FROM mis"
-              for m in ("n_missing", "pct_missing")]
-    parts += ["SELECT 'categorical', column_name, 'unique_values', CAST(unique_values AS DOUBLE), NULL FROM cat",
-              "SELECT 'categorical', column_name, 'most_frequent', CAST(frequency_most_frequent AS DOUBLE), most_frequent FROM cat",
-              "SELECT 'churn', feature, 'churn_rate', round(churn_rate, 9), value FROM cbf",
-              "SELECT 'churn', feature, 'count', CAST(count AS DOUBLE), value FROM cbf",
-              "SELECT 'churn', NULL, 'churn_rate', round(churn_rate, 9), NULL FROM cs"]
-    return ("WITH num AS (" + ORACLE["eda_numeric_stats"] + "),\nmis AS (" + ORACLE["eda_missing"] + "),\ncat AS ("
-            + ORACLE["eda_categorical_stats"] + "),\ncbf AS (" + ORACLE["eda_churn_by_feature"] + "),\ncs AS ("
-            + ORACLE["eda_churn_summary"] + ")\n" + "\nUNION ALL ".join(parts))
-
-
-@query("eda_summary_long", _summary_sql(), doubles=["value"])
-def eda_summary_long(spark, sf):
-    """Every EDA block flattened to (section, column_name, metric, value,
-    text) rows, one ``unionByName`` of the tidy tables."""
-    return P.summary_long(fx.subscribers(spark, sf))
-
-
 @query("pipeline_status")
 def pipeline_status(spark, sf):
     """Process and split jobs write their versions; the status is the

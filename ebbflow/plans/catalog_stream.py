@@ -9,19 +9,16 @@ from ..operators import features as FE
 from ..session import scratch_path
 from ..sources import fixtures as fx
 from ..streaming import jobs as J
-from .catalog_models import FAST, prepared
+from .catalog_models import prepared
 from ..operators import models as ML
 from .registry import query
 from .sqltext import prep_cte
 
-N_FILES = 4
-
-
 def _drop_files(df, path: str, fmt: str) -> None:
-    """Land the input as several files, as an upstream writer would."""
-    w = df.repartition(N_FILES).write.mode("overwrite")
+    """Land the input as files, one or more per input partition."""
+    w = df.write.mode("overwrite")
     if fmt == "csv":
-        w.option("header", True).option("ignoreLeadingWhiteSpace", False) \
+        w.option("header", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False) \
             .option("ignoreTrailingWhiteSpace", False).csv(path)
     else:
         w.parquet(path)
@@ -33,7 +30,7 @@ def stream_ingest(spark, sf):
     _drop_files(fx.subscribers(spark, sf), src, "csv")
     q = J.stream_ingest(spark, src, sink, ck)
     q.awaitTermination()
-    return spark.read.parquet(sink).drop("source_file")
+    return spark.read.parquet(sink).drop("source_file", "_corrupt_record")
 
 
 @query("stream_score")
@@ -41,7 +38,7 @@ def stream_score(spark, sf):
     """Raw rows arrive as files; the fitted feature state and the saved
     model score them; the sink holds row_id, probability, prediction."""
     d, st = prepared(spark, sf)
-    m = ML.fit_model(d.where(F.col("split") == "train"), st.feature_names, "logistic", **FAST["logistic"])
+    m = ML.fit_model(d.where(F.col("split") == "train"), st.feature_names, "logistic")
     mp = scratch_path(spark, "model")
     m.write().save(mp)
     raw = fx.subscribers(spark, sf, keyed=True)

@@ -117,8 +117,26 @@ def prep_cte(upto: str = "encoded") -> str:
 
 
 def ranked_cte(source: str = "subscribers_k", seed: int = K.SEED) -> str:
-    """Per-class rank by the seeded scramble (window form: fine for the
-    oracle, which is single-node by nature)."""
-    return (f"ranked AS (SELECT *, row_number() OVER (PARTITION BY churned ORDER BY "
-            f"{scramble_sql('row_id', seed)}, row_id) AS rk, count(*) OVER (PARTITION BY churned) AS n_cls "
-            f"FROM {source})")
+    """Per-class rank by the seeded scramble, with the class size, the rows
+    of the classes before it and its test rows (largest remainder)."""
+    sizes = f"SELECT churned, count(*) AS n_cls FROM {source} GROUP BY churned"
+    share = (f"SELECT churned, n_cls, sum(n_cls) OVER () AS n, "
+             f"CAST(ceil(sum(n_cls) OVER () * {dbl(K.TEST_SIZE)}) AS BIGINT) AS n_side, "
+             f"coalesce(sum(n_cls) OVER (ORDER BY churned NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) "
+             f"AS n_before FROM ({sizes})")
+    quota = ("SELECT churned AS cls, n_cls, n_before, n_cls * n_side // n + CASE WHEN row_number() OVER (ORDER BY "
+             "n_cls * n_side % n DESC, churned NULLS LAST) <= n_side - sum(n_cls * n_side // n) OVER () THEN 1 ELSE 0 END "
+             f"AS n_test FROM ({share})")
+    return (f"ranked AS (SELECT s.*, row_number() OVER (PARTITION BY churned ORDER BY {scramble_sql('row_id', seed)}, row_id) "
+            f"AS rk, n_cls, n_before, n_test FROM {source} s JOIN ({quota}) ON cls IS NOT DISTINCT FROM churned)")
+
+
+SPLIT_CASE = "CASE WHEN rk <= n_test THEN 'test' ELSE 'train' END"
+
+
+def fold_case() -> str:
+    """Fold number of a ``ranked`` row: one more for every range end below its rank."""
+    k = K.N_FOLDS
+    size = [f"(n_cls - ((({f} - n_before) % {k} + {k}) % {k}) + {k - 1}) // {k}" for f in range(k)]
+    return "CAST(1 + " + " + ".join(
+        f"CASE WHEN rk > {' + '.join(size[:f])} THEN 1 ELSE 0 END" for f in range(1, k)) + " AS INTEGER)"

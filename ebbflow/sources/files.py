@@ -18,8 +18,7 @@ RAW_SCHEMA = T.StructType([T.StructField(c, _NUMERIC.get(c, T.StringType()), Tru
                            for c in K.RAW_COLUMNS])
 
 
-def _text_schema(names: list[str]) -> T.StructType:
-    return T.StructType([T.StructField(c, T.StringType(), True) for c in names])
+CORRUPT = "_corrupt_record"
 
 
 def null_tokens(col: F.Column) -> F.Column:
@@ -27,34 +26,60 @@ def null_tokens(col: F.Column) -> F.Column:
     return F.when(col.isin(*K.CSV_NULL_TOKENS), F.lit(None).cast("string")).otherwise(col)
 
 
+def _from_text(v: F.Column, dt: T.DataType) -> F.Column:
+    """Text -> number as pandas writes numbers: ``1.0`` is an integer and
+    ``True`` / ``False`` are 1 / 0; other text becomes null, never an error."""
+    flag = F.when(F.lower(v) == "true", F.lit(1)).when(F.lower(v) == "false", F.lit(0)).cast(dt)
+    if isinstance(dt, T.IntegerType):
+        d = v.try_cast("double")
+        whole = F.when(d == F.floor(d), d.try_cast(dt))
+        return F.coalesce(v.try_cast(dt), whole, flag)
+    return F.coalesce(v.try_cast(dt), flag)
+
+
 def typed_from_text(txt: DataFrame, schema: T.StructType = RAW_SCHEMA) -> DataFrame:
-    """All-text columns -> typed: NA tokens nulled, numeric columns cast
-    with ``try_cast`` (unparsable text becomes null, never an error).
-    Shared by the batch reader and the streaming ingest job."""
+    """Text columns by name -> typed: NA tokens nulled, numbers parsed, a
+    column the file lacks null, columns beyond ``schema`` left out.  Shared
+    by the batch reader and the streaming ingest job."""
     out = []
     for f in schema.fields:
+        if f.name not in txt.columns:
+            out.append(F.lit(None).cast(f.dataType).alias(f.name))
+            continue
         v = null_tokens(F.col(f"`{f.name}`"))
         if not isinstance(f.dataType, T.StringType):
-            v = v.try_cast(f.dataType)
+            v = _from_text(v, f.dataType)
         out.append(v.alias(f.name))
-    return txt.select(*out)
-
-
-def csv_reader(spark: SparkSession, names: list[str], stream: bool = False):
-    """CSV reader with every field read as text and no whitespace trimming."""
-    r = spark.readStream if stream else spark.read
-    return (r.schema(_text_schema(names)).option("header", True)
-            .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
-            .option("mode", "PERMISSIVE"))
-
-
-def read_subscribers_csv(spark: SparkSession, path: str, schema: T.StructType = RAW_SCHEMA) -> DataFrame:
-    """Header CSV -> typed table with the pandas null-token rules."""
-    return typed_from_text(csv_reader(spark, [f.name for f in schema.fields]).csv(path), schema)
+    return txt.select(*out, *([CORRUPT] if CORRUPT in txt.columns else []))
+
+
+def csv_text(spark: SparkSession, path: str, stream: bool = False, multi_line: bool = False,
+             max_files: int | None = None) -> DataFrame:
+    """CSV file(s) as text columns named by their header, in any order, plus
+    ``_corrupt_record`` (the raw row where its field count is wrong, else
+    null).  Quotes are doubled inside quotes.  Files of one path share one
+    header.  ``multi_line`` allows line breaks inside quotes; such a file
+    cannot be split, so it is off by default."""
+    opts = {"header": True, "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": False,
+            "ignoreTrailingWhiteSpace": False, "mode": "PERMISSIVE", "multiLine": multi_line}
+    names = spark.read.options(**opts).csv(path).columns  # reads the header line only
+    schema = T.StructType([T.StructField(c, T.StringType(), True) for c in [*names, CORRUPT]])
+    r = (spark.readStream if stream else spark.read).schema(schema).options(**opts)
+    if max_files:
+        r = r.option("maxFilesPerTrigger", max_files)
+    return r.option("columnNameOfCorruptRecord", CORRUPT).csv(path)
+
+
+def read_subscribers_csv(spark: SparkSession, path: str, schema: T.StructType = RAW_SCHEMA,
+                         multi_line: bool = False, corrupt: bool = False) -> DataFrame:
+    """Header CSV -> typed table with the pandas rules; ``corrupt`` keeps
+    ``_corrupt_record``."""
+    d = typed_from_text(csv_text(spark, path, multi_line=multi_line), schema)
+    return d if corrupt else d.drop(CORRUPT)
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    (df.write.mode("overwrite").option("header", True)
+    (df.write.mode("overwrite").option("header", True).option("escape", '"')
      .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
 
 
@@ -85,7 +110,7 @@ def write_payload(cohorts: DataFrame, fschema: T.StructType, path: str) -> None:
 
 def read_payload_json(spark: SparkSession, path: str, fschema: T.StructType | None = None) -> DataFrame:
     """Payload document(s) -> one row per example with its features
-    flattened (absent keys become null)."""
+    flattened (absent keys become null) and its known outcome."""
     reader = spark.read.option("multiLine", True)
     if fschema is not None:
         ex = T.StructType([T.StructField("name", T.StringType()), T.StructField("description", T.StringType()),
@@ -95,7 +120,7 @@ def read_payload_json(spark: SparkSession, path: str, fschema: T.StructType | No
                                              T.StructField("format", T.StringType()),
                                              T.StructField("examples", T.ArrayType(ex))]))
     doc = reader.json(path)
-    return doc.select(F.explode("examples").alias("ex")).select("ex.name", "ex.features.*")
+    return doc.select(F.explode("examples").alias("ex")).select("ex.name", "ex.features.*", "ex.expected_churn", "ex.actual_churned")
 
 
 def payload_round_trip(spark: SparkSession, raw: DataFrame) -> DataFrame:

@@ -17,7 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions import constants as K
 from ..operators import features as FE
-from ..operators.models import load_model
+from ..operators.models import load_model, probability
 from ..sources import files
 
 
@@ -30,12 +30,9 @@ def _start(df: DataFrame, sink: str, ckpt: str, available_now: bool, fmt: str =
 
 def ingest_frame(spark: SparkSession, src: str, schema: T.StructType = files.RAW_SCHEMA,
                  max_files: int | None = None) -> DataFrame:
-    """Streaming CSV source -> typed, cleaned rows with the engineered
-    flags that need no fitted state, plus the source file name."""
-    r = files.csv_reader(spark, [f.name for f in schema.fields], stream=True)
-    if max_files:
-        r = r.option("maxFilesPerTrigger", max_files)
-    typed = files.typed_from_text(r.csv(src), schema)
+    """Streaming CSV source -> typed, cleaned rows, with the raw text of a
+    malformed row in ``_corrupt_record``, plus the source file name."""
+    typed = files.typed_from_text(files.csv_text(spark, src, stream=True, max_files=max_files), schema)
     return FE.clean_all(typed).withColumn("source_file", F.input_file_name())
 
 
@@ -46,11 +43,12 @@ def stream_ingest(spark: SparkSession, src: str, sink: str, ckpt: str, available
 
 def score_frame(raw: DataFrame, state: FE.FeatureState, model_path: str, threshold: float = K.THRESHOLD_DEFAULT,
                 key: str = "row_id") -> DataFrame:
-    """Raw rows (stream or batch) -> key, probability, prediction."""
-    from pyspark.ml.functions import vector_to_array
+    """Raw rows (stream or batch) -> key, probability, prediction; both null
+    where a feature is missing."""
     feats = FE.align_features(FE.transform_features(raw, state, keep=(key,)), state.feature_names, keep=(key,))
-    out = load_model(model_path).transform(feats)
-    p = vector_to_array("probability")[1]
+    model = load_model(model_path)
+    p = probability(model)
+    out = model.transform(feats)
     return out.select(key, p.alias("probability"), (p >= F.lit(float(threshold))).cast("int").alias("prediction"))
 
 
@@ -79,10 +77,7 @@ def stream_quality(spark: SparkSession, src: str, sink: str, ckpt: str, availabl
     """Null counts per column per micro-batch, appended to ``sink``.
     ``foreachBatch`` is idempotent per batch id: a retried batch overwrites
     its own partition instead of appending twice."""
-    r = files.csv_reader(spark, [f.name for f in schema.fields], stream=True)
-    if max_files:
-        r = r.option("maxFilesPerTrigger", max_files)
-    typed = files.typed_from_text(r.csv(src), schema)
+    typed = files.typed_from_text(files.csv_text(spark, src, stream=True, max_files=max_files), schema).drop(files.CORRUPT)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         (null_profile(batch, batch_id).write.mode("overwrite")

@@ -34,7 +34,7 @@ def _read_json(spark: SparkSession, path: str) -> str:
 def profile_job(raw: DataFrame, out: str) -> dict[str, str]:
     """EDA tables written as Parquet (one folder per block) plus the long
     summary as CSV; returns the written paths."""
-    blocks = {"overview": P.overview(raw), "columns": P.column_profile(raw), "missing": P.missing_values(raw),
+    blocks = {"columns": P.column_profile(raw), "missing": P.missing_values(raw),
               "numeric": P.numeric_stats(raw), "outliers": P.outliers_iqr(raw),
               "categorical": P.categorical_stats(raw), "top_categories": P.top_categories(raw),
               "correlations": P.correlation_matrix(raw), "churn_by_feature": P.churn_by_feature(raw),

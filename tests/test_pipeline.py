@@ -1,5 +1,7 @@
 """Splits, versions, fingerprint, models and streaming on sf0.001."""
 
+import math
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -22,9 +24,9 @@ def raw(spark, sf):
 def test_split_is_exact_stratified_and_reproducible(raw):
     a = S.stratified_split(raw)
     counts = {(r.churned, r.split): r["count"] for r in a.groupBy("churned", "split").count().collect()}
-    for y in (0, 1):
-        n = counts.get((y, "test"), 0) + counts.get((y, "train"), 0)
-        assert counts.get((y, "test"), 0) == int(n * K.TEST_SIZE + 0.5)
+    sizes = {y: counts.get((y, "test"), 0) + counts.get((y, "train"), 0) for y in (0, 1)}
+    assert {y: counts.get((y, "test"), 0) for y in (0, 1)} == S.side_quotas(sizes, K.TEST_SIZE)
+    assert sum(n for (_, side), n in counts.items() if side == "test") == math.ceil(150 * K.TEST_SIZE)
     b = S.stratified_split(raw.repartition(5))
     assert sorted(a.select("row_id", "split").collect()) == sorted(b.select("row_id", "split").collect())
 
@@ -85,7 +87,7 @@ def test_stream_ingest_equals_batch(spark, sf):
     src, sink, ck = (scratch_path(spark, n) for n in ("t-in", "t-out", "t-ck"))
     files.write_csv(raw.repartition(3), src)
     J.stream_ingest(spark, src, sink, ck).awaitTermination()
-    got = spark.read.parquet(sink).drop("source_file")
+    got = spark.read.parquet(sink).drop("source_file", "_corrupt_record")
     exp = FE.clean_all(raw)
     assert got.exceptAll(exp.select(*got.columns)).count() == 0
     assert got.count() == exp.count()
@@ -128,7 +130,7 @@ def test_profile_job_writes_every_block(spark, raw):
     from ebbflow import workflows as W
     out = scratch_path(spark, "t-profile")
     paths = W.profile_job(raw.drop("row_id"), out)
-    assert spark.read.parquet(paths["overview"]).collect()[0].n_rows == raw.count()
+    assert spark.read.parquet(paths["columns"]).collect()[0].n_rows == raw.count()
     assert spark.read.option("header", True).csv(paths["summary_csv"]).count() > 0
 
 
@@ -162,12 +164,88 @@ def test_metrics_ignore_partitioning(spark, sf):
         assert _rounded_rows(f(sc)) == _rounded_rows(f(sc.repartition(5, "p")))
 
 
-def test_column_profile_switches_to_estimate_for_id_columns(raw):
+def test_distinct_counts_are_exact_for_id_columns(raw):
     from ebbflow.operators import profile as P
-    prof = {r.column_name: r for r in P.column_profile(raw.drop("row_id"), exact_max=50).collect()}
-    assert prof["account_id"].distinct_exact is False
-    assert abs(prof["account_id"].n_distinct - raw.count()) <= 0.1 * raw.count()
-    assert prof["gender"].distinct_exact is True and prof["gender"].n_distinct == 2
+    prof = {r.column_name: r.n_distinct for r in P.column_profile(raw.drop("row_id")).collect()}
+    assert prof["account_id"] == raw.count() and prof["gender"] == 2
+
+
+def test_side_quotas_follow_the_total():
+    assert sum(S.side_quotas({0: 7, 1: 7}, 0.2).values()) == 3
+    assert S.side_quotas({0: 2, 1: 2}, 0.2) == {0: 1, 1: 0}
+    assert S.side_quotas({0: 80, 1: 20, None: 5}, 0.2) == {0: 16, 1: 4, None: 1}
+    assert S.side_quotas({}, 0.2) == {}
+
+
+def test_fold_sizes_balance():
+    for sizes in ({0: 7, 1: 9}, {0: 1, 1: 1, 2: 1}, {0: 100, 1: 33, None: 4}):
+        per = S.fold_sizes(sizes, 5)
+        assert {c: sum(n) for c, n in per.items()} == sizes
+        totals = [sum(n[f] for n in per.values()) for f in range(5)]
+        assert max(totals) - min(totals) <= 1
+        assert all(max(n) - min(n) <= 1 for n in per.values())
+
+
+def test_null_labels_and_keys_keep_their_rows(spark):
+    d = spark.range(1, 201).select(F.col("id").alias("row_id"),
+                                   F.when(F.col("id") % 10 != 0, (F.col("id") % 3 == 0).cast("int")).alias("churned"),
+                                   F.when(F.col("id") % 7 != 0, F.concat(F.lit("A"), F.col("id") % 20)).alias("account_id"))
+    assert S.stratified_split(d).where("split = 'test'").count() == 40
+    folds = S.kfold_assign(d)
+    assert folds.count() == 200 and folds.where("fold IS NULL").count() == 0
+    by = S.stratified_split_by_group(d, "account_id")
+    assert by.count() == 200 and by.where("split IS NULL").count() == 0
+    empty = S.stratified_split(d.limit(0))
+    assert empty.count() == 0 and S.kfold_assign(d.limit(0)).count() == 0
+
+
+def test_split_is_a_projection(raw):
+    plan = S.stratified_split(raw.select("row_id", "churned").where("row_id > 0"))._jdf.queryExecution().executedPlan().toString()
+    base = raw.select("row_id", "churned").where("row_id > 0")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == base.count("Exchange") and "Window" not in plan
+
+
+def test_missing_feature_scores_null(spark, raw):
+    from ebbflow.streaming import jobs as J
+    st = FE.fit_features(raw)
+    d = S.stratified_split(FE.transform_features(raw, st))
+    m = ML.fit_model(d.where(F.col("split") == "train"), st.feature_names, "logistic", max_iter=20)
+    mp = scratch_path(spark, "t-model-null")
+    m.write().save(mp)
+    gone = raw.withColumn("monthly_fee", F.when(F.col("row_id") % 2 == 0, F.col("monthly_fee")))
+    out = J.score_frame(gone, st, mp)
+    assert out.where("(row_id % 2 = 1) <> (probability IS NULL AND prediction IS NULL)").count() == 0
+
+
+def test_csv_columns_come_from_the_header(spark):
+    from ebbflow.sources import files
+    path = scratch_path(spark, "t-upload")
+    rows = ['churned,account_id,gender', '1.0,"a ""b"", c",Male', 'True,x,Female', '0,NAN,nan', 'oops,y,Male', '1,z']
+    spark.createDataFrame([("\n".join(rows),)], "value string").coalesce(1).write.text(path)
+    got = {r.account_id: r for r in files.read_subscribers_csv(spark, path, corrupt=True).collect()}
+    assert got['a "b", c'].churned == 1 and got["x"].churned == 1 and got["NAN"].churned == 0
+    assert got["NAN"].gender is None and got["y"].churned is None and got["x"].gender == "Female"
+    assert got["x"].seniorcitizen is None and got["x"].monthly_fee is None
+    assert [k for k, r in got.items() if r[files.CORRUPT] is not None] == ["z"]
+
+
+def test_csv_quoted_line_breaks_need_the_option(spark):
+    from ebbflow.sources import files
+    path = scratch_path(spark, "t-upload-lines")
+    spark.createDataFrame([('account_id,churned\n"a\nb",1',)], "value string").coalesce(1).write.text(path)
+    rows = files.read_subscribers_csv(spark, path, multi_line=True).collect()
+    assert [(r.account_id, r.churned) for r in rows] == [("a\nb", 1)]
+
+
+def test_calibrator_is_kept_and_applied(spark, sf):
+    sc = fx.scored(spark, sf)
+    cal = ML.fit_platt(sc.where("row_id % 2 = 0"))
+    path = scratch_path(spark, "t-platt")
+    cal.write().save(path)
+    out = ML.apply_platt(ML.load_model(path), sc.where("row_id % 2 = 1").unionByName(
+        spark.createDataFrame([(-1, 1, None)], sc.schema)))
+    assert out.where("p IS NOT NULL AND NOT p_cal BETWEEN 0 AND 1").count() == 0
+    assert out.where("p IS NULL").select("p_cal").collect()[0][0] is None
 
 
 def test_stream_score_equals_batch_score(spark, raw):

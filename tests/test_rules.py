@@ -120,3 +120,47 @@ def test_metrics_with_one_class_do_not_raise(spark):
     assert r.roc_auc is None and r.pr_auc is None
     assert M.evaluate_model(df).collect()[0].accuracy == 0.5
     assert M.pr_curve_points(df).count() == 3
+
+
+def test_unscored_rows_are_counted_apart(spark):
+    sc = spark.createDataFrame([(1, 1, 0.9), (2, 0, 0.2), (3, 1, None), (4, None, 0.8), (5, 0, float("nan"))],
+                               "row_id long, y int, p double")
+    c = M.confusion(sc).collect()[0]
+    assert (c.tn, c.fp, c.fn, c.tp, c.n_unscored) == (1, 0, 0, 1, 3)
+    r = M.prediction_match_rate(sc).collect()[0]
+    assert (r.n, r.n_match, r.match_rate, r.n_unscored) == (2, 2, 1.0, 3)
+    assert M.ranking_auc(sc).collect()[0].n == 2
+    assert M.brier(sc).collect()[0][0] == pytest.approx((0.01 + 0.04) / 2)
+    assert sum(x["count"] or 0 for x in M.confidence_segments(sc).collect()) == 2
+    assert {x.row_id for x in M.predict_threshold(sc).where("prediction IS NULL").collect()} == {3, 5}
+
+
+def test_nan_is_missing_and_zero_has_one_sign(spark):
+    df = spark.createDataFrame([(float("nan"), None), (1.0, None), (2.0, None), (0.0, None), (-0.0, None)], "v double, w double")
+    prof = {r.column_name: r for r in P.column_profile(df).collect()}
+    assert (prof["v"].n_distinct, prof["v"].n_null) == (3, 1) and prof["w"].n_distinct == 0
+    assert {r.column_name: r.n_missing for r in P.missing_values(df).collect()} == {"v": 1, "w": 5}
+    out = {r.column_name: r for r in P.outliers_iqr(df).collect()}
+    assert out["w"].n_outliers == 0 and out["w"].pct_outliers is None
+
+
+def test_binary_columns(spark):
+    df = spark.createDataFrame([(1, "a", True, 0.0, None), (2, "b", False, -0.0, "x"), (2, "c", True, 1.0, "x")],
+                               "i int, s string, b boolean, z double, one string")
+    assert [r.column_name for r in P.binary_columns(df).orderBy("position").collect()] == ["i", "b", "z"]
+
+
+def test_too_many_categories_raise(spark):
+    df = spark.createDataFrame([(str(i),) for i in range(30)], "internet_plan string")
+    assert len(FE.fit_encode(df, max_categories=30).categories["internet_plan"]) == 30
+    with pytest.raises(ValueError):
+        FE.fit_encode(df, max_categories=29)
+
+
+def test_summary_has_every_block(spark):
+    df = spark.createDataFrame([("Month-to-month", 1.0, 2.0, 1), ("One year", 2.0, 4.1, 0), ("One year", 3.0, 5.9, 0)],
+                               "contract_type string, monthly_fee double, lifetime_spend double, churned int")
+    blocks = {r.section for r in P.generate_summary(df).select("section").distinct().collect()}
+    assert blocks == {"dataset_info", "column_types", "numerical_stats", "categorical_stats", "correlations",
+                      "strong_correlations", "churn_analysis", "churn_by_feature", "missing_values"}
+    assert P.generate_summary(df.select("contract_type")).count() > 0
