@@ -51,8 +51,9 @@ def psi(baseline: DataFrame, current: DataFrame, cols: list[str], bins: int = PS
 
 def retrain_trigger(base_auc: DataFrame, cur_auc: DataFrame, drift: DataFrame,
                     base_rate: DataFrame, cur_rate: DataFrame) -> DataFrame:
-    """One row: the inputs and the retrain decision (ROC-AUC drop, any PSI
-    alert, or churn-rate drift beyond the limits)."""
+    """One row: the inputs, the rules that fired (ROC-AUC drop, any PSI
+    alert, churn-rate drift beyond the limits) and the retrain decision.  A
+    rule whose input is missing does not fire, so the decision is never null."""
     from .metrics import one_row
     j = one_row(base_auc.select(F.col("roc_auc").alias("auc_baseline")),
                 cur_auc.select(F.col("roc_auc").alias("auc_current")),
@@ -61,10 +62,11 @@ def retrain_trigger(base_auc: DataFrame, cur_auc: DataFrame, drift: DataFrame,
                 cur_rate.select(F.col("churn_rate").alias("churn_rate_current")))
     drop = F.col("auc_baseline") - F.col("auc_current")
     cd = F.col("churn_rate_current") - F.col("churn_rate_baseline")
-    return j.select("auc_baseline", "auc_current", drop.alias("auc_drop"), "max_psi", "churn_rate_baseline",
-                    "churn_rate_current", cd.alias("churn_drift"),
-                    ((drop > AUC_DROP_ALERT) | (F.col("max_psi") > PSI_ALERT)
-                     | (F.abs(cd) > CHURN_DRIFT_ALERT)).alias("retrain"))
+    fired = {"auc_fired": drop > AUC_DROP_ALERT, "psi_fired": F.col("max_psi") > PSI_ALERT,
+             "churn_fired": F.abs(cd) > CHURN_DRIFT_ALERT}
+    out = j.select("auc_baseline", "auc_current", drop.alias("auc_drop"), "max_psi", "churn_rate_baseline",
+                   "churn_rate_current", cd.alias("churn_drift"), *[X.is_true(c).alias(n) for n, c in fired.items()])
+    return out.withColumn("retrain", F.col("auc_fired") | F.col("psi_fired") | F.col("churn_fired"))
 
 
 def fit_target_encoding(train: DataFrame, cols: list[str], label: str = K.LABEL,

@@ -14,6 +14,7 @@ from ..operators import metrics as M
 from ..operators import monitor as MO
 from ..operators import profile as P
 from ..operators import split as S
+from ..session import scratch_path
 from ..sources import fixtures as fx
 from ..sources.fixtures import oracle_cte
 from .registry import query
@@ -67,8 +68,9 @@ _AUC_BY_SIDE = (
        "scored_sp AS (SELECT s.row_id, s.y, s.p, sp.split FROM scored s JOIN sp ON s.row_id = sp.row_id),\n"
        + _psi_sql("sp") + ",\n" + _AUC_BY_SIDE + "\n"
        "SELECT ab AS auc_baseline, ac AS auc_current, ab - ac AS auc_drop, mp AS max_psi, rb AS churn_rate_baseline, "
-       f"rc AS churn_rate_current, rc - rb AS churn_drift, (ab - ac > {dbl(MO.AUC_DROP_ALERT)} OR mp > {dbl(MO.PSI_ALERT)} "
-       f"OR abs(rc - rb) > {dbl(MO.CHURN_DRIFT_ALERT)}) AS retrain FROM (SELECT "
+       f"rc AS churn_rate_current, rc - rb AS churn_drift, coalesce(ab - ac > {dbl(MO.AUC_DROP_ALERT)}, false) AS auc_fired, "
+       f"coalesce(mp > {dbl(MO.PSI_ALERT)}, false) AS psi_fired, coalesce(abs(rc - rb) > {dbl(MO.CHURN_DRIFT_ALERT)}, false) "
+       "AS churn_fired, auc_fired OR psi_fired OR churn_fired AS retrain FROM (SELECT "
        "(SELECT roc_auc FROM auc WHERE side = 'train') AS ab, (SELECT roc_auc FROM auc WHERE side = 'test') AS ac, "
        "(SELECT max(psi) FROM drift) AS mp, (SELECT churn_rate FROM rate WHERE side = 'train') AS rb, "
        "(SELECT churn_rate FROM rate WHERE side = 'test') AS rc)",
@@ -86,13 +88,17 @@ def retrain_trigger(spark, sf):
 TE_COLS = ["payment_method", "internet_plan"]
 
 
-@query("target_encode_smoothed", prep_cte("imputed").rstrip() + ",\n" + ranked_cte("imputed") + ",\n"
-       f"tr AS (SELECT * FROM ranked WHERE NOT ({SPLIT_CASE} = 'test')),\n"
-       "long AS (" + "\nUNION ALL ".join(
-           f"SELECT {q(c)} AS column_name, {c} AS value, churned AS y FROM tr WHERE {c} IS NOT NULL" for c in TE_COLS)
-       + ")\n"
+_TE_SRC = (prep_cte("imputed").rstrip() + ",\n" + ranked_cte("imputed") + ",\n"
+           f"tr AS (SELECT * FROM ranked WHERE NOT ({SPLIT_CASE} = 'test')),\n"
+           "long AS (" + "\nUNION ALL ".join(
+               f"SELECT {q(c)} AS column_name, {c} AS value, churned AS y FROM tr WHERE {c} IS NOT NULL" for c in TE_COLS)
+           + ")")
+_TE_VALUE = f"(sum(y) + {MO.TE_SMOOTHING} * (SELECT avg(churned) FROM tr)) / (count(*) + {MO.TE_SMOOTHING})"
+
+
+@query("target_encode_smoothed", _TE_SRC + "\n"
        "SELECT column_name, value, CAST(count(*) AS BIGINT) AS n, sum(y) / count(*) AS churn_rate, "
-       f"(sum(y) + {MO.TE_SMOOTHING} * (SELECT avg(churned) FROM tr)) / (count(*) + {MO.TE_SMOOTHING}) AS encoding "
+       f"{_TE_VALUE} AS encoding "
        "FROM long GROUP BY column_name, value", doubles=["churn_rate", "encoding"])
 def target_encode_smoothed(spark, sf):
     """Fitted on the training side only (no leak into the hold-out)."""
@@ -101,6 +107,20 @@ def target_encode_smoothed(spark, sf):
     return MO.fit_target_encoding(tr, TE_COLS).drop("prior")
 
 
+@query("target_encode_apply", _TE_SRC + f",\nenc AS (SELECT column_name, value, {_TE_VALUE} AS e FROM long GROUP BY ALL)\n"
+       "SELECT r.row_id, " + ", ".join(f"coalesce(e{i}.e, (SELECT avg(churned) FROM tr)) AS {c}_te" for i, c in enumerate(TE_COLS))
+       + " FROM ranked r " + " ".join(f"LEFT JOIN enc e{i} ON e{i}.column_name = {q(c)} AND e{i}.value = r.{c}"
+                                      for i, c in enumerate(TE_COLS)), doubles=[f"{c}_te" for c in TE_COLS])
+def target_encode_apply(spark, sf):
+    """The encoding of the training side kept as a table, read back and
+    applied to every row."""
+    d = S.stratified_split(FE.impute_all(FE.clean_all(fx.subscribers(spark, sf, keyed=True))))
+    path = scratch_path(spark, "target-encoding")
+    MO.fit_target_encoding(d.where(F.col("split") == "train"), TE_COLS).write.parquet(path)
+    enc = spark.read.parquet(path)
+    return MO.apply_target_encoding(d, enc, TE_COLS).select("row_id", *[f"{c}_te" for c in TE_COLS])
+
+
 CANON_PLANS = ["DSL", "Fiber optic", "No"]
 
 

@@ -91,7 +91,7 @@ def metric_history(spark, sf):
         ])).alias("s")).select("s.*")
         V.write_version(tidy, root, "metrics")
     recs = V.list_versions(spark, root, "metrics").select("version", "created_at")
-    hist = spark.read.parquet(f"{root}/metrics").join(F.broadcast(recs), "version")
+    hist = spark.read.parquet(f"{root}/metrics").join(recs, "version")
     return hist.groupBy("metric").agg(F.max_by("value", F.struct("created_at", "version")).alias("value"))
 
 

@@ -3,7 +3,7 @@ payload document, and round trips used by the catalog."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -78,6 +78,16 @@ def read_subscribers_csv(spark: SparkSession, path: str, schema: T.StructType =
     return d if corrupt else d.drop(CORRUPT)
 
 
+def with_row_key(raw: DataFrame, key: str = "row_id") -> DataFrame:
+    """Add an integer key that the row's content decides, whatever the
+    partitioning: 60 bits of the md5 of its text and of its running number
+    among identical rows."""
+    text = F.concat_ws("\x1f", *[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("\x00")) for c in raw.columns])
+    nth = F.row_number().over(Window.partitionBy("_m").orderBy("_m"))
+    d = raw.withColumn("_m", F.md5(text)).withColumn("_m", F.md5(F.concat_ws("#", "_m", nth)))
+    return d.select(F.conv(F.substring("_m", 1, 15), 16, 10).cast("bigint").alias(key), *raw.columns)
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     (df.write.mode("overwrite").option("header", True).option("escape", '"')
      .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))

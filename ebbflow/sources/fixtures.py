@@ -8,7 +8,8 @@ a test-input specification; the *same* text runs in Spark and in the DuckDB
 oracle, so each side starts from identical rows.
 
 Work grows with the input: one partial aggregate of ``orders`` by customer
-key, then a join on that key (AQE picks sort-merge or broadcast).
+key, then a join on that key (AQE picks sort-merge or broadcast).  Every
+customer is a row; one without orders has churned and has no spend.
 """
 
 from __future__ import annotations
@@ -35,15 +36,15 @@ SUBSCRIBERS_SQL = """SELECT concat('ACC', CAST(c_custkey AS VARCHAR(20))) AS acc
  CASE WHEN c_custkey % 10 = 3 THEN NULL WHEN c_custkey % 100 = 5 THEN 'NAN' WHEN c_custkey % 100 = 6 THEN '  ELECTRONIC CHECK ' ELSE CASE c_nationkey % 4 WHEN 0 THEN 'Electronic check' WHEN 1 THEN 'Mailed check' WHEN 2 THEN 'Bank transfer (automatic)' ELSE 'Credit card (automatic)' END END AS payment_method,
  CASE WHEN c_custkey % 97 = 0 THEN CAST(417.5 AS DOUBLE) ELSE CAST(18.25 AS DOUBLE) + (c_acctbal + CAST(1000 AS DOUBLE)) / CAST(109 AS DOUBLE) END AS monthly_fee,
  CASE WHEN c_custkey % 8 = 5 THEN NULL ELSE CAST(spend AS DOUBLE) / CAST(5000 AS DOUBLE) END AS lifetime_spend,
- CASE WHEN last_ts < TIMESTAMP '2001-01-01 00:00:00' THEN 1 ELSE 0 END AS churned,
+ CASE WHEN last_ts >= TIMESTAMP '2001-01-01 00:00:00' THEN 0 ELSE 1 END AS churned,
  md5(CAST(c_custkey AS VARCHAR(20))) AS customer_hash,
  CASE WHEN c_custkey % 10 < 3 THEN 1 ELSE 0 END AS marketing_opt_in
-FROM {customer} JOIN (SELECT o_custkey, max(o_orderdate) AS last_ts, sum(CAST(o_totalprice AS DECIMAL(18,2))) AS spend FROM {orders} GROUP BY o_custkey) o ON o_custkey = c_custkey"""
+FROM {customer} LEFT JOIN (SELECT o_custkey, max(o_orderdate) AS last_ts, sum(CAST(o_totalprice AS DECIMAL(18,2))) AS spend FROM {orders} GROUP BY o_custkey) o ON o_custkey = c_custkey"""
 
 SCORED_SQL = """SELECT c_custkey AS row_id,
- CASE WHEN last_ts < TIMESTAMP '2001-01-01 00:00:00' THEN 1 ELSE 0 END AS y,
- CAST(((25 - n_orders) * 32 + (c_custkey * 37) % 200) AS DOUBLE) / CAST(1000 AS DOUBLE) AS p
-FROM {customer} JOIN (SELECT o_custkey, max(o_orderdate) AS last_ts, count(*) AS n_orders FROM {orders} GROUP BY o_custkey) o ON o_custkey = c_custkey"""
+ CASE WHEN last_ts >= TIMESTAMP '2001-01-01 00:00:00' THEN 0 ELSE 1 END AS y,
+ CAST(((25 - coalesce(n_orders, 0)) * 32 + (c_custkey * 37) % 200) AS DOUBLE) / CAST(1000 AS DOUBLE) AS p
+FROM {customer} LEFT JOIN (SELECT o_custkey, max(o_orderdate) AS last_ts, count(*) AS n_orders FROM {orders} GROUP BY o_custkey) o ON o_custkey = c_custkey"""
 
 # Same text with the row key kept: ``row_id`` is the customer key, used for
 # deterministic ordering, splitting and joining scores back.

@@ -9,8 +9,6 @@ through the driver except fitted scalars, category lists and metric rows.
 
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,6 +19,7 @@ from .operators import models as ML
 from .operators import profile as P
 from .operators import split as S
 from .sources import versions as V
+from .sources.files import with_row_key
 
 
 def _write_json(spark: SparkSession, path: str, text: str) -> None:
@@ -53,10 +52,11 @@ def profile_job(raw: DataFrame, out: str) -> dict[str, str]:
 
 def process_job(raw: DataFrame, root: str) -> dict:
     """Fit the feature state, write the processed table as a new version
-    and the state next to it."""
+    and the state next to it.  Rows without a ``row_id`` get one from their
+    content, so that a table read from a raw file can be split."""
+    raw = raw if "row_id" in raw.columns else with_row_key(raw)
     st = FE.fit_features(raw)
-    keep = ("row_id",) if "row_id" in raw.columns else ()
-    rec = V.write_version(FE.transform_features(raw, st, keep=keep), root, "processed")
+    rec = V.write_version(FE.transform_features(raw, st), root, "processed")
     _write_json(raw.sparkSession, f"{rec['path']}/_state", FE.state_to_json(st))
     return rec
 
@@ -100,8 +100,9 @@ def evaluate_job(spark: SparkSession, root: str, model_path: str, target_metric:
     te = ML.score(model, sp.where(F.col("split") == "test")).checkpoint(eager=True)
     ev = M.evaluate_model(te, thr)
     names = [c for c in ev.columns]
-    tidy = ev.select(F.explode(F.array(*[F.struct(F.lit(n).alias("metric"), F.col(n).cast("double").alias("value"))
-                                         for n in names])).alias("s")).select("s.*")
+    model_version = model_path.rstrip("/").rsplit("/", 1)[-1]
+    tidy = ev.select(F.lit(model_version).alias("model"), F.explode(F.array(*[F.struct(F.lit(n).alias("metric"), F.col(n).cast("double").alias("value"))
+                                         for n in names])).alias("s")).select("model", "s.*")
     V.write_version(tidy, root, "metrics")
     return ev
 
@@ -115,6 +116,7 @@ def kfold_job(spark: SparkSession, root: str, model_type: str = "random_forest",
     folded = S.kfold_assign(d, n_folds=n_folds).checkpoint(eager=True)
     best = f"{root.rstrip('/')}/models/{V.new_version('kfold_best')}"
     res = ML.kfold_train(folded, st.feature_names, model_type, n_folds=n_folds, best_model_path=best, **params)
+    V.record_version(spark, root, "models", best.rsplit("/", 1)[-1], best, columns=st.feature_names)
     V.write_version(res, root, "kfold")
     return res
 
@@ -131,13 +133,9 @@ def score_job(raw: DataFrame, model_path: str, threshold: float = K.THRESHOLD_DE
 def metric_trend(spark: SparkSession, root: str) -> DataFrame:
     """All metric versions in time order (one row per version and metric)."""
     recs = V.list_versions(spark, root, "metrics").select("version", "created_at")
-    return spark.read.parquet(f"{root.rstrip('/')}/metrics").join(F.broadcast(recs), "version")
+    return spark.read.parquet(f"{root.rstrip('/')}/metrics").join(recs, "version")
 
 
 def pipeline_status(spark: SparkSession, root: str) -> DataFrame:
     """Latest processed table, split, model, metrics and k-fold versions."""
     return V.status(spark, root)
-
-
-def describe(rec: dict) -> str:
-    return json.dumps({k: (str(v) if k == "created_at" else v) for k, v in rec.items()})

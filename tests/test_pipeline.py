@@ -229,6 +229,27 @@ def test_csv_columns_come_from_the_header(spark):
     assert [k for k, r in got.items() if r[files.CORRUPT] is not None] == ["z"]
 
 
+def test_row_keys_follow_the_content(spark, raw):
+    from ebbflow.sources import files
+    plain = raw.drop("row_id")
+    twice = plain.unionByName(plain.limit(20))
+    a, b = files.with_row_key(twice), files.with_row_key(twice.repartition(7))
+    assert a.select("row_id").distinct().count() == twice.count()
+    assert a.exceptAll(b).count() == 0 and S.stratified_split(a).count() == twice.count()
+
+
+def test_flow_from_a_raw_file(spark, raw):
+    from ebbflow import workflows as W
+    from ebbflow.sources import files
+    path, root = scratch_path(spark, "t-raw-csv"), scratch_path(spark, "t-raw-flow")
+    files.write_csv(raw.drop("row_id"), path)
+    W.process_job(files.read_subscribers_csv(spark, path), root)
+    W.split_job(spark, root)
+    mp = W.train_job(spark, root, "logistic", max_iter=20)
+    assert 0.0 <= W.evaluate_job(spark, root, mp).collect()[0].roc_auc <= 1.0
+    assert {r.model for r in W.metric_trend(spark, root).collect()} == {mp.rsplit("/", 1)[-1]}
+
+
 def test_csv_quoted_line_breaks_need_the_option(spark):
     from ebbflow.sources import files
     path = scratch_path(spark, "t-upload-lines")
