@@ -223,6 +223,19 @@ def test_decontamination(spark):
     assert decontaminate.contaminated(frame(spark, texts).where("false"), bench).count() == 0
 
 
+def found_items(spark, items, texts):
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    return {k: v["item_ids"] for k, v in rows(decontaminate.contaminated(frame(spark, texts), bench)).items()}
+
+
+def test_decontamination_short_capitalised_items(spark):
+    items = ["What is the capital of Peru?", "Who was the 7 th king of that island and when", "Days later she left the old house"]
+    texts = ["then he asked What is the capital of Peru? and left", "he asked, What is the capital of Peru?", "What is the capital of Peru?",
+             "what is the capital of peru", "it says Who was the 3 th king of that island and when he died", "What is the capital city of Peru?",
+             "and 5 Days later she left the old house", "it says: Who was the 3 th queen of that island and when"]
+    assert found_items(spark, items, texts) == {0: [0], 1: [0], 2: [0], 3: [0], 4: [1], 6: [2]}
+
+
 def brute_contaminated(docs, bench):
     """Windows of plain lower-case tokens: no numbers or names take part in these tables' passages."""
     def plain(t):
