@@ -5,8 +5,8 @@ digits become ``0``, names (capitalised words within a sentence) become a
 name mark, unit words after a number become a unit mark, the rest is lower
 case.  Every token keeps its place, so the raw tokens give the slot values.
 
-Windows of ``WINDOW`` tokens are hash-joined: the windows of an item with
-at least ``LITERALS`` words by their raw lower-case tokens, and those with slots
+Windows of ``WINDOW`` tokens are hash-joined: every window of an item by its
+raw lower-case tokens, and those with slots and at least ``LITERALS`` words
 also in template form.  Equal hashes are confirmed on the tokens themselves,
 for which only matched documents are read again.  Matches on one alignment
 (document place minus item place) must fill slots consistently: wherever
@@ -19,9 +19,9 @@ is looked for both as a word and as a name.
 A document is contaminated if an alignment with consistent slots covers
 ``ENOUGH`` tokens of an item (all of it, if shorter), or if raw windows do.
 
-Edge cases: null or empty texts and items match nothing; items of fewer than
-``LEAST`` tokens are too short to be evidence; an item shorter than a window is
-one window; repeated items and rows are reported alike; empty tables
+Edge cases: null or empty texts and items match nothing; an item shorter than
+a window is one window, and one of fewer than ``LEAST`` tokens is found by its
+raw tokens alone; repeated items and rows are reported alike; empty tables
 give no rows.
 """
 
@@ -34,9 +34,9 @@ from .graph import saved
 from .textarrays import doc_key
 
 WINDOW = 8  # template tokens hashed together
-LITERALS = 4  # of them words, at least: fewer say nothing
+LITERALS = 4  # of them words, at least, for a match in template form; fewer must match as they stand
 ENOUGH = 13  # tokens an alignment must cover
-LEAST = 5
+LEAST = 5  # tokens of an item that may match in template form
 #: benchmark tokens or matches that may be broadcast (under 100 bytes each, 50 MB in all); more are joined by shuffle
 BROADCAST_WINDOWS = 500_000
 #: unit words and signs that count as a unit after a number
@@ -95,7 +95,7 @@ def item_forms(benchmark: DataFrame) -> DataFrame:
     Form 0 is the item as it stands; form 1, of items that begin with a
     capitalised word, has that word as a name, as within a sentence.
     """
-    t = tokenised(benchmark, "item_id").withColumn("item_size", F.size("raw")).where(F.col("item_size") >= LEAST)
+    t = tokenised(benchmark, "item_id").withColumn("item_size", F.size("raw")).where("item_size > 0")
     named = F.concat(F.array(F.lit(NAME)), F.slice("tmpl", 2, F.greatest(F.col("item_size"), F.lit(1))))
     forms = F.when(F.col("capital"), F.array("tmpl", named)).otherwise(F.array("tmpl"))
     return t.select("item_id", F.posexplode(forms).alias("form", "tmpl"), "raw", "item_size").distinct()
@@ -104,17 +104,16 @@ def item_forms(benchmark: DataFrame) -> DataFrame:
 def item_windows(items: DataFrame) -> DataFrame:
     """(item_id, item_size, form, column, size, item_at, ih): the windows to look for.
 
-    Windows with words enough by their raw tokens, and by their template if
-    that has a slot.
+    Every window by its raw tokens, and by its template if that has a slot
+    and words enough beside.
     """
     size = F.least("item_size", F.lit(WINDOW))
     t = items.withColumn("size", size).withColumn("item_at", F.explode(F.sequence(F.lit(0), F.col("item_size") - F.col("size"))))
     t = t.where("form = 0 OR item_at = 0")
     piece = lambda c: F.slice(c, F.col("item_at") + 1, F.col("size"))
     words = F.size(F.filter(piece("tmpl"), lambda x: ~x.isin(*SLOTS)))
-    enough = words >= F.least(F.lit(LITERALS), F.col("size") - 1)
-    template = (words < F.col("size")) & enough
-    raw = F.when((F.col("form") == 0) & enough, F.struct(F.lit("raw").alias("column"), F.xxhash64(piece("raw")).alias("ih")))
+    template = (F.col("item_size") >= LEAST) & (words < F.col("size")) & (words >= F.least(F.lit(LITERALS), F.col("size") - 1))
+    raw = F.when(F.col("form") == 0, F.struct(F.lit("raw").alias("column"), F.xxhash64(piece("raw")).alias("ih")))
     tmpl = F.when(template, F.struct(F.lit("tmpl").alias("column"), F.xxhash64(piece("tmpl")).alias("ih")))
     t = t.select("item_id", "item_size", "form", "size", "item_at", F.explode(F.array(raw, tmpl)).alias("w")).where("w IS NOT NULL")
     return t.select("item_id", "item_size", "form", "w.column", "size", "item_at", "w.ih")

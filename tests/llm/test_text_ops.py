@@ -236,6 +236,14 @@ def test_decontamination_short_capitalised_items(spark):
     assert found_items(spark, items, texts) == {0: [0], 1: [0], 2: [0], 3: [0], 4: [1], 6: [2]}
 
 
+def test_decontamination_items_without_plain_words(spark):
+    items = ["2, 3, 5, 7, 11, 13, 17, 19, 23, 29, 31, 37, 41, 43", "Who Wrote The Old Book Of Tales", "12 + 30 = 42", "3 kg 4 cm 5 kg 6 cm 7 kg",
+             "Anna, Boris, Carla, Dario, Elena, Fritz, Greta, Hanno, Irene, Jonas, Klara, Ludwig, Maria, Nils", "Prime", "Blue whale song"]
+    texts = [f"some words before {t}. and after" for t in items[:5]] + ["a prime one", "the blue whale, song", "1, 2, 4, 8, 16, 32, 64, 128, 256, 512, 1024, 2048",
+             "12 + 31 = 43", "Who Wrote The New Book Of Tales", "whale blue song"]
+    assert found_items(spark, items, texts) == {0: [0], 1: [1], 2: [2], 3: [3], 4: [4], 5: [5], 6: [6]}
+
+
 def brute_contaminated(docs, bench):
     """Windows of plain lower-case tokens: no numbers or names take part in these tables' passages."""
     def plain(t):
