@@ -21,8 +21,9 @@ A document is contaminated if an alignment with consistent slots covers
 
 Edge cases: null or empty texts and items match nothing; an item shorter than
 a window is one window, and one of fewer than ``LEAST`` tokens is found by its
-raw tokens alone; repeated items and rows are reported alike; empty tables
-give no rows.
+raw tokens alone; repeated items and rows are reported alike; rows
+without a doc_id are documents of their own, as are other texts under one
+doc_id; empty tables give no rows.
 """
 
 from __future__ import annotations
@@ -31,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .graph import saved
-from .textarrays import doc_key
+from .textarrays import keyed
 
 WINDOW = 8  # template tokens hashed together
 LITERALS = 4  # of them words, at least, for a match in template form; fewer must match as they stand
@@ -120,7 +121,10 @@ def item_windows(items: DataFrame) -> DataFrame:
 
 
 def hits(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """(oid, item_id, item_size, shift, item_at, verbatim, raw, item_tmpl, item_raw): window matches, confirmed on the tokens."""
+    """Window matches in ``docs(oid, doc_id, text)``, confirmed on the tokens.
+
+    Columns: oid, doc_id, item_id, item_size, shift, item_at, verbatim, raw, item_tmpl, item_raw.
+    """
     items = saved(item_forms(benchmark), "benchmark-items")
     names = saved(item_windows(items), "benchmark-windows")
     small = items.agg(F.coalesce(F.sum("item_size"), F.lit(0))).first()[0] <= BROADCAST_WINDOWS
@@ -131,7 +135,7 @@ def hits(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         coded = F.broadcast(coded)
     at_hand = F.broadcast if small else lambda df: df
 
-    tokens = tokenised(docs.select(doc_key().alias("oid"), "text"), "oid")
+    tokens = tokenised(docs, "oid")
     m = windows(tokens, kinds, "oid").join(coded, (F.col("h") == F.col("ih")) & (F.col("k") == F.col("ik")))
     found = saved(m.select("oid", F.struct("at", "item_id", "item_at", "item_size", "size", "form", (F.col("column") == "raw").alias("verbatim")).alias("m")), "benchmark-matches")
 
@@ -139,10 +143,10 @@ def hits(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     by_doc = found.groupBy("oid").agg(F.collect_set("m").alias("ms"))
     if found.count() <= BROADCAST_WINDOWS:
         by_doc = F.broadcast(by_doc)
-    d = docs.select(doc_key().alias("oid"), "text").where("text IS NOT NULL").join(by_doc, "oid")
-    d = tokenised(d, "oid", "ms").select("oid", F.explode_outer("ms").alias("m"), "tmpl", "raw")
+    d = docs.where("text IS NOT NULL").join(by_doc, "oid")
+    d = tokenised(d, "oid", "doc_id", "ms").select("oid", "doc_id", F.explode_outer("ms").alias("m"), "tmpl", "raw")
     part = lambda c: F.slice(c, F.col("m.at") + 1, F.col("m.size"))
-    d = d.select("oid", "m.item_id", "m.item_at", "m.item_size", "m.size", "m.form", "m.verbatim",
+    d = d.select("oid", "doc_id", "m.item_id", "m.item_at", "m.item_size", "m.size", "m.form", "m.verbatim",
                  (F.col("m.at") - F.col("m.item_at")).alias("shift"), part("tmpl").alias("tmpl"), part("raw").alias("raw"))
     of_item = items.select(F.col("item_id").alias("i"), F.col("item_size").alias("n"), F.col("form").alias("f"), F.col("tmpl").alias("it"),
                            F.col("raw").alias("ir"))
@@ -150,13 +154,13 @@ def hits(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     piece = lambda c: F.slice(c, F.col("item_at") + 1, F.col("size"))
     d = d.withColumn("item_tmpl", piece("it")).withColumn("item_raw", piece("ir"))
     return (d.where(F.when(F.col("verbatim"), F.col("raw") == F.col("item_raw")).otherwise(F.col("tmpl") == F.col("item_tmpl")))
-            .select("oid", "item_id", "item_size", "shift", "item_at", "verbatim", "raw", "item_tmpl", "item_raw"))
+            .select("oid", "doc_id", "item_id", "item_size", "shift", "item_at", "verbatim", "raw", "item_tmpl", "item_raw"))
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """One row per contaminated document: doc_id, n_items, item_ids (ascending), covered (most tokens on one alignment)."""
+def covered_items(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """One row per contaminated document of ``docs(oid, doc_id, text)``: oid, doc_id, item_ids (ascending), covered."""
     spot = F.explode(F.arrays_zip(F.sequence(F.col("item_at"), F.col("item_at") + F.size("raw") - 1).alias("j"), "raw", "item_tmpl", "item_raw"))
-    line = ["oid", "item_id", "item_size", "shift"]
+    line = ["oid", "doc_id", "item_id", "item_size", "shift"]
     t = hits(docs, benchmark).select(*line, "verbatim", spot.alias("t")).select(*line, "verbatim", "t.*")
     slot = F.when(F.col("item_tmpl").isin(*SLOTS), F.col("item_tmpl"))
     t = t.groupBy(*line, "j").agg(F.max(slot).alias("slot"), F.max("verbatim").alias("bare"), F.min(F.struct("item_raw", "raw")).alias("t"))
@@ -165,11 +169,17 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     a = v.groupBy(*line).agg(F.sum("n").alias("covered"), F.sum("bare").alias("bare"), F.max(F.col("slot").isNotNull() & F.col("mixed")).alias("mixed"))
     need = F.least(F.lit(ENOUGH), "item_size")
     a = a.where(((F.col("covered") >= need) & ~F.col("mixed")) | (F.col("bare") >= need))
-    return (a.groupBy("oid").agg(F.array_sort(F.collect_set("item_id")).alias("item_ids"), F.max("covered").alias("covered"))
-            .select(F.when(F.col("oid") != (1 << 63) - 1, F.col("oid")).alias("doc_id"), F.size("item_ids").cast("long").alias("n_items"), "item_ids", "covered"))
+    return a.groupBy("oid", "doc_id").agg(F.array_sort(F.collect_set("item_id")).alias("item_ids"), F.max("covered").alias("covered"))
+
+
+def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """One row per contaminated document: doc_id, n_items, item_ids (ascending), covered (most tokens on one alignment)."""
+    found = covered_items(keyed(docs.select("doc_id", "text")), benchmark)
+    return found.select(F.col("doc_id").cast("long").alias("doc_id"), F.size("item_ids").cast("long").alias("n_items"), "item_ids", "covered")
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` without the contaminated documents."""
-    bad = contaminated(docs, benchmark).select(F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("__bad"))
-    return docs.join(bad, doc_key() == F.col("__bad"), "left_anti")
+    rows = keyed(docs, "__key")
+    bad = covered_items(rows.select(F.col("__key").alias("oid"), "doc_id", "text"), benchmark).select(F.col("oid").alias("__key"))
+    return rows.join(bad, "__key", "left_anti").select(*docs.columns)

@@ -13,9 +13,9 @@ an aggregate with map-side combine finds them and the first occurrence
 occurrence byte by byte; equal ones are removed, the first stays.
 
 Edge cases: a null text stays null with no lines; chunks of white space
-alone are no candidates; an empty text is one empty line; a null doc_id
-sorts last; rows that share a doc_id are one document and each loses the
-chunks that any of them loses.
+alone are no candidates; an empty text is one empty line; rows
+equal in doc_id and text are one document; rows without a doc_id are documents
+of their own, as are other texts under one doc_id, and sort last.
 """
 
 from __future__ import annotations
@@ -24,15 +24,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .graph import saved
-from .textarrays import doc_key
+from .textarrays import keyed
 
 #: rows of a table that may be broadcast (ids and chunk numbers, under 64 bytes each)
 BROADCAST_ROWS = 100_000
 
 
 def chunked(docs: DataFrame) -> DataFrame:
-    """(oid, doc_id, text, lines, chunks): chunks are structs (first, size) of 1-based line numbers."""
-    d = docs.select(doc_key().alias("oid"), "doc_id", "text").withColumn("lines", F.split("text", "\n", -1))
+    """(oid, doc_id, text, lines, chunks) of ``docs(oid, doc_id, text)``: chunks are structs (first, size) of 1-based line numbers."""
+    d = docs.withColumn("lines", F.split("text", "\n", -1))
     d = d.withColumn("names", F.transform("lines", lambda x: F.md5(x.cast("binary"))))
     count = F.size("lines")
     ends = F.filter(F.sequence(F.lit(1), count), lambda i: (i == F.size("lines")) | (
@@ -62,7 +62,7 @@ def removed_chunks(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
             .where("many > 1").drop("many"))
     rows = found.join(lead, "name").select("name", "oid", F.struct("first", "size", "name", (F.struct("oid", "first") == F.col("lead")).alias("lead")).alias("c"))
     by_doc = rows.groupBy("oid").agg(F.collect_set("c").alias("test"))
-    texts = docs.select(doc_key().alias("oid"), "doc_id", "text").join(by_doc, "oid", "left")
+    texts = docs.join(by_doc, "oid", "left")
     texts = saved(texts.select("oid", "doc_id", "text", "test"), "line-texts")
     lines = texts.where("test IS NOT NULL").withColumn("lines", F.split("text", "\n", -1))
     tested = lines.select("oid", "lines", F.explode("test").alias("c")).select(
@@ -75,7 +75,7 @@ def removed_chunks(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def remove_repeated_chunks(docs: DataFrame) -> DataFrame:
     """Per row of ``docs(doc_id, text, ..)``: doc_id, n_lines, n_removed, text (the lines that stay, joined by LF)."""
-    texts, differ = removed_chunks(docs)
+    texts, differ = removed_chunks(keyed(docs.select("doc_id", "text")))
     differ = saved(differ, "line-differ")
     spare = differ.groupBy("oid").agg(F.collect_set("first").alias("spare"))
     if differ.count() <= BROADCAST_ROWS:

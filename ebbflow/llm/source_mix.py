@@ -19,7 +19,9 @@ rows spreads over as many tasks as its size needs.  Everything is a function
 of ids, sizes and ``SEED``: reruns agree.
 
 Edge cases: null texts have size 0 and are never taken; null sources are a
-source; rows that share a doc_id are taken alike; an empty table gives no rows.
+source; rows equal in
+doc_id, text and source are taken alike; rows without a doc_id are documents of
+their own, as are others under one doc_id; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -28,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .graph import saved
-from .textarrays import WORD
+from .textarrays import WORD, keyed
 
 WEIGHTS = (3, 1, 2)
 SHARE, MOST = 1.5, 2
@@ -38,10 +40,10 @@ SEED = "mix-1"
 
 
 def sized(docs: DataFrame) -> DataFrame:
-    """(doc_id, source, size, r): words of each document and its seeded order key."""
+    """(key, doc_id, source, size, r) of ``docs(__id, ..)``: words of each document and its seeded order key."""
     words = F.length(F.regexp_replace(F.regexp_replace("text", WORD, "w"), r"[\x20\x09-\x0D]+", ""))
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", F.coalesce(words, F.lit(0)).cast("long").alias("size"),
-                       F.md5(F.concat(F.lit(SEED), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).cast("binary")).alias("r"))
+    return docs.select(F.col("__id").alias("key"), F.col("doc_id").cast("long").alias("doc_id"), "source", F.coalesce(words, F.lit(0)).cast("long").alias("size"),
+                       F.md5(F.concat(F.lit(SEED), F.col("__id").cast("string")).cast("binary")).alias("r"))
 
 
 def same(a: str, b: str):
@@ -92,11 +94,16 @@ def apportion(parties: DataFrame, group: list[str], key: list[str], votes: str,
 
 
 def mix(docs: DataFrame) -> DataFrame:
-    """Per row of ``docs``: doc_id, size, source_size, target, taken, and where in the document the extra copy lies.
+    """Per row of ``docs``: key, doc_id, size, source_size, target, taken, and where in the document the extra copy lies.
 
     ``base`` whole copies are taken, and once more the words of the document
     at [from1, to1) and [from2, to2) (0-based word numbers).
     """
+    return plan(keyed(docs.select("doc_id", "text", "source"), "__id", ("text", "source")))
+
+
+def plan(docs: DataFrame) -> DataFrame:
+    """The mix of ``docs`` keyed by ``__id``; see ``mix``."""
     d = saved(sized(docs), "mix-sizes")
     t = targets(d).withColumn("blocks", F.round(F.sum("target").over(Window.partitionBy(F.lit(1))) / BLOCK_WORDS).cast("long"))
     t = apportion(t, [], ["source"], "target", "blocks")
@@ -112,13 +119,13 @@ def mix(docs: DataFrame) -> DataFrame:
     v = v.select(F.col("source").alias("of"), F.col("shard").alias("at"), "words", F.floor(F.col("q") / F.col("m")).alias("base"),
                  "start", F.pmod("q", "m").alias("extra"), "m")
 
-    line = Window.partitionBy("source", "shard").orderBy("r", "doc_id").rowsBetween(Window.unboundedPreceding, 0)
+    line = Window.partitionBy("source", "shard").orderBy("r", "key").rowsBetween(Window.unboundedPreceding, 0)
     d = d.withColumn("b", F.sum("size").over(line)).withColumn("a", F.col("b") - F.col("size"))
     d = d.join(v, same("source", "of") & (F.col("shard") == F.col("at")), "left")
     lo1, hi1 = F.col("start") * BLOCK_WORDS, F.least((F.col("start") + F.col("extra")) * BLOCK_WORDS, "words")
     hi2 = F.greatest(F.col("start") + F.col("extra") - F.col("m"), F.lit(0)) * BLOCK_WORDS
     inside = lambda x: F.coalesce(F.least(F.greatest(x - F.col("a"), F.lit(0)), "size"), F.lit(0)).cast("long")
-    d = d.select("doc_id", "size", "source_size", "target", F.coalesce("base", F.lit(0)).cast("long").alias("base"),
+    d = d.select("key", "doc_id", "size", "source_size", "target", F.coalesce("base", F.lit(0)).cast("long").alias("base"),
                  inside(lo1).alias("from1"), inside(hi1).alias("to1"), F.lit(0).cast("long").alias("from2"), inside(hi2).alias("to2"))
     extra = F.greatest(F.col("to1") - F.col("from1"), F.lit(0)) + F.col("to2")
     return d.withColumn("taken", F.col("base") * F.col("size") + extra)
@@ -130,9 +137,11 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     A document of which nothing is taken gives no row.  ``n_chars``, if
     there, is set to the length of the row's own text.
     """
-    plan = mix(docs).select(F.col("doc_id").alias("__id"), F.col("size").alias("__size"), F.col("base").alias("__base"), F.col("from1").alias("__from"),
-                            F.col("to1").alias("__to"), F.col("to2").alias("__tail")).dropDuplicates(["__id"])
-    d = docs.join(plan, F.col("doc_id").cast("long").eqNullSafe(F.col("__id"))).where("__size > 0")
+    rows = keyed(docs, "__id", ("text", "source"))
+    p = plan(rows).groupBy(F.col("key").alias("__id")).agg(F.min(F.struct(
+        F.col("size").alias("__size"), F.col("base").alias("__base"), F.col("from1").alias("__from"), F.col("to1").alias("__to"),
+        F.col("to2").alias("__tail"))).alias("p")).select("__id", "p.*")
+    d = rows.join(p, "__id").where("__size > 0")
     d = d.withColumn("__words", F.regexp_extract_all("text", F.lit(WORD + r"[\x20\x09-\x0D]*"), F.lit(0)))
 
     def cut(lo, hi):

@@ -27,8 +27,9 @@ frequent are shuffled by window instead of by border; this changes only
 where rows are compared, never the result.
 
 Edge cases: null or empty texts have no words; texts under ``width`` words
-keep all of them; a null doc_id sorts last; rows that share a doc_id are one
-document (each loses the words that any of them loses, none is earlier).
+keep all of them; rows equal in doc_id and text are one document (each loses
+the words that any of them loses, none is earlier); rows without a doc_id are
+documents of their own, as are other texts under one doc_id, and sort last.
 """
 
 from __future__ import annotations
@@ -43,7 +44,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .textarrays import doc_key, mix64, slices, small_batches, span_hash, word_arrays
+from .textarrays import keyed, mix64, slices, small_batches, span_hash, word_arrays
 
 #: (what a round names, longest symbol in words that takes part)
 ROUNDS = (("runs", 1), ("pairs", 1), ("pairs", 2))
@@ -187,12 +188,12 @@ def _strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def repeated_spans(docs: DataFrame, width: int = 20) -> DataFrame:
-    """(oid, spans, packed): per document the word spans that windows starting earlier also hold, as start << 32 | length;
+    """(oid, spans, packed) of ``docs(oid, text)``: per document the word spans that windows starting earlier also hold, as start << 32 | length;
     ``packed`` has such numbers as little-endian bytes."""
     if width <= 2 * CONTEXT:
         raise ValueError(f"width must exceed {2 * CONTEXT} words")
     small_batches(docs.sparkSession)
-    texts = docs.select(doc_key().alias("oid"), "text")
+    texts = docs.select("oid", "text")
     hot = [r["key"] for r in texts.where(F.pmod(F.xxhash64("oid"), F.lit(100)) == 0).limit(SAMPLE_DOCS)
            .mapInArrow(_scan(width, []), SEGMENTS).where("start >= 0").groupBy("key").count()
            .where("count >= 8").orderBy(F.desc("count"), "key").limit(HOT_NAMES).collect()]
@@ -222,7 +223,7 @@ def repeated_spans(docs: DataFrame, width: int = 20) -> DataFrame:
 
 def remove_repeats(docs: DataFrame, width: int = 20) -> DataFrame:
     """Per row of ``docs(doc_id, text, ..)``: doc_id, n_words, n_removed, kept_sha256, kept_text (kept words joined by one space)."""
-    spans = repeated_spans(docs, width)
-    return (docs.select(doc_key().alias("oid"), "doc_id", "text").join(spans, "oid", "left")
+    texts = keyed(docs.select("doc_id", "text"))
+    return (texts.join(repeated_spans(texts, width), "oid", "left")
             .select(F.col("doc_id").cast("long").alias("doc_id"), "text", "spans", "packed")
             .mapInArrow(_strip, "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string"))

@@ -15,11 +15,16 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from .graph import saved
 
 CHUNK_BYTES = 1 << 20  # text bytes handled at once in a task; the arrays take some 60 times as much
 NULL_ID = (1 << 63) - 1  # stands for a null doc_id: sorts after every other
+#: ids that are null or stand for several texts and may be broadcast
+BROADCAST_IDS = 100_000
 WORD = r"[^\x20\x09-\x0D]+"
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -134,6 +139,37 @@ def doc_key(name: str = "doc_id") -> Column:
     return F.coalesce(F.col(name).cast("long"), F.lit(NULL_ID))
 
 
+def keyed(docs: DataFrame, key: str = "oid", by: tuple[str, ...] = ("text",)) -> DataFrame:
+    """``docs`` with a long ``key`` that names each document: the doc_id, where that is one document's alone.
+
+    Rows equal in doc_id and ``by`` are one document.  Of an id with several
+    contents the one of least hash keeps the id, the others get a key from
+    content.  Every row without an id is a document of its own, with a key
+    from content and a running number among rows alike.  Keys from content
+    have 60 bits and lie at the top of the range, so these rows sort last.
+    """
+    number = F.col("doc_id").cast("long")
+    d = docs.withColumn("__h", F.xxhash64(*by))
+    odd = d.select(number.alias("__of"), "__h").groupBy("__of").agg(F.min("__h").alias("__first"), F.max("__h").alias("__last"))
+    odd = saved(odd.where("__of IS NULL OR __first <> __last").drop("__last"), "odd-ids")
+    n, nulls = odd.agg(F.count("*"), F.count_if(F.col("__of").isNull())).first()
+    made = lambda *c: F.lit(NULL_ID) - F.shiftrightunsigned(F.xxhash64(*c), 4)
+    named = d.where("doc_id IS NOT NULL") if nulls else d
+    if n > nulls:
+        odd = odd.where("__of IS NOT NULL")
+        named = named.join(F.broadcast(odd) if n <= BROADCAST_IDS else odd, number == F.col("__of"), "left")
+        named = named.withColumn(key, F.when(F.col("__first") != F.col("__h"), made(number, "__h")).otherwise(number))
+    else:
+        named = named.withColumn(key, number)
+    columns = [*docs.columns, key]
+    if not nulls:
+        return named.select(*columns)
+    plain = (T.StringType, T.NumericType, T.BooleanType, T.DateType, T.TimestampType)
+    alike = Window.partitionBy("__h").orderBy(*[f.name for f in docs.schema if isinstance(f.dataType, plain)])
+    free = d.where("doc_id IS NULL").withColumn("__nth", F.row_number().over(alike)).withColumn(key, made(F.lit("null"), "__h", "__nth"))
+    return named.select(*columns).unionAll(free.select(*columns))
+
+
 def small_batches(spark: SparkSession, size: int = 16 << 20) -> None:
     """Bounds the bytes of an Arrow batch, where the session sets no bound of its own."""
     key = "spark.sql.execution.arrow.maxBytesPerBatch"

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
-from ebbflow.llm import decontaminate, line_dedup, minhash_dedup, queries, substring_dedup, token_counts, token_files
+from ebbflow.llm import decontaminate, line_dedup, minhash_dedup, queries, source_mix, substring_dedup, token_counts, token_files
 from ebbflow.llm.textarrays import word_arrays
 
 SF = "/root/testdata/sf0.001"
@@ -306,3 +306,34 @@ def test_word_arrays_cut_at_text_borders():
     assert [bytes(w.data[a:b]) for a, b in zip(w.start, w.end)] == [b"ab", b"c", b"d", b"e"] and w.row.tolist() == [0, 0, 3, 4]
     again = word_arrays(pa.array(["x", "ab c"]).slice(1))
     assert again.name.tolist() == w.name[:2].tolist()
+
+
+def test_rows_without_id_or_with_a_shared_one_are_documents(spark):
+    leak = "he said " + BENCH[4][1] + " here"
+    long, other = (" ".join(f"{c}{k}" for k in range(40)) for c in "uv")
+    block = "\n".join(f"line {k} of a shared licence" for k in range(30))
+    texts = [(None, leak), (None, "six words make it"), (None, "this small item"), (None, long), (None, long), (None, long + " end"), (None, ""), (None, None),
+             (None, "top\n" + block), (None, "head\nother\n" + block), (7, other), (7, "x " + other), (7, leak), (7, block)]
+    df = spark.createDataFrame([(d, t, "s") for d, t in texts], "doc_id long, text string, source string")
+    bench = spark.createDataFrame(BENCH, "item_id long, text string")
+    assert sorted((r.doc_id or 0, r.item_ids) for r in decontaminate.contaminated(df, bench).collect()) == [(0, [4]), (7, [4])]
+    kept = [(r.doc_id, r.text) for r in decontaminate.clean(df, bench).collect()]
+    assert sorted(map(str, kept)) == sorted(str(x) for x in texts if x[1] != leak)
+
+    gone = [(r.doc_id, r.n_words, r.n_removed) for r in substring_dedup.remove_repeats(df).collect()]
+    assert sorted(x[2] for x in gone if x[0] is None and x[1] in (40, 41)) == [0, 40, 40]
+    assert sorted(x[2] for x in gone if x[0] == 7 and x[1] in (40, 41)) == [0, 40]
+    words = sum(n - r for _, n, r in gone)
+    assert words == sum(map(len, map(split, [leak, leak, long, "end", other, "x", "six words make it", "this small item", "top", "head other", block])))
+
+    lines = line_dedup.remove_repeated_chunks(df).collect()
+    assert len(lines) == len(texts) and sum(r.n_removed for r in lines) > 30
+    assert all(r.n_removed == 0 for r in lines if r.n_lines < 30)
+
+    plan = source_mix.mix(df).collect()
+    assert sorted(r.size for r in plan) == sorted(len(split(t)) for _, t in texts)
+    mixed = source_mix.mixed_documents(df)
+    assert mixed.columns == df.columns
+    got = sorted((r.doc_id or 0, r.text) for r in mixed.collect())
+    assert got == sorted((r.doc_id or 0, r.text) for r in source_mix.mixed_documents(df.orderBy(F.desc("text")).repartition(3)).collect())
+    assert sum(len(split(t)) for _, t in got) == sum(r.taken for r in plan) > 0
