@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (decontaminate, embedding_dedup, html_extract, line_dedup, minhash_dedup, source_mix, substring_dedup, token_counts,
-               token_files, toxicity)
+from . import (centroid_clusters, decontaminate, embedding_dedup, html_extract, line_dedup, minhash_dedup, quality, source_mix, spelling_variants,
+               substring_dedup, token_counts, token_files, toxicity)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -57,6 +57,19 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
 
+def op11_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroid_clusters.cluster_vectors(table(spark, sf_dir, "embeddings"))
+
+
+def op12_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants.variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (op1_html_extraction, op2_substring_dedup, op3_toxicity, op4_decontamination, op5_line_dedup,
-                                   op6_token_files, op7_source_mix, op8_embedding_dedup, op9_minhash_dedup, op10_token_counts)}
-ORACLE = {"op5_line_dedup": line_dedup.SQL}
+                                   op6_token_files, op7_source_mix, op8_embedding_dedup, op9_minhash_dedup, op10_token_counts, op11_centroid_clusters,
+                                   op12_quality, op13_spelling_variants)}
+ORACLE = {"op5_line_dedup": line_dedup.SQL, "op11_centroid_clusters": centroid_clusters.SQL}
