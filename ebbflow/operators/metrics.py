@@ -115,19 +115,25 @@ def _auc_terms(pre: DataFrame) -> DataFrame:
     return pre.select("*", roc.alias("_roc"), pr.alias("_pr"))
 
 
+def _areas() -> list[F.Column]:
+    return [F.sum("_roc").alias("_roc"), F.sum("_pr").alias("_pr"), F.max("pos_total").alias("_p"), F.max("neg_total").alias("_n")]
+
+
+def _roc_area() -> F.Column:
+    return F.when((F.col("_p") > 0) & (F.col("_n") > 0), F.try_divide(F.col("_roc"), F.col("_p") * F.col("_n")))
+
+
+def _pr_area() -> F.Column:
+    return F.when(F.col("_p") > 0, F.col("_pr"))
+
+
 def ranking_auc(scored: DataFrame, keys: tuple[str, ...] = (), y: str = "y",
                 p: str = "p") -> DataFrame:
     """ROC-AUC (ties grouped) and PR-AUC (trapezoid over the precision-
     recall curve anchored at (0, 1)); null when a class is absent."""
     t = _auc_terms(score_prefix(scored, keys, y, p))
-    g = t.groupBy(*keys) if keys else t
-    out = g.agg(F.sum("_roc").alias("_roc"), F.sum("_pr").alias("_pr"),
-                F.max("pos_total").alias("n_pos"), F.max("neg_total").alias("n_neg"))
-    ok = (F.col("n_pos") > 0) & (F.col("n_neg") > 0)
-    return out.select(*keys,
-                      F.when(ok, F.try_divide(F.col("_roc"), F.col("n_pos") * F.col("n_neg"))).alias("roc_auc"),
-                      F.when(F.col("n_pos") > 0, F.col("_pr")).alias("pr_auc"),
-                      (F.col("n_pos") + F.col("n_neg")).alias("n"))
+    out = (t.groupBy(*keys) if keys else t).agg(*_areas())
+    return out.select(*keys, _roc_area().alias("roc_auc"), _pr_area().alias("pr_auc"), (F.col("_p") + F.col("_n")).alias("n"))
 
 
 def roc_auc(scored: DataFrame, y: str = "y", p: str = "p") -> DataFrame:
@@ -165,20 +171,25 @@ def classification_report(scored: DataFrame, threshold: float = K.THRESHOLD_DEFA
 
 
 def evaluate_model(scored: DataFrame, threshold: float = K.THRESHOLD_DEFAULT,
-                   y: str = "y", p: str = "p") -> DataFrame:
-    """All headline metrics in one row (confusion, PRF, Brier, AUCs)."""
-    pred = _p(p) >= F.lit(float(threshold))
-    pos = _y(scored, y) == 1
-    point = scored.agg(
-        F.count_if(~pos & ~pred).alias("true_negatives"), F.count_if(~pos & pred).alias("false_positives"),
-        F.count_if(pos & ~pred).alias("false_negatives"), F.count_if(pos & pred).alias("true_positives"),
-        F.avg(F.pow(_p(p) - _y(scored, y), 2)).alias("brier_score"))
-    auc = ranking_auc(scored, (), y, p).select("roc_auc", "pr_auc")
+                   y: str = "y", p: str = "p", keys: tuple[str, ...] = ()) -> DataFrame:
+    """All headline metrics (confusion, PRF, Brier, AUCs) in one row, or one
+    for each of ``keys``.  One grouping by distinct score feeds them all, so
+    the scores are computed once."""
+    t = _auc_terms(score_prefix(scored, keys, y, p))
+    pos, neg, s = F.col("pos"), F.col("neg"), F.col("score")
+    pred = s >= F.lit(float(threshold))
+    cell = lambda c, n, name: F.coalesce(F.sum(F.when(c, n)), F.lit(0)).cast("bigint").alias(name)
+    g = (t.groupBy(*keys) if keys else t).agg(
+        cell(~pred, neg, "true_negatives"), cell(pred, neg, "false_positives"),
+        cell(~pred, pos, "false_negatives"), cell(pred, pos, "true_positives"),
+        F.sum(pos * F.pow(s - 1, 2) + neg * F.pow(s, 2)).alias("_loss"), *_areas())
+    n = F.col("_p") + F.col("_n")
     tn, fp, fn, tp = (F.col(c) for c in ("true_negatives", "false_positives",
                                          "false_negatives", "true_positives"))
-    return one_row(point, auc).select(
-        "roc_auc", *_prf(tn, fp, fn, tp), "brier_score", F.lit(float(threshold)).alias("threshold"),
-        "pr_auc", "true_negatives", "false_positives", "false_negatives", "true_positives")
+    return g.select(
+        *keys, _roc_area().alias("roc_auc"), *_prf(tn, fp, fn, tp), F.try_divide(F.col("_loss"), n).alias("brier_score"),
+        F.lit(float(threshold)).alias("threshold"), _pr_area().alias("pr_auc"),
+        "true_negatives", "false_positives", "false_negatives", "true_positives")
 
 
 # ----------------------------------------------------------- thresholds

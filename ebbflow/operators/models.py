@@ -1,22 +1,32 @@
-"""Model fitting and scoring with Spark ML.
-
-A fitted model is one ``PipelineModel``: ``VectorAssembler`` over the
-frozen feature list, ``StandardScaler`` (centred), classifier.  It is
-saved and loaded as a unit by batch and streaming jobs.  Class weights
-(balanced: ``n / (2 n_c)``) come from a two-row aggregate joined back
-with a broadcast hint, so the fit stays one lazy plan.
+"""Model fitting and scoring.
+
+The logistic model and the forest are one Spark ML ``PipelineModel``:
+``VectorAssembler`` over the frozen feature list, ``StandardScaler``
+(centred), classifier.  Boosted trees are second-order trees grown from
+distributed histograms (``histogram_trees``); their thresholds need no
+scaling.  Either is saved and loaded as a unit by batch and streaming jobs.
+Class weights (balanced: ``n / (2 n_c)``) come from a two-row aggregate
+joined back with a broadcast hint, so the fit stays one lazy plan.
+
+Cross-validation fits all folds in the same passes: trees with the model as
+one dimension of the histogram, logistic models (and a grid of penalties)
+as one block of gradients and Hessians per scan (``logistic``).
 """
 
 from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import constants as K
+from ..session import path_exists, work_dir
+from . import fitted
+from . import histogram_trees as HT
+from . import logistic as LG
 from .metrics import ranking_auc
 
 WEIGHT = "_w"
@@ -32,14 +42,12 @@ def class_weights(df: DataFrame, label: str = K.LABEL) -> DataFrame:
 
 
 def with_weights(df: DataFrame, kind: str, label: str = K.LABEL) -> DataFrame:
-    if kind == "gbt":
-        return df.withColumn(WEIGHT, F.when(F.col(label) == 1, F.lit(K.GBT_POSITIVE_WEIGHT)).otherwise(F.lit(1.0)))
     w = class_weights(df, label).select(label, F.col("weight").alias(WEIGHT))
     return df.join(F.broadcast(w), label)  # <= 2 rows
 
 
 def estimator(kind: str, n_train: int, label: str = K.LABEL, seed: int = K.SEED, **params):
-    """The classifier by name; unknown names raise ``ValueError``."""
+    """The Spark ML classifier by name; unknown names raise ``ValueError``."""
     common = dict(featuresCol="features", labelCol=label, weightCol=WEIGHT)
     if kind == "logistic":
         # sklearn C=1 with balanced weights (sum = n) is regParam = 1 / n
@@ -50,17 +58,16 @@ def estimator(kind: str, n_train: int, label: str = K.LABEL, seed: int = K.SEED,
         return RandomForestClassifier(**common, numTrees=params.get("trees", 100),
                                       maxDepth=params.get("depth", 10), featureSubsetStrategy="sqrt",
                                       seed=seed)
-    if kind == "gbt":
-        return GBTClassifier(**common, maxIter=params.get("rounds", 100), maxDepth=params.get("depth", 4),
-                             stepSize=params.get("rate", 0.1), seed=seed)
     raise ValueError(f"Unknown model type: {kind}")
 
 
 def fit_model(train: DataFrame, feature_names: list[str], kind: str = "random_forest",
-              label: str = K.LABEL, **params) -> PipelineModel:
-    """Assemble -> centre/scale -> classifier, fitted on ``train``."""
+              label: str = K.LABEL, key: str = "row_id", **params) -> PipelineModel | fitted.Fitted:
+    """Fit one model on ``train``: assemble -> centre/scale -> classifier, or boosted trees."""
     if label not in train.columns:
         raise ValueError(f"Target column '{label}' not found in dataframe")
+    if kind == "gbt":
+        return HT.fit(train, feature_names, HT.boosted_settings(**params), label, key)[0]
     tw = with_weights(train, kind, label)
     n = tw.count() if kind == "logistic" and "reg" not in params else 0
     stages = [VectorAssembler(inputCols=feature_names, outputCol="raw_features", handleInvalid="keep"),
@@ -69,15 +76,20 @@ def fit_model(train: DataFrame, feature_names: list[str], kind: str = "random_fo
     return Pipeline(stages=stages).fit(tw)
 
 
-def score(model: PipelineModel, df: DataFrame, key: str = "row_id", label: str | None = K.LABEL) -> DataFrame:
+def with_probability(model: PipelineModel | fitted.Fitted, df: DataFrame, name: str) -> DataFrame:
+    """``df`` with the probability of class 1 under ``name`` (null where a feature is missing)."""
+    if isinstance(model, fitted.Fitted):
+        return df.withColumn(name, model.column())
+    return model.transform(df).withColumn(name, probability(model))
+
+
+def score(model: PipelineModel | fitted.Fitted, df: DataFrame, key: str = "row_id", label: str | None = K.LABEL) -> DataFrame:
     """``key, y, p``: probability of class 1 (``y`` only if labelled); null
     where a feature is missing."""
-    out = model.transform(df)
     cols = [F.col(key)]
     if label and label in df.columns:
         cols.append(F.col(label).cast("int").alias("y"))
-    cols.append(probability(model).alias("p"))
-    return out.select(*cols)
+    return with_probability(model, df, "_p").select(*cols, F.col("_p").alias("p"))
 
 
 def probability(model: PipelineModel) -> Column:
@@ -98,37 +110,40 @@ def coefficients(model: PipelineModel, feature_names: list[str]) -> DataFrame:
     return SparkSession.getActiveSession().createDataFrame(rows, "feature string, coefficient double")
 
 
-def feature_importance(model: PipelineModel, feature_names: list[str]) -> DataFrame:
+def feature_importance(model: PipelineModel | HT.TreeModel, feature_names: list[str]) -> DataFrame:
     """Tree-ensemble importances, one row per feature with its rank."""
-    imp = model.stages[-1].featureImportances.toArray()
+    imp = model.importance() if isinstance(model, HT.TreeModel) else model.stages[-1].featureImportances.toArray()
     spark = SparkSession.getActiveSession()
     ranked = sorted(zip(feature_names, (float(x) for x in imp)), key=lambda t: (-t[1], t[0]))
     return spark.createDataFrame([(n, v, i + 1) for i, (n, v) in enumerate(ranked)],
                                  "feature string, importance double, rank int")
 
 
-def kfold_train(folded: DataFrame, feature_names: list[str], kind: str = "logistic",
-                n_folds: int = K.N_FOLDS, label: str = K.LABEL, fold_col: str = "fold",
-                best_model_path: str | None = None, **params) -> DataFrame:
-    """Per fold: fit on the other folds, score the held-out one, ROC/PR-AUC
-    and size; ``is_best`` marks the first fold with the highest ROC-AUC,
-    whose model is saved to ``best_model_path`` when given (only that one
-    model is kept, never a list of them).  Plus ``mean`` and population
-    ``std`` rows.  The caller checkpoints ``folded`` so every fold re-reads
-    it instead of recomputing its lineage."""
-    rows, best, best_auc = [], None, None
-    for k in range(1, n_folds + 1):
-        m = fit_model(folded.where(F.col(fold_col) != k), feature_names, kind, label, **params)
-        s = score(m, folded.where(F.col(fold_col) == k), label=label)
-        r = ranking_auc(s).collect()[0]  # one row of metrics per fold
-        rows.append((str(k), r["roc_auc"], r["pr_auc"], int(r["n"])))
-        if r["roc_auc"] is not None and (best_auc is None or r["roc_auc"] > best_auc):
-            best, best_auc = k, r["roc_auc"]
-            if best_model_path:
-                m.write().overwrite().save(best_model_path)
-    spark = folded.sparkSession
-    per = spark.createDataFrame([(f, a, p_, n, f == str(best)) for f, a, p_, n in rows],
-                                "fold string, roc_auc double, pr_auc double, n bigint, is_best boolean")
+def kfold_scores(folded: DataFrame, feature_names: list[str], kind: str = "random_forest", n_folds: int = K.N_FOLDS, label: str = K.LABEL,
+                 fold_col: str = "fold", key: str = "row_id", whole: bool = False, **params) -> tuple[DataFrame, list[fitted.Fitted]]:
+    """Held-out scores (key, fold, y, p) of every row, by the model fitted on
+    the other folds, and the model of each fold; ``whole`` adds a last model
+    fitted on all rows.
+
+    All models are fitted in the same passes over one table (one scan a tree
+    level or Newton step, not one for each fold)."""
+    folds = list(range(1, n_folds + 1)) + [-1] * whole
+    if kind == "logistic":
+        many = LG.fit_models(folded, feature_names, [params["reg"]] if "reg" in params else None, label, fold_col, folds)
+        models: list[fitted.Fitted] = [many.model(k) for k in range(len(folds))]
+        p = LG.held_out_column(many, fold_col)[0]
+    elif kind in ("gbt", "random_forest"):
+        settings = HT.boosted_settings(**params) if kind == "gbt" else HT.forest_settings(len(feature_names), **params)
+        models = HT.fit(folded, feature_names, settings, label, key, fold_col, folds)
+        p = HT.held_out_column(models, folds, fold_col)
+    else:
+        raise ValueError(f"Unknown model type: {kind}")
+    out = folded.select(F.col(key), F.col(fold_col).alias("fold"), F.col(label).cast("int").alias("y"), p.alias("p"))
+    return out.withColumn("p", F.when(~F.isnan("p"), F.col("p"))), models
+
+
+def fold_summary(per: DataFrame) -> DataFrame:
+    """``fold, roc_auc, pr_auc, n, is_best`` rows with a ``mean`` and a population ``std`` row."""
     summ = per.agg(F.avg("roc_auc").alias("a"), F.stddev_pop("roc_auc").alias("b"),
                    F.avg("pr_auc").alias("c"), F.stddev_pop("pr_auc").alias("d"), F.sum("n").alias("n"))
     mean = summ.select(F.lit("mean").alias("fold"), F.col("a").alias("roc_auc"), F.col("c").alias("pr_auc"),
@@ -138,29 +153,61 @@ def kfold_train(folded: DataFrame, feature_names: list[str], kind: str = "logist
     return per.unionByName(mean).unionByName(std)
 
 
-def _logit(scored: DataFrame, p: str) -> DataFrame:
-    eps = 1e-6
-    pc = F.least(F.greatest(F.col(p), F.lit(eps)), F.lit(1 - eps))
-    return scored.withColumn("_logit", F.when(F.col(p).isNotNull(), F.log(pc / (1 - pc))))  # least() skips nulls
-
-
-def fit_platt(scored: DataFrame, y: str = "y", p: str = "p") -> PipelineModel:
-    """One-feature logistic fit of ``y`` on the logit of ``p`` over rows the
-    scoring model has not learned from; save and load it as any pipeline."""
+def kfold_train(folded: DataFrame, feature_names: list[str], kind: str = "logistic",
+                n_folds: int = K.N_FOLDS, label: str = K.LABEL, fold_col: str = "fold",
+                best_model_path: str | None = None, key: str = "row_id", **params) -> DataFrame:
+    """Per fold: ROC/PR-AUC and size of the rows scored by the model fitted on
+    the other folds; ``is_best`` marks the first fold with the highest
+    ROC-AUC, whose model is saved to ``best_model_path`` when given.  Plus
+    ``mean`` and population ``std`` rows.  All folds are fitted and measured
+    together: one set of passes, one grouped ranking."""
+    scores, models = kfold_scores(folded, feature_names, kind, n_folds, label, fold_col, key, **params)
+    work_dir(folded.sparkSession)
+    scores = scores.checkpoint(eager=True)
+    auc = {r["fold"]: r for r in ranking_auc(scores, ("fold",)).collect()}  # one row a fold
+    rows, best = [], None
+    for k in range(1, n_folds + 1):
+        r = auc.get(k)
+        a = r["roc_auc"] if r else None
+        if a is not None and (best is None or a > auc[best]["roc_auc"]):
+            best = k
+        rows.append((str(k), a, r["pr_auc"] if r else None, int(r["n"]) if r else 0))
+    if best_model_path and best is not None:
+        models[best - 1].write().overwrite().save(best_model_path)
+    per = folded.sparkSession.createDataFrame([(*r, r[0] == str(best)) for r in rows],
+                                              "fold string, roc_auc double, pr_auc double, n bigint, is_best boolean")
+    return fold_summary(per)
+
+
+def penalty_grid(folded: DataFrame, feature_names: list[str], regs: list[float], n_folds: int = K.N_FOLDS, label: str = K.LABEL,
+                 fold_col: str = "fold") -> DataFrame:
+    """Per penalty: the mean over the folds of the held-out ROC-AUC (exact: no score binning).
+
+    One set of Newton passes fits every (fold, penalty); one pass scores all."""
+    many = LG.fit_models(folded, feature_names, regs, label, fold_col, list(range(1, n_folds + 1)))
+    p = LG.held_out_column(many, fold_col)
+    s = folded.select(F.col(fold_col).alias("fold"), F.col(label).cast("int").alias("y"), F.posexplode(p).alias("at", "p")).where(~F.isnan("p"))
+    penalty = F.array(*[F.lit(float(r)) for r in regs])[F.col("at")].alias("reg_param")
+    return ranking_auc(s, ("at", "fold")).groupBy("at").agg(F.avg("roc_auc").alias("mean_roc_auc")).select(penalty, "mean_roc_auc")
+
+
+def fit_platt(scored: DataFrame, y: str = "y", p: str = "p") -> LG.LinearModel:
+    """Logistic fit of ``y`` on the logit of ``p`` over rows the scoring
+    models have not learned from (a held-out side, or the held-out scores of
+    all folds); save and load it as any model."""
     known = scored.where(F.col(p).isNotNull() & F.col(y).isNotNull())
-    return Pipeline(stages=[
-        VectorAssembler(inputCols=["_logit"], outputCol="_f", handleInvalid="keep"),
-        LogisticRegression(featuresCol="_f", labelCol=y, regParam=0.0, maxIter=100)]).fit(_logit(known, p))
+    a, b = LG.newton_line(known.select(LG.logit(F.col(p)).alias("z"), F.col(y).cast("double").alias("y")), "z", "y")
+    return LG.LinearModel(["_logit"], [a], b)
 
 
-def apply_platt(calibrator: PipelineModel, scored: DataFrame, p: str = "p") -> DataFrame:
+def apply_platt(calibrator: LG.LinearModel, scored: DataFrame, p: str = "p") -> DataFrame:
     """Add the calibrated ``p_cal`` (null where ``p`` is)."""
-    out = calibrator.transform(_logit(scored, p))
-    return out.select(*scored.columns, probability(calibrator).alias("p_cal"))
+    return scored.withColumn("_logit", LG.logit(F.col(p))).select(*scored.columns, calibrator.column().alias("p_cal"))
 
 
-def load_model(path: str) -> PipelineModel:
-    return PipelineModel.load(path)
+def load_model(path: str) -> PipelineModel | fitted.Fitted:
+    spark = SparkSession.getActiveSession()
+    return fitted.load(spark, path) if path_exists(spark, f"{path}/fitted") else PipelineModel.load(path)
 
 
 def standard_scale(df: DataFrame, cols: list[str], keep: tuple[str, ...] = ()) -> DataFrame:

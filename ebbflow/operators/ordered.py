@@ -1,33 +1,26 @@
 """Exact ordered prefix sums without a single-task window.
 
 Several operators need "how much lies before me in sort order": ROC/PR
-running sums, exact ranks for stratified splits and folds, exact
-quantiles.  ``Window.orderBy(...)`` without a partition sends everything
-to one task, and a label-partitioned window makes one task per class —
-a third of all rows or more in one task.  Instead:
-
-1. one small aggregate gives the row count per group (bounded: one row per
-   group).  A group with more than ``rows_per_bucket`` rows is split into
-   ``ceil(rows / rows_per_bucket)`` range buckets (at most
-   ``MAX_BUCKETS``), whose bounds come from ``percentile_approx`` on that
-   group — ``groups x buckets`` values, a proven bound;
-2. each row gets its bucket by binary search over those bounds: a
-   balanced literal ``CASE`` tree when there are few (codegen'd), an ML
-   ``Bucketizer`` (JVM binary search, one splits array per group) when
-   there are many — O(log buckets) per row either way, nothing copied
-   per row;
-3. per-bucket totals (``groups x buckets`` rows) give exclusive bucket
-   offsets through a small window, broadcast back;
-4. a window partitioned by ``(group, bucket)`` adds the within-bucket
-   running sum.
-
-Bucket assignment is monotone in the order key, so the result is exact
-whatever the bounds are; the bounds only balance the work.  Callers
-pre-aggregate to one row per distinct order value, so a hot value is a
-single row and cannot overload a bucket.
-
-When every group fits in one bucket (small data) the plan is one
-shuffle and one window.
+running sums, exact ranks, exact quantiles.  ``Window.orderBy(...)`` without
+a partition sends everything to one task, and a label-partitioned window
+makes one task per class — a third of all rows or more in one task.
+Instead, where a group has more than ``ROWS_PER_BUCKET`` rows:
+
+1. rows are range-partitioned by (group, order) into buckets of about that
+   many rows (Spark samples the bounds, so buckets are even whatever the
+   distribution of the values and the number of groups) and written once to
+   the shared folder with their bucket number;
+2. totals per (bucket, group) give the offsets of the groups that reach
+   into more than one bucket: at most two rows a bucket, broadcast back;
+3. a window partitioned by (group, bucket) adds the running sum inside.
+
+Buckets follow the sort order, so the result is exact whatever the bounds
+are; the bounds only balance the work.  Callers pre-aggregate to one row
+per distinct order value, so a hot value is a single row and cannot
+overload a bucket.
+
+When every group fits in one bucket (small data) the plan is one shuffle
+and one window.
 """
 
 from __future__ import annotations
@@ -38,145 +31,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-ROWS_PER_BUCKET = 2_000_000
-MAX_BUCKETS = 65_536   # x 2M rows: groups up to ~1.3e11 rows stay at target size
-TREE_MAX_BOUNDS = 64   # above this, bucket lookup goes through Bucketizer
-MAX_PLANNED_GROUPS = 64  # above this many big groups: equal-width buckets
-_ACCURACY_PER_BUCKET = 20
-_MAX_ACCURACY = 2_000_000
-
-
-def _tree(v: Column, bounds: list[float], lo: int, hi: int) -> Column:
-    """Bucket index in [lo, hi]: bucket i holds bounds[i-1] <= v < bounds[i]."""
-    if lo == hi:
-        return F.lit(lo)
-    mid = (lo + hi + 1) // 2
-    return F.when(v < F.lit(bounds[mid - 1]), _tree(v, bounds, lo, mid - 1)) \
-        .otherwise(_tree(v, bounds, mid, hi))
-
-
-def _group_match(keys: list[str], values: tuple) -> Column:
-    cond = None
-    for k, val in zip(keys, values):
-        c = F.col(k).eqNullSafe(F.lit(val))
-        cond = c if cond is None else cond & c
-    return cond
-
-
-def _plan_buckets(df: DataFrame, keys: list[str], lead: str, rows_per_bucket: int):
-    """Bucket counts of the groups larger than one bucket (and their
-    min/max), or ``None`` when every group fits one bucket.
-
-    Only groups above ``rows_per_bucket`` rows reach the driver, so the
-    collected list is bounded by ``total rows / rows_per_bucket`` whatever
-    the number of groups.  ``_plan_bounds`` then picks the bounds: up to
-    ``MAX_PLANNED_GROUPS`` big groups get
-    balanced bounds from ``percentile_approx`` (``("pct", {group: bounds})``);
-    beyond that, equal-width buckets between each group's min and max are
-    assigned arithmetically through a broadcast join
-    (``("width", rows)``) — still exact, since buckets stay monotone in
-    the key."""
-    v = F.col(lead).cast("double")
-    cnt = ((df.groupBy(*keys) if keys else df)
-           .agg(F.count(F.lit(1)).alias("_n"), F.min(v).alias("_lo"), F.max(v).alias("_hi"))
-           .where(F.col("_n") > rows_per_bucket).collect())
-    big = {tuple(r[k] for k in keys): min(MAX_BUCKETS, math.ceil(r["_n"] / rows_per_bucket)) for r in cnt}
-    if not big:
-        return None
-    return big, cnt
+from ..session import scratch_path
 
-
-def _plan_bounds(df: DataFrame, keys: list[str], lead: str, big: dict, cnt: list):
-    v = F.col(lead).cast("double")
-    if len(big) > MAX_PLANNED_GROUPS:
-        return "width", [(*(r[k] for k in keys), r["_lo"], r["_hi"], big[tuple(r[k] for k in keys)]) for r in cnt]
-    top = max(big.values())
-    fracs = [j / top for j in range(1, top)]
-    src = df
-    if keys:
-        cond = None
-        for g in big:
-            m = _group_match(keys, g)
-            cond = m if cond is None else cond | m
-        src = df.where(cond)
-    acc = min(_MAX_ACCURACY, _ACCURACY_PER_BUCKET * top)
-    pa = F.percentile_approx(v, fracs, acc).alias("_b")
-    rows = (src.groupBy(*keys) if keys else src).agg(pa).collect()
-    plans = {}
-    for r in rows:
-        g = tuple(r[k] for k in keys)
-        nb = big[g]
-        picked = [r["_b"][round(j * top / nb) - 1] for j in range(1, nb)]
-        plans[g] = sorted(set(float(x) for x in picked if x is not None))
-    return "pct", plans
-
-
-def _with_width_buckets(df: DataFrame, keys: list[str], lead: str, rows: list) -> DataFrame:
-    """Equal-width buckets per big group via a broadcast table of
-    (keys, lo, hi, buckets); rows of other groups get bucket 0."""
-    spark = df.sparkSession
-    kt = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-    schema = ", ".join([f"`_k_{k}` {kt[k]}" for k in keys] + ["_wlo double", "_whi double", "_wnb int"])
-    wd = spark.createDataFrame(rows, schema)
-    cond = None
-    for k in keys:
-        c = F.col(k).eqNullSafe(F.col(f"_k_{k}"))
-        cond = c if cond is None else cond & c
-    j = df.join(F.broadcast(wd), cond, "left")
-    v, lo, hi, nb = F.col(lead).cast("double"), F.col("_wlo"), F.col("_whi"), F.col("_wnb")
-    raw = F.floor((v - lo) / (hi - lo) * nb).cast("int")
-    bucket = (F.when(nb.isNull() | (hi == lo), F.lit(0))
-              .otherwise(F.least(F.greatest(raw, F.lit(0)), nb - 1)))
-    return (j.withColumn("_bucket", bucket).withColumn("_big", nb.isNotNull())
-            .drop(*[f"_k_{k}" for k in keys], "_wlo", "_whi", "_wnb"))
-
-
-def _bucket_column(keys: list[str], lead: str, plans: dict) -> Column:
-    v = F.col(lead).cast("double")
-    if not keys:
-        b = plans[()]
-        return _tree(v, b, 0, len(b))
-    expr = None
-    for g, b in plans.items():
-        t = _tree(v, b, 0, len(b))
-        m = _group_match(keys, g)
-        expr = F.when(m, t) if expr is None else expr.when(m, t)
-    return expr.otherwise(F.lit(0))
-
-
-def _any_group(keys: list[str], plans: dict) -> Column:
-    cond = None
-    for g in plans:
-        m = _group_match(keys, g)
-        cond = m if cond is None else cond | m
-    return cond
-
-
-def _with_bucket(df: DataFrame, keys: list[str], lead: str, plans: dict) -> DataFrame:
-    """Add ``_bucket``: index of the range bucket of ``lead`` in its group."""
-    big = F.lit(True) if not keys else _any_group(keys, plans)
-    if max(len(b) for b in plans.values()) <= TREE_MAX_BOUNDS:
-        return df.withColumn("_bucket", _bucket_column(keys, lead, plans)).withColumn("_big", big)
-    from pyspark.ml.feature import Bucketizer
-    v = F.col(lead).cast("double")
-    ins, outs, splits, picks = [], [], [], []
-    d = df
-    for i, (g, b) in enumerate(plans.items()):
-        m = _group_match(keys, g) if keys else F.lit(True)
-        if not b:
-            picks.append((m, F.lit(0)))
-            continue
-        d = d.withColumn(f"_bin{i}", F.when(m, v).otherwise(F.lit(0.0)))
-        ins.append(f"_bin{i}")
-        outs.append(f"_bout{i}")
-        splits.append([float("-inf"), *b, float("inf")])
-        picks.append((m, F.col(f"_bout{i}").cast("int")))
-    if ins:
-        d = Bucketizer(splitsArray=splits, inputCols=ins, outputCols=outs, handleInvalid="keep").transform(d)
-    expr = None
-    for m, val in picks:
-        expr = F.when(m, val) if expr is None else expr.when(m, val)
-    return d.withColumn("_bucket", expr.otherwise(F.lit(0))).drop(*ins, *outs).withColumn("_big", big)
+ROWS_PER_BUCKET = 2_000_000
+MAX_BUCKETS = 65_536   # x 2M rows: up to ~1.3e11 rows stay at target size
 
 
 def ordered_prefix(
@@ -191,16 +49,16 @@ def ordered_prefix(
     ``order`` within the same ``keys`` group) and ``<m>_total`` (group sum)
     for every measure ``m``.
 
-    ``order[0]`` must be numeric and non-null; later order columns break
-    ties inside a bucket.  Rows with identical full order keys are ordered
-    arbitrarily, so callers pass one row per distinct key.
+    ``order`` must not be null.  Rows with identical full order keys are
+    ordered arbitrarily, so callers pass one row per distinct key.
     """
     keys, order, measures = list(keys), list(order), list(measures)
     rows_per_bucket = rows_per_bucket or ROWS_PER_BUCKET  # read at call time (tunable)
     ob = [F.col(o).desc() if descending else F.col(o).asc() for o in order]
-    sizes = _plan_buckets(df, keys, order[0], rows_per_bucket)
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).agg(F.sum("_n").alias("rows"), F.max("_n").alias("largest"))
+    size = counts.first()  # two numbers
 
-    if sizes is None:
+    if (size["largest"] or 0) <= rows_per_bucket:
         part = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
         prev = part.orderBy(*ob).rowsBetween(Window.unboundedPreceding, -1)
         whole = part.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
@@ -209,33 +67,24 @@ def ordered_prefix(
             *[F.coalesce(F.sum(m).over(prev), F.lit(0)).alias(f"{m}_before") for m in measures],
             *[F.sum(m).over(whole).alias(f"{m}_total") for m in measures])
 
-    # Large input: the bounds pass and the main pass would each recompute
-    # the upstream plan (often an aggregate or a model's scores) — cut the
-    # lineage once with a reliable checkpoint in the shared folder.
-    from ..session import work_dir
-    work_dir(df.sparkSession)
-    df = df.checkpoint(eager=True)
-    kind, plan = _plan_bounds(df, keys, order[0], *sizes)
-    if kind == "width":
-        b = _with_width_buckets(df, keys, order[0], plan)
-    else:
-        b = _with_bucket(df, keys, order[0], plan)
-    # Offsets exist for the big groups only (big groups x buckets rows: a
-    # bound the planner proved), so the broadcast never grows with the
-    # number of small groups; a small group is its own single bucket.
-    tot = b.where(F.col("_big")).groupBy(*keys, "_bucket").agg(*[F.sum(m).alias(f"_bt_{m}") for m in measures])
-    bo = F.col("_bucket").desc() if descending else F.col("_bucket").asc()
-    wk = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
-    wprev = wk.orderBy(bo).rowsBetween(Window.unboundedPreceding, -1)
+    buckets = min(MAX_BUCKETS, math.ceil(size["rows"] / rows_per_bucket))
+    path = scratch_path(df.sparkSession, "ordered")
+    ranged = df.repartitionByRange(buckets, *[F.col(k).asc() for k in keys], *ob).withColumn("_bucket", F.spark_partition_id())
+    ranged.write.parquet(path)
+    b = df.sparkSession.read.schema(ranged.schema).parquet(path)
+    # (bucket, group) totals; a group in one bucket alone needs no offset
+    tot = b.groupBy(*keys, "_bucket").agg(*[F.sum(m).alias(f"_bt_{m}") for m in measures])
+    wk = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))  # at most one row a bucket for a group
     wall = wk.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    wprev = wk.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offs = tot.select(
-        *[F.col(k).alias(f"_ok_{k}") for k in keys], F.col("_bucket").alias("_ob"),
+        *[F.col(k).alias(f"_ok_{k}") for k in keys], F.col("_bucket").alias("_ob"), F.count(F.lit(1)).over(wall).alias("_parts"),
         *[F.coalesce(F.sum(f"_bt_{m}").over(wprev), F.lit(0)).alias(f"_off_{m}") for m in measures],
-        *[F.sum(f"_bt_{m}").over(wall).alias(f"_gt_{m}") for m in measures])
+        *[F.sum(f"_bt_{m}").over(wall).alias(f"_gt_{m}") for m in measures]).where("_parts > 1").drop("_parts")
     cond = F.col("_bucket") == F.col("_ob")
     for k in keys:
         cond = cond & F.col(k).eqNullSafe(F.col(f"_ok_{k}"))
-    b = b.join(F.broadcast(offs), cond, "left")
+    b = b.join(F.broadcast(offs), cond, "left")  # at most two rows a bucket: the groups at its ends
 
     part = Window.partitionBy(*keys, "_bucket")
     win = part.orderBy(*ob).rowsBetween(Window.unboundedPreceding, -1)
@@ -245,7 +94,7 @@ def ordered_prefix(
         *[(F.coalesce(F.col(f"_off_{m}"), F.lit(0)) + F.coalesce(F.sum(m).over(win), F.lit(0))).alias(f"{m}_before")
           for m in measures],
         *[F.coalesce(F.col(f"_gt_{m}"), F.sum(m).over(whole)).alias(f"{m}_total") for m in measures])
-    return out.drop("_bucket", "_big", "_ob", *[f"_ok_{k}" for k in keys],
+    return out.drop("_bucket", "_ob", *[f"_ok_{k}" for k in keys],
                     *[f"_off_{m}" for m in measures], *[f"_gt_{m}" for m in measures])
 
 

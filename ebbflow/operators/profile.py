@@ -14,14 +14,13 @@ names so they can be unioned into the long summary.
 
 from __future__ import annotations
 
-from itertools import combinations
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import columns as X
 from ..functions import constants as K
+from .comoments import correlation_pairs
 from .ordered import exact_quantiles
 
 # the DataFrame's own dtype names, as pandas would report them
@@ -202,24 +201,12 @@ def outliers_iqr(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
 
 
 def correlation_matrix(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
-    """Pearson r for every ordered pair (pairwise-complete), one pass."""
+    """Pearson r for every ordered pair (pairwise-complete), one pass over
+    column blocks; null where fewer than two rows are shared or a column is
+    constant over them."""
     cols = cols or numeric_columns(df)
-    pairs = list(combinations(range(len(cols)), 2))
-    aggs = [F.corr(X.num(X.c(cols[i]).cast("double")), X.num(X.c(cols[j]).cast("double")))
-            .alias(f"r{i}_{j}") for i, j in pairs]
-    aggs += [F.corr(X.num(X.c(c).cast("double")), X.num(X.c(c).cast("double"))).alias(f"r{i}_{i}")
-             for i, c in enumerate(cols)]
-    wide = df.agg(*aggs)
-    items = []
-    for i, j in pairs:
-        for a, b in ((i, j), (j, i)):
-            items.append(F.struct(F.lit(cols[a]).alias("var1"), F.lit(cols[b]).alias("var2"),
-                                  F.lit(a).alias("i"), F.lit(b).alias("j"),
-                                  F.col(f"r{i}_{j}").alias("correlation")))
-    for i, c in enumerate(cols):
-        items.append(F.struct(F.lit(c).alias("var1"), F.lit(c).alias("var2"), F.lit(i).alias("i"),
-                              F.lit(i).alias("j"), F.col(f"r{i}_{i}").alias("correlation")))
-    return wide.select(F.explode(F.array(*items)).alias("s")).select("s.*")
+    name = F.array(*[F.lit(c) for c in cols])
+    return correlation_pairs(df, cols).select(name[F.col("i")].alias("var1"), name[F.col("j")].alias("var2"), "i", "j", "correlation")
 
 
 def strong_correlations(df: DataFrame, cols: list[str] | None = None,

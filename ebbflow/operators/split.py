@@ -7,6 +7,10 @@ the range ends (``cutoffs``): class counts over fixed slices of the
 scramble's range locate the slice that holds an end, and only the rows of
 that slice are ranked.  The table itself is never shuffled: its split is a
 comparison in a projection.  A null label is a class of its own.
+
+Split, folds and capped sample are cut from three different orders
+(``FOLD_SALT``, ``CAP_SALT`` are added to the seed), so that a fold or a
+sample holds test and train rows in proportion.
 """
 
 from __future__ import annotations
@@ -22,6 +26,7 @@ from ..functions import constants as K
 SLICE_BITS = 17  # a slice is 2^17 scrambles: 16,384 slices, each 1 / 16,384 of a class
 _P = 2147483647  # 2^31 - 1: every product below stays under 2^63
 _A1, _A2 = 48271, 69621
+FOLD_SALT, CAP_SALT = 7919, 104729  # distinct orders under one seed
 
 
 def scramble(key: Column, seed: int = K.SEED) -> Column:
@@ -158,9 +163,10 @@ def fold_sizes(sizes: dict, n_folds: int) -> dict:
 def kfold_assign(df: DataFrame, label: str = K.LABEL, n_folds: int = K.N_FOLDS,
                  seed: int = K.SEED, key: str = "row_id") -> DataFrame:
     """Add ``fold`` (1..k): stratified, shuffled; each class's scramble order
-    is cut into consecutive ranges of ``fold_sizes`` rows.  ``key`` must be
-    unique."""
+    (another one than the split's) is cut into consecutive ranges of
+    ``fold_sizes`` rows.  ``key`` must be unique."""
     _require_label(df, label)
+    seed += FOLD_SALT
 
     def ends(sizes):
         per = fold_sizes(sizes, n_folds)
@@ -180,7 +186,7 @@ def cap_per_class(df: DataFrame, label: str = K.LABEL, cap: int = K.CAP_PER_CLAS
     """At most ``cap`` rows per class, seeded.  A top-k per group: Spark
     applies the limit per partition before the window's shuffle
     (WindowGroupLimit), so a huge class ships only ``cap`` rows per task."""
-    w = Window.partitionBy(label).orderBy(scramble(F.col(key), seed), F.col(key))
+    w = Window.partitionBy(label).orderBy(scramble(F.col(key), seed + CAP_SALT), F.col(key))
     return (df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= cap).drop("_rn"))
 
 

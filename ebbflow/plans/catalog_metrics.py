@@ -24,11 +24,15 @@ def _div(a: str, b: str) -> str:
     return f"CASE WHEN ({b}) = 0 THEN 0.0 ELSE ({a}) / CAST(({b}) AS DOUBLE) END"
 
 
-_CM = (f"cm AS (SELECT CAST(count_if(y <> 1 AND p < {dbl(THR)}) AS BIGINT) AS tn, "
-       f"CAST(count_if(y <> 1 AND p >= {dbl(THR)}) AS BIGINT) AS fp, "
-       f"CAST(count_if(y = 1 AND p < {dbl(THR)}) AS BIGINT) AS fn, "
-       f"CAST(count_if(y = 1 AND p >= {dbl(THR)}) AS BIGINT) AS tp, "
-       "CAST(count_if(p IS NULL OR y IS NULL) AS BIGINT) AS n_unscored FROM scored)")
+def _cm(thr: float) -> str:
+    return (f"cm AS (SELECT CAST(count_if(y <> 1 AND p < {dbl(thr)}) AS BIGINT) AS tn, "
+            f"CAST(count_if(y <> 1 AND p >= {dbl(thr)}) AS BIGINT) AS fp, "
+            f"CAST(count_if(y = 1 AND p < {dbl(thr)}) AS BIGINT) AS fn, "
+            f"CAST(count_if(y = 1 AND p >= {dbl(thr)}) AS BIGINT) AS tp, "
+            "CAST(count_if(p IS NULL OR y IS NULL) AS BIGINT) AS n_unscored FROM scored)")
+
+
+_CM = _cm(THR)
 _PRF = (f"{_div('tp + tn', 'tp + tn + fp + fn')} AS accuracy, {_div('tp', 'tp + fp')} AS precision, "
         f"{_div('tp', 'tp + fn')} AS recall, {_div('2 * tp', '2 * tp + fp + fn')} AS f1_score")
 # distinct scores, descending, with running counts strictly above
@@ -91,10 +95,14 @@ def metric_classification_report(spark, sf):
     return M.classification_report(_scored(spark, sf), THR)
 
 
-@query("evaluate_model", _with(_CM, _RUN, _AUC) + (
-    f"SELECT roc_auc, {_PRF}, (SELECT avg((p - y) * (p - y)) FROM scored) AS brier_score, {dbl(THR)} AS threshold, "
-    "pr_auc, tn AS true_negatives, fp AS false_positives, fn AS false_negatives, tp AS true_positives FROM cm, auc"),
-    doubles=["roc_auc", "accuracy", "precision", "recall", "f1_score", "brier_score", "pr_auc"])
+def evaluate_sql(thr: float) -> str:
+    return _with(_cm(thr), _RUN, _AUC) + (
+        f"SELECT roc_auc, {_PRF}, (SELECT avg((p - y) * (p - y)) FROM scored) AS brier_score, {dbl(thr)} AS threshold, "
+        "pr_auc, tn AS true_negatives, fp AS false_positives, fn AS false_negatives, tp AS true_positives FROM cm, auc")
+
+
+@query("evaluate_model", evaluate_sql(THR),
+       doubles=["roc_auc", "accuracy", "precision", "recall", "f1_score", "brier_score", "pr_auc"])
 def evaluate_model(spark, sf):
     return M.evaluate_model(_scored(spark, sf), THR)
 

@@ -1,29 +1,30 @@
 """Catalog: scaling, class weights, model fitting, scoring, k-fold.
 
-Model queries are rows-only checks (tree ensembles and solvers are never
-bit-equal across engines); the deterministic pieces (scaling, weights)
-carry DuckDB oracles.  All fits use the full default settings.
+Fits are rows-only checks (tests hold them against plain versions); the
+deterministic pieces (scaling, weights, calibration) carry DuckDB oracles.
+All fits use the full default settings.
 """
 
 from __future__ import annotations
 
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import functions as F
 
 from ..functions import constants as K
 from ..operators import features as FE
+from ..operators import logistic as LG
 from ..operators import metrics as M
 from ..operators import models as ML
 from ..operators import split as S
 from ..session import scratch_path
 from ..sources import fixtures as fx
+from ..sources.fixtures import oracle_cte
 from .registry import query
-from .sqltext import feature_names, ident, prep_cte
+from .sqltext import SPLIT_CASE, dbl, feature_names, ident, prep_cte, ranked_cte
+
 
 def prepared(spark, sf, folds: bool = False):
-    """Feature table with its split (and folds), checkpointed to the
-    shared folder so fits and scoring re-read it instead of recomputing
+    """Feature table with its split (and folds of all rows), checkpointed to
+    the shared folder so fits and scoring re-read it instead of recomputing
     the lineage."""
     raw = fx.subscribers(spark, sf, keyed=True)
     st = FE.fit_features(raw)
@@ -35,6 +36,11 @@ def prepared(spark, sf, folds: bool = False):
     return sp.checkpoint(eager=True), st
 
 
+def train_folds(d):
+    """The training side with folds of its own."""
+    return S.kfold_assign(d.where(F.col("split") == "train"))
+
+
 _FN = feature_names()
 
 
@@ -124,37 +130,49 @@ def kfold_train(spark, sf):
                           best_model_path=scratch_path(spark, "kfold-best"))
 
 
+_SCORED_SIDES = (oracle_cte("subscribers_k", "scored").rstrip() + ",\n" + ranked_cte() + ",\n"
+                 f"sp AS (SELECT s.row_id, s.y, s.p, {SPLIT_CASE} AS split, ln(least(greatest(s.p, {dbl(LG.PLATT_EPS)}), {dbl(1 - LG.PLATT_EPS)}) / "
+                 f"(1 - least(greatest(s.p, {dbl(LG.PLATT_EPS)}), {dbl(1 - LG.PLATT_EPS)}))) AS z FROM ranked JOIN scored s ON s.row_id = ranked.row_id),\n"
+                 "known AS (SELECT z, y FROM sp WHERE split = 'train' AND p IS NOT NULL AND y IS NOT NULL),\n" + LG.newton_line_sql("known") + "\n")
+
+
+def _scored_sides(spark, sf):
+    sides = S.stratified_split(fx.subscribers(spark, sf, keyed=True).select("row_id", K.LABEL)).select("row_id", "split")
+    return fx.scored(spark, sf).join(sides, "row_id")
+
+
+@query("platt_parameters", _SCORED_SIDES + "SELECT a AS slope, b AS intercept FROM line", doubles=["slope", "intercept"])
+def platt_parameters(spark, sf):
+    """Slope and intercept of the calibration of given scores: a Newton fit
+    of two parameters, one aggregate a step."""
+    cal = ML.fit_platt(_scored_sides(spark, sf).where(F.col("split") == "train"))
+    return spark.createDataFrame([(float(cal.coefficients[0]), float(cal.intercept))], "slope double, intercept double")
+
+
+@query("platt_scaled", _SCORED_SIDES + "SELECT row_id, y, p, CASE WHEN p IS NOT NULL THEN 1 / (1 + exp(-((SELECT a FROM line) * z + "
+       "(SELECT b FROM line)))) END AS p_cal FROM sp WHERE split = 'test'", doubles=["p_cal"])
+def platt_scaled(spark, sf):
+    """Given scores of the hold-out, calibrated on those of the training side."""
+    d = _scored_sides(spark, sf)
+    cal = ML.fit_platt(d.where(F.col("split") == "train"))
+    return ML.apply_platt(cal, d.where(F.col("split") == "test").select("row_id", "y", "p"))
+
+
 @query("platt_calibration")
 def platt_calibration(spark, sf):
-    """Forest scores recalibrated with a one-feature logistic fit: the forest
-    learns from the training rows outside the last fold, the calibrator
-    from that fold, and the hold-out is scored with both."""
-    d, st = prepared(spark, sf, folds=True)
-    train = d.where(F.col("split") == "train")
-    m = ML.fit_model(train.where(F.col("fold") != K.N_FOLDS), st.feature_names, "random_forest")
-    cal = ML.fit_platt(ML.score(m, train.where(F.col("fold") == K.N_FOLDS)))
-    return ML.apply_platt(cal, ML.score(m, d.where(F.col("split") == "test")))
+    """Forest scores recalibrated by a line on their log-odds: every training
+    row is scored by the forest that did not see its fold, the line is fitted
+    on all of these scores, and the hold-out is scored by the forest of all
+    training rows.  The six forests grow in the same passes."""
+    d, st = prepared(spark, sf)
+    oof, models = ML.kfold_scores(train_folds(d).checkpoint(eager=True), st.feature_names, "random_forest", whole=True)
+    cal = ML.fit_platt(oof.checkpoint(eager=True))
+    return ML.apply_platt(cal, ML.score(models[-1], d.where(F.col("split") == "test")))
 
 
 @query("hyperparameter_grid")
 def hyperparameter_grid(spark, sf):
-    """Grid search over the logistic penalty with the stratified folds as
-    ``foldCol``, on the training rows only; one row per grid point with its
-    mean ROC-AUC (exact: no score binning)."""
-    d, st = prepared(spark, sf, folds=True)
-    d = d.where(F.col("split") == "train")
-    tw = ML.with_weights(d, "logistic").withColumn("fold0", (F.col("fold") - 1).cast("int"))
-    from pyspark.ml import Pipeline
-    from pyspark.ml.feature import StandardScaler, VectorAssembler
-    lr = ML.estimator("logistic", 1)
-    pipe = Pipeline(stages=[VectorAssembler(inputCols=st.feature_names, outputCol="raw_features"),
-                            StandardScaler(inputCol="raw_features", outputCol="features", withMean=True),
-                            lr])
-    regs = [1e-4, 1e-3, 1e-2]
-    grid = ParamGridBuilder().addGrid(lr.regParam, regs).build()
-    cv = CrossValidator(estimator=pipe, estimatorParamMaps=grid, foldCol="fold0", numFolds=K.N_FOLDS,
-                        evaluator=BinaryClassificationEvaluator(labelCol=K.LABEL, metricName="areaUnderROC", numBins=0),
-                        parallelism=4, seed=K.SEED)
-    m = cv.fit(tw)
-    return spark.createDataFrame([(float(r), float(a)) for r, a in zip(regs, m.avgMetrics)],
-                                 "reg_param double, mean_roc_auc double")
+    """Grid search over the logistic penalty, cross-validated inside the
+    training side; one row per grid point with its mean ROC-AUC."""
+    d, st = prepared(spark, sf)
+    return ML.penalty_grid(train_folds(d).checkpoint(eager=True), st.feature_names, [1e-4, 1e-3, 1e-2])

@@ -6,6 +6,8 @@ split, so both periods come from the whole table."""
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from ..functions import constants as K
@@ -16,9 +18,10 @@ from ..operators import profile as P
 from ..operators import split as S
 from ..session import scratch_path
 from ..sources import fixtures as fx
+from ..sources import versions as V
 from ..sources.fixtures import oracle_cte
 from .registry import query
-from .sqltext import SPLIT_CASE, dbl, prep_cte, q, ranked_cte
+from .sqltext import SPLIT_CASE, dbl, fold_case, folds_cte, prep_cte, q, ranked_cte
 
 PSI_COLS = ["monthly_fee", "months_with_provider"]
 
@@ -85,6 +88,40 @@ def retrain_trigger(spark, sf):
                               P.churn_summary(tr, "y"), P.churn_summary(te, "y"))
 
 
+# trainings as they were recorded; only what lies before the day of the decision is known then
+TRAININGS = ["2024-01-15", "2024-05-20", "2024-11-02"]
+AS_OF = dt.date(2024, 8, 25)
+_DECISION_INPUTS = (
+    oracle_cte("subscribers_k", "scored").rstrip() + ",\n" + ranked_cte() + ",\n"
+    f"sp AS (SELECT *, {SPLIT_CASE} AS split FROM ranked),\n"
+    "scored_sp AS (SELECT s.row_id, s.y, s.p, sp.split FROM scored s JOIN sp ON s.row_id = sp.row_id),\n"
+    + _psi_sql("sp") + ",\n" + _AUC_BY_SIDE + ",\n"
+    f"trained AS (SELECT max(d) AS last_trained FROM (VALUES {', '.join(f'(DATE {q(d)})' for d in TRAININGS)}) t(d) WHERE d <= DATE {q(str(AS_OF))})\n")
+
+
+@query("retrain_quarterly", _DECISION_INPUTS +
+       "SELECT ab AS auc_baseline, ac AS auc_current, ab - ac AS auc_drop, mp AS max_psi, rb AS churn_rate_baseline, "
+       f"rc AS churn_rate_current, rc - rb AS churn_drift, DATE {q(str(AS_OF))} AS as_of, last_trained, "
+       f"CAST(last_trained + INTERVAL {MO.RETRAIN_MONTHS} MONTH AS DATE) AS due, coalesce(ab - ac > {dbl(MO.AUC_DROP_ALERT)}, false) AS auc_fired, "
+       f"coalesce(mp > {dbl(MO.PSI_ALERT)}, false) AS psi_fired, coalesce(abs(rc - rb) > {dbl(MO.CHURN_DRIFT_ALERT)}, false) "
+       f"AS churn_fired, coalesce(DATE {q(str(AS_OF))} >= CAST(last_trained + INTERVAL {MO.RETRAIN_MONTHS} MONTH AS DATE), false) AS date_fired, "
+       "auc_fired OR psi_fired OR churn_fired OR date_fired AS retrain FROM (SELECT "
+       "(SELECT roc_auc FROM auc WHERE side = 'train') AS ab, (SELECT roc_auc FROM auc WHERE side = 'test') AS ac, "
+       "(SELECT max(psi) FROM drift) AS mp, (SELECT churn_rate FROM rate WHERE side = 'train') AS rb, "
+       "(SELECT churn_rate FROM rate WHERE side = 'test') AS rc, (SELECT last_trained FROM trained) AS last_trained)",
+       doubles=["auc_baseline", "auc_current", "auc_drop", "max_psi", "churn_rate_baseline", "churn_rate_current",
+                "churn_drift"])
+def retrain_quarterly(spark, sf):
+    """The decision with its date rule: the last training known on a day is
+    read from the version records, and is due again three months later."""
+    root = scratch_path(spark, "store")
+    for d in TRAININGS:
+        V.record_version(spark, root, "models", f"m_{d}", f"{root}/models/m_{d}", created_at=dt.datetime.fromisoformat(d))
+    sp = _split_raw(spark, sf).select("row_id", "split", *PSI_COLS)
+    both = fx.scored(spark, sf).join(sp, "row_id").withColumn("side", F.when(F.col("split") == "train", "baseline").otherwise("current"))
+    return MO.retrain_decision(both, PSI_COLS, V.last_created(spark, root, "models", AS_OF), AS_OF)
+
+
 TE_COLS = ["payment_method", "internet_plan"]
 
 
@@ -121,6 +158,39 @@ def target_encode_apply(spark, sf):
     return MO.apply_target_encoding(d, enc, TE_COLS).select("row_id", *[f"{c}_te" for c in TE_COLS])
 
 
+_TE_FOLDS = (prep_cte("imputed").rstrip() + ",\n" + ranked_cte("imputed", name="sides") + ",\n"
+             f"sp AS (SELECT *, {SPLIT_CASE} AS split FROM sides),\n"
+             f"train AS (SELECT row_id, churned, {', '.join(TE_COLS)} FROM sp WHERE split = 'train'),\n" + folds_cte("train") + ",\n"
+             f"tr AS (SELECT row_id, churned, {', '.join(TE_COLS)}, {fold_case()} AS fold FROM ranked),\n"
+             "long AS (" + "\nUNION ALL ".join(f"SELECT {q(c)} AS column_name, {c} AS value, fold, churned AS y FROM tr WHERE {c} IS NOT NULL"
+                                               for c in TE_COLS) + "),\n"
+             "vf AS (SELECT column_name, value, fold, CAST(sum(y) AS DOUBLE) AS s, count(*) AS n FROM long GROUP BY ALL),\n"
+             "tot AS (SELECT column_name, value, sum(s) AS s, sum(n) AS n FROM vf GROUP BY ALL),\n"
+             "pf AS (SELECT fold, CAST(sum(churned) AS DOUBLE) AS s, count(*) AS n FROM tr GROUP BY fold),\n"
+             "prior AS (SELECT fold, (sum(s) OVER () - s) / (sum(n) OVER () - n) AS pr FROM pf UNION ALL SELECT NULL, sum(s) / sum(n) FROM pf)\n")
+
+
+def _te_code(c: str, i: int) -> str:
+    m = MO.TE_SMOOTHING
+    return (f"coalesce((t{i}.s - coalesce(o{i}.s, 0) + {m} * pr) / (t{i}.n - coalesce(o{i}.n, 0) + {m}), pr) AS {c}_te")
+
+
+@query("target_encode_out_of_fold", _TE_FOLDS + "SELECT r.row_id, r.split, tr.fold, " + ", ".join(_te_code(c, i) for i, c in enumerate(TE_COLS))
+       + " FROM sp r LEFT JOIN tr ON tr.row_id = r.row_id JOIN prior p ON p.fold IS NOT DISTINCT FROM tr.fold "
+       + " ".join(f"LEFT JOIN tot t{i} ON t{i}.column_name = {q(c)} AND t{i}.value = r.{c} LEFT JOIN vf o{i} ON o{i}.column_name = {q(c)} "
+                  f"AND o{i}.value = r.{c} AND o{i}.fold = tr.fold" for i, c in enumerate(TE_COLS)), doubles=[f"{c}_te" for c in TE_COLS])
+def target_encode_out_of_fold(spark, sf):
+    """Training rows coded by the other folds' labels, the hold-out by those
+    of the whole training side; the fitted table is kept and read back."""
+    d = S.stratified_split(FE.impute_all(FE.clean_all(fx.subscribers(spark, sf, keyed=True)))).select("row_id", K.LABEL, "split", *TE_COLS)
+    tr = S.kfold_assign(d.where(F.col("split") == "train"))
+    path = scratch_path(spark, "target-encoding-folds")
+    MO.fit_target_encoding_folds(tr, TE_COLS).write.parquet(path)
+    rows = tr.unionByName(d.where(F.col("split") == "test").withColumn("fold", F.lit(None).cast("int")))
+    out = MO.apply_target_encoding_folds(rows, spark.read.parquet(path), TE_COLS, tr)
+    return out.select("row_id", "split", "fold", *[f"{c}_te" for c in TE_COLS])
+
+
 CANON_PLANS = ["DSL", "Fiber optic", "No"]
 
 

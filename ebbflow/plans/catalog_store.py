@@ -11,7 +11,10 @@ from ..operators import metrics as M
 from ..operators import split as S
 from ..session import scratch_path
 from ..sources import fixtures as fx
+from ..sources import metric_log as LOG
 from ..sources import versions as V
+from .catalog_metrics import evaluate_sql
+from .catalog_split import fold_metrics_sql, kfold_metrics
 from .registry import ORACLE, query
 from .sqltext import prep_cte, q
 
@@ -68,31 +71,31 @@ def read_split_test(spark, sf):
 
 _EVAL_METRICS = ["roc_auc", "accuracy", "precision", "recall", "f1_score", "brier_score", "threshold", "pr_auc",
                  "true_negatives", "false_positives", "false_negatives", "true_positives"]
+# two runs of either kind: (threshold of the evaluation, folds of the cross-validation)
+_RUNS = [(0.3, 3), (K.THRESHOLD_DEFAULT, K.N_FOLDS)]
 
 
-def _metric_history_sql() -> str | None:
-    ev = ORACLE.get("evaluate_model")
-    if ev is None:
-        return None
-    parts = [f"SELECT {q(m)} AS metric, round(CAST({m} AS DOUBLE), 9) AS value FROM ev" for m in _EVAL_METRICS]
-    return "WITH ev AS (" + ev + ")\n" + "\nUNION ALL ".join(parts)
+def _metric_history_sql() -> str:
+    parts = []
+    for run, (thr, k) in enumerate(_RUNS, 1):
+        ev, kf = f"({evaluate_sql(thr)}) e{run}", f"({fold_metrics_sql(k)}) k{run}"
+        parts += [f"SELECT 'evaluation' AS run_kind, {run} AS run, {q(m)} AS metric, NULL AS fold, CAST({m} AS DOUBLE) AS value FROM {ev}"
+                  for m in _EVAL_METRICS]
+        parts += [f"SELECT 'kfold', {run}, {q(m)}, fold, CAST({m} AS DOUBLE) FROM {kf}" for m in LOG.KFOLD_METRICS]
+    return ("WITH log AS (" + "\nUNION ALL ".join(parts) + ")\nSELECT run_kind, CAST(run AS INTEGER) AS run, metric, fold, value, previous, "
+            "value - previous AS change FROM (SELECT *, lag(value) OVER (PARTITION BY run_kind, metric, fold ORDER BY run) AS previous FROM log)")
 
 
-@query("metric_history", _metric_history_sql(), doubles=["value"])
+@query("metric_history", _metric_history_sql(), doubles=["value", "previous", "change"])
 def metric_history(spark, sf):
-    """Evaluation results appended as tidy (metric, value) versions; the
-    latest version per metric is picked with ``max_by`` over time."""
+    """Two evaluations and two cross-validations appended to the log, read
+    back with the change of every metric and fold since the run before."""
     root = _root(spark)
     scored = fx.scored(spark, sf)
-    for thr in (0.3, K.THRESHOLD_DEFAULT):  # an older run, then the current one
-        ev = M.evaluate_model(scored, thr)
-        tidy = ev.select(F.explode(F.array(*[
-            F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("value")) for m in _EVAL_METRICS
-        ])).alias("s")).select("s.*")
-        V.write_version(tidy, root, "metrics")
-    recs = V.list_versions(spark, root, "metrics").select("version", "created_at")
-    hist = spark.read.parquet(f"{root}/metrics").join(recs, "version")
-    return hist.groupBy("metric").agg(F.max_by("value", F.struct("created_at", "version")).alias("value"))
+    for thr, k in _RUNS:
+        LOG.append(LOG.evaluation_rows(M.evaluate_model(scored, thr).select(*_EVAL_METRICS), f"at {thr}"), root)
+        LOG.append(LOG.kfold_rows(kfold_metrics(spark, sf, k), f"{k} folds"), root)
+    return LOG.history(spark, root).select("run_kind", "run", "metric", "fold", "value", "previous", "change")
 
 
 @query("pipeline_status")

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from ..functions import constants as K
 from ..functions.columns import STRIP_PATTERN
-from ..operators.split import scramble_sql
+from ..operators.split import FOLD_SALT, scramble_sql
 from ..sources.fixtures import oracle_cte
 
 
@@ -116,7 +116,7 @@ def prep_cte(upto: str = "encoded") -> str:
     return "WITH " + ",\n".join(parts[:keep]) + "\n"
 
 
-def ranked_cte(source: str = "subscribers_k", seed: int = K.SEED) -> str:
+def ranked_cte(source: str = "subscribers_k", seed: int = K.SEED, name: str = "ranked") -> str:
     """Per-class rank by the seeded scramble, with the class size, the rows
     of the classes before it and its test rows (largest remainder)."""
     sizes = f"SELECT churned, count(*) AS n_cls FROM {source} GROUP BY churned"
@@ -127,16 +127,20 @@ def ranked_cte(source: str = "subscribers_k", seed: int = K.SEED) -> str:
     quota = ("SELECT churned AS cls, n_cls, n_before, n_cls * n_side // n + CASE WHEN row_number() OVER (ORDER BY "
              "n_cls * n_side % n DESC, churned NULLS LAST) <= n_side - sum(n_cls * n_side // n) OVER () THEN 1 ELSE 0 END "
              f"AS n_test FROM ({share})")
-    return (f"ranked AS (SELECT s.*, row_number() OVER (PARTITION BY churned ORDER BY {scramble_sql('row_id', seed)}, row_id) "
+    return (f"{name} AS (SELECT s.*, row_number() OVER (PARTITION BY churned ORDER BY {scramble_sql('row_id', seed)}, row_id) "
             f"AS rk, n_cls, n_before, n_test FROM {source} s JOIN ({quota}) ON cls IS NOT DISTINCT FROM churned)")
 
 
 SPLIT_CASE = "CASE WHEN rk <= n_test THEN 'test' ELSE 'train' END"
 
 
-def fold_case() -> str:
+def folds_cte(source: str = "subscribers_k") -> str:
+    """``ranked`` in the order that folds are cut from."""
+    return ranked_cte(source, K.SEED + FOLD_SALT)
+
+
+def fold_case(k: int = K.N_FOLDS) -> str:
     """Fold number of a ``ranked`` row: one more for every range end below its rank."""
-    k = K.N_FOLDS
     size = [f"(n_cls - ((({f} - n_before) % {k} + {k}) % {k}) + {k - 1}) // {k}" for f in range(k)]
     return "CAST(1 + " + " + ".join(
         f"CASE WHEN rk > {' + '.join(size[:f])} THEN 1 ELSE 0 END" for f in range(1, k)) + " AS INTEGER)"

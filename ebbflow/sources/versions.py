@@ -4,12 +4,16 @@ Layout below a root folder (on a cluster: a folder under the shared
 ``spark.checkpoint.dir``)::
 
     {root}/{kind}/version={v}/part-*.parquet   one directory per version
-    {root}/_versions/part-*.parquet            append-only version records
-
-"Latest" is the newest record, not a second copy of the data; reading a
-version filters the ``version`` partition column, so only that version's
-files are listed and scanned.  Version names carry a microsecond stamp
-and a random suffix, so two writes in the same second never collide.
+    {root}/{kind}/version={v}/_{name}          texts kept with it (fitted state)
+    {root}/_versions/part-*.parquet            append-only manifest, one record a version
+
+A version exists once its record does: data and texts are written first,
+the record (with the data files and their sizes) last, in one small append.
+A writer that dies before leaves files that no reader sees and ``vacuum``
+removes; a reader takes the files its record names and nothing else.
+"Latest" is the newest record, not a second copy of the data.  Version names
+carry a microsecond stamp and a random suffix, so two writes in the same
+second never collide.
 """
 
 from __future__ import annotations
@@ -30,6 +34,7 @@ RECORD_SCHEMA = T.StructType([
     T.StructField("created_at", T.TimestampType()), T.StructField("fingerprint", T.StringType()),
     T.StructField("n_rows", T.LongType()), T.StructField("n_columns", T.IntegerType()),
     T.StructField("columns", T.StringType()), T.StructField("path", T.StringType()),
+    T.StructField("n_files", T.IntegerType()), T.StructField("n_bytes", T.LongType()),
 ])
 
 
@@ -38,9 +43,41 @@ def new_version(fingerprint: str) -> str:
     return f"v_{ts}_{fingerprint[:8]}_{uuid.uuid4().hex[:4]}"
 
 
+def _utc_now() -> _dt.datetime:
+    return _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+
+
+def _data_files(spark: SparkSession, path: str) -> tuple[int, int]:
+    """Number and bytes of the data files below ``path``."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    it = p.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(p, True)
+    n = size = 0
+    while it.hasNext():
+        f = it.next()
+        if f.getPath().getName().startswith("part-"):
+            n, size = n + 1, size + f.getLen()
+    return n, size
+
+
+def _commit(spark: SparkSession, root: str, rec: dict) -> dict:
+    """Appends the record that makes a version visible: the last write of all."""
+    spark.createDataFrame([rec], RECORD_SCHEMA).coalesce(1).write.mode("append").parquet(f"{root.rstrip('/')}/{VERSIONS}")
+    return rec
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(path)
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    return spark.read.text(path).first()["value"]
+
+
 def write_version(df: DataFrame, root: str, kind: str, version: str | None = None,
-                  partition_by: tuple[str, ...] = ()) -> dict:
-    """Write ``df`` as a new version of ``kind`` and append its record.
+                  partition_by: tuple[str, ...] = (), texts: dict[str, str] | None = None) -> dict:
+    """Write ``df`` as a new version of ``kind``, the ``texts`` next to it
+    (each a folder ``_{name}``), and then its record: all become visible
+    together.
 
     The fingerprint is one distributed aggregate (row count plus an
     order-independent content hash); the data are written once, by the
@@ -53,25 +90,48 @@ def write_version(df: DataFrame, root: str, kind: str, version: str | None = Non
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
-    rec = {"kind": kind, "version": version,
-           "created_at": _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None),
-           "fingerprint": fp["fingerprint"], "n_rows": int(fp["n_rows"]),
-           "n_columns": len(df.columns), "columns": ",".join(df.columns), "path": path}
-    spark.createDataFrame([rec], RECORD_SCHEMA).write.mode("append").parquet(
-        f"{root.rstrip('/')}/{VERSIONS}")
-    return rec
+    n_files, n_bytes = _data_files(spark, path)
+    for name, text in (texts or {}).items():
+        write_text(spark, f"{path}/_{name}", text)
+    return _commit(spark, root, {
+        "kind": kind, "version": version, "created_at": _utc_now(), "fingerprint": fp["fingerprint"], "n_rows": int(fp["n_rows"]),
+        "n_columns": len(df.columns), "columns": ",".join(df.columns), "path": path, "n_files": n_files, "n_bytes": n_bytes})
 
 
 def record_version(spark: SparkSession, root: str, kind: str, version: str, path: str,
-                   n_rows: int = 0, columns: list[str] | None = None, fingerprint: str = "") -> dict:
+                   n_rows: int = 0, columns: list[str] | None = None, fingerprint: str = "",
+                   created_at: _dt.datetime | None = None) -> dict:
     """Append a record for an artefact written elsewhere (e.g. a saved
     model directory)."""
-    rec = {"kind": kind, "version": version,
-           "created_at": _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None),
-           "fingerprint": fingerprint, "n_rows": int(n_rows), "n_columns": len(columns or []),
-           "columns": ",".join(columns or []), "path": path}
-    spark.createDataFrame([rec], RECORD_SCHEMA).write.mode("append").parquet(f"{root.rstrip('/')}/{VERSIONS}")
-    return rec
+    return _commit(spark, root, {
+        "kind": kind, "version": version, "created_at": created_at or _utc_now(), "fingerprint": fingerprint, "n_rows": int(n_rows),
+        "n_columns": len(columns or []), "columns": ",".join(columns or []), "path": path, "n_files": None, "n_bytes": None})
+
+
+def last_created(spark: SparkSession, root: str, kind: str, as_of: _dt.date) -> DataFrame:
+    """One row, ``last_trained``: the day of the newest version of ``kind``
+    that existed at the end of ``as_of`` (null: none)."""
+    day = F.to_date("created_at")
+    return list_versions(spark, root, kind).agg(F.max(F.when(day <= F.lit(as_of), day)).alias("last_trained"))
+
+
+def vacuum(spark: SparkSession, root: str, kind: str, older_than: _dt.datetime) -> list[str]:
+    """Removes the version folders of ``kind`` without a record that were
+    last written before ``older_than`` (UTC; leave time for running writers);
+    returns their paths.  A folder listing and one read of the records."""
+    base = spark._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{kind}")
+    fs = base.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(base):
+        return []
+    known = {r["version"] for r in list_versions(spark, root, kind).select("version").collect()}  # one name a version
+    limit = older_than.replace(tzinfo=_dt.timezone.utc).timestamp() * 1000
+    gone = []
+    for s in fs.listStatus(base):
+        name = s.getPath().getName()
+        if name.startswith("version=") and name.removeprefix("version=") not in known and s.getModificationTime() < limit:
+            fs.delete(s.getPath(), True)
+            gone.append(s.getPath().toString())
+    return gone
 
 
 def status(spark: SparkSession, root: str) -> DataFrame:
@@ -107,8 +167,26 @@ def latest_version(spark: SparkSession, root: str, kind: str) -> str:
 
 def read_version(spark: SparkSession, root: str, kind: str, version: str | None = None) -> DataFrame:
     """One version of ``kind`` (latest by default), without the
-    ``version`` partition column."""
+    ``version`` partition column.  Only recorded versions can be read, and a
+    version that has lost files since raises ``IOError``."""
     version = version or latest_version(spark, root, kind)
+    recs = list_versions(spark, root, kind).where(F.col("version") == version).select("n_files", "n_bytes").collect()
+    if not recs:
+        raise FileNotFoundError(f"no {kind!r} version {version} under {root}")
     base = f"{root.rstrip('/')}/{kind}"
+    if recs[0]["n_files"] is not None and _data_files(spark, f"{base}/version={version}") != (recs[0]["n_files"], recs[0]["n_bytes"]):
+        raise IOError(f"{kind} version {version} does not have the files its record names")
     df = spark.read.option("basePath", base).parquet(f"{base}/version={version}")
     return df.drop("version")
+
+
+def read_versions(spark: SparkSession, root: str, kind: str, schema: str) -> DataFrame:
+    """Rows of all recorded versions of ``kind``, with ``version`` and ``created_at``."""
+    recs = list_versions(spark, root, kind).select("version", "created_at")
+    try:
+        rows = spark.read.schema(f"{schema}, version string").parquet(f"{root.rstrip('/')}/{kind}")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        rows = spark.createDataFrame([], f"{schema}, version string")
+    return rows.join(recs, "version")

@@ -9,6 +9,8 @@ through the driver except fitted scalars, category lists and metric rows.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,20 +18,14 @@ from .functions import constants as K
 from .operators import features as FE
 from .operators import metrics as M
 from .operators import models as ML
+from .operators import monitor as MO
 from .operators import profile as P
 from .operators import split as S
+from .sources import metric_log as LOG
 from .sources import versions as V
 from .sources.files import with_row_key
 
 
-def _write_json(spark: SparkSession, path: str, text: str) -> None:
-    spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(path)
-
-
-def _read_json(spark: SparkSession, path: str) -> str:
-    return spark.read.text(path).collect()[0]["value"]
-
-
 def profile_job(raw: DataFrame, out: str) -> dict[str, str]:
     """EDA tables written as Parquet (one folder per block) plus the long
     summary as CSV; returns the written paths."""
@@ -56,14 +52,12 @@ def process_job(raw: DataFrame, root: str) -> dict:
     content, so that a table read from a raw file can be split."""
     raw = raw if "row_id" in raw.columns else with_row_key(raw)
     st = FE.fit_features(raw)
-    rec = V.write_version(FE.transform_features(raw, st), root, "processed")
-    _write_json(raw.sparkSession, f"{rec['path']}/_state", FE.state_to_json(st))
-    return rec
+    return V.write_version(FE.transform_features(raw, st), root, "processed", texts={"state": FE.state_to_json(st)})
 
 
 def load_state(spark: SparkSession, root: str, kind: str = "processed", version: str | None = None) -> FE.FeatureState:
     version = version or V.latest_version(spark, root, kind)
-    return FE.state_from_json(_read_json(spark, f"{root.rstrip('/')}/{kind}/version={version}/_state"))
+    return FE.state_from_json(V.read_text(spark, f"{root.rstrip('/')}/{kind}/version={version}/_state"))
 
 
 def split_job(spark: SparkSession, root: str, test_size: float = K.TEST_SIZE, seed: int = K.SEED) -> dict:
@@ -83,7 +77,7 @@ def train_job(spark: SparkSession, root: str, model_type: str = "random_forest",
     version = V.new_version(model_type)
     path = f"{root.rstrip('/')}/models/{version}"
     model.write().save(path)
-    _write_json(spark, f"{path}/_state", FE.state_to_json(st))
+    V.write_text(spark, f"{path}/_state", FE.state_to_json(st))
     V.record_version(spark, root, "models", version, path, columns=st.feature_names)
     return path
 
@@ -99,11 +93,7 @@ def evaluate_job(spark: SparkSession, root: str, model_path: str, target_metric:
     thr = M.optimal_threshold(tr, target_metric).collect()[0]["threshold"]  # one pass: the sweep
     te = ML.score(model, sp.where(F.col("split") == "test")).checkpoint(eager=True)
     ev = M.evaluate_model(te, thr)
-    names = [c for c in ev.columns]
-    model_version = model_path.rstrip("/").rsplit("/", 1)[-1]
-    tidy = ev.select(F.lit(model_version).alias("model"), F.explode(F.array(*[F.struct(F.lit(n).alias("metric"), F.col(n).cast("double").alias("value"))
-                                         for n in names])).alias("s")).select("model", "s.*")
-    V.write_version(tidy, root, "metrics")
+    LOG.append(LOG.evaluation_rows(ev, model_path.rstrip("/").rsplit("/", 1)[-1]), root)
     return ev
 
 
@@ -116,8 +106,11 @@ def kfold_job(spark: SparkSession, root: str, model_type: str = "random_forest",
     folded = S.kfold_assign(d, n_folds=n_folds).checkpoint(eager=True)
     best = f"{root.rstrip('/')}/models/{V.new_version('kfold_best')}"
     res = ML.kfold_train(folded, st.feature_names, model_type, n_folds=n_folds, best_model_path=best, **params)
-    V.record_version(spark, root, "models", best.rsplit("/", 1)[-1], best, columns=st.feature_names)
+    V.write_text(spark, f"{best}/_state", FE.state_to_json(st))
+    version = best.rsplit("/", 1)[-1]
+    V.record_version(spark, root, "models", version, best, columns=st.feature_names)
     V.write_version(res, root, "kfold")
+    LOG.append(LOG.kfold_rows(res, version), root)
     return res
 
 
@@ -126,14 +119,25 @@ def score_job(raw: DataFrame, model_path: str, threshold: float = K.THRESHOLD_DE
     """Raw rows -> key, probability, prediction with the model's frozen
     feature state (the same path the streaming scorer takes)."""
     from .streaming.jobs import score_frame
-    st = FE.state_from_json(_read_json(raw.sparkSession, f"{model_path}/_state"))
+    st = FE.state_from_json(V.read_text(raw.sparkSession, f"{model_path}/_state"))
     return score_frame(raw, st, model_path, threshold, key)
 
 
 def metric_trend(spark: SparkSession, root: str) -> DataFrame:
-    """All metric versions in time order (one row per version and metric)."""
-    recs = V.list_versions(spark, root, "metrics").select("version", "created_at")
-    return spark.read.parquet(f"{root.rstrip('/')}/metrics").join(recs, "version")
+    """All results of evaluations and cross-validations in time order, with
+    the change since the run before (one row per run, metric and fold)."""
+    return LOG.history(spark, root)
+
+
+def retrain_job(spark: SparkSession, root: str, model_path: str, current: DataFrame, cols: list[str], as_of: dt.date) -> DataFrame:
+    """The retrain decision for ``current`` processed rows (labelled): the
+    model's ranking and the watched columns against the training side, and
+    the date of the last recorded training known at ``as_of``."""
+    model = ML.load_model(model_path)
+    base = V.read_version(spark, root, "splits").where(F.col("split") == "train").drop("split")
+    sides = [ML.with_probability(model, d, "_p").select(F.lit(side).alias("side"), F.col(K.LABEL).alias("y"), F.col("_p").alias("p"), *cols)
+             for side, d in (("baseline", base), ("current", current))]
+    return MO.retrain_decision(sides[0].unionByName(sides[1]), cols, V.last_created(spark, root, "models", as_of), as_of)
 
 
 def pipeline_status(spark: SparkSession, root: str) -> DataFrame:
