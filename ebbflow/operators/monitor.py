@@ -35,12 +35,13 @@ def _bin_index(v: Column, lo: Column, hi: Column, bins: int) -> Column:
 
 
 def _shares_psi(cnt: DataFrame, keys: tuple[str, ...]) -> DataFrame:
-    """PSI and alert per ``keys`` from bin counts ``nb`` (baseline) and ``nc`` (current)."""
+    """PSI and alert per ``keys`` from bin counts ``nb`` (baseline) and ``nc``
+    (current); null and no alert where one of them has no value."""
     w = Window.partitionBy(*keys)  # the bins of one column
-    share = lambda n: F.greatest(F.coalesce(F.try_divide(F.col(n), F.sum(n).over(w)), F.lit(0.0)), F.lit(PSI_EPS))
+    share = lambda n: F.when(F.sum(n).over(w) > 0, F.greatest(F.try_divide(F.col(n), F.sum(n).over(w)), F.lit(PSI_EPS)))
     s = cnt.select(*keys, share("nb").alias("pb"), share("nc").alias("pc"))
     out = s.groupBy(*keys).agg(F.sum((F.col("pc") - F.col("pb")) * F.log(F.col("pc") / F.col("pb"))).alias("psi"))
-    return out.select(*keys, "psi", (F.col("psi") > PSI_ALERT).alias("alert"))
+    return out.select(*keys, "psi", X.is_true(F.col("psi") > PSI_ALERT).alias("alert"))
 
 
 def _long(df: DataFrame, cols: list[str], *keep: Column) -> DataFrame:
@@ -232,7 +233,7 @@ def apply_target_encoding_folds(df: DataFrame, enc: DataFrame, cols: list[str],
     out = df
     for c in cols:
         e = enc.where(F.col("column_name") == c).select(F.col("value").alias("_v"), F.col("encoding").alias("_e"), F.col("by_fold").alias("_b"))
-        code = F.when(F.col(fold_col).isNotNull(), F.coalesce(F.try_element_at(F.col("_b"), F.col(fold_col)), F.col("_e"))).otherwise(F.col("_e"))
+        code = F.when(F.col(fold_col).isNotNull(), F.try_element_at(F.col("_b"), F.col(fold_col))).otherwise(F.col("_e"))
         out = out.join(e, X.c(c) == F.col("_v"), "left").withColumn(f"{c}_te", F.coalesce(code, prior)).drop("_v", "_e", "_b")
     return out
 

@@ -54,7 +54,7 @@ def _data_files(spark: SparkSession, path: str) -> tuple[int, int]:
     n = size = 0
     while it.hasNext():
         f = it.next()
-        if f.getPath().getName().startswith("part-"):
+        if f.getPath().getName().endswith(".parquet"):
             n, size = n + 1, size + f.getLen()
     return n, size
 
@@ -183,10 +183,10 @@ def read_version(spark: SparkSession, root: str, kind: str, version: str | None
 def read_versions(spark: SparkSession, root: str, kind: str, schema: str) -> DataFrame:
     """Rows of all recorded versions of ``kind``, with ``version`` and ``created_at``."""
     recs = list_versions(spark, root, kind).select("version", "created_at")
-    try:
-        rows = spark.read.schema(f"{schema}, version string").parquet(f"{root.rstrip('/')}/{kind}")
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        rows = spark.createDataFrame([], f"{schema}, version string")
-    return rows.join(recs, "version")
+    names = sorted(r["version"] for r in recs.select("version").collect())  # one name a version
+    if not names:
+        return spark.createDataFrame([], f"{schema}, version string, created_at timestamp")
+    base = f"{root.rstrip('/')}/{kind}"
+    rows = (spark.read.schema(f"{schema}, version string").option("basePath", base)
+            .parquet(*[f"{base}/version={v}" for v in names]))
+    return rows.join(F.broadcast(recs), "version")  # one row a version
