@@ -9,10 +9,11 @@ Windows of ``WINDOW`` tokens are hash-joined: every window of an item by its
 raw lower-case tokens, and those with slots and at least ``LITERALS`` words
 also in template form.  Equal hashes are confirmed on the tokens themselves,
 for which only matched documents are read again.  Matches on one alignment
-(document place minus item place) must fill slots consistently: wherever
-the item repeats a slot value, the document has one value for it.  So
-"5 apples and 3 pears, 5 in all" matches the same question with 7 and 4 but
-not a text whose numbers merely stand in like places.  Whether an item's
+(document place minus item place) must fill slots consistently, both ways:
+wherever the item repeats a slot value, the document has one value for it,
+and where the item has several values of a kind the document does not have
+one for all.  So "5 apples and 3 pears, 5 in all" matches the same question
+with 7 and 4 but not a text whose numbers merely stand in like places.  Whether an item's
 first word is a name only the text before it would show: a capitalised one
 is looked for both as a word and as a name.
 
@@ -32,10 +33,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .graph import saved
-from .textarrays import keyed
+from .textarrays import keyed, unused
 
 WINDOW = 8  # template tokens hashed together
-LITERALS = 4  # of them words, at least, for a match in template form; fewer must match as they stand
+LITERALS = 2  # of them words, at least, for a match in template form; fewer must match as they stand
 ENOUGH = 13  # tokens an alignment must cover
 LEAST = 5  # tokens of an item that may match in template form
 #: benchmark tokens or matches that may be broadcast (under 100 bytes each, 50 MB in all); more are joined by shuffle
@@ -165,7 +166,9 @@ def covered_items(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     slot = F.when(F.col("item_tmpl").isin(*SLOTS), F.col("item_tmpl"))
     t = t.groupBy(*line, "j").agg(F.max(slot).alias("slot"), F.max("verbatim").alias("bare"), F.min(F.struct("item_raw", "raw")).alias("t"))
     v = t.groupBy(*line, "slot", F.when(F.col("slot").isNotNull(), F.col("t.item_raw")).alias("value")).agg(
-        F.count("*").alias("n"), F.count_if("bare").alias("bare"), (F.min("t.raw") != F.max("t.raw")).alias("mixed"))
+        F.count("*").alias("n"), F.count_if("bare").alias("bare"), F.min("t.raw").alias("lo"), F.max("t.raw").alias("hi"))
+    v = v.groupBy(*line, "slot").agg(F.sum("n").alias("n"), F.sum("bare").alias("bare"),
+                                     (F.max(F.col("lo") != F.col("hi")) | ((F.count("*") > 1) & (F.min("lo") == F.max("hi")))).alias("mixed"))
     a = v.groupBy(*line).agg(F.sum("n").alias("covered"), F.sum("bare").alias("bare"), F.max(F.col("slot").isNotNull() & F.col("mixed")).alias("mixed"))
     need = F.least(F.lit(ENOUGH), "item_size")
     a = a.where(((F.col("covered") >= need) & ~F.col("mixed")) | (F.col("bare") >= need))
@@ -179,7 +182,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``docs`` without the contaminated documents."""
-    rows = keyed(docs, "__key")
-    bad = covered_items(rows.select(F.col("__key").alias("oid"), "doc_id", "text"), benchmark).select(F.col("oid").alias("__key"))
-    return rows.join(bad, "__key", "left_anti").select(*docs.columns)
+    """``docs`` without the contaminated documents; all columns stay, whatever their names."""
+    key = unused(docs.columns, "__key")
+    rows = keyed(docs, key)
+    bad = covered_items(rows.select(F.col(key).alias("oid"), "doc_id", "text"), benchmark).select(F.col("oid").alias(key))
+    return rows.join(bad, key, "left_anti").select(*docs.columns)

@@ -12,8 +12,18 @@ neighbours; in an article these are its own blocks outside boilerplate.  Where t
 nearer one counts, and the following one on a tie (a heading belongs to what
 it heads).  An undecided article without a decided block is in.
 
+Stop words are those of a few languages; a block in another script, and a
+page with hardly any of them, is judged by length and sentence ends instead.
+Inside an article, ids mark boilerplate only by unmistakable words, and
+headings are never boilerplate by name; text of formulas, drawings and
+``noscript`` is text.
+
+Open elements are found by tag through the places they have on the stack, so
+the time is linear in the page, whatever is left unclosed.
+
 Edge cases: null or empty html gives an empty text; unclosed tags, missing
-end tags and broken markup are read to the end; every row gives one row.
+end tags and broken markup are read to the end; every row gives one row;
+repeated rows are extracted each; other columns are never read.
 """
 
 from __future__ import annotations
@@ -30,6 +40,7 @@ from .textarrays import slices, small_batches
 
 LONG, SHORT = 200, 70  # characters
 STOP_LOW, STOP_HIGH = 0.12, 0.25  # share of stop words
+KNOWN = 0.08  # share of stop words from which a page's language counts as known
 LINKS = 0.5  # share of characters inside links
 
 # Frequent words of the languages at hand.
@@ -42,8 +53,9 @@ el los las de del y que en un una es por con para se no lo su al como más o per
 # HTML elements by what they mean for text.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("""a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span
-strike strong sub sup td th time tt u var br wbr img""".split())
-RAW = frozenset("script style noscript template textarea title iframe object svg math select".split())
+strike strong sub sup td th time tt u var br wbr img svg math""".split())
+RAW = frozenset("script style template textarea title iframe select".split())
+DRAWN = frozenset("svg math".split())  # what stands inside is inline
 OUT = frozenset("nav aside footer form menu dialog button fieldset".split())
 CLOSES_P = frozenset("p div section article main nav aside header footer form ul ol dl table h1 h2 h3 h4 h5 h6 pre blockquote hr figure".split())
 # Words in class, id or role that mark boilerplate.
@@ -53,6 +65,12 @@ disqus discussion cookie cookies consent gdpr notice notices notification alert
 signup login share sharing social related recommended recommendations widget widgets toolbar pagination pager disclaimer copyright
 search contentinfo complementary hidden""".split())
 
+# Of these, the ones that an id inside an article must hold to mark boilerplate.
+ID_MARKS = frozenset("ad ads advert adverts advertisement advertising sidebar comments commentlist disqus cookie cookies newsletter".split())
+
+_REST = re.compile(r"""(?:=\s*+"[^"]*"|=\s*+'[^']*'|[^>])*+>""")  # of a tag, to its >, which a quoted value may hold
+_SENTENCE = re.compile(r"[.!?\u2026\u3002\uff01\uff1f\u061f\u0964](?:[\"'\u201d\u2019)\]]?\s|[\"'\u201d\u2019)\]]?$)|[\u3002\uff01\uff1f]")
+_HEADING = re.compile("h[1-6]")
 _ATTRIBUTE = re.compile(r"""([a-zA-Z-]+)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 _NAME = re.compile(r"[a-zA-Z][a-zA-Z0-9:-]*")
@@ -71,13 +89,15 @@ class Block:
 @dataclass
 class Element:
     tag: str
+    inline: bool
     out: bool
     article: int
+    within: int  # 2 in an article, 1 in a main part only, 0 in neither
 
 
-def marked_out(tag: str, attributes: str, inside: int) -> bool:
+def marked_out(tag: str, attributes: str, within: int) -> bool:
     """Whether an element is a boilerplate container."""
-    if tag in OUT or tag == "header" and not inside:
+    if tag in OUT or tag == "header" and not within:
         return True
     if not attributes or tag in ("html", "body"):
         return False
@@ -89,9 +109,12 @@ def marked_out(tag: str, attributes: str, inside: int) -> bool:
         if name == "style" and _HIDDEN.search(value) or name == "aria-hidden" and value.lower() == "true":
             return True
         if name in ("class", "id", "role"):
+            if within and (_HEADING.fullmatch(tag) or name == "id" and tag == "p"):
+                continue
+            words = ID_MARKS if name == "id" and within == 2 else MARKS
             for one in value.split():
                 parts = [x.lower() for x in re.findall(r"[A-Z]?[a-z]+|[A-Z]+", one)]
-                if not {"has", "no", "with"} & set(parts) and any(x in MARKS and not (x == "header" and inside) for x in parts):
+                if not {"has", "no", "with"} & set(parts) and any(x in words and not (x == "header" and within) for x in parts):
                     return True
     return False
 
@@ -100,13 +123,17 @@ def blocks(page: str) -> list[Block]:
     """The text blocks of a page, in order."""
     out: list[Block] = []
     stack: list[Element] = []
+    places: dict[str, list[int]] = {}  # of the open elements of a tag, ascending
+    walls: list[int] = []  # of those that are no inline elements
+    p_walls: list[int] = []  # of those that a paragraph's end does not pass
+    no_end: set[str] = set()  # raw elements without a further end tag
     parts: list[str] = []
-    state = {"linked": 0, "links": 0, "articles": 0}
+    state = {"linked": 0, "links": 0, "articles": 0, "drawn": 0}
 
     def flush(heading: bool = False) -> None:
         text = " ".join("".join(parts).split())
         if text:
-            top = stack[-1] if stack else Element("", False, 0)
+            top = stack[-1] if stack else Element("", True, False, 0, 0)
             out.append(Block(text, state["linked"], top.article, top.out, heading))
         parts.clear()
         state["linked"] = 0
@@ -118,22 +145,37 @@ def blocks(page: str) -> list[Block]:
             if state["links"]:
                 state["linked"] += len(text.strip())
 
+    def push(e: Element) -> None:
+        k = len(stack)
+        stack.append(e)
+        places.setdefault(e.tag, []).append(k)
+        if not e.inline:
+            walls.append(k)
+            if e.tag != "p" and not _HEADING.fullmatch(e.tag):
+                p_walls.append(k)
+        state["links"] += e.tag == "a"
+        state["drawn"] += e.tag in DRAWN
+
     def close(k: int) -> None:
         """Ends the elements from place k of the stack."""
-        for e in stack[k:]:
-            if e.tag == "a":
-                state["links"] = max(0, state["links"] - 1)
-        del stack[k:]
+        while len(stack) > k:
+            e = stack.pop()
+            places[e.tag].pop()
+            for w in (walls, p_walls):
+                if w and w[-1] == len(stack):
+                    w.pop()
+            state["links"] -= e.tag == "a"
+            state["drawn"] -= e.tag in DRAWN
 
     def end(tag: str) -> None:
-        for k in range(len(stack) - 1, -1, -1):
-            if stack[k].tag == tag:
-                if any(e.tag not in INLINE for e in stack[k:]):
-                    flush(bool(re.fullmatch("h[1-6]", tag)))
-                close(k)
-                return
-            if tag in INLINE and stack[k].tag not in INLINE:
-                return  # an inline end tag ends nothing outside its block
+        if not places.get(tag):
+            return
+        k = places[tag][-1]
+        if not stack[k].inline:
+            flush(bool(_HEADING.fullmatch(tag)))
+        elif walls and walls[-1] > k:
+            return  # an inline end tag ends nothing outside its block
+        close(k)
 
     at, n = 0, len(page)
     while at < n:
@@ -156,12 +198,10 @@ def blocks(page: str) -> list[Block]:
             add("<")
             at = lt + 1
             continue
-        stop = page.find(">", name.end())
+        rest = _REST.match(page, name.end())
+        stop = rest.end() - 1 if rest else page.find(">", name.end())
         if stop < 0:
             break
-        if '="' in page[name.end(): stop] and page.count('"', name.end(), stop) % 2:  # > within a quoted value
-            quote = page.find('"', stop)
-            stop = page.find(">", quote) if quote >= 0 and page.find(">", quote) >= 0 else stop
         tag, attributes, at = name.group().lower(), page[name.end(): stop], stop + 1
         if nxt == "/":
             if tag not in VOID:
@@ -173,56 +213,69 @@ def blocks(page: str) -> list[Block]:
             add(" ")
             continue
         if tag in RAW:
-            ends = re.compile(rf"</{tag}\b[^>]*>", re.I).search(page, at)
+            ends = None if tag in no_end else re.compile(rf"</{tag}\b[^>]*>", re.I).search(page, at)
+            if ends is None:
+                no_end.add(tag)
             if not attributes.rstrip().endswith("/"):
                 at = ends.end() if ends else (n if tag in ("script", "style") else at)
             continue
-        if tag in ("td", "th"):
+        inline = tag in INLINE or state["drawn"] > 0
+        if tag in ("td", "th") or places.get("svg"):
             add(" ")
-        if tag not in INLINE:
+        if not inline:
             flush()
-            if tag in CLOSES_P:
-                for k in range(len(stack) - 1, -1, -1):
-                    if stack[k].tag == "p":
-                        close(k)
-                        break
-                    if stack[k].tag not in INLINE and not re.fullmatch("h[1-6]", stack[k].tag):
-                        break
+            if tag in CLOSES_P and places.get("p") and not (p_walls and p_walls[-1] > places["p"][-1]):
+                close(places["p"][-1])
             if tag in ("li", "dt", "dd", "tr", "option") and stack and stack[-1].tag == tag:
                 close(len(stack) - 1)
         if tag in VOID or attributes.rstrip().endswith("/"):
             continue
-        top = stack[-1] if stack else Element("", False, 0)
+        top = stack[-1] if stack else Element("", True, False, 0, 0)
         article = top.article
         if tag in ("article", "main") and not article:
             state["articles"] += 1
             article = state["articles"]
-        bad = marked_out(tag, attributes, article)
-        if bad and not top.out and tag in INLINE and tag != "a":
+        within = max(top.within, {"article": 2, "main": 1}.get(tag, 0))
+        bad = not state["drawn"] and marked_out(tag, attributes, within)
+        if bad and not top.out and inline and tag != "a":
             flush()  # a marked span is a block of its own
-        if tag == "a":
-            state["links"] += 1
-        stack.append(Element(tag, top.out or bad or tag == "head", article))
+        push(Element(tag, inline, top.out or bad or tag == "head", article, within))
     flush()
     return out
 
 
-def first_pass(block: Block) -> bool | None:
-    """In, out, or undecided."""
+def stop_share(text: str) -> tuple[int, int]:
+    """Stop words and words."""
+    words = _WORD.findall(text.lower())
+    return sum(w in STOP_WORDS for w in words), len(words)
+
+
+def foreign(text: str) -> bool:
+    """Most letters are of another script than Latin."""
+    letters = [c for c in text if c.isalpha()]
+    return 2 * sum(c > "\u024f" for c in letters) > len(letters)
+
+
+def first_pass(block: Block, known: bool = True) -> bool | None:
+    """In, out, or undecided; ``known`` if the stop words are of the page's language."""
     size = len(block.text)
     if block.out:
         return False
     if block.linked > LINKS * size and not block.heading:
         return False
-    words = _WORD.findall(block.text.lower())
-    stops = sum(w in STOP_WORDS for w in words) / len(words) if words else 0.0
+    hit, words = stop_share(block.text)
+    stops = hit / words if words else 0.0
     if block.article:
         return True if size >= SHORT or stops >= STOP_LOW else None
-    if size < SHORT or block.heading:
+    wide = size + sum(c >= "\u2e80" for c in block.text)  # a wide character says as much as two letters
+    if wide < SHORT or block.heading:
         return None
+    sentence = bool(_SENTENCE.search(block.text))
+    if not known or foreign(block.text):
+        return True if sentence or wide >= LONG else None
     if size >= LONG and stops >= STOP_HIGH:
         return True
-    return None if stops >= STOP_LOW else False
+    return None if stops >= STOP_LOW or sentence else False
 
 
 def second_pass(found: list[Block], label: list[bool | None]) -> list[bool]:
@@ -263,7 +316,9 @@ def second_pass(found: list[Block], label: list[bool | None]) -> list[bool]:
 def main_text(page: str | None) -> str:
     """The blocks that are in, joined by an empty line."""
     found = blocks(page or "")
-    label = [first_pass(b) for b in found]
+    counts = [stop_share(b.text) for b in found if not b.out and not b.article]
+    known = sum(h for h, _ in counts) >= KNOWN * sum(n for _, n in counts)
+    label = [first_pass(b, known) for b in found]
     if not any(b.article for b in found) and not any(label):
         # no article and nothing clearly in: long runs of plain text are the best evidence there is
         label = [True if x is not True and not b.out and len(b.text) >= LONG and b.linked <= LINKS * len(b.text) else x

@@ -41,7 +41,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .graph import components, forest, saved
-from .textarrays import CHUNK_BYTES, NULL_ID, doc_key, lists, mix64, slices, small_batches, span_hash, word_arrays
+from .textarrays import CHUNK_BYTES, NULL_ID, doc_key, lists, mix64, slices, small_batches, span_hash, unused, word_arrays
 
 BANDS, ROWS = 32, 5
 SKETCH_BITS = 512
@@ -310,9 +310,11 @@ def _near(pairs: DataFrame, sketch: DataFrame, limit: int) -> DataFrame:
 def keep_one(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """``docs`` without the documents that another of their group stands for.
 
-    Rows equal in doc_id and text stay once; rows without a doc_id all stay.
+    Rows equal in doc_id and text stay once; rows without a doc_id all stay;
+    all columns stay, whatever their names.
     """
-    kept = near_duplicates(docs, width, percent).where("kept").select(F.col("doc_id").alias("__key")).distinct()
-    named = docs.where("doc_id IS NOT NULL").withColumn("__key", F.col("doc_id").cast("long"))
-    named = named.join(kept, "__key", "left_semi").dropDuplicates(["__key", "text"]).drop("__key")
+    key = unused(docs.columns, "__key")
+    kept = near_duplicates(docs, width, percent).where("kept").select(F.col("doc_id").alias(key)).distinct()
+    named = docs.where("doc_id IS NOT NULL").withColumn(key, F.col("doc_id").cast("long"))
+    named = named.join(kept, key, "left_semi").dropDuplicates([key, "text"]).drop(key)
     return named.unionByName(docs.where("doc_id IS NULL"))

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .graph import saved
-from .textarrays import WORD, keyed
+from .textarrays import WORD, keyed, unused
 
 WEIGHTS = (3, 1, 2)
 SHARE, MOST = 1.5, 2
@@ -39,11 +39,11 @@ SHARD_WORDS = 1 << 21
 SEED = "mix-1"
 
 
-def sized(docs: DataFrame) -> DataFrame:
-    """(key, doc_id, source, size, r) of ``docs(__id, ..)``: words of each document and its seeded order key."""
+def sized(docs: DataFrame, key: str = "__id") -> DataFrame:
+    """(key, doc_id, source, size, r) of ``docs`` with their ``key``: words of each document and its seeded order key."""
     words = F.length(F.regexp_replace(F.regexp_replace("text", WORD, "w"), r"[\x20\x09-\x0D]+", ""))
-    return docs.select(F.col("__id").alias("key"), F.col("doc_id").cast("long").alias("doc_id"), "source", F.coalesce(words, F.lit(0)).cast("long").alias("size"),
-                       F.md5(F.concat(F.lit(SEED), F.col("__id").cast("string")).cast("binary")).alias("r"))
+    return docs.select(F.col(key).alias("key"), F.col("doc_id").cast("long").alias("doc_id"), "source", F.coalesce(words, F.lit(0)).cast("long").alias("size"),
+                       F.md5(F.concat(F.lit(SEED), F.col(key).cast("string")).cast("binary")).alias("r"))
 
 
 def same(a: str, b: str):
@@ -102,9 +102,9 @@ def mix(docs: DataFrame) -> DataFrame:
     return plan(keyed(docs.select("doc_id", "text", "source"), "__id", ("text", "source")))
 
 
-def plan(docs: DataFrame) -> DataFrame:
-    """The mix of ``docs`` keyed by ``__id``; see ``mix``."""
-    d = saved(sized(docs), "mix-sizes")
+def plan(docs: DataFrame, key: str = "__id") -> DataFrame:
+    """The mix of ``docs`` named by ``key``; see ``mix``."""
+    d = saved(sized(docs, key), "mix-sizes")
     t = targets(d).withColumn("blocks", F.round(F.sum("target").over(Window.partitionBy(F.lit(1))) / BLOCK_WORDS).cast("long"))
     t = apportion(t, [], ["source"], "target", "blocks")
     t = t.withColumn("shards", F.greatest(F.ceil(F.col("source_size") / SHARD_WORDS), F.lit(1)))
@@ -135,20 +135,21 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     """The mix as rows with the columns of ``docs``: each whole copy, then the text of the extra run, cut at words.
 
     A document of which nothing is taken gives no row.  ``n_chars``, if
-    there, is set to the length of the row's own text.
+    there, is set to the length of the row's own text.  All columns stay,
+    whatever their names.
     """
-    rows = keyed(docs, "__id", ("text", "source"))
-    p = plan(rows).groupBy(F.col("key").alias("__id")).agg(F.min(F.struct(
-        F.col("size").alias("__size"), F.col("base").alias("__base"), F.col("from1").alias("__from"), F.col("to1").alias("__to"),
-        F.col("to2").alias("__tail"))).alias("p")).select("__id", "p.*")
-    d = rows.join(p, "__id").where("__size > 0")
-    d = d.withColumn("__words", F.regexp_extract_all("text", F.lit(WORD + r"[\x20\x09-\x0D]*"), F.lit(0)))
+    key, p, words, piece = (unused(docs.columns, f"__{x}") for x in ("id", "plan", "words", "text"))
+    rows = keyed(docs, key, ("text", "source"))
+    due = plan(rows, key).groupBy(F.col("key").alias(key)).agg(F.min(F.struct("size", "base", "from1", "to1", "to2")).alias(p))
+    d = rows.join(due, key).where(F.col(f"{p}.size") > 0)
+    d = d.withColumn(words, F.regexp_extract_all("text", F.lit(WORD + r"[\x20\x09-\x0D]*"), F.lit(0)))
 
     def cut(lo, hi):
-        some = F.array_join(F.slice("__words", (lo + 1).cast("int"), F.greatest(hi - lo, F.lit(0)).cast("int")), "")
-        return F.when((lo == 0) & (hi == F.col("__size")), F.col("text")).when(hi > lo, F.regexp_replace(some, r"[\x20\x09-\x0D]+$", ""))
-    parts = F.concat(F.array_repeat("text", F.col("__base").cast("int")), F.array(cut(F.col("__from"), F.col("__to")), cut(F.lit(0), F.col("__tail"))))
+        some = F.array_join(F.slice(words, (lo + 1).cast("int"), F.greatest(hi - lo, F.lit(0)).cast("int")), "")
+        return F.when((lo == 0) & (hi == F.col(f"{p}.size")), F.col("text")).when(hi > lo, F.regexp_replace(some, r"[\x20\x09-\x0D]+$", ""))
+    parts = F.concat(F.array_repeat("text", F.col(f"{p}.base").cast("int")),
+                     F.array(cut(F.col(f"{p}.from1"), F.col(f"{p}.to1")), cut(F.lit(0), F.col(f"{p}.to2"))))
     # an outer explode: the plain one adds a filter that would repeat the cutting
-    d = d.withColumn("__text", F.explode_outer(F.filter(parts, lambda x: x.isNotNull()))).where("__text IS NOT NULL")
-    length = {"n_chars": F.length("__text").cast(docs.schema["n_chars"].dataType).alias("n_chars")} if "n_chars" in docs.columns else {}
-    return d.select(*[F.col("__text").alias("text") if c == "text" else length.get(c, F.col(c)) for c in docs.columns])
+    d = d.withColumn(piece, F.explode_outer(F.filter(parts, lambda x: x.isNotNull()))).where(F.col(piece).isNotNull())
+    length = {"n_chars": F.length(piece).cast(docs.schema["n_chars"].dataType).alias("n_chars")} if "n_chars" in docs.columns else {}
+    return d.select(*[F.col(piece).alias("text") if c == "text" else length.get(c, F.col(c)) for c in docs.columns])

@@ -9,7 +9,7 @@ the arrays small whatever the batch size; one text is never cut.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -134,13 +134,21 @@ def lists(values: np.ndarray, counts: np.ndarray, kind: pa.DataType) -> pa.Array
     return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values, kind))
 
 
+def unused(columns: Iterable[str], name: str) -> str:
+    """``name``, with underscores before it until no column has it (case apart)."""
+    have = {c.lower() for c in columns}
+    while name.lower() in have:
+        name = "_" + name
+    return name
+
+
 def doc_key(name: str = "doc_id") -> Column:
     """The id as an ordering key: null sorts last."""
     return F.coalesce(F.col(name).cast("long"), F.lit(NULL_ID))
 
 
 def keyed(docs: DataFrame, key: str = "oid", by: tuple[str, ...] = ("text",)) -> DataFrame:
-    """``docs`` with a long ``key`` that names each document: the doc_id, where that is one document's alone.
+    """``docs`` with a long ``key`` (no column of theirs) that names each document: the doc_id, where that is one document's alone.
 
     Rows equal in doc_id and ``by`` are one document.  Of an id with several
     contents the one of least hash keeps the id, the others get a key from
@@ -149,24 +157,25 @@ def keyed(docs: DataFrame, key: str = "oid", by: tuple[str, ...] = ("text",)) ->
     have 60 bits and lie at the top of the range, so these rows sort last.
     """
     number = F.col("doc_id").cast("long")
-    d = docs.withColumn("__h", F.xxhash64(*by))
-    odd = d.select(number.alias("__of"), "__h").groupBy("__of").agg(F.min("__h").alias("__first"), F.max("__h").alias("__last"))
-    odd = saved(odd.where("__of IS NULL OR __first <> __last").drop("__last"), "odd-ids")
-    n, nulls = odd.agg(F.count("*"), F.count_if(F.col("__of").isNull())).first()
+    h, of, first, last, nth = (unused([*docs.columns, key], f"__{x}") for x in ("h", "of", "first", "last", "nth"))
+    d = docs.withColumn(h, F.xxhash64(*by))
+    odd = d.select(number.alias(of), h).groupBy(of).agg(F.min(h).alias(first), F.max(h).alias(last))
+    odd = saved(odd.where(F.col(of).isNull() | (F.col(first) != F.col(last))).drop(last), "odd-ids")
+    n, nulls = odd.agg(F.count("*"), F.count_if(F.col(of).isNull())).first()
     made = lambda *c: F.lit(NULL_ID) - F.shiftrightunsigned(F.xxhash64(*c), 4)
     named = d.where("doc_id IS NOT NULL") if nulls else d
     if n > nulls:
-        odd = odd.where("__of IS NOT NULL")
-        named = named.join(F.broadcast(odd) if n <= BROADCAST_IDS else odd, number == F.col("__of"), "left")
-        named = named.withColumn(key, F.when(F.col("__first") != F.col("__h"), made(number, "__h")).otherwise(number))
+        odd = odd.where(F.col(of).isNotNull())
+        named = named.join(F.broadcast(odd) if n <= BROADCAST_IDS else odd, number == F.col(of), "left")
+        named = named.withColumn(key, F.when(F.col(first) != F.col(h), made(number, h)).otherwise(number))
     else:
         named = named.withColumn(key, number)
     columns = [*docs.columns, key]
     if not nulls:
         return named.select(*columns)
     plain = (T.StringType, T.NumericType, T.BooleanType, T.DateType, T.TimestampType)
-    alike = Window.partitionBy("__h").orderBy(*[f.name for f in docs.schema if isinstance(f.dataType, plain)])
-    free = d.where("doc_id IS NULL").withColumn("__nth", F.row_number().over(alike)).withColumn(key, made(F.lit("null"), "__h", "__nth"))
+    alike = Window.partitionBy(h).orderBy(*[f.name for f in docs.schema if isinstance(f.dataType, plain)])
+    free = d.where("doc_id IS NULL").withColumn(nth, F.row_number().over(alike)).withColumn(key, made(F.lit("null"), h, nth))
     return named.select(*columns).unionAll(free.select(*columns))
 
 

@@ -2,18 +2,22 @@
 
 Documents are range-partitioned and sorted by doc_id before they are
 encoded, so file order is id order and each file holds one id range.  A row
-is (doc_id, ids array<int>); ORC's integer run-length encoding packs the
-ids, its row index keeps min and max of doc_id per ``ROW_STRIDE`` rows, and
-a Bloom filter on doc_id lets a lookup skip stripes.  Readers split files
-by stripe.
+is (doc_id, start, n_tokens, ids array<int>), ``start`` counted within the
+writing task; ORC's integer run-length encoding packs the numbers, its row
+index keeps min and max of doc_id per ``ROW_STRIDE`` rows, and a Bloom
+filter on doc_id lets a lookup skip stripes.  Readers split files by stripe.
+The index needs the ids read once: the tokens before a file come from the
+``n_tokens`` column alone.
 
 Texts are encoded through their distinct words: the tokenizer drops white
 space and no piece spans it, so a text's ids are its words' ids in a row.
 A worker keeps the ids of words it has met, by 64-bit name and length.
 
 Edge cases: null and empty texts hold the end id alone; a null doc_id sorts
-last; rows that share a doc_id are separate records, ordered by length and
-checksum; an empty table writes no file and reads back empty.
+last; rows that share a doc_id are separate records in the order they have in the
+file, by length and hash of the text (a common or missing id may reach over
+several files); an empty table writes no file and reads back empty; other
+columns are never read.
 """
 
 from __future__ import annotations
@@ -28,12 +32,12 @@ from pyspark.sql import functions as F
 
 from ebbflow.session import scratch_path
 
-from .textarrays import doc_key, lists, mix64, slices, small_batches, word_arrays
+from .textarrays import lists, mix64, slices, small_batches, word_arrays
 
 END_ID = 2
 ROW_STRIDE = 1000
 MEMO_WORDS = 1 << 20  # words whose ids a worker keeps; a memory bound only
-SCHEMA = "doc_id long, ids array<int>"
+SCHEMA = "doc_id long, start long, n_tokens long, ids array<int>"
 _STATE: dict = {}
 
 
@@ -123,10 +127,14 @@ def word_ids(path: str) -> WordIds:
 def _encoder(path: str, end_id: int):
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids = word_ids(path)
+        before = 0  # ids of this task so far
         for batch in batches:
             for part in slices(batch, "text"):
                 flat, counts = encoded(part.column("text"), ids, end_id)
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), lists(flat, counts, pa.int32())], names=["doc_id", "ids"])
+                ends = before + np.cumsum(counts)
+                before += len(flat)
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(ends - counts), pa.array(counts), lists(flat, counts, pa.int32())],
+                                                 names=["doc_id", "start", "n_tokens", "ids"])
     return encode
 
 
@@ -134,7 +142,8 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_I
     """Writes ``docs(doc_id, text, ..)`` as ORC token files in ascending doc_id order."""
     small_batches(docs.sparkSession)
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    d = d.repartitionByRange(F.asc_nulls_last("doc_id")).sortWithinPartitions(F.asc_nulls_last("doc_id"))
+    order = [F.asc_nulls_last("doc_id"), F.octet_length("text"), F.xxhash64("text")]
+    d = d.repartitionByRange(*order).sortWithinPartitions(*order)
     (d.mapInArrow(_encoder(tokenizer, end_id), SCHEMA).write
      .option("orc.bloom.filter.columns", "doc_id").option("orc.bloom.filter.fpp", "0.01").option("orc.create.index", "true")
      .option("orc.row.index.stride", str(ROW_STRIDE)).option("compression", "zstd").orc(path))
@@ -152,20 +161,20 @@ def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at = col.offsets.to_numpy()
         flat = np.ascontiguousarray(col.values.to_numpy(zero_copy_only=False), "<u4")
         crc = [zlib.crc32(flat[x:y]) for x, y in zip(at, at[1:])]
-        yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(np.diff(at).astype(np.int64)), pa.array(crc, pa.int64()), b.column("file")],
-                                         names=["doc_id", "n_tokens", "ids_crc32", "file"])
+        yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("start"), pa.array(np.diff(at).astype(np.int64)), pa.array(crc, pa.int64()),
+                                          b.column("part")], names=["doc_id", "start", "n_tokens", "ids_crc32", "part"])
 
 
 def token_index(spark: SparkSession, path: str) -> DataFrame:
     """From the files: doc_id, start (ids of all records before it), n_tokens, ids_crc32."""
-    d = read_tokens(spark, path).select("doc_id", "ids", F.col("_metadata.file_path").alias("file"))
-    d = d.mapInArrow(_measure, "doc_id long, n_tokens long, ids_crc32 long, file string")
-    files = d.groupBy("file").agg(F.sum("n_tokens").alias("of_file"), F.min(doc_key()).alias("least"))
-    before = Window.orderBy("least", "file").rowsBetween(Window.unboundedPreceding, -1)  # one row per file
-    files = files.select(F.col("file").alias("f"), F.coalesce(F.sum("of_file").over(before), F.lit(0)).alias("base"))
-    line = Window.partitionBy("file").orderBy(F.asc_nulls_last("doc_id"), "n_tokens", "ids_crc32").rowsBetween(Window.unboundedPreceding, -1)
-    d = d.withColumn("inner", F.coalesce(F.sum("n_tokens").over(line), F.lit(0)))
-    return d.join(files, F.col("file") == F.col("f")).select("doc_id", (F.col("base") + F.col("inner")).alias("start"), "n_tokens", "ids_crc32")
+    # the number of the writing task; ranges ascend with it
+    part = F.regexp_extract(F.col("_metadata.file_name"), r"part-(\d+)", 1).cast("long").alias("part")
+    d = read_tokens(spark, path)
+    sizes = d.select(part, "n_tokens").groupBy("part").agg(F.sum("n_tokens").alias("of_part"))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row a file
+    sizes = sizes.select(F.col("part").alias("p"), F.coalesce(F.sum("of_part").over(before), F.lit(0)).alias("base"))
+    d = d.select("doc_id", "start", "ids", part).mapInArrow(_measure, "doc_id long, start long, n_tokens long, ids_crc32 long, part long")
+    return d.join(F.broadcast(sizes), F.col("part") == F.col("p")).select("doc_id", (F.col("base") + F.col("start")).alias("start"), "n_tokens", "ids_crc32")
 
 
 def write_and_index(docs: DataFrame, tokenizer: str, path: str | None = None) -> DataFrame:

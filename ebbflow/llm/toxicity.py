@@ -4,8 +4,10 @@ Inputs of a word are a word vector and the mean vector of its byte trigrams
 (hashed tables, word borders included), each with the log-odds of the row in
 the training sample, so invented or inflected words are read by their parts.  A gated recurrent layer runs over a window
 of ``WINDOW`` words in each direction; attention pools its outputs to one
-logit.  Windows start every ``STRIDE`` words and cover every text to its
-end; a text's score is that of its worst window.
+logit.  Overlapping windows start every ``STRIDE`` words (of training texts
+every ``TRAIN_STRIDE``) and cover every text to its end, so that a passage of
+up to ``WINDOW - STRIDE`` words always stands whole in one of them; a text's
+score is that of its worst window.
 
 Training: a bounded sample of labelled rows (``SAMPLE_PER_CLASS``, the least
 by a hash of the id) whose crc32(doc_id as text) mod 4 is not 2.  A label
@@ -35,9 +37,9 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .textarrays import BASE, BASE_INV, LOWER, buffers, mix64, powers, runs, slices, small_batches
+from .textarrays import BASE, BASE_INV, LOWER, buffers, mix64, powers, runs, slices, small_batches, unused
 
-WINDOW, STRIDE = 32, 24
+WINDOW, STRIDE, TRAIN_STRIDE = 32, 8, 24
 SAMPLE_PER_CLASS = {1: 1024, 0: 1536}
 HELD_OUT_FOLD, FOLDS = 2, 4
 ODDS_FOLDS = 4
@@ -98,13 +100,13 @@ def inputs(texts: pa.Array) -> Inputs:
     return Inputs((uniq >> np.uint64(64 - WORD_BITS)).astype(np.int64), (gram >> np.uint32(32 - GRAM_BITS)).astype(np.int64), size, back, first)
 
 
-def windows(first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def windows(first: np.ndarray, stride: int = STRIDE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Text, first word and length of every window; the last window of a long text ends with it."""
     n = np.diff(first)
-    count = np.where(n == 0, 0, 1 + np.maximum(0, -(-(n - WINDOW) // STRIDE)))
+    count = np.where(n == 0, 0, 1 + np.maximum(0, -(-(n - WINDOW) // stride)))
     text = np.repeat(np.arange(len(n)), count)
     k = np.arange(len(text)) - np.repeat(np.cumsum(count) - count, count)
-    at = np.minimum(k * STRIDE, np.maximum(n[text] - WINDOW, 0))
+    at = np.minimum(k * stride, np.maximum(n[text] - WINDOW, 0))
     return text, first[:-1][text] + at, np.minimum(n[text], WINDOW)
 
 
@@ -162,9 +164,9 @@ def logits(m: Model, gates: tuple[np.ndarray, np.ndarray], step: np.ndarray, liv
     return np.einsum("tr,trk,k->r", a, o, m["wo"], optimize=True) + m["bo"][0]
 
 
-def window_scores(m: Model, x: Inputs) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def window_scores(m: Model, x: Inputs, stride: int = STRIDE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Text, first word and logit of every window."""
-    text, at, size = windows(x.first)
+    text, at, size = windows(x.first, stride)
     if not len(text):
         return text, at, np.zeros(0, np.float32)
     v = vectors(m, x)
@@ -284,7 +286,7 @@ def fit(texts: list[str], labels: list[int], seed: int = 11) -> Model | None:
     for k in range(ODDS_FOLDS):
         mine = y[k::ODDS_FOLDS]
         x = inputs(pa.array(texts[k::ODDS_FOLDS], pa.string()))
-        text, at, length = windows(x.first)
+        text, at, length = windows(x.first, TRAIN_STRIDE)
         owner = np.repeat(np.arange(len(mine)), np.diff(x.first))
         # a text holds a trigram if it holds a word with it
         pair = np.unique(x.back + owner * max(1, len(x.word)))
@@ -309,7 +311,7 @@ def fit(texts: list[str], labels: list[int], seed: int = 11) -> Model | None:
             if not len(text):
                 continue
             if done:
-                bad = window_scores(m | others[k], x)[2]
+                bad = window_scores(m | others[k], x, TRAIN_STRIDE)[2]
             else:  # before training, a window is as bad as its worst word
                 v = vectors(m | others[k], x)[:, :3].sum(axis=1)[x.back]
                 bad = v[np.minimum(at[:, None] + np.arange(WINDOW), (at + length - 1)[:, None])].max(axis=1)
@@ -358,8 +360,8 @@ def train(docs: DataFrame, labels: DataFrame) -> Model | None:
     return dict(np.load(io.BytesIO(got[0]["model"]))) if got else None
 
 
-def score(docs: DataFrame, model: Model | None) -> DataFrame:
-    """``docs`` with ``__score`` added."""
+def score(docs: DataFrame, model: Model | None, name: str = "__score") -> DataFrame:
+    """``docs`` with their score as ``name``, which must be no column of theirs."""
     small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -368,9 +370,9 @@ def score(docs: DataFrame, model: Model | None) -> DataFrame:
         for batch in batches:
             for part in slices(batch, "text", 2 << 20):
                 s = scores(m, part.column("text")) if m else np.zeros(part.num_rows)
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(s, pa.float64())], schema=part.schema.append(pa.field("__score", pa.float64())))
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(s, pa.float64())], schema=part.schema.append(pa.field(name, pa.float64())))
     schema = docs.schema
-    return docs.mapInArrow(run, type(schema)([*schema.fields]).add("__score", "double"))
+    return docs.mapInArrow(run, type(schema)([*schema.fields]).add(name, "double"))
 
 
 def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -383,5 +385,6 @@ def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def drop_toxic(docs: DataFrame, labelled: DataFrame, labels: DataFrame) -> DataFrame:
-    """``docs`` without the documents predicted toxic; trained on ``labelled`` documents."""
-    return score(docs, train(labelled, labels)).where(F.col("__score") < THRESHOLD).drop("__score")
+    """``docs`` without the documents predicted toxic; trained on ``labelled`` documents.  All columns stay, whatever their names."""
+    name = unused(docs.columns, "__score")
+    return score(docs, train(labelled, labels), name).where(F.col(name) < THRESHOLD).drop(name)
