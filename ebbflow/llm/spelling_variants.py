@@ -240,7 +240,10 @@ def near_words(counts: DataFrame) -> DataFrame:
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
     rows = rows.withColumn("side", F.when(F.col("part") == F.col("other"), 2).when(F.col("part") < F.col("other"), 0).otherwise(1))
     cell = F.xxhash64(*key, F.least("part", "other"), F.greatest("part", "other"))
-    rows = rows.select("word", "n", "width", "last", "side", cell.alias("cell")).repartition("cell").sortWithinPartitions("cell")
+    rows = rows.select("word", "n", "width", "last", "side", cell.alias("cell"))
+    # a tile is much work for few bytes: with a number given, partitions are not merged by size
+    parts = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = rows.repartition(parts, "cell").sortWithinPartitions("cell")
     got = rows.mapInArrow(_tiles, "word string, near long, best string, best_n long")
     return got.groupBy("word").agg(F.sum("near").alias("n_near"), F.min(F.struct((-F.col("best_n")).alias("n"), F.col("best").alias("w"))).alias("s")) \
         .select("word", "n_near", F.col("s.w").alias("best"), (-F.col("s.n")).alias("best_n"))

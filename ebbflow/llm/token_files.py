@@ -56,29 +56,34 @@ class WordIds:
         self.name, self.at, self.size = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.ids = np.zeros(0, np.int32)
 
-    def _encode(self, words: list[str]) -> list[list[int]]:
+    def _encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Flat ids of the words, in some order, and the place and number of each word's ids."""
         plain = [k for k, w in enumerate(words) if self.mark is not None and "0" not in w and "<|" not in w]
-        out: list = [None] * len(words)
+        taken = set(plain)
+        rest = [k for k in range(len(words)) if k not in taken]
+        order, pieces, size = [], [], np.zeros(len(words), np.int64)
         for a in range(0, len(plain), 512):
             part = plain[a: a + 512]
-            ids = self.tok.encode(" 0 ".join(words[k] for k in part), add_special_tokens=False).ids
-            got: list[int] = []
-            k = 0
-            for x in ids:
-                if x == self.mark:
-                    out[part[k]], got, k = got, [], k + 1
-                else:
-                    got.append(x)
-            out[part[k]] = got
-        rest = [k for k, x in enumerate(out) if x is None]
+            ids = np.array(self.tok.encode(" 0 ".join([words[k] for k in part]), add_special_tokens=False).ids, np.int32)
+            cut = np.flatnonzero(ids == self.mark)
+            if len(cut) != len(part) - 1:
+                rest += part
+                continue
+            size[part] = np.diff(np.concatenate([[-1], cut, [len(ids)]])) - 1
+            order += part
+            pieces.append(np.delete(ids, cut))
         for a in range(0, len(rest), 4096):
             part = rest[a: a + 4096]
             for k, e in zip(part, self.tok.encode_batch_fast([words[k] for k in part], add_special_tokens=False)):
-                out[k] = e.ids
-        return out
+                size[k] = len(e.ids)
+                order.append(k)
+                pieces.append(np.array(e.ids, np.int32))
+        at = np.zeros(len(words), np.int64)
+        at[order] = np.cumsum(size[order]) - size[order]
+        return np.concatenate([*pieces, np.zeros(0, np.int32)]), at, size
 
     def lookup(self, name: np.ndarray, start: np.ndarray, end: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Places and sizes in ``self.ids`` of distinct words, encoding the new ones."""
+        """Places and sizes in ``self.ids`` of distinct words (ascending by name), encoding the new ones."""
         if len(self.name) + len(name) > MEMO_WORDS:
             self.clear()
         k = np.searchsorted(self.name, name)
@@ -87,14 +92,11 @@ class WordIds:
         new[inside] = self.name[k[inside]] != name[inside]
         if new.any():
             raw = data.tobytes()
-            got = self._encode([raw[a:b].decode() for a, b in zip(start[new].tolist(), end[new].tolist())])
-            size = np.array([len(x) for x in got], np.int64)
-            at = len(self.ids) + np.cumsum(size) - size
-            self.ids = np.concatenate([self.ids, np.fromiter((i for x in got for i in x), np.int32, int(size.sum()))])
-            names = np.concatenate([self.name, name[new]])
-            order = np.argsort(names, kind="stable")
-            self.name = names[order]
-            self.at, self.size = np.concatenate([self.at, at])[order], np.concatenate([self.size, size])[order]
+            flat, at, size = self._encode([raw[a:b].decode() for a, b in zip(start[new].tolist(), end[new].tolist())])
+            at += len(self.ids)
+            self.ids = np.concatenate([self.ids, flat])
+            place = k[new]  # where they belong among the names, which are sorted
+            self.name, self.at, self.size = np.insert(self.name, place, name[new]), np.insert(self.at, place, at), np.insert(self.size, place, size)
             k = np.searchsorted(self.name, name)
         return self.at[k], self.size[k]
 
