@@ -123,20 +123,22 @@ def exact_quantiles(
     qs: Sequence[float],
     names: Sequence[str] | None = None,
     rows_per_bucket: int | None = None,
+    weight: str | None = None,
 ) -> DataFrame:
     """Linear-interpolated quantiles of ``value`` per ``keys`` group, nulls
     and NaN ignored (pandas ``quantile`` semantics), exact at any scale.
 
     Works on per-value counts, so no task holds a group's values: one
     partial aggregate, the bucketed prefix sums, then at most
-    ``2 x len(qs)`` rows per group reach the final aggregate.
-    Output: ``keys..., n, <name>...``.
+    ``2 x len(qs)`` rows per group reach the final aggregate.  With
+    ``weight`` a row stands for that many equal values (a table that is
+    counted already).  Output: ``keys..., n, <name>...``.
     """
     keys = list(keys)
     names = list(names or [f"q{int(round(q * 100))}" for q in qs])
     v = F.col(value)
     counts = (df.where(v.isNotNull() & ~F.isnan(v.cast("double")))
-              .groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_cnt")))
+              .groupBy(*keys, value).agg((F.sum(weight) if weight else F.count(F.lit(1))).alias("_cnt")))
     pre = ordered_prefix(counts, keys, [value], ["_cnt"], rows_per_bucket=rows_per_bucket)
     n = F.col("_cnt_total")
     hits, picks = [], []

@@ -151,9 +151,19 @@ def missing_values(df: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------- numeric
-def numeric_stats(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
+def numeric_counts(vf: DataFrame, cols: list[str]) -> DataFrame:
+    """(column_name, value double, n) of numeric columns from a ``value_frequencies`` table."""
+    return vf.where(F.col("column_name").isin(*cols)).select("column_name", F.col("value").cast("double").alias("value"), "n")
+
+
+def quartiles(counted: DataFrame) -> DataFrame:
+    """(column_name, n, q25, q50, q75) of a ``numeric_counts`` table."""
+    return exact_quantiles(counted, ["column_name"], "value", [0.25, 0.5, 0.75], names=["q25", "q50", "q75"], weight="n")
+
+
+def numeric_stats(df: DataFrame, cols: list[str] | None = None, quarts: DataFrame | None = None) -> DataFrame:
     """count, mean, std (n-1), min, q25, q50, q75, max, skewness, kurtosis
-    (bias-corrected) per numeric column."""
+    (bias-corrected) per numeric column.  ``quarts``: known ``quartiles``."""
     cols = cols or numeric_columns(df)
     aggs = []
     for i, c in enumerate(cols):
@@ -171,30 +181,32 @@ def numeric_stats(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
                  F.col(f"hi{i}").alias("max"), F.col(f"sk{i}").alias("skewness"),
                  F.col(f"ku{i}").alias("kurtosis"))
         for i, c in enumerate(cols)])).alias("s")).select("s.*")
-    qs = exact_quantiles(_long_numeric(df, cols), ["column_name"], "value", [0.25, 0.5, 0.75],
-                         names=["q25", "q50", "q75"])
+    qs = quarts if quarts is not None else exact_quantiles(_long_numeric(df, cols), ["column_name"], "value", [0.25, 0.5, 0.75],
+                                                           names=["q25", "q50", "q75"])
     return (moments.join(qs.drop("n"), "column_name", "left")
             .select("column_name", "position", "count", "mean", "std", "min", "q25", "q50", "q75",
                     "max", "skewness", "kurtosis"))
 
 
-def outliers_iqr(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
+def outliers_iqr(df: DataFrame, cols: list[str] | None = None, counted: DataFrame | None = None,
+                 quarts: DataFrame | None = None) -> DataFrame:
     """Values strictly outside [Q1 - 1.5 IQR, Q3 + 1.5 IQR]; percent over
     the non-null count.  Fences (one row per column) are broadcast.  A
-    column without values has 0 outliers and a null percent."""
+    column without values has 0 outliers and a null percent.  ``counted``
+    and ``quarts``: known ``numeric_counts`` and ``quartiles``."""
     cols = cols or numeric_columns(df)
-    long = _long_numeric(df, cols).where(F.col("value").isNotNull())
-    q = exact_quantiles(long, ["column_name"], "value", [0.25, 0.75], names=["q1", "q3"])
-    iqr = F.col("q3") - F.col("q1")
-    fences = q.select("column_name", (F.col("q1") - K.IQR_FACTOR * iqr).alias("lower"),
-                      (F.col("q3") + K.IQR_FACTOR * iqr).alias("upper"))
+    if counted is None:
+        counted = _long_numeric(df, cols).where(F.col("value").isNotNull()).withColumn("n", F.lit(1).cast("bigint"))
+    q = quarts if quarts is not None else quartiles(counted)
+    iqr = F.col("q75") - F.col("q25")
+    fences = q.select("column_name", (F.col("q25") - K.IQR_FACTOR * iqr).alias("lower"),
+                      (F.col("q75") + K.IQR_FACTOR * iqr).alias("upper"))
     pos = df.sparkSession.createDataFrame([(c, i) for i, c in enumerate(cols)],
                                           "column_name string, position int")
-    out = (long.join(F.broadcast(fences), "column_name")
+    beyond = (F.col("value") < F.col("lower")) | (F.col("value") > F.col("upper"))
+    out = (counted.join(F.broadcast(fences), "column_name")
            .groupBy("column_name")
-           .agg(F.count(F.lit(1)).alias("n"),
-                F.count_if((F.col("value") < F.col("lower")) | (F.col("value") > F.col("upper")))
-                .alias("n_outliers")))
+           .agg(F.sum("n").alias("n"), F.sum(F.when(beyond, F.col("n")).otherwise(0)).alias("n_outliers")))
     return (pos.join(F.broadcast(out), "column_name", "left")
             .select("column_name", "position", F.coalesce(F.col("n_outliers"), F.lit(0)).cast("bigint").alias("n_outliers"),
                     (F.col("n_outliers") * 100.0 / F.col("n")).alias("pct_outliers")))
@@ -423,9 +435,12 @@ def summary_blocks(raw: DataFrame, label: str = K.LABEL) -> dict[str, DataFrame]
                                       F.col("column_name"), {"category": F.col("count")}, F.col("value")),
     }
     if numeric_columns(raw):
-        blocks["numeric"] = _tidy(numeric_stats(raw), "numerical_stats", F.col("column_name"),
+        # quartiles and outliers come from the counted values; the quartiles (one row a column) are kept
+        counted = numeric_counts(vf, numeric_columns(raw))
+        quarts = quartiles(counted).checkpoint(eager=True)
+        blocks["numeric"] = _tidy(numeric_stats(raw, quarts=quarts), "numerical_stats", F.col("column_name"),
                                   {c: F.col(c) for c in SUMMARY_NUMERIC_METRICS})
-        blocks["outliers"] = _tidy(outliers_iqr(raw), "numerical_stats", F.col("column_name"),
+        blocks["outliers"] = _tidy(outliers_iqr(raw, counted=counted, quarts=quarts), "numerical_stats", F.col("column_name"),
                                    {c: F.col(c) for c in ("n_outliers", "pct_outliers")})
     if len(numeric_columns(raw)) > 1:
         m = correlation_matrix(raw)
