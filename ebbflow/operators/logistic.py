@@ -141,8 +141,8 @@ def fit_models(df: DataFrame, features: list[str], regs: list[float] | None, lab
             model_fold.append(f)
             model_reg.append(r)
             weights.append([n / (2 * v[c]) / n if v[c] else 0.0 for c in (0, 1)])  # sum to 1 over the rows
-            # a feature that is constant here is left out by an infinite penalty
-            ridge.append(np.append(np.where(sd2 > 1e-24, r * sd2 / shared_sd ** 2, np.inf), 0.0))
+            # a feature that is constant here (but for rounding) is left out by an infinite penalty
+            ridge.append(np.append(np.where(sd2 > 1e-10 * v[2 + d:] / n, r * sd2 / shared_sd ** 2, np.inf), 0.0))
     m = len(model_fold)
     weights, ridge, excluded = np.array(weights), np.array(ridge), np.array(model_fold)
     free = np.isfinite(ridge)
@@ -159,7 +159,7 @@ def fit_models(df: DataFrame, features: list[str], regs: list[float] | None, lab
                 z = x @ w.T
                 for k in range(m):
                     u = np.where(f != excluded[k], weights[k][(y == 1).astype(int)], 0.0)
-                    p = 1 / (1 + np.exp(-z[:, k]))
+                    p = 0.5 * np.tanh(0.5 * z[:, k]) + 0.5
                     total[k, 0] += u @ (np.logaddexp(0, z[:, k]) - y * z[:, k])
                     total[k, 1:d + 2] += (u * (p - y)) @ x
                     total[k, d + 2:] += ((x * (u * p * (1 - p))[:, None]).T @ x)[upper]
@@ -184,7 +184,8 @@ def fit_models(df: DataFrame, features: list[str], regs: list[float] | None, lab
                 continue
             loss[k] = value
             s = np.zeros(d + 1)
-            s[i] = -np.linalg.solve(hess[np.ix_(i, i)] + np.diag(ridge[k][i]), grad[i] + ridge[k][i] * w[k][i])
+            h = hess[np.ix_(i, i)] + np.diag(ridge[k][i])
+            s[i] = -np.linalg.lstsq(h, grad[i] + ridge[k][i] * w[k][i], rcond=None)[0]  # the least step where h is singular
             step[k] = s
             w[k] += s
         if np.abs(step).max() < TOLERANCE:
