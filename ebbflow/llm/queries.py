@@ -34,7 +34,7 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup.remove_repeated_chunks(table(spark, sf_dir, "documents"))
+    return line_dedup.remove_repeated_lines(table(spark, sf_dir, "documents"))
 
 
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
