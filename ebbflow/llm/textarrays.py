@@ -99,6 +99,15 @@ def runs(mask: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return np.flatnonzero(begins), np.flatnonzero(ends) + 1
 
 
+def span_names(data: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """64-bit names of the bytes from each start to the next; white space counts for nothing."""
+    if not len(start):
+        return np.zeros(0, np.uint64)
+    parts = _BYTE[data]
+    parts *= powers(BASE, len(data))
+    return mix64(np.add.reduceat(parts, start) * powers(BASE_INV, len(data))[start])
+
+
 def word_arrays(texts: pa.Array, lower: bool = False) -> Words:
     """Words of each text; a null text has none.  ``lower`` folds A-Z only."""
     data, offsets = buffers(pc.fill_null(texts, "") if texts.null_count else texts)
@@ -106,14 +115,8 @@ def word_arrays(texts: pa.Array, lower: bool = False) -> Words:
         data = LOWER[data]
     start, end = runs(~SPACE[data], offsets)
     row = np.searchsorted(offsets[1:], start, side="right")
-    if len(start):
-        parts = _BYTE[data]
-        parts *= powers(BASE, len(data))
-        name = mix64(np.add.reduceat(parts, start) * powers(BASE_INV, len(data))[start])
-    else:
-        name = np.zeros(0, np.uint64)
     first = np.searchsorted(row, np.arange(len(texts) + 1))
-    return Words(data, offsets, start, end, row, first, name)
+    return Words(data, offsets, start, end, row, first, span_names(data, start))
 
 
 def slices(batch: pa.RecordBatch, column: str, limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:

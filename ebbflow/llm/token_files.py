@@ -11,7 +11,12 @@ The index needs the ids read once: the tokens before a file come from the
 
 Texts are encoded through their distinct words: the tokenizer drops white
 space and no piece spans it, so a text's ids are its words' ids in a row.
-A worker keeps the ids of words it has met, by 64-bit name and length.
+A worker keeps the ids of words it has met, by 64-bit name and length.  For
+a tokenizer that folds case and splits letters from other characters
+(``NORMALIZER``, ``PIECES``: read from its file), capitals and the ASCII marks at a word's end are taken
+off before words are told apart, and a word of Latin letters alone, being one
+piece, goes straight to the library's merges; all else goes through the
+whole library.
 
 Edge cases: null and empty texts hold the end id alone; a null doc_id sorts
 last; rows that share a doc_id are separate records in the order they have in the
@@ -22,23 +27,48 @@ columns are never read.
 
 from __future__ import annotations
 
+import json
+import re
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ebbflow.session import scratch_path
 
-from .textarrays import lists, mix64, slices, small_batches, word_arrays
+from .textarrays import SPACE, buffers, lists, mix64, runs, slices, small_batches, span_names
 
 END_ID = 2
 ROW_STRIDE = 1000
 MEMO_WORDS = 1 << 20  # words whose ids a worker keeps; a memory bound only
 SCHEMA = "doc_id long, start long, n_tokens long, ids array<int>"
 _STATE: dict = {}
+# fixed values: the normalizer and pre-tokenizer under which words may be taken apart beforehand
+NORMALIZER = {"type": "Sequence", "normalizers": [
+    {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]}
+PIECES = {"type": "Sequence", "pretokenizers": [
+    {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
+LETTERS = re.compile("[A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF]+")
+#: ASCII marks; those of special tokens stay with their word
+MARK = np.zeros(256, bool)
+MARK[list(b"!\"#$%&'()*+,-./:;=?@[\\]^_`{}~")] = True
+ALNUM = np.zeros(256, bool)
+ALNUM[list(b"0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz")] = True
+
+
+def _byte_chars() -> dict[int, str]:
+    """Byte-level alphabet: printable Latin-1 bytes stand for themselves, the others for characters from U+0100 on."""
+    own = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+    rest = [b for b in range(256) if b not in own]
+    return {b: chr(b) for b in own} | {b: chr(256 + k) for k, b in enumerate(rest)}
+
+
+BYTE_CHAR = _byte_chars()
 
 
 class WordIds:
@@ -50,6 +80,10 @@ class WordIds:
         # one word that becomes one id, written between words to tell them apart
         mark = self.tok.encode("0", add_special_tokens=False).ids
         self.mark = mark[0] if len(mark) == 1 else None
+        part = lambda p: None if p is None else json.loads(p.__getstate__())
+        model = self.tok.model
+        self.split = part(self.tok.normalizer) == NORMALIZER and part(self.tok.pre_tokenizer) == PIECES
+        self.merge = model.tokenize if self.split and type(model).__name__ == "BPE" and not model.dropout else None
         self.clear()
 
     def clear(self) -> None:
@@ -58,10 +92,20 @@ class WordIds:
 
     def _encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Flat ids of the words, in some order, and the place and number of each word's ids."""
-        plain = [k for k, w in enumerate(words) if self.mark is not None and "0" not in w and "<|" not in w]
-        taken = set(plain)
-        rest = [k for k in range(len(words)) if k not in taken]
-        order, pieces, size = [], [], np.zeros(len(words), np.int64)
+        order, flat, pieces, size = [], [], [], np.zeros(len(words), np.int64)
+        plain, rest = [], []
+        for k, w in enumerate(words):
+            if self.merge and LETTERS.fullmatch(w):
+                low = w.lower()
+                ids = [t.id for t in self.merge(low if low.isascii() else "".join(map(BYTE_CHAR.get, low.encode())))]
+                size[k] = len(ids)
+                order.append(k)
+                flat += ids
+            elif self.mark is not None and "0" not in w and "<|" not in w:
+                plain.append(k)
+            else:
+                rest.append(k)
+        pieces.append(np.array(flat, np.int32))
         for a in range(0, len(plain), 512):
             part = plain[a: a + 512]
             ids = np.array(self.tok.encode(" 0 ".join([words[k] for k in part]), add_special_tokens=False).ids, np.int32)
@@ -101,20 +145,45 @@ class WordIds:
         return self.at[k], self.size[k]
 
 
+def take_apart(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Bytes with A-Z folded, and starts and ends of words whose closing ASCII marks are words of their own.
+
+    A word with a character from U+0100 on keeps its capitals, as a mark after one could combine with it, and so does one with
+    "<", as special tokens are matched as they stand.  Marks are cut off after a letter or digit of ASCII or Latin-1 only: there
+    the pre-tokenizer cuts too, and nothing combines over the cut.
+    """
+    at = np.arange(len(data))
+    last = np.maximum.accumulate(np.where(MARK[data], -1, at))[end - 1]  # last byte that is no mark
+    before = data[np.maximum(last - 1, 0)]
+    letter = ALNUM[data[last]] | ((before == 0xC3) & (data[last] >= 0x80) & (data[last] != 0x97) & (data[last] != 0xB7))
+    cut = (last >= start) & (last < end - 1) & letter
+    odd = np.logical_or.reduceat((data >= 0xC4) | (data == 0x3C), start)
+    high = np.flatnonzero((data >= 65) & (data <= 90))
+    high = high[~odd[np.searchsorted(start, high, side="right") - 1]]
+    data = data.copy()
+    data[high] += 32
+    return data, np.sort(np.concatenate([start, last[cut] + 1])), np.sort(np.concatenate([end, last[cut] + 1]))
+
+
 def encoded(texts: pa.Array, ids: WordIds, end_id: int) -> tuple[np.ndarray, np.ndarray]:
     """Flat ids of the texts, each closed by ``end_id``, and ids per text."""
-    w = word_arrays(texts)
+    data, offsets = buffers(pc.fill_null(texts, "") if texts.null_count else texts)
+    start, end = runs(~SPACE[data], offsets)
+    if ids.split and len(start):
+        data, start, end = take_apart(data, start, end)
+    row = np.searchsorted(offsets[1:], start, side="right")
+    first = np.searchsorted(row, np.arange(len(texts) + 1))
     # words of equal hash but another length are kept apart
-    name = mix64(w.name + (w.end - w.start).astype(np.uint64))
+    name = mix64(span_names(data, start) + (end - start).astype(np.uint64))
     uniq, pick, back = np.unique(name, return_index=True, return_inverse=True)
-    at, size = ids.lookup(uniq, w.start[pick], w.end[pick], w.data)
+    at, size = ids.lookup(uniq, start[pick], end[pick], data)
     at, size = at[back], size[back]
     total = np.concatenate([[0], np.cumsum(size)])
-    counts = total[w.first[1:]] - total[w.first[:-1]] + 1
+    counts = total[first[1:]] - total[first[:-1]] + 1
     out = np.full(int(counts.sum()), end_id, np.int32)
     n = int(total[-1])
     source = np.repeat(at - total[:-1], size) + np.arange(n)
-    row = np.repeat(w.row, size)  # each text before leaves one end id
+    row = np.repeat(row, size)  # each text before leaves one end id
     out[np.arange(n) + row] = ids.ids[source]
     return out, counts
 

@@ -1,6 +1,7 @@
 """Text operators against brute force, on the small table and on built cases."""
 
 import hashlib
+import random
 import re
 import zlib
 
@@ -295,6 +296,23 @@ def test_token_files_match_library(spark, tmp_path):
     assert token_files.write_and_index(empty, path, f"{tmp_path}/e").count() == 0
 
 
+def test_words_taken_apart_give_the_ids_of_the_library():
+    ids = token_files.word_ids(public_tokenizers.path("word_bpe_49k.json"))
+    assert ids.split and ids.merge
+    bits = ["Haen", "it's", "IT'S", "dogs'", "'Ll", "e\u0301", "\u00c9", "\u00dcn\u00ef", "\u00d7", "\u00e9\u00f7,", "J\u030c", "\u2260", "=\u0338",
+            "<|endoftext|>", "<|ENDOFTEXT|>", "|>", "<|", "<B>", ",", "...", "'", '"', "\u2014,", "\ufb01", "\u0391\u03a3,", "\u0130", "\u0131", "\u212a",
+            "\u4e2d\u6587,", "123", "1,000.", "\u0663", "a\u00a0B,", "\u0085", "x\u200dY", "\u00aa", "\u00b5,", "0", "O0", "\u00df", "\u1e9e", "\u0300", "C++", "|",
+            " ", " ", " ", "\n", "\t"]
+    r = random.Random(5)
+    texts = ["".join(r.choice(bits) for _ in range(r.randint(0, 14))) for _ in range(6000)]
+    texts += [None, "", " ", "A" * 20000 + ",", "!" * 20000 + "a" + "!" * 20000]
+    for a in range(0, len(texts), 500):
+        flat, counts = token_files.encoded(pa.array(texts[a: a + 500], pa.string()), ids, 2)
+        want = [[*ids.tok.encode(t or "", add_special_tokens=False).ids, 2] for t in texts[a: a + 500]]
+        assert counts.tolist() == [len(x) for x in want]
+        assert flat.tolist() == [i for x in want for i in x]
+
+
 def test_token_files_null_and_repeated_ids(spark, tmp_path):
     df = spark.createDataFrame([(None, "z"), (2, "a b"), (2, "a"), (1, None)], "doc_id long, text string")
     got = sorted((r.start, r.doc_id, r.n_tokens) for r in token_files.write_and_index(df, public_tokenizers.path("word_bpe_49k.json"), f"{tmp_path}/n").collect())
