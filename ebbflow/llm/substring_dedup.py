@@ -23,8 +23,10 @@ name.  Within a border name
 Windows that a task has already seen earlier in its own slice of the input
 are settled before the shuffle, so a passage held by a third of all
 documents sends one row per slice.  Border names that a sample shows to be
-frequent are shuffled by window instead of by border; this changes only
-where rows are compared, never the result.
+frequent are shuffled by window instead of by border, and windows that it
+shows to be frequent by window and a salt of the document: the earliest of
+each salt are compared once more.  This changes only where rows are
+compared, never the result.
 
 Edge cases: null or empty texts have no words; texts under ``width`` words
 keep all of them; rows equal in doc_id and text are one document (each loses
@@ -50,10 +52,12 @@ from .textarrays import keyed, mix64, slices, small_batches, span_hash, word_arr
 ROUNDS = (("runs", 1), ("pairs", 1), ("pairs", 2))
 CONTEXT = sum(n for _, n in ROUNDS)
 HOT_NAMES = 4096  # most frequent border names of the sample that are dealt by window
+HOT_WINDOWS = 65536  # most frequent of the windows dealt singly, which are salted by document
 SAMPLE_DOCS = 4000
+SALTS = 64
 _NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
-SEGMENTS = "key long, oid long, start int, win binary"
-_TYPES = {"key": pa.int64(), "oid": pa.int64(), "start": pa.int32(), "win": pa.binary()}
+SEGMENTS = "key long, salt int, oid long, start int, win binary"
+_TYPES = {"key": pa.int64(), "salt": pa.int32(), "oid": pa.int64(), "start": pa.int32(), "win": pa.binary()}
 NAME_BYTES = 6  # bytes of a window hash that travel; they are compared under one 63-bit border name only
 
 
@@ -86,7 +90,7 @@ def recompress(name: np.ndarray, row: np.ndarray) -> np.ndarray:
     return begin
 
 
-def segments(batch: pa.RecordBatch, width: int, hot: np.ndarray) -> pa.RecordBatch:
+def segments(batch: pa.RecordBatch, width: int, hot: np.ndarray, hot_windows: np.ndarray = np.zeros(0, np.uint64)) -> pa.RecordBatch:
     """Segment rows, and rows with start -1: per document, the spans settled here."""
     batch = batch.take(pc.sort_indices(batch, sort_keys=[("oid", "ascending")]))
     oid = batch.column("oid").to_numpy()
@@ -141,23 +145,26 @@ def segments(batch: pa.RecordBatch, width: int, hot: np.ndarray) -> pa.RecordBat
     size = np.diff(i, append=len(at))
     first = at[i]
     short = np.ascontiguousarray(win.astype("<u8").view(np.uint8).reshape(-1, 8)[:, 8 - NAME_BYTES:])
+    of = oid[w.row[first]]
+    salt = np.where(lone[i] & np.isin(least[i], hot_windows), 1 + (mix64(of.astype(np.uint64)) % np.uint64(SALTS)).astype(np.int64), 0)
     bounds = np.concatenate([[0], np.cumsum(np.concatenate([size * NAME_BYTES, counts * 8]))]).astype(np.int32)
     packed = pa.py_buffer(short.tobytes() + span.astype("<i8").tobytes())
     return pa.RecordBatch.from_arrays([
         pa.array(np.r_[least[i], mix64(oid[rows].astype(np.uint64) + np.uint64(7))].view(np.int64), pa.int64()),
-        pa.array(np.r_[oid[w.row[first]], oid[rows]], pa.int64()),
+        pa.array(np.r_[salt, np.zeros(len(rows), np.int64)].astype(np.int32), pa.int32()),
+        pa.array(np.r_[of, oid[rows]], pa.int64()),
         pa.array(np.r_[pos[first], np.full(len(rows), -1)].astype(np.int32), pa.int32()),
         pa.Array.from_buffers(pa.binary(), len(bounds) - 1, [None, pa.py_buffer(bounds), packed]),
     ], names=list(_TYPES))
 
 
-def _scan(width: int, hot: list[int]):
-    known = np.array(sorted(hot), np.int64).view(np.uint64)
+def _scan(width: int, hot: list[int], hot_windows: list[int]):
+    known, windows = (np.array(sorted(x), np.int64).view(np.uint64) for x in (hot, hot_windows))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
-                out = segments(part, width, known)
+                out = segments(part, width, known, windows)
                 if out.num_rows:
                     yield out
     return scan
@@ -187,23 +194,31 @@ def _strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(out, names=["doc_id", "n_words", "n_removed", "kept_sha256", "kept_text"])
 
 
-def repeated_spans(docs: DataFrame, width: int = 20) -> DataFrame:
+def frequent(texts: DataFrame, width: int) -> tuple[list[int], list[int]]:
+    """Border names that are frequent in a sample of documents, and windows that are so among those dealt singly then."""
+    sample = texts.where(F.pmod(F.xxhash64("oid"), F.lit(100)) == 0).limit(SAMPLE_DOCS)
+
+    def often(hot: list[int], most: int) -> list[int]:
+        return [r["key"] for r in sample.mapInArrow(_scan(width, hot, []), SEGMENTS).where("start >= 0").groupBy("key").count()
+                .where("count >= 8").orderBy(F.desc("count"), "key").limit(most).collect()]
+    hot = often([], HOT_NAMES)
+    return hot, often(hot, HOT_WINDOWS)
+
+
+def repeated_spans(docs: DataFrame, width: int = 20, hot: tuple[list[int], list[int]] | None = None) -> DataFrame:
     """(oid, spans, packed) of ``docs(oid, text)``: per document the word spans that windows starting earlier also hold, as start << 32 | length;
-    ``packed`` has such numbers as little-endian bytes."""
+    ``packed`` has such numbers as little-endian bytes.  ``hot``: names and windows to deal out more finely (``frequent`` of a sample unless given)."""
     if width <= 2 * CONTEXT:
         raise ValueError(f"width must exceed {2 * CONTEXT} words")
     small_batches(docs.sparkSession)
     texts = docs.select("oid", "text")
-    hot = [r["key"] for r in texts.where(F.pmod(F.xxhash64("oid"), F.lit(100)) == 0).limit(SAMPLE_DOCS)
-           .mapInArrow(_scan(width, []), SEGMENTS).where("start >= 0").groupBy("key").count()
-           .where("count >= 8").orderBy(F.desc("count"), "key").limit(HOT_NAMES).collect()]
-    s = texts.mapInArrow(_scan(width, hot), SEGMENTS).repartition("key").withColumn("seg", F.xxhash64("win"))
-    by_key = Window.partitionBy("key")
+    s = texts.mapInArrow(_scan(width, *(hot or frequent(texts, width))), SEGMENTS).repartition("key", "salt").withColumn("seg", F.xxhash64("win"))
+    by_key = Window.partitionBy("key", "salt")
     here = F.struct("oid", "start")
     s = (s.withColumn("lo", F.min("seg").over(by_key)).withColumn("hi", F.max("seg").over(by_key))
-         .withColumn("lead", F.min(here).over(Window.partitionBy("key", "seg")))
+         .withColumn("lead", F.min(here).over(Window.partitionBy("key", "salt", "seg")))
          .withColumn("is_lead", F.col("lead") == here)
-         .where("start < 0 OR NOT is_lead OR lo <> hi"))
+         .where("start < 0 OR NOT is_lead OR lo <> hi OR salt > 0"))
     n = (F.length("win") / NAME_BYTES).cast("int")
 
     def one(w, p, size, packed):
@@ -213,10 +228,13 @@ def repeated_spans(docs: DataFrame, width: int = 20) -> DataFrame:
         .when(~F.col("is_lead"), F.array(one(none, F.col("start"), n + (width - 1), none))) \
         .otherwise(F.transform(F.sequence(F.lit(0), n - 1), lambda i: one(F.hex(F.col("win").substr(i * NAME_BYTES + 1, F.lit(NAME_BYTES))),
                                                                          F.col("start") + i, F.lit(width), none)))
-    x = s.select("key", "oid", F.explode_outer(span).alias("x")).select("key", "oid", "x.*")
+    x = s.select("key", "salt", "oid", F.explode_outer(span).alias("x")).select("key", "salt", "oid", "x.*")
     spot = F.struct("oid", "p")
-    tested = (x.withColumn("lead", F.min(F.when(F.col("w").isNotNull(), spot)).over(Window.partitionBy("key", "w")))
-              .where(F.col("w").isNull() | (F.col("lead") != spot)))
+    least = F.min(F.when(F.col("w").isNotNull(), spot))
+    x = x.withColumn("lead", least.over(Window.partitionBy("key", "salt", "w")))
+    # the earliest of each salt: SALTS rows a frequent window at most
+    leads = x.where((F.col("salt") > 0) & (F.col("lead") == spot)).withColumn("lead", least.over(Window.partitionBy("key", "w")))
+    tested = x.where(F.col("w").isNull() | (F.col("lead") != spot)).unionAll(leads.where(F.col("lead") != spot))
     long = F.when(F.col("p") >= 0, F.shiftleft(F.col("p").cast("long"), 32) + F.col("size"))
     return tested.groupBy("oid").agg(F.collect_list(long).alias("spans"), F.collect_list("packed").alias("packed"))
 
