@@ -46,6 +46,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .graph import saved
 from .textarrays import keyed, mix64, slices, small_batches, span_hash, word_arrays
 
 #: (what a round names, longest symbol in words that takes part)
@@ -231,10 +232,13 @@ def repeated_spans(docs: DataFrame, width: int = 20, hot: tuple[list[int], list[
     x = s.select("key", "salt", "oid", F.explode_outer(span).alias("x")).select("key", "salt", "oid", "x.*")
     spot = F.struct("oid", "p")
     least = F.min(F.when(F.col("w").isNotNull(), spot))
-    x = x.withColumn("lead", least.over(Window.partitionBy("key", "salt", "w")))
+    repeats = F.col("w").isNull() | (F.col("lead") != spot)
+    x = (x.withColumn("lead", least.over(Window.partitionBy("key", "salt", "w"))).withColumn("repeats", repeats).drop("lead")
+         .where("repeats OR salt > 0"))
+    x = saved(x, "repeated-spans")  # read twice: the texts are scanned once
     # the earliest of each salt: SALTS rows a frequent window at most
-    leads = x.where((F.col("salt") > 0) & (F.col("lead") == spot)).withColumn("lead", least.over(Window.partitionBy("key", "w")))
-    tested = x.where(F.col("w").isNull() | (F.col("lead") != spot)).unionAll(leads.where(F.col("lead") != spot))
+    leads = x.where("NOT repeats").withColumn("lead", least.over(Window.partitionBy("key", "w"))).where(F.col("lead") != spot)
+    tested = x.where("repeats").unionAll(leads.drop("lead"))
     long = F.when(F.col("p") >= 0, F.shiftleft(F.col("p").cast("long"), 32) + F.col("size"))
     return tested.groupBy("oid").agg(F.collect_list(long).alias("spans"), F.collect_list("packed").alias("packed"))
 
