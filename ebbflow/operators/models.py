@@ -15,6 +15,8 @@ as one block of gradients and Hessians per scan (``logistic``).
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import StandardScaler, VectorAssembler
@@ -31,6 +33,7 @@ from .metrics import ranking_auc
 
 WEIGHT = "_w"
 MODEL_KINDS = ("logistic", "random_forest", "gbt")
+FOREST_ROWS = 1 << 16  # training rows of a task: each task of a pass also sends its own statistics of every node
 
 
 def class_weights(df: DataFrame, label: str = K.LABEL) -> DataFrame:
@@ -55,12 +58,24 @@ def estimator(kind: str, n_train: int, label: str = K.LABEL, seed: int = K.SEED,
                                   elasticNetParam=0.0, standardization=False,
                                   maxIter=params.get("max_iter", 1000), tol=params.get("tol", 1e-4))
     if kind == "random_forest":
+        # a row's node in each tree is kept from level to level, not walked to from the root again
         return RandomForestClassifier(**common, numTrees=params.get("trees", 100),
                                       maxDepth=params.get("depth", 10), featureSubsetStrategy="sqrt",
-                                      seed=seed)
+                                      seed=seed, cacheNodeIds=True, checkpointInterval=-1)
     raise ValueError(f"Unknown model type: {kind}")
 
 
+def spread(rows: DataFrame, cols: list[str]) -> DataFrame:
+    """``cols`` of ``rows`` in even parts of at most about ``FOREST_ROWS`` rows, however
+    they were dealt before; few rows stay as they are.  Rows are sorted within a part,
+    so that a second run draws the same ones."""
+    n = rows.count()
+    if n <= FOREST_ROWS:
+        return rows
+    named = [F.col(f"`{c}`") for c in cols]
+    return rows.select(*named).repartition(math.ceil(n / FOREST_ROWS)).sortWithinPartitions(*named)
+
+
 def fit_model(train: DataFrame, feature_names: list[str], kind: str = "random_forest",
               label: str = K.LABEL, key: str = "row_id", **params) -> PipelineModel | fitted.Fitted:
     """Fit one model on ``train``: assemble -> centre/scale -> classifier, or boosted trees."""
@@ -70,10 +85,19 @@ def fit_model(train: DataFrame, feature_names: list[str], kind: str = "random_fo
         return HT.fit(train, feature_names, HT.boosted_settings(**params), label, key)[0]
     tw = with_weights(train, kind, label)
     n = tw.count() if kind == "logistic" and "reg" not in params else 0
+    kept = None
+    if kind == "random_forest":
+        dealt = spread(tw, [label, WEIGHT, *feature_names])
+        if dealt is not tw:  # the fit reads its rows several times before it keeps its own form of them
+            tw = kept = dealt.persist()
     stages = [VectorAssembler(inputCols=feature_names, outputCol="raw_features", handleInvalid="keep"),
               StandardScaler(inputCol="raw_features", outputCol="features", withMean=True, withStd=True),
               estimator(kind, n, label, **params)]
-    return Pipeline(stages=stages).fit(tw)
+    try:
+        return Pipeline(stages=stages).fit(tw)
+    finally:
+        if kept is not None:
+            kept.unpersist()
 
 
 def with_probability(model: PipelineModel | fitted.Fitted, df: DataFrame, name: str) -> DataFrame:

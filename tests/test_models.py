@@ -4,6 +4,7 @@ import math
 
 import numpy as np
 import pytest
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
 from ebbflow.operators import features as FE
@@ -230,3 +231,36 @@ def test_folds_of_the_features_hold_every_class(spark, sf):
     raw = fx.subscribers(spark, sf, keyed=True)
     d = S.kfold_assign(S.stratified_split(FE.transform_features(raw, FE.fit_features(raw))).where("split = 'train'"))
     assert d.groupBy("fold", "churned").count().count() == 10
+
+
+def test_forest_rows_are_dealt_by_their_number(spark, monkeypatch):
+    """One part or many small ones: the forest learns from even parts, from the same rows, and the same way twice."""
+    monkeypatch.setattr(ML, "FOREST_ROWS", 500)
+    rng = np.random.default_rng(5)
+    rows = [(i % 700 if i % 9 else None, *map(float, rng.integers(0, 6, 3)), int(rng.random() < 0.4)) for i in range(1800)]
+    df = spark.createDataFrame(rows, "row_id long, a double, `b c` double, d double, churned int")
+    cols = ["churned", "a", "b c", "d"]
+    plain = lambda d: sorted(tuple(r) for r in d.collect())
+    for parts in (1, 40):
+        dealt = ML.spread(df.repartition(parts), cols)
+        sizes = [len(p) for p in dealt.rdd.glom().collect()]
+        assert len(sizes) == 4 and max(sizes) < 500 + 40, sizes
+        assert plain(dealt) == plain(df.select(*[F.col(f"`{c}`") for c in cols]))
+    few = df.limit(400)
+    assert ML.spread(few, cols) is few
+    kept = spark.sparkContext._jsc.getPersistentRDDs().size()
+    one = df.repartition(1)
+    trees = [ML.fit_model(one, ["a", "b c", "d"], "random_forest", trees=5, depth=4).stages[-1] for _ in range(2)]
+    text = [m.toDebugString.split("\n", 1)[1] for m in trees]
+    assert text[0] == text[1] and trees[0].totalNumNodes > 5
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == kept
+
+
+def test_forest_with_kept_nodes_grows_the_same_trees(spark, table):
+    """Keeping each row's node between the levels changes the time, not the trees."""
+    d = ML.with_weights(table.coalesce(1), "random_forest")
+    d = VectorAssembler(inputCols=FEATURES, outputCol="features", handleInvalid="skip").transform(d)
+    e = ML.estimator("random_forest", 0, trees=8, depth=6)
+    assert e.getCacheNodeIds()
+    text = [x.fit(d).toDebugString.split("\n", 1)[1] for x in (e, e.copy().setCacheNodeIds(False))]
+    assert text[0] == text[1]
